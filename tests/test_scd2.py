@@ -1,0 +1,190 @@
+"""Merge operators on hand-written rows, and against a plain-Python model on random batches."""
+
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from zonepipe.operators import scd2
+
+KEYS, TRACKED = ("k",), ("u",)
+BATCH = "k string, u string"
+LOOKUP = BATCH + ", begin_date date, update_date date, flag_active boolean"
+DAY = [dt.date(2024, 1, d) for d in range(1, 10)]
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def lookup(spark, *versions):
+    return spark.createDataFrame(versions, LOOKUP)
+
+
+def batch(spark, *pairs):
+    return spark.createDataFrame(pairs, BATCH)
+
+
+def merge(spark, versions, pairs, day=DAY[5], tracked=TRACKED):
+    return rows(scd2.scd2_merge(lookup(spark, *versions), batch(spark, *pairs), KEYS, tracked, day))
+
+
+def test_dedupe_latest_wins_and_ties_are_total(spark):
+    df = spark.createDataFrame(
+        [("A", "u2", 1), ("A", "u3", 2), ("B", "x", 5), ("B", "y", 5), ("C", "z", None), (None, "n", 9)],
+        "k string, u string, t int",
+    )
+    out = rows(scd2.dedupe_batch(df, KEYS, ("t",)))
+    assert out == [("A", "u3", 2), ("B", "y", 5), ("C", "z", None)]
+    assert out == rows(scd2.dedupe_batch(df.repartition(5), KEYS, ("t",)))
+
+
+def test_initial(spark):
+    assert rows(scd2.scd2_initial(batch(spark, ("A", "u1")), DAY[0])) == [("A", "u1", DAY[0], None, True)]
+
+
+def test_change_closes_and_opens(spark):
+    assert merge(spark, [("A", "u1", DAY[0], None, True)], [("A", "u2")]) == [
+        ("A", "u1", DAY[0], DAY[5], False),
+        ("A", "u2", DAY[5], None, True),
+    ]
+
+
+def test_new_key_is_inserted(spark):
+    assert merge(spark, [("A", "u1", DAY[0], None, True)], [("C", "u9")]) == [
+        ("A", "u1", DAY[0], None, True),
+        ("C", "u9", DAY[5], None, True),
+    ]
+
+
+def test_history_does_not_count_as_change(spark):
+    before = [("A", "u1", DAY[0], DAY[1], False), ("A", "u2", DAY[1], None, True)]
+    assert merge(spark, before, [("A", "u2")]) == sorted(before, key=repr)
+
+
+def test_value_may_return(spark):
+    before = [("A", "u1", DAY[0], DAY[1], False), ("A", "u2", DAY[1], None, True)]
+    assert merge(spark, before, [("A", "u1")]) == [
+        ("A", "u1", DAY[0], DAY[1], False),
+        ("A", "u1", DAY[5], None, True),
+        ("A", "u2", DAY[1], DAY[5], False),
+    ]
+
+
+def test_null_attribute_is_a_value(spark):
+    assert merge(spark, [("A", "u1", DAY[0], None, True)], [("A", None)]) == [
+        ("A", "u1", DAY[0], DAY[5], False),
+        ("A", None, DAY[5], None, True),
+    ]
+    assert merge(spark, [("A", None, DAY[0], None, True)], [("A", None)]) == [("A", None, DAY[0], None, True)]
+
+
+def test_absent_key_stays(spark):
+    before = [("B", "u1", DAY[0], None, True)]
+    assert merge(spark, before, [("A", "u1")])[1] == before[0]
+
+
+def test_key_with_only_closed_versions_reopens(spark):
+    before = [("A", "u1", DAY[0], DAY[1], False)]
+    assert merge(spark, before, [("A", "u1")]) == [
+        ("A", "u1", DAY[0], DAY[1], False),
+        ("A", "u1", DAY[5], None, True),
+    ]
+
+
+def test_nothing_tracked_only_inserts(spark):
+    assert merge(spark, [("A", "u1", DAY[0], None, True)], [("A", "u2"), ("B", "u3")], tracked=()) == [
+        ("A", "u1", DAY[0], None, True),
+        ("B", "u3", DAY[5], None, True),
+    ]
+
+
+def test_keys_are_compared_column_by_column(spark):
+    versions = spark.createDataFrame(
+        [("a", "bc", "u1", DAY[0], None, True)],
+        "k string, j string, u string, begin_date date, update_date date, flag_active boolean",
+    )
+    pairs = spark.createDataFrame([("ab", "c", "u2")], "k string, j string, u string")
+    merged = scd2.scd2_merge(versions, pairs, ("k", "j"), ("u",), DAY[5])
+    assert rows(merged) == [("a", "bc", "u1", DAY[0], None, True), ("ab", "c", "u2", DAY[5], None, True)]
+
+
+def test_several_tracked_columns(spark):
+    versions = spark.createDataFrame(
+        [("A", "u", 1, DAY[0], None, True), ("B", "u", 1, DAY[0], None, True)],
+        "k string, u string, v int, begin_date date, update_date date, flag_active boolean",
+    )
+    pairs = spark.createDataFrame([("A", "u", 2), ("B", "u", 1)], "k string, u string, v int")
+    assert rows(scd2.scd2_merge(versions, pairs, KEYS, ("u", "v"), DAY[5])) == [
+        ("A", "u", 1, DAY[0], DAY[5], False),
+        ("A", "u", 2, DAY[5], None, True),
+        ("B", "u", 1, DAY[0], None, True),
+    ]
+
+
+def test_labels_agree(spark):
+    active = lookup(spark, ("A", "u1", DAY[0], None, True), ("B", "u1", DAY[0], None, True), ("D", None, DAY[0], None, True))
+    pairs = batch(spark, ("A", "u2"), ("B", "u1"), ("C", "u3"), ("D", None))
+    args = active, pairs, KEYS, TRACKED
+    assert rows(scd2.scd2_classify(*args)) == [
+        ("A", "u2", "changed"),
+        ("B", "u1", "unchanged"),
+        ("C", "u3", "new"),
+        ("D", None, "unchanged"),
+    ]
+    assert rows(scd2.scd2_new_keys(active, pairs, KEYS)) == [("C", "u3")]
+    assert rows(scd2.scd2_change_rows(*args)) == [("A", "u2")]
+    assert rows(scd2.scd2_changes(*args)) == [("A", "u2"), ("C", "u3")]
+    assert rows(scd2.scd2_change_summary(*args)) == [(1, 1, 2)]
+    assert rows(scd2.scd2_closed(scd2.scd2_step(*args, DAY[5]))) == [("A", "u1", DAY[0], DAY[5], False)]
+    assert rows(scd2.scd2_inserted(*args, DAY[5])) == [
+        ("A", "u2", DAY[5], None, True),
+        ("C", "u3", DAY[5], None, True),
+    ]
+
+
+def model(batches):
+    """The lookup after the batches, in plain Python."""
+    versions = []
+    for day, pairs in batches:
+        for key, value in pairs.items():
+            current = next((v for v in versions if v[0] == key and v[4]), None)
+            if current and current[1] != value:
+                versions.remove(current)
+                versions.append((*current[:3], day, False))
+            if not current or current[1] != value:
+                versions.append((key, value, day, None, True))
+    return sorted(versions, key=repr)
+
+
+def check_invariants(versions):
+    by_key = {}
+    for key, _, begin, end, active in versions:
+        assert active == (end is None)
+        by_key.setdefault(key, []).append((begin, end))
+    for spans in by_key.values():
+        spans.sort(key=lambda s: (s[0], s[1] is None))
+        assert sum(end is None for _, end in spans) == 1
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+value = st.sampled_from(["u1", "u2", "u3", None])
+one_batch = st.dictionaries(st.sampled_from(list("ABCDE")), value, max_size=5)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(one_batch, min_size=1, max_size=4))
+def test_merges_equal_model_and_history(spark, batches):
+    dated = list(zip(DAY, batches))
+    current = lookup(spark)
+    for day, pairs in dated:
+        step = scd2.scd2_merge(current, batch(spark, *pairs.items()), KEYS, TRACKED, day)
+        current = lookup(spark, *rows(step))
+        replay = scd2.scd2_merge(current, batch(spark, *pairs.items()), KEYS, TRACKED, DAY[-1])
+        assert rows(replay) == rows(current)
+    expected = model(dated)
+    assert rows(current) == expected
+    check_invariants(expected)
+    feed = [(k, u, 1, day) for day, pairs in dated for k, u in pairs.items()]
+    feed = spark.createDataFrame(feed, "k string, u string, t int, day date")
+    assert rows(scd2.scd2_history(feed, KEYS, TRACKED, ("t",), "day")) == expected

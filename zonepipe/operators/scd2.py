@@ -129,13 +129,12 @@ def scd2_pairing(
 def scd2_apply(pairing: DataFrame, as_of: dt.date | str) -> DataFrame:
     """Versions after one run, without earlier history.
 
-    Each pair yields the kept or closed old version, and the newly opened one;
-    both come out of the same row, so the join is evaluated once.
+    A pair yields the kept or closed old version, the newly opened one, or both;
+    they come out of the same row, so the join is evaluated once.
     """
     lookup_columns = pairing.schema["old"].dataType.names
     batch_columns = pairing.schema["cur"].dataType.names
     changed = F.col("status").eqNullSafe(CHANGED)
-    opens = F.col("status").isin(NEW, CHANGED)
     replaced = {
         UPDATE: F.when(changed, as_date(as_of)).otherwise(F.col(f"old.{UPDATE}")),
         ACTIVE: ~changed,
@@ -148,8 +147,10 @@ def scd2_apply(pairing: DataFrame, as_of: dt.date | str) -> DataFrame:
             for c in lookup_columns
         ]
     )
-    versions = F.array_compact(
-        F.array(F.when(F.col("old").isNotNull(), old), F.when(opens, new))
+    versions = (
+        F.when(changed, F.array(old, new))
+        .when(F.col("old").isNotNull(), F.array(old))
+        .otherwise(F.array(new))
     )
     return pairing.select(F.inline(versions))
 

@@ -274,9 +274,9 @@ NULL_KEYS = verdict(
 )
 
 ORACLE: dict[str, str] = {
-    "scan_zone_raw": f"{BASE} select * replace ({FLAT}) from actives",
-    "ingest_raw_viewership": f"{BASE} select * replace ({FLAT}) from viewership",
-    "route_arrivals": f"""{BASE}
+    "scan_zone": f"{BASE} select * replace ({FLAT}) from actives",
+    "ingest_raw": f"{BASE} select * replace ({FLAT}) from viewership",
+    "route_files": f"""{BASE}
         select 'actives' as dataset, 'actives_{STAMP}' as arrival, count(*) as n_rows from actives
         union all select 'viewership', 'viewership_{STAMP}', count(*) from viewership
         union all select 'unrouted', 'orders_{STAMP}', count(*) from orders""",
@@ -290,7 +290,7 @@ ORACLE: dict[str, str] = {
     "cast_int": f"""{BASE} select event_id, try_cast(duration as integer) as duration,
         try_cast(record_timestamp as integer) as record_timestamp from viewership""",
     "cast_date": f"""{BASE} select event_id, try_cast("date" as date) as "date" from actives""",
-    "mask_identifiers": f"""{BASE} select event_id, sha256(advertising_id) as advertising_id,
+    "mask_columns": f"""{BASE} select event_id, sha256(advertising_id) as advertising_id,
         sha256(user_id) as user_id, sha256(cast("timestamp" as varchar)) as "timestamp" from actives""",
     "transform_actives": f"{BASE} {TRANSFORMED_ACTIVES}",
     "transform_viewership": f"{BASE} {TRANSFORMED_VIEWERSHIP}",
@@ -346,7 +346,7 @@ ORACLE: dict[str, str] = {
     "run_actives": f"""{BASE} select {ACTIVE_IDS.output}, {DATE_AS_OF} as begin_date,
         {OPEN} as update_date, true as flag_active from ({ACTIVE_IDS.latest('actives')})""",
     "run_viewership": f"{BASE} {TRANSFORMED_VIEWERSHIP}",
-    "stream_staging": f"{BASE} {TRANSFORMED_ACTIVES}",
+    "stream_ingest": f"{BASE} {TRANSFORMED_ACTIVES}",
     "stream_lookup": f"""{BASE} select distinct advertising_id,
         sha256(advertising_id) as Masked_advertising_id, true as flag_active from viewership""",
 }

@@ -47,9 +47,12 @@ SEED = 7
 QUERIES: dict[str, Query] = {}
 
 
-def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+def query(name: str) -> Callable[[Query], Query]:
+    def register(function: Query) -> Query:
+        QUERIES[name] = function
+        return function
+
+    return register
 
 
 def actives_contract(root: str = "", **changes) -> Contract:
@@ -70,23 +73,23 @@ def readable(df: DataFrame) -> DataFrame:
 # --- scans and sinks ---------------------------------------------------------
 
 
-@query
-def scan_zone_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scan_zone")
+def _scan_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     zone = work_folder(spark)
     stage(star_schema.actives(spark, sf_dir), f"{zone}/actives_{STAMP}")
     return readable(scan_zone(spark, zone))
 
 
-@query
-def ingest_raw_viewership(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("ingest_raw")
+def _ingest_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract = viewership_contract(work_folder(spark))
     arrival = land(star_schema.viewership(spark, sf_dir), contract, STAMP)
     ingest_raw(spark, contract, arrival)
     return readable(scan_zone(spark, contract.ingest.destination))
 
 
-@query
-def route_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("route_files")
+def _route_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = work_folder(spark)
     stage(star_schema.actives(spark, sf_dir), f"{landing}/actives_{STAMP}")
     stage(star_schema.viewership(spark, sf_dir), f"{landing}/viewership_{STAMP}")
@@ -94,28 +97,28 @@ def route_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return route_files(spark, landing, ("actives", "viewership"))
 
 
-@query
-def stage_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("stage_partitioned")
+def _stage_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract, raw = _staged_actives(spark, sf_dir)
     return scan_staging(spark, contract.transform, staged_schema(raw.schema, contract))
 
 
-@query
-def stage_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("stage_flat")
+def _stage_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract = viewership_contract(work_folder(spark), partitions=())
     raw = star_schema.viewership(spark, sf_dir)
     stage_dataset(raw, contract)
     return scan_staging(spark, contract.transform, staged_schema(raw.schema, contract))
 
 
-@query
-def synth_actives(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("synth_actives")
+def _synth_actives(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = star_schema.table(spark, sf_dir, "events").select("event_id")
     return synth.synth_actives(ids, "event_id", SEED)
 
 
-@query
-def synth_viewership(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("synth_viewership")
+def _synth_viewership(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = star_schema.table(spark, sf_dir, "events").select("event_id")
     return synth.synth_viewership(ids, "event_id", SEED)
 
@@ -123,63 +126,63 @@ def synth_viewership(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- projections -------------------------------------------------------------
 
 
-@query
-def cast_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("cast_decimal")
+def _cast_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     casts = {"user_latitude": "DecimalType()", "user_longitude": NARROW_DECIMAL}
     rows = star_schema.actives(spark, sf_dir).select("event_id", *casts)
     return cast_columns(rows, casts)
 
 
-@query
-def flatten_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("flatten_array")
+def _flatten_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = star_schema.actives(spark, sf_dir).select("event_id", "location_source")
     return cast_columns(rows, {"location_source": "ArrayType-StringType"})
 
 
-@query
-def cast_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("cast_int")
+def _cast_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     casts = {"duration": "IntegerType()", "record_timestamp": "IntegerType()"}
     rows = star_schema.viewership(spark, sf_dir).select("event_id", *casts)
     return cast_columns(rows, casts)
 
 
-@query
-def cast_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("cast_date")
+def _cast_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = star_schema.actives(spark, sf_dir).select("event_id", "date")
     return cast_columns(rows, {"date": "DateType()"})
 
 
-@query
-def mask_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("mask_columns")
+def _mask_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = star_schema.actives(spark, sf_dir).select("event_id", "advertising_id", "user_id", "timestamp")
     return mask_columns(rows, ["advertising_id", "user_id", "timestamp"])
 
 
-@query
-def transform_actives(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("transform_actives")
+def _transform_actives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform(star_schema.actives(spark, sf_dir), actives_contract())
 
 
-@query
-def transform_viewership(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("transform_viewership")
+def _transform_viewership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform(star_schema.viewership(spark, sf_dir), viewership_contract())
 
 
-@query
-def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("audit_columns")
+def _audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = star_schema.actives(spark, sf_dir).select("event_id", "advertising_id", "user_id")
     return pii.audit_columns(rows, AS_OF)
 
 
-@query
-def pii_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("pii_pairs")
+def _pii_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = star_schema.actives(spark, sf_dir)
     pairs = pii.pii_pairs(rows, [*actives_contract().pii, "not_in_frame"], ["event_id"])
     return pii.audit_columns(pairs, AS_OF)
 
 
-@query
-def swap_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("swap_masked")
+def _swap_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = actives_contract().pii
     pairs = pii.pii_pairs(star_schema.actives(spark, sf_dir), ids, ["event_id", "city"])
     return pii.swap_masked(pairs, ids)
@@ -188,97 +191,97 @@ def swap_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- type 2 lookup -----------------------------------------------------------
 
 
-@query
-def dedupe_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("dedupe_batch")
+def _dedupe_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = star_schema.actives(spark, sf_dir).select("advertising_id", "user_id", "timestamp", "event_id")
     return scd2.dedupe_batch(rows, ("advertising_id",), ("timestamp", "event_id"))
 
 
-@query
-def scd2_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scd2_initial")
+def _scd2_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = lookup_batch(star_schema.actives(spark, sf_dir), actives_contract())
     return scd2.scd2_initial(batch, AS_OF)
 
 
-@query
-def scd2_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scd2_classify")
+def _scd2_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.scd2_classify(*_active_and_batch(spark, sf_dir))
 
 
-@query
-def scd2_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scd2_new_keys")
+def _scd2_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     active, batch, keys, _ = _active_and_batch(spark, sf_dir)
     return scd2.scd2_new_keys(active, batch, keys)
 
 
-@query
-def scd2_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scd2_change_rows")
+def _scd2_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.scd2_change_rows(*_active_and_batch(spark, sf_dir))
 
 
-@query
-def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scd2_changes")
+def _scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.scd2_changes(*_active_and_batch(spark, sf_dir))
 
 
-@query
-def scd2_change_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scd2_change_summary")
+def _scd2_change_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.scd2_change_summary(*_active_and_batch(spark, sf_dir))
 
 
-@query
-def scd2_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scd2_closed")
+def _scd2_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.scd2_closed(scd2.scd2_step(*_active_and_batch(spark, sf_dir), AS_OF))
 
 
-@query
-def scd2_inserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scd2_inserted")
+def _scd2_inserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.scd2_inserted(*_active_and_batch(spark, sf_dir), AS_OF)
 
 
-@query
-def scd2_merge_actives(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scd2_merge_actives")
+def _scd2_merge_actives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merge(star_schema.actives(spark, sf_dir), actives_contract())
 
 
-@query
-def scd2_merge_viewership(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scd2_merge_viewership")
+def _scd2_merge_viewership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merge(star_schema.viewership(spark, sf_dir), viewership_contract())
 
 
-@query
-def scd2_merge_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scd2_merge_channel")
+def _scd2_merge_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract = viewership_contract(tracked=("channel_name",))
     return _merge(star_schema.viewership(spark, sf_dir), contract)
 
 
-@query
-def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scd2_history")
+def _scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history(star_schema.actives(spark, sf_dir), actives_contract())
 
 
-@query
-def scd2_history_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scd2_history_channel")
+def _scd2_history_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract = viewership_contract(tracked=("channel_name",))
     return _history(star_schema.viewership(spark, sf_dir), contract)
 
 
-@query
-def lookup_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("lookup_update")
+def _lookup_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, runs = _stored_lookup(spark, sf_dir)
     rows = [(r.version, r.as_of, r.new, r.changed, r.unchanged) for r in runs]
     schema = "version bigint, as_of string, n_new bigint, n_changed bigint, n_unchanged bigint"
     return spark.createDataFrame(rows, schema)
 
 
-@query
-def lookup_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("lookup_scan")
+def _lookup_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, _ = _stored_lookup(spark, sf_dir)
     return store.read()
 
 
-@query
-def lookup_active(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("lookup_active")
+def _lookup_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, _ = _stored_lookup(spark, sf_dir)
     return scd2.lookup_active(store.active())
 
@@ -286,52 +289,52 @@ def lookup_active(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- checks ------------------------------------------------------------------
 
 
-@query
-def validate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("validate_counts")
+def _validate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.validate_counts(star_schema.actives(spark, sf_dir))
 
 
-@query
-def count_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("count_by_partition")
+def _count_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract, raw = _staged_actives(spark, sf_dir)
     staged = scan_staging(spark, contract.transform, staged_schema(raw.schema, contract))
     return quality.count_by_partition(staged, contract.transform.partitions)
 
 
-@query
-def validate_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("validate_availability")
+def _validate_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.validate_availability(star_schema.viewership(spark, sf_dir), "viewership")
 
 
-@query
-def validate_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("validate_reconcile")
+def _validate_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract, raw = _staged_actives(spark, sf_dir)
     staged = scan_staging(spark, contract.transform, staged_schema(raw.schema, contract))
     return quality.validate_reconcile(raw, staged, "actives")
 
 
-@query
-def validate_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("validate_types")
+def _validate_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract, _ = _staged_actives(spark, sf_dir)
     return quality.validate_types(scan_staging(spark, contract.transform), contract)
 
 
-@query
-def validate_cast_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("validate_cast_loss")
+def _validate_cast_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     casts = {**actives_contract().transform.casts, "user_longitude": NARROW_DECIMAL}
     return quality.validate_cast_loss(star_schema.actives(spark, sf_dir), actives_contract(casts=casts))
 
 
-@query
-def validate_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("validate_raw")
+def _validate_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.validate_raw(star_schema.viewership(spark, sf_dir), viewership_contract())
 
 
 # --- whole runs --------------------------------------------------------------
 
 
-@query
-def run_actives(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("run_actives")
+def _run_actives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing to lookup in one run; returns the lookup."""
     contract = actives_contract(work_folder(spark))
     land(star_schema.actives(spark, sf_dir), contract, STAMP)
@@ -339,8 +342,8 @@ def run_actives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LookupStore(spark, contract.lookup, lookup_schema(contract)).read()
 
 
-@query
-def run_viewership(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("run_viewership")
+def _run_viewership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing to lookup in one run; returns the staging zone."""
     contract = viewership_contract(work_folder(spark))
     land(star_schema.viewership(spark, sf_dir), contract, STAMP)
@@ -348,16 +351,16 @@ def run_viewership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_staging(spark, contract.transform)
 
 
-@query
-def stream_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("stream_ingest")
+def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrivals as a stream; returns the staging zone."""
     contract = actives_contract(work_folder(spark))
     rows = _stream(spark, star_schema.actives(spark, sf_dir), contract)
     return scan_streamed(spark, contract, rows.schema)
 
 
-@query
-def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("stream_lookup")
+def _stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrivals as a stream; returns the lookup's open pairs (dates depend on batch sizes)."""
     contract = viewership_contract(work_folder(spark))
     _stream(spark, star_schema.viewership(spark, sf_dir), contract)

@@ -65,6 +65,11 @@ class LookupStore:
         """The whole lookup."""
         return self.active().unionByName(self.closed())
 
+    def empty(self) -> DataFrame:
+        """A lookup without rows, as a plan the optimizer knows to be empty."""
+        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        return self.spark.range(1).select(*columns).filter(F.lit(False))
+
     def check_order(self, version: int) -> None:
         newer = [v for v in self.versions() if v > version]
         if newer:
@@ -86,7 +91,7 @@ class LookupStore:
         wanted = {f"v={v}/{leaf}" for v in versions}
         present = [p for p in self._glob(f"v=*/{leaf}") if "/".join(p.split("/")[-2:]) in wanted]
         if not present:
-            return self.spark.createDataFrame([], self.schema)
+            return self.empty()
         stored = T.StructType([f for f in self.schema.fields if f.name != ACTIVE])
         rows = self.spark.read.schema(stored).option("recursiveFileLookup", "true").parquet(*present)
         return rows.withColumn(ACTIVE, F.lit(active)).select(*self.schema.names)
