@@ -1,0 +1,148 @@
+import datetime as dt
+
+import pandas as pd
+import pytest
+
+from zonepipe.contract import Contract
+from zonepipe.operators.quality import count_by_file
+from zonepipe.operators.transform import staged_schema, transform
+from zonepipe.plans.dataset import stage_dataset
+from zonepipe.sources.zones import (
+    ingest_raw,
+    land,
+    route_files,
+    scan_staging,
+    scan_zone,
+    stage,
+    with_route,
+)
+
+RAW = (
+    "advertising_id string, location_source string, timestamp bigint, user_id string, "
+    "user_latitude double, user_longitude double, month string, date string"
+)
+
+
+def raw_rows(spark, *keys_and_dates):
+    return spark.createDataFrame(
+        [(k, "s", 1, "u", 1.0, 2.0, d[5:7], d) for k, d in keys_and_dates], RAW
+    )
+
+
+@pytest.fixture
+def contract(tmp_path):
+    return Contract.known("actives", str(tmp_path))
+
+
+def test_staging_round_trip_keeps_values_and_types(spark, contract):
+    raw = raw_rows(spark, ("A", "2024-01-02"), ("B", "2024-02-03"), (None, "2024-02-03"))
+    stage_dataset(raw, contract)
+    expected = transform(raw, contract)
+    for schema in (None, staged_schema(raw.schema, contract)):
+        staged = scan_staging(spark, contract.transform, schema)
+        assert dict(staged.dtypes)["month"] == "string"
+        assert dict(staged.dtypes)["date"] == "date"
+        assert sorted(map(repr, staged.select(expected.columns).collect())) == sorted(
+            map(repr, expected.collect())
+        )
+    ids = {r.advertising_id for r in staged.collect()}
+    assert not ids & {"A", "B"}
+
+
+def test_filter_on_date_prunes_partitions(spark, contract):
+    stage_dataset(raw_rows(spark, ("A", "2024-01-02"), ("B", "2024-02-03")), contract)
+    staged = scan_staging(spark, contract.transform).filter("date = date'2024-02-03'")
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    assert staged.count() == 1
+
+
+def test_any_number_of_partition_columns(spark, tmp_path):
+    for partitions in ((), ("date",), ("month", "date")):
+        contract = Contract.known("actives", str(tmp_path / str(len(partitions))), partitions=partitions)
+        stage_dataset(raw_rows(spark, ("A", "2024-01-02"), ("B", "2024-02-03")), contract)
+        assert scan_staging(spark, contract.transform).count() == 2
+
+
+def test_overwrite_static_and_dynamic(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    rows = lambda *r: spark.createDataFrame(r, "v int, day string")
+    read = lambda: sorted(tuple(r) for r in spark.read.schema("v int, day string").parquet(path).collect())
+    stage(rows((1, "a"), (2, "b")), path, ["day"])
+    stage(rows((3, "b")), path, ["day"], overwrite="dynamic")
+    assert read() == [(1, "a"), (3, "b")]
+    stage(rows((4, "c")), path, ["day"])
+    assert read() == [(4, "c")]
+
+
+def test_max_records_per_file(spark, tmp_path):
+    path = tmp_path / "zone"
+    stage(spark.range(10).coalesce(1), str(path), max_records_per_file=4)
+    assert len(list(path.glob("*.parquet"))) == 3
+
+
+def test_ingest_of_one_arrival_is_repeatable_and_leaves_others(spark, contract):
+    first = land(raw_rows(spark, ("A", "2024-01-02")), contract, "1")
+    second = land(raw_rows(spark, ("B", "2024-01-03"), ("C", "2024-01-03")), contract, "2")
+    for arrival in (first, second, second):
+        ingest_raw(spark, contract, arrival)
+    raw = scan_zone(spark, contract.ingest.destination)
+    assert sorted(r.advertising_id for r in raw.collect()) == ["A", "B", "C"]
+    assert sorted(r.n_rows for r in count_by_file(raw).collect() if r.n_rows) in ([1, 2], [1, 1, 1])
+
+
+def test_whole_zone_ingest(spark, contract):
+    land(raw_rows(spark, ("A", "2024-01-02")), contract, "1")
+    land(raw_rows(spark, ("B", "2024-01-03")), contract, "2")
+    ingest_raw(spark, contract)
+    assert scan_zone(spark, contract.ingest.destination).count() == 2
+
+
+def test_single_pandas_file_and_its_index_column(spark, contract, tmp_path):
+    landing = tmp_path / "landing" / "actives"
+    landing.mkdir(parents=True)
+    frame = pd.DataFrame({"advertising_id": ["A", "B"], "n": [1, 2]}, index=[5, 9])
+    frame.to_parquet(landing / "actives_20240101_000000.parquet")
+    scanned = scan_zone(spark, str(landing))
+    assert scanned.columns == ["advertising_id", "n"]
+    ingest_raw(spark, contract, "actives_20240101_000000.parquet")
+    assert scan_zone(spark, contract.ingest.destination).count() == 2
+    assert (tmp_path / "raw" / "actives" / "actives_20240101_000000").is_dir()
+
+
+def test_routing(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    names = ["actives.parquet", "actives_1.parquet", "viewership_2.parquet", "other_1.parquet", "activesx_1.parquet"]
+    for name in names:
+        pd.DataFrame({"v": [1, 2]}).to_parquet(landing / name)
+    stage(spark.range(5), str(landing / "viewership_3"))
+    routed = route_files(spark, str(landing), ("actives", "viewership"))
+    assert sorted(tuple(r) for r in routed.collect()) == [
+        ("actives", "actives", 2),
+        ("actives", "actives_1", 2),
+        ("unrouted", "activesx_1", 2),
+        ("unrouted", "other_1", 2),
+        ("viewership", "viewership_2", 2),
+        ("viewership", "viewership_3", 5),
+    ]
+    only = with_route(scan_zone(spark, str(landing)), ("actives",)).filter("dataset = 'actives'")
+    assert only.count() == 4
+
+
+def test_errors_propagate(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scan_zone(spark, str(tmp_path / "nothing"))
+
+
+def test_dates_of_viewership_stay_text(spark, tmp_path):
+    contract = Contract.known("viewership", str(tmp_path))
+    raw = spark.createDataFrame(
+        [("A", 5, "s", 9, 1.0, 2.0, "01", "2024-01-02")],
+        "advertising_id string, duration bigint, location_source string, record_timestamp bigint, "
+        "user_lat double, user_long double, month string, date string",
+    )
+    stage_dataset(raw, contract)
+    row = scan_staging(spark, contract.transform).first()
+    assert (row.month, row.date) == ("01", "2024-01-02")
+    assert dt.date.fromisoformat(row.date)
