@@ -32,7 +32,16 @@ def stored(spark, contract):
     return sorted((tuple(r) for r in store.read().select(*names).collect()), key=repr)
 
 
-def test_first_load_then_changes(spark, contract):
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_first_load_then_changes(spark, contract, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        first_load_then_changes(spark, contract)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def first_load_then_changes(spark, contract):
     assert run(spark, contract, 1, D1, ("A", "u1"), ("B", "u1")) == RunCounts(1, str(D1), 2, 0, 0)
     assert run(spark, contract, 2, D2, ("A", "u2"), ("C", "u1")) == RunCounts(2, str(D2), 1, 1, 0)
     last = run(spark, contract, 3, D3, ("A", "u2"))

@@ -8,7 +8,7 @@ from zonepipe.contract import Contract
 from zonepipe.operators import scd2
 from zonepipe.operators.synth import synth_actives
 from zonepipe.operators.transform import transform
-from zonepipe.plans.lookup import lookup_batch, update_lookup
+from zonepipe.plans.lookup import fits_broadcast, lookup_batch, update_lookup
 from zonepipe.plans.queries import QUERIES
 from zonepipe.sources.lookup import LookupStore, lookup_schema
 from zonepipe.sources.zones import scan_zone, stage
@@ -61,6 +61,35 @@ def test_step_shuffles_each_side_once(zone):
     assert plan.count("SortMergeJoin") == 1
 
 
+def test_small_batch_leaves_the_open_versions_in_place(zone):
+    contract, raw, store = zone
+    batch = lookup_batch(raw, contract)
+    assert fits_broadcast(batch)
+    pairing = scd2.scd2_pairing(store.active(), batch, contract.keys, contract.tracked, small_batch=True)
+    pairing.collect()
+    plan = pairing._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = [i for i, line in enumerate(plan.splitlines()) if "v=2/flag_active=true" in line or "lookup/" in line]
+    assert scans and plan.count("BroadcastHashJoin") >= 2
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("_old_" in line for line in shuffled)
+
+
+def test_size_check_follows_the_session_threshold(spark, zone):
+    contract, raw, _ = zone
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not fits_broadcast(lookup_batch(raw, contract))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_staging_shuffles_raw_values(zone):
+    contract, raw, _ = zone
+    plan = plan_of(transform(raw, contract, spread_by="date"))
+    above, below = plan.split("Exchange hashpartitioning")
+    assert "sha2" in above and "sha2" not in below
+
+
 def test_first_run_has_no_join(zone):
     contract, raw, store = zone
     step = scd2.scd2_step(store.empty(), lookup_batch(raw, contract), contract.keys, contract.tracked, "2024-01-03")

@@ -26,7 +26,13 @@ def batch(spark, *pairs):
 
 
 def merge(spark, versions, pairs, day=DAY[5], tracked=TRACKED):
-    return rows(scd2.scd2_merge(lookup(spark, *versions), batch(spark, *pairs), KEYS, tracked, day))
+    """The merged lookup; both ways of pairing must agree on it."""
+    before, incoming = lookup(spark, *versions), batch(spark, *pairs)
+    merged = rows(scd2.scd2_merge(before, incoming, KEYS, tracked, day))
+    small = scd2.scd2_pairing(scd2.lookup_active(before), incoming, KEYS, tracked, small_batch=True)
+    history = before.filter("not flag_active")
+    assert rows(history.unionByName(scd2.scd2_apply(small, day))) == merged
+    return merged
 
 
 def test_dedupe_latest_wins_and_ties_are_total(spark):

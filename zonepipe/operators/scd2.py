@@ -105,17 +105,34 @@ def scd2_change_summary(
 
 
 def scd2_pairing(
-    active: DataFrame, batch: DataFrame, keys: Sequence[str], tracked: Sequence[str]
+    active: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    small_batch: bool = False,
 ) -> DataFrame:
     """Open versions and batch rows side by side, one row per key on either side.
 
     ``old`` and ``cur`` are structs, NULL where that side has no row, so presence
     never has to be read off a nullable data column.  ``status`` is NULL for keys
     the batch does not mention.
+
+    In general this is one full outer join, which shuffles both sides once.
+    ``small_batch`` says the batch is known to fit a broadcast: the open versions
+    then stay where they are, and keys without one are found among the few that
+    matched.  The rows are the same either way.
     """
     old = active.select(*_packed(active.columns, keys, "old"))
     cur = batch.select(*_packed(batch.columns, keys, "cur"))
     same = reduce(lambda a, b: a & b, [F.col(f"_old_{k}") == F.col(f"_cur_{k}") for k in keys])
+    if small_batch:
+        known = old.join(cur, same, "left").select("old", "cur")
+        matched = old.select(*[f"_old_{k}" for k in keys]).join(cur, same, "left_semi")
+        fresh = cur.join(matched, same, "left_anti")
+        absent = F.lit(None).cast(old.schema["old"].dataType)
+        pairs = known.unionByName(fresh.select(absent.alias("old"), "cur"))
+    else:
+        pairs = old.join(cur, same, "full_outer").select("old", "cur")
     differs = _any([~F.col(f"old.{c}").eqNullSafe(F.col(f"cur.{c}")) for c in tracked])
     status = (
         F.when(F.col("cur").isNull(), F.lit(None))
@@ -123,7 +140,7 @@ def scd2_pairing(
         .when(differs, CHANGED)
         .otherwise(UNCHANGED)
     )
-    return old.join(cur, same, "full_outer").select("old", "cur", status.alias("status"))
+    return pairs.withColumn("status", status)
 
 
 def scd2_apply(pairing: DataFrame, as_of: dt.date | str) -> DataFrame:

@@ -39,12 +39,22 @@ def mask_columns(df: DataFrame, columns: Iterable[str], pepper: str | None = Non
 
 
 def transform(
-    df: DataFrame, contract: Contract, strict: bool = False, pepper: str | None = None
+    df: DataFrame,
+    contract: Contract,
+    strict: bool = False,
+    pepper: str | None = None,
+    spread_by: str | None = None,
 ) -> DataFrame:
-    """Rename, cast, then mask, as the contract says."""
+    """Rename, cast, then mask, as the contract says.
+
+    ``spread_by`` rebalances the rows by that column first: hashes are longer
+    than the identifiers they replace, so it is the raw rows that should travel.
+    """
     step = contract.transform
-    renamed = df.withColumnsRenamed(dict(step.rename)) if step.rename else df
-    return mask_columns(cast_columns(renamed, step.casts, strict), step.masks, pepper)
+    rows = df.withColumnsRenamed(dict(step.rename)) if step.rename else df
+    if spread_by:
+        rows = rows.hint("rebalance", spread_by)
+    return mask_columns(cast_columns(rows, step.casts, strict), step.masks, pepper)
 
 
 def staged_schema(raw: T.StructType, contract: Contract) -> T.StructType:

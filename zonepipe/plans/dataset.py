@@ -62,10 +62,12 @@ def stage_dataset(
 ) -> None:
     """Transform the raw rows and write them to the staging zone."""
     step = contract.transform
+    finest = step.partitions[-1] if step.partitions else None
     stage(
-        transform(raw, contract, strict, pepper),
+        transform(raw, contract, strict, pepper, spread_by=finest),
         step.destination,
         step.partitions,
+        rebalance=False,
         file_format=step.destination_format,
     )
 

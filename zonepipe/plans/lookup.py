@@ -57,6 +57,13 @@ def lookup_batch(raw: DataFrame, contract: Contract, pepper: str | None = None)
     return pii_pairs(latest, pii, extra, pepper)
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's size estimate of ``df`` is within the session's broadcast threshold."""
+    session = df.sparkSession._jsparkSession.sessionState()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= session.conf().autoBroadcastJoinThreshold()
+
+
 def update_lookup(
     spark: SparkSession,
     raw: DataFrame,
@@ -68,12 +75,15 @@ def update_lookup(
     """Merge ``raw`` into the stored lookup as run ``version``, in one write job.
 
     The change counts are observed on the rows being written (after the last
-    shuffle, so a recomputed stage cannot count twice); the join runs once.
+    shuffle, so a recomputed stage cannot count twice); the join runs once.  A
+    batch that fits a broadcast leaves the stored open versions unshuffled.
     """
     store = LookupStore(spark, contract.lookup, lookup_schema(contract))
     store.check_order(version)
     batch = lookup_batch(raw, contract, pepper)
-    pairing = scd2_pairing(store.active(before=version), batch, contract.keys, contract.tracked)
+    pairing = scd2_pairing(
+        store.active(before=version), batch, contract.keys, contract.tracked, fits_broadcast(batch)
+    )
     seen = Observation()
     counted = pairing.observe(
         seen, *[F.count_if(F.col("status") == s).alias(s) for s in (NEW, CHANGED, UNCHANGED)]

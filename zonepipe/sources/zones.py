@@ -51,20 +51,20 @@ def stage(
     df: DataFrame,
     path: str,
     partitions: Sequence[str] = (),
-    spread_by: str | None = None,
+    rebalance: bool = True,
     overwrite: str = "static",
     max_records_per_file: int | None = None,
     file_format: str = "parquet",
 ) -> None:
     """Write a zone, replacing it.
 
-    With partition columns the rows are rebalanced by ``spread_by`` (the last,
-    finest partition column if not given): small partitions end up in few files,
-    and adaptive execution splits a hot partition over many tasks.
+    With partition columns the rows are rebalanced by the last (finest) one,
+    unless the caller has done so: small partitions end up in few files, and
+    adaptive execution splits a hot partition over many tasks.
     ``overwrite="dynamic"`` replaces only the partitions present in ``df``.
     """
-    if partitions:
-        df = df.hint("rebalance", spread_by or partitions[-1])
+    if partitions and rebalance:
+        df = df.hint("rebalance", partitions[-1])
     writer = df.write.format(file_format).mode("overwrite")
     writer = writer.option("partitionOverwriteMode", overwrite)
     if max_records_per_file:

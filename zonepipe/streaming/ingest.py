@@ -79,11 +79,13 @@ def process_batch(
     if not seen.get.get("n"):
         return
     raw = scan_zone(session, folder, batch.drop(_DAY).schema, contract.ingest.destination_format)
+    finest = step.partitions[-1] if step.partitions else None
+    rows = transform(raw, contract, strict, pepper, spread_by=finest)
     stage(
-        transform(raw, contract, strict, pepper).withColumn(INGEST_BATCH, F.lit(batch_id)),
+        rows.withColumn(INGEST_BATCH, F.lit(batch_id)),
         step.destination,
         [*step.partitions, INGEST_BATCH],
-        spread_by=step.partitions[-1] if step.partitions else None,
+        rebalance=False,
         overwrite="dynamic",
         file_format=step.destination_format,
     )
