@@ -32,7 +32,7 @@ def test_whole_run_twice(spark, tmp_path, name):
     assert (again.lookup.new, again.lookup.unchanged, again.lookup.updated) == (0, 300, False)
     assert scan_staging(spark, contract.transform).count() == 600
     store = LookupStore(spark, contract.lookup, lookup_schema(contract))
-    assert store.versions() == [1, 2]
+    assert store.versions() == [1]  # the second run brought no change
     assert store.read().count() == 300
 
 
@@ -86,3 +86,21 @@ def test_command_line():
     assert (args.job, args.dataset, args.version, args.strict) == ("run", "actives", 3, False)
     with pytest.raises(SystemExit):
         arguments(["run", "actives", "--config", "c.json"])
+
+
+def test_work_folder_without_the_setting(spark, monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master = "local[2]"
+
+    first = work_folder(Session())
+    assert first != work_folder(Session()) and "zonepipe-" in first
+    monkeypatch.setattr(Session.sparkContext, "master", "yarn")
+    with pytest.raises(ValueError, match=CHECKPOINT_DIR):
+        work_folder(Session())

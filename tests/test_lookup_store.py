@@ -3,6 +3,7 @@ import hashlib
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from zonepipe.contract import Contract
 from zonepipe.plans.lookup import RunCounts, lookup_batch, update_lookup
@@ -87,6 +88,38 @@ def test_uncommitted_run_does_not_count(spark, contract):
     assert stored(spark, contract) == [("A", "u1", D1, D3, False), ("A", "u3", D3, None, True)]
 
 
+def test_old_open_versions_can_be_dropped(spark, contract):
+    for version, (day, user) in enumerate([(D1, "u1"), (D2, "u2"), (D3, "u3")], start=1):
+        run(spark, contract, version, day, ("A", user), ("B", "u"))
+    before = stored(spark, contract)
+    store = LookupStore(spark, contract.lookup, lookup_schema(contract))
+    assert len(store.drop_superseded()) == 1
+    assert stored(spark, contract) == before
+    assert store.versions() == [1, 2, 3]
+    assert run(spark, contract, 3, D3, ("A", "u3"), ("B", "u")).changed == 1
+    assert stored(spark, contract) == before
+    with pytest.raises(ValueError):
+        store.drop_superseded(keep=1)
+
+
+def test_unchanged_small_batch_writes_nothing(spark, contract, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.createDataFrame([("A", "u1", 1, "x"), ("B", "u1", 1, "x")], RAW).write.parquet(path)
+    raw = spark.read.parquet(path)
+    store = LookupStore(spark, contract.lookup, lookup_schema(contract))
+    assert update_lookup(spark, raw, contract, D1, 1) == RunCounts(1, str(D1), 2, 0, 0)
+    assert update_lookup(spark, raw, contract, D2, 2) == RunCounts(2, str(D2), 0, 0, 2)
+    assert store.versions() == [1]
+    changed = raw.withColumn("user_id", F.when(F.col("advertising_id") == "A", "u2").otherwise("u1"))
+    assert update_lookup(spark, changed, contract, D3, 3) == RunCounts(3, str(D3), 0, 1, 1)
+    assert store.versions() == [1, 3]
+    assert stored(spark, contract) == [
+        ("A", "u1", D1, D3, False),
+        ("A", "u2", D3, None, True),
+        ("B", "u1", D1, None, True),
+    ]
+
+
 def test_empty_store(spark, contract):
     assert stored(spark, contract) == []
     assert LookupStore(spark, contract.lookup, lookup_schema(contract)).versions() == []

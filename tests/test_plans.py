@@ -3,14 +3,16 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from zonepipe.contract import Contract
 from zonepipe.operators import scd2
 from zonepipe.operators.synth import synth_actives
 from zonepipe.operators.transform import transform
-from zonepipe.plans.lookup import fits_broadcast, lookup_batch, update_lookup
+from zonepipe.plans.lookup import lookup_batch, update_lookup
 from zonepipe.plans.queries import QUERIES
 from zonepipe.sources.lookup import LookupStore, lookup_schema
+from zonepipe.sources.session import PARTITION_BYTES, SHUFFLE_PARTITIONS, estimated_bytes, fits_broadcast, sized_shuffles
 from zonepipe.sources.zones import scan_zone, stage
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -83,6 +85,36 @@ def test_size_check_follows_the_session_threshold(spark, zone):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_shuffle_partitions_follow_the_input(spark, zone, monkeypatch):
+    _, raw, _ = zone
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    with sized_shuffles(raw):
+        assert spark.conf.get(SHUFFLE_PARTITIONS) == before
+    assert PARTITION_BYTES == 256 * 2**20
+    monkeypatch.setattr("zonepipe.sources.session.PARTITION_BYTES", estimated_bytes(raw) // 50)
+    with sized_shuffles(raw, raw):
+        assert int(spark.conf.get(SHUFFLE_PARTITIONS)) >= 100
+    assert spark.conf.get(SHUFFLE_PARTITIONS) == before
+
+
+def test_size_estimates(spark, zone):
+    _, raw, _ = zone
+    assert estimated_bytes(raw.select("month")) < estimated_bytes(raw)
+    joined = raw.alias("a").join(raw.alias("b"), "advertising_id")
+    assert estimated_bytes(joined) <= 2 * estimated_bytes(raw)
+    assert estimated_bytes(spark.createDataFrame([(1,)], "v int")) is None
+
+
+def test_hot_date_is_written_by_many_tasks(spark, tmp_path):
+    rows = synth_actives(spark.range(60_000), "id").withColumn("date", F.lit("2024-01-01"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "300k")
+    try:
+        stage(rows, str(tmp_path / "zone"), ["date"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "zone" / "date=2024-01-01").glob("*.parquet"))) > 4
+
+
 def test_staging_shuffles_raw_values(zone):
     contract, raw, _ = zone
     plan = plan_of(transform(raw, contract, spread_by="date"))

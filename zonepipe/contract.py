@@ -22,6 +22,16 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
+# Entry names of the contract file.
+INGEST, TRANSFORM, PII, LOOKUP = "ingest-", "transformed-", "pii-cols-", "lookup-dataset"
+SOURCE, DESTINATION, LOCATION, FORMAT = "source", "destination", "data-location", "file-format"
+CASTS, MASKS, PARTITIONS = "transformation-cols", "masking-cols", "partition-cols"
+LOOKUP_PII = "_pii-cols"
+
+# Entry names of the optional additions.
+RENAME = "rename"
+LOOKUP_KEYS, LOOKUP_TRACKED, LOOKUP_RECENCY = "_key-cols", "_tracked-cols", "_recency-cols"
+
 # The two datasets' declared types, masks, partitions and lookup rules.
 KNOWN_DATASETS = {
     "actives": {
@@ -96,24 +106,24 @@ class Contract:
         name = dataset.lower()
         if name not in datasets_in(config):
             raise ValueError(f"no contract for dataset {dataset!r}; known: {datasets_in(config)}")
-        lookup = config["lookup-dataset"]
+        lookup = config[LOOKUP]
         rules = KNOWN_DATASETS.get(name, {})
 
         def lookup_rule(suffix: str, known: str) -> tuple[str, ...]:
-            return tuple(lookup.get(f"{name}_{suffix}", rules.get(known, ())))
+            return tuple(lookup.get(name + suffix, rules.get(known, ())))
 
-        keys = lookup_rule("key-cols", "keys")
+        keys = lookup_rule(LOOKUP_KEYS, "keys")
         if not keys:
             raise ValueError(f"contract of {dataset!r} names no lookup key")
         return Contract(
             dataset=name,
-            ingest=_step(config[f"ingest-{name}"]),
-            transform=_step(config[f"transformed-{name}"]),
-            lookup=f"{lookup['data-location'].rstrip('/')}/{name}",
-            pii=tuple(lookup.get(f"{name}_pii-cols") or config[f"pii-cols-{name}"]),
+            ingest=_step(config[INGEST + name]),
+            transform=_step(config[TRANSFORM + name]),
+            lookup=f"{lookup[LOCATION].rstrip('/')}/{name}",
+            pii=tuple(lookup.get(name + LOOKUP_PII) or config[PII + name]),
             keys=keys,
-            tracked=lookup_rule("tracked-cols", "tracked"),
-            recency=lookup_rule("recency-cols", "recency"),
+            tracked=lookup_rule(LOOKUP_TRACKED, "tracked"),
+            recency=lookup_rule(LOOKUP_RECENCY, "recency"),
         )
 
     @staticmethod
@@ -148,19 +158,18 @@ class Contract:
 
 def datasets_in(config: Mapping) -> list[str]:
     """Dataset names a parsed contract file describes."""
-    prefix = "transformed-"
-    return sorted(key[len(prefix):] for key in config if key.startswith(prefix))
+    return sorted(key[len(TRANSFORM):] for key in config if key.startswith(TRANSFORM))
 
 
 def _step(part: Mapping) -> ZoneStep:
-    # "transformation-cols" is a map when there is something to cast and may be an empty list.
+    # The casts are a map when there is something to cast and may be an empty list.
     return ZoneStep(
-        source=part["source"]["data-location"],
-        destination=part["destination"]["data-location"],
-        source_format=part["source"].get("file-format", "parquet"),
-        destination_format=part["destination"].get("file-format", "parquet"),
-        casts=dict(part.get("transformation-cols") or {}),
-        masks=tuple(part.get("masking-cols") or ()),
-        partitions=tuple(part.get("partition-cols") or ()),
-        rename=dict(part.get("rename") or {}),
+        source=part[SOURCE][LOCATION],
+        destination=part[DESTINATION][LOCATION],
+        source_format=part[SOURCE].get(FORMAT, "parquet"),
+        destination_format=part[DESTINATION].get(FORMAT, "parquet"),
+        casts=dict(part.get(CASTS) or {}),
+        masks=tuple(part.get(MASKS) or ()),
+        partitions=tuple(part.get(PARTITIONS) or ()),
+        rename=dict(part.get(RENAME) or {}),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from zonepipe.contract import Contract
@@ -20,6 +20,7 @@ from zonepipe.operators.scd2 import (
     scd2_pairing,
 )
 from zonepipe.sources.lookup import LookupStore, lookup_schema
+from zonepipe.sources.session import fits_broadcast, sized_shuffles
 
 
 @dataclass(frozen=True)
@@ -40,28 +41,31 @@ class RunCounts:
 def lookup_batch(raw: DataFrame, contract: Contract, pepper: str | None = None) -> DataFrame:
     """Raw rows → one lookup row per key.
 
-    Only key, identifier, tracked and recency columns leave the scan.  Masks are
-    computed after the reduction: once per key, and never shuffled.
+    Masks are computed after the reduction: once per key, and never shuffled.
     """
+    slim = lookup_columns(raw, contract)
+    pii, extra = _identifiers(slim, contract)
+    latest = dedupe_batch(slim, contract.keys, contract.recency)
+    return pii_pairs(latest, pii, extra, pepper)
+
+
+def lookup_columns(raw: DataFrame, contract: Contract) -> DataFrame:
+    """The key, identifier, tracked and recency columns of raw rows, typed as the lookup stores them."""
     step = contract.transform
     rows = raw.withColumnsRenamed(dict(step.rename)) if step.rename else raw
-    pii = [c for c in contract.pii if c in rows.columns]
-    extra = [c for c in contract.tracked if c not in pii]
+    pii, extra = _identifiers(rows, contract)
     wanted = list(dict.fromkeys([*contract.keys, *pii, *extra, *contract.recency]))
     typed = {c: F.col(c).cast("string") for c in pii}
     typed |= {
         c: cast_to(F.col(c), step.casts[c], rows.schema[c].dataType) for c in extra if c in step.casts
     }
-    slim = rows.select(*[typed.get(c, F.col(c)).alias(c) for c in wanted])
-    latest = dedupe_batch(slim, contract.keys, contract.recency)
-    return pii_pairs(latest, pii, extra, pepper)
+    return rows.select(*[typed.get(c, F.col(c)).alias(c) for c in wanted])
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's size estimate of ``df`` is within the session's broadcast threshold."""
-    session = df.sparkSession._jsparkSession.sessionState()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= session.conf().autoBroadcastJoinThreshold()
+def _identifiers(rows: DataFrame, contract: Contract) -> tuple[list[str], list[str]]:
+    """Identifier columns the rows have, and tracked columns that are not identifiers."""
+    pii = [c for c in contract.pii if c in rows.columns]
+    return pii, [c for c in contract.tracked if c not in pii]
 
 
 def update_lookup(
@@ -75,19 +79,35 @@ def update_lookup(
     """Merge ``raw`` into the stored lookup as run ``version``, in one write job.
 
     The change counts are observed on the rows being written (after the last
-    shuffle, so a recomputed stage cannot count twice); the join runs once.  A
-    batch that fits a broadcast leaves the stored open versions unshuffled.
+    shuffle, so a recomputed stage cannot count twice); the join runs once.
+
+    A batch that fits a broadcast leaves the stored open versions unshuffled.
+    It is also looked up first, in the key and tracked columns only: if it
+    brings no change, the lookup stays as it is and nothing is written.
     """
     store = LookupStore(spark, contract.lookup, lookup_schema(contract))
     store.check_order(version)
+    active = store.active(before=version)
     batch = lookup_batch(raw, contract, pepper)
-    pairing = scd2_pairing(
-        store.active(before=version), batch, contract.keys, contract.tracked, fits_broadcast(batch)
-    )
+    sides = contract.keys, contract.tracked
+    small = fits_broadcast(batch)
+    if small:
+        compared = list(dict.fromkeys([*contract.keys, *contract.tracked]))
+        labelled = scd2_pairing(active.select(compared), batch.select(compared), *sides, small)
+        counts = _counts(version, as_of, labelled.agg(*_status_counts()).first().asDict())
+        if not counts.updated:
+            return counts
     seen = Observation()
-    counted = pairing.observe(
-        seen, *[F.count_if(F.col("status") == s).alias(s) for s in (NEW, CHANGED, UNCHANGED)]
-    )
-    store.write(scd2_apply(counted, as_of), version)
-    counts = {s: seen.get.get(s) or 0 for s in (NEW, CHANGED, UNCHANGED)}
+    counted = scd2_pairing(active, batch, *sides, small).observe(seen, *_status_counts())
+    with sized_shuffles(active, lookup_columns(raw, contract)):
+        store.write(scd2_apply(counted, as_of), version)
+    return _counts(version, as_of, seen.get)
+
+
+def _status_counts() -> list[Column]:
+    return [F.count_if(F.col("status") == s).alias(s) for s in (NEW, CHANGED, UNCHANGED)]
+
+
+def _counts(version: int, as_of: dt.date | str, by_status: dict) -> RunCounts:
+    counts = {s: by_status.get(s) or 0 for s in (NEW, CHANGED, UNCHANGED)}
     return RunCounts(version=version, as_of=str(as_of), **counts)

@@ -7,7 +7,7 @@
 A run is one write job, so it is there entirely or not at all.  Readers take the
 open versions of the newest run and the closed versions of all runs; history is
 append-only.  Repeating a run rewrites its own folder from the same older input.
-One writer at a time.  Older ``flag_active=true`` folders may be removed.
+One writer at a time.  A run that changes nothing need not be written.
 """
 
 from __future__ import annotations
@@ -86,6 +86,21 @@ class LookupStore:
             .parquet(f"{self.path}/v={version}")
         )
 
+    def drop_superseded(self, keep: int = 2) -> list[str]:
+        """Remove open-version folders older than the newest ``keep`` runs; history stays whole.
+
+        Two have to stay: the newest for readers, the one before to repeat the newest run.
+        """
+        if keep < 2:
+            raise ValueError("the newest two runs have to stay")
+        old = self.versions()[:-keep]
+        leaf = f"{ACTIVE}=true"
+        folders = [p for v in old for p in self._glob(f"v={v}/{leaf}")]
+        for folder in folders:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return folders
+
     def _read(self, versions: list[int], active: bool) -> DataFrame:
         leaf = f"{ACTIVE}={str(active).lower()}"
         wanted = {f"v={v}/{leaf}" for v in versions}
