@@ -81,7 +81,7 @@ def update_lookup(
     The change counts are observed on the rows being written (after the last
     shuffle, so a recomputed stage cannot count twice); the join runs once.
 
-    A batch that fits a broadcast leaves the stored open versions unshuffled.
+    A small batch against a large lookup leaves the open versions unshuffled.
     It is also looked up first, in the key and tracked columns only: if it
     brings no change, the lookup stays as it is and nothing is written.
     """
@@ -90,7 +90,7 @@ def update_lookup(
     active = store.active(before=version)
     batch = lookup_batch(raw, contract, pepper)
     sides = contract.keys, contract.tracked
-    small = fits_broadcast(batch)
+    small = fits_broadcast(batch) and not fits_broadcast(active)
     if small:
         compared = list(dict.fromkeys([*contract.keys, *contract.tracked]))
         labelled = scd2_pairing(active.select(compared), batch.select(compared), *sides, small)

@@ -426,9 +426,10 @@ def _staged_actives(spark: SparkSession, sf_dir: str) -> tuple[Contract, DataFra
 
 
 def _stored_lookup(spark: SparkSession, sf_dir: str) -> tuple[LookupStore, list[RunCounts]]:
-    """A stored lookup after three runs that together bring all rows."""
+    """A stored lookup after three runs on a raw zone, which together bring all its rows."""
     contract = actives_contract(work_folder(spark))
-    rows = star_schema.actives(spark, sf_dir)
+    stage(star_schema.actives(spark, sf_dir), contract.transform.source)
+    rows = scan_zone(spark, contract.transform.source)
     runs = [
         update_lookup(spark, rows.filter(run_day() == day), contract, day, version)
         for version, day in enumerate(RUN_DAYS, start=1)
