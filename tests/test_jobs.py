@@ -20,25 +20,25 @@ def test_whole_run_twice(spark, tmp_path, name):
     path = tmp_path / "contracts.json"
     path.write_text(json.dumps(contract_file(str(tmp_path))))
     contract = Contract.load(spark, str(path), name)
-    rows = MAKERS[name](spark.range(300), "id")
+    rows = MAKERS[name](spark.range(12), "id")
     arrival = land(rows, contract, "20240101_000000")
     reports = [run_dataset(spark, contract, "2024-01-01", 1, arrival) for _ in range(2)]
     assert reports[0] == reports[1]
     assert all(c["passed"] for c in reports[0].checks)
-    assert reports[0].lookup.new == 300
+    assert reports[0].lookup.new == 12
 
     land(rows, contract, "20240102_000000")
     again = run_dataset(spark, contract, "2024-01-02", 2)
-    assert (again.lookup.new, again.lookup.unchanged, again.lookup.updated) == (0, 300, False)
-    assert scan_staging(spark, contract.transform).count() == 600
+    assert (again.lookup.new, again.lookup.unchanged, again.lookup.updated) == (0, 12, False)
+    assert scan_staging(spark, contract.transform).count() == 24
     store = LookupStore(spark, contract.lookup, lookup_schema(contract))
     assert store.versions() == [1, 2]
-    assert store.read().count() == 300
+    assert store.read().count() == 12
 
 
 def test_raw_identifiers_never_reach_staging(spark, tmp_path):
     contract = Contract.known("actives", str(tmp_path))
-    rows = synth_actives(spark.range(50), "id")
+    rows = synth_actives(spark.range(15), "id")
     land(rows, contract, "1")
     run_dataset(spark, contract, "2024-01-01", 1)
     staged = scan_staging(spark, contract.transform)

@@ -262,8 +262,11 @@ ACTIVE_LOSS = {
     "user_longitude": "decimal(4,2)",
     "date": "date",
 }
-AVAILABLE = verdict(
-    "availability", "viewership", "'> 0'", "cast(count(advertising_id) as varchar)", "count(advertising_id) > 0"
+AVAILABLE, ACTIVES_AVAILABLE = (
+    verdict(
+        "availability", name, "'> 0'", "cast(count(advertising_id) as varchar)", "count(advertising_id) > 0"
+    )
+    for name in ("viewership", "actives")
 )
 NULL_KEYS = verdict(
     "null_key",
@@ -343,6 +346,13 @@ ORACLE: dict[str, str] = {
     "validate_cast_loss": f"{BASE} {loss_rows('actives', ACTIVE_LOSS)}",
     "validate_raw": f"""{BASE} select {AVAILABLE} from viewership union all
         {loss_rows('viewership', VIEWER_LOSS)} union all select {NULL_KEYS} from viewership""",
+    "validate_staging": f"""{BASE}, transformed as ({TRANSFORMED_ACTIVES}),
+        raw as (select count(advertising_id) as n from actives)
+        select {ACTIVES_AVAILABLE} from transformed union all
+        select 'reconcile', 'actives', cast(max(raw.n) as varchar),
+            cast(count(transformed.advertising_id) as varchar),
+            max(raw.n) = count(transformed.advertising_id) from transformed, raw union all
+        {type_rows('transformed', ACTIVE_TYPES)}""",
     "run_actives": f"""{BASE} select {ACTIVE_IDS.output}, {DATE_AS_OF} as begin_date,
         {OPEN} as update_date, true as flag_active from ({ACTIVE_IDS.latest('actives')})""",
     "run_viewership": f"{BASE} {TRANSFORMED_VIEWERSHIP}",

@@ -330,6 +330,14 @@ def _validate_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.validate_raw(star_schema.viewership(spark, sf_dir), viewership_contract())
 
 
+@query("validate_staging")
+def _validate_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    contract, raw = _staged_actives(spark, sf_dir)
+    expected = quality.validate_counts(raw).first()["n_values"]
+    staged = scan_staging(spark, contract.transform)
+    return quality.validate_staging(staged, contract, "advertising_id", expected)
+
+
 # --- whole runs --------------------------------------------------------------
 
 
