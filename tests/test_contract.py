@@ -11,7 +11,10 @@ def contract_file(root: str) -> dict:
     """A contract file in its documented layout."""
     config = {"lookup-dataset": {"data-location": f"{root}/lookup", "file-format": "parquet"}}
     for name, rules in KNOWN_DATASETS.items():
-        zone = {z: {"data-location": f"{root}/{z}/{name}", "file-format": "parquet"} for z in ("landing", "raw", "staging")}
+        zone = {
+            z: {"data-location": f"{root}/{z}/{name}", "file-format": "parquet"}
+            for z in ("landing", "raw", "staging")
+        }
         config[f"ingest-{name}"] = {
             "source": zone["landing"],
             "destination": zone["raw"],

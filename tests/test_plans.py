@@ -12,7 +12,13 @@ from zonepipe.operators.transform import transform
 from zonepipe.plans.dataset import stage_dataset
 from zonepipe.plans.lookup import lookup_batch, update_lookup
 from zonepipe.sources.lookup import LookupStore, lookup_schema
-from zonepipe.sources.session import PARTITION_BYTES, SHUFFLE_PARTITIONS, estimated_bytes, fits_broadcast, sized_shuffles
+from zonepipe.sources.session import (
+    PARTITION_BYTES,
+    SHUFFLE_PARTITIONS,
+    estimated_bytes,
+    fits_broadcast,
+    sized_shuffles,
+)
 from zonepipe.sources.zones import scan_zone, stage
 
 

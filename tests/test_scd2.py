@@ -129,7 +129,7 @@ def test_several_tracked_columns(spark):
 
 
 def test_labels_agree(spark):
-    active = lookup(spark, ("A", "u1", DAY[0], None, True), ("B", "u1", DAY[0], None, True), ("D", None, DAY[0], None, True))
+    active = lookup(spark, *[(k, u, DAY[0], None, True) for k, u in (("A", "u1"), ("B", "u1"), ("D", None))])
     pairs = batch(spark, ("A", "u2"), ("B", "u1"), ("C", "u3"), ("D", None))
     args = active, pairs, KEYS, TRACKED
     assert rows(scd2.scd2_classify(*args)) == [

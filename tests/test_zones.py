@@ -113,7 +113,8 @@ def test_single_pandas_file_and_its_index_column(spark, contract, tmp_path):
 def test_routing(spark, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
-    names = ["actives.parquet", "actives_1.parquet", "viewership_2.parquet", "other_1.parquet", "activesx_1.parquet"]
+    stems = ["actives", "actives_1", "viewership_2", "other_1", "activesx_1"]
+    names = [f"{stem}.parquet" for stem in stems]
     for name in names:
         pd.DataFrame({"v": [1, 2]}).to_parquet(landing / name)
     stage(spark.range(5), str(landing / "viewership_3"))
@@ -126,6 +127,8 @@ def test_routing(spark, tmp_path):
         ("viewership", "viewership_2", 2),
         ("viewership", "viewership_3", 5),
     ]
+    nested = route_files(spark, str(landing), ("actives", "actives_1", "viewership"))
+    assert {tuple(r)[:2] for r in nested.collect()} >= {("actives", "actives"), ("actives_1", "actives_1")}
     only = with_route(scan_zone(spark, str(landing)), ("actives",)).filter("dataset = 'actives'")
     assert only.count() == 4
 

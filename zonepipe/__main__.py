@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import functions as F
 
 from zonepipe.contract import Contract
 from zonepipe.operators.synth import synth_actives, synth_viewership

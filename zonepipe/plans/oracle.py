@@ -146,7 +146,8 @@ def type_rows(source: str, types: dict[str, str]) -> str:
     spark_names = """case typeof({c}) when 'INTEGER' then 'int' when 'VARCHAR' then 'string'
         else lower(typeof({c})) end"""
     return " union all ".join(
-        f"""select 'type' as "check", '{c}' as subject, '{t}' as expected, max({spark_names.format(c=f'"{c}"')}) as actual,
+        f"""select 'type' as "check", '{c}' as subject, '{t}' as expected,
+        max({spark_names.format(c=f'"{c}"')}) as actual,
         max({spark_names.format(c=f'"{c}"')}) = '{t}' as passed from {source}"""
         for c, t in types.items()
     )

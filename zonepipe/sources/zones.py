@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonepipe.contract import Contract, ZoneStep
 from zonepipe.functions import parse_type
+from zonepipe.operators.quality import count_by_file
 
 # Fixed value: index column that pandas may add to the files it writes.
 PANDAS_INDEX = "__index_level_0__"
@@ -95,29 +96,39 @@ def land(df: DataFrame, contract: Contract, stamp: str) -> str:
     return arrival
 
 
-def with_route(df: DataFrame, datasets: Iterable[str]) -> DataFrame:
-    """Add ``arrival`` and ``dataset`` to a file-backed (batch or streaming) frame.
+def route(path: Column, datasets: Iterable[str]) -> tuple[Column, Column]:
+    """Arrival and dataset of a landed file's path.
 
     The arrival is the stem of the landed object: the file itself, or the folder
     around Spark part files.  ``<dataset>`` and ``<dataset>_<anything>`` belong to
     a dataset; whatever matches none is labelled ``unrouted`` and kept.
     """
-    landed = F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", "")
-    arrival = F.regexp_extract(landed, r"([^/.]+)[^/]*$", 1)
-    names = "|".join(sorted(datasets))
-    dataset = F.regexp_extract(arrival, rf"^({names})(_.*)?$", 1)
-    return df.select(
-        "*",
-        arrival.alias("arrival"),
-        F.when(dataset == "", UNROUTED).otherwise(dataset).alias("dataset"),
-    )
+    steps = F.split(path, "/")
+    file = F.element_at(steps, -1)
+    landed = F.when(file.startswith("part-"), F.element_at(steps, -2)).otherwise(file)
+    arrival = F.split_part(landed, F.lit("."), F.lit(1))
+    dataset = F.lit(UNROUTED)
+    for name in sorted(datasets, key=len):  # the longest matching name decides
+        dataset = F.when((arrival == name) | arrival.startswith(f"{name}_"), name).otherwise(dataset)
+    return arrival.alias("arrival"), dataset.alias("dataset")
+
+
+def with_route(df: DataFrame, datasets: Iterable[str]) -> DataFrame:
+    """Add ``arrival`` and ``dataset`` to a file-backed (batch or streaming) frame."""
+    return df.select("*", *route(F.col("_metadata.file_path"), datasets))
 
 
 def route_files(spark: SparkSession, root: str, datasets: Iterable[str]) -> DataFrame:
     """Landed arrivals below ``root``: dataset, arrival and rows.
 
     Reads no data column, so arrivals of different shape can lie side by side
-    and row counts come from file footers.
+    and row counts come from file footers.  Rows are counted per file before
+    anything looks at a path.
     """
-    routed = with_route(scan_zone(spark, root), datasets)
-    return routed.groupBy("dataset", "arrival").agg(F.count(F.lit(1)).alias("n_rows"))
+    files = count_by_file(scan_zone(spark, root))
+    arrival, dataset = route(F.col("file_path"), datasets)
+    return (
+        files.select(arrival, dataset, "n_rows")
+        .groupBy("dataset", "arrival")
+        .agg(F.sum("n_rows").alias("n_rows"))
+    )
