@@ -67,7 +67,8 @@ def test_any_number_of_partition_columns(spark, tmp_path):
 def test_overwrite_static_and_dynamic(spark, tmp_path):
     path = str(tmp_path / "zone")
     rows = lambda *r: spark.createDataFrame(r, "v int, day string")
-    read = lambda: sorted(tuple(r) for r in spark.read.schema("v int, day string").parquet(path).collect())
+    stored = lambda: spark.read.schema("v int, day string").parquet(path).collect()
+    read = lambda: sorted(tuple(r) for r in stored())
     stage(rows((1, "a"), (2, "b")), path, ["day"])
     stage(rows((3, "b")), path, ["day"], overwrite="dynamic")
     assert read() == [(1, "a"), (3, "b")]
