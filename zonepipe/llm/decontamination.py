@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WINDOW = 10
 # Bytes of benchmark text whose windows go into one automaton: an automaton takes about
@@ -33,7 +34,15 @@ _FOLD = bytes(
     low if (low := (b + 32 if 0x41 <= b <= 0x5A else b)) in _WORD_BYTES else 0x20 for b in range(256)
 )
 
-HIT_SCHEMA = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,stop:long>>"
+SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
+HIT_SCHEMA = T.StructType(
+    [
+        T.StructField("n_words", T.LongType()),
+        T.StructField("n_hit", T.LongType()),
+        T.StructField("items", T.ArrayType(T.StringType())),
+        T.StructField("spans", T.ArrayType(SPAN)),
+    ]
+)
 
 
 def folded(text: str | None) -> bytes:

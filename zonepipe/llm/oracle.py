@@ -8,6 +8,29 @@ from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
 
+ORACLE["op7_line_dedup"] = r"""
+with lines as (
+  select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos
+  from documents where text is not null
+), windows as (
+  select doc_id, pos, line as l1, lead(line, 1) over w as l2, lead(line, 2) over w as l3
+  from lines window w as (partition by doc_id order by pos)
+), later as (
+  select doc_id, pos
+  from (select *, row_number() over (partition by l1, l2, l3 order by doc_id, pos) as turn from windows where l3 is not null)
+  where turn > 1
+), covered as (
+  select distinct doc_id, unnest([pos, pos + 1, pos + 2]) as pos from later
+), kept as (
+  select l.doc_id, count(*) as n_lines, count(c.pos) as n_removed,
+         coalesce(string_agg(l.line, chr(10) order by l.pos) filter (c.pos is null), '') as text
+  from lines l left join covered c on l.doc_id = c.doc_id and l.pos = c.pos
+  group by l.doc_id
+)
+select d.doc_id, coalesce(k.n_lines, 0)::bigint as n_lines, coalesce(k.n_removed, 0)::bigint as n_removed, k.text
+from documents d left join kept k on d.doc_id = k.doc_id
+"""
+
 ORACLE["op8_mixing"] = r"""
 with docs as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,

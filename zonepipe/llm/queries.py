@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepipe.llm import decontamination, exact_dedup, mixing, sharding
+from zonepipe.llm import decontamination, exact_dedup, html_text, language, line_dedup, mixing, quality, sharding, simhash, suffix_dedup
 from zonepipe.llm.common import table, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,28 @@ MIX_MOST = 2.0
 MIX_SEED = "mix"
 
 
+def remainder(id_col: str, divisor: int) -> Column:
+    """Of the id's CRC-32 as text; a null id has none, and is neither held out nor learned from."""
+    return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(divisor))
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document under a 50-byte string of an earlier document, and what is left."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page."""
+    return html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "text")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 23 of near equal bytes, contiguous in doc_id order."""
     text = text_or_empty("text")
@@ -30,6 +52,44 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and the components they form."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.components(docs).select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder("doc_id", 4) == 2
+    model = language.train(docs.where(~held_out))
+    return language.predict(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labelled ones that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = remainder("doc_id", 3) == 1
+    model, stats = quality.fit(docs.select("doc_id", "text"), labels, ~held_out)
+    scored = stats.withColumn("score", quality.probability(F.col("stats"), model))
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of three-line windows that occurred before."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_repeats(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -60,5 +120,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_sharding, op8_mixing, op9_exact_dedup, op10_decontamination)
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup,
+        op2_html_text,
+        op3_sharding,
+        op4_simhash,
+        op5_language_id,
+        op6_quality,
+        op7_line_dedup,
+        op8_mixing,
+        op9_exact_dedup,
+        op10_decontamination,
+    )
 }
