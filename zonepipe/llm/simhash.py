@@ -147,7 +147,8 @@ def _block_links(queries: np.ndarray, stored: np.ndarray) -> Iterator[tuple[np.n
     step = max(1, (1 << 21) // max(1, len(stored)))
     for i in range(0, len(queries), step):
         q = queries[i : i + step]
-        apart = np.bitwise_count(q[:, None] ^ stored[None, :])
+        # Of a signed number NumPy counts the bits of its absolute value.
+        apart = np.bitwise_count(q.view(np.uint64)[:, None] ^ stored.view(np.uint64)[None, :])
         close = apart <= DISTANCE
         some = (close & (apart > 0)).any(axis=1)
         if not some.any():
