@@ -1,0 +1,205 @@
+"""Exact, near and line deduplication against plain Python."""
+
+import random
+import re
+
+import numpy as np
+import xxhash
+from pyspark.sql import functions as F
+
+from zonepipe.llm import exact_dedup, line_dedup, simhash
+
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def plain_fingerprint(text):
+    data = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    words = WORD.findall(data)
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << j for j in range(64) if 2 * sum(h >> j & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(fingerprints):
+    """Component number of each fingerprint, by comparing all pairs."""
+    label = list(range(len(fingerprints)))
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i, a in enumerate(fingerprints):
+        for j in range(i):
+            if bin(a ^ fingerprints[j]).count("1") <= 3:
+                low, high = sorted((root(i), root(j)))
+                label[high] = low
+    return [root(i) for i in range(len(fingerprints))]
+
+
+# --- exact -----------------------------------------------------------------------------
+
+
+def plain_exact(rows):
+    groups = {}
+    for i, (doc, text) in enumerate(rows):
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", text or ""), []).append(i)
+    return groups
+
+
+def check_exact(df):
+    rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+    got = exact_dedup.exact_groups(df).collect()
+    groups = plain_exact(rows)
+    assert len(got) == len(rows)
+    assert sum(r.kept for r in got) == len(groups)
+    expected = []
+    for members in groups.values():
+        best = min(members, key=lambda i: (-len(rows[i][1] or ""), rows[i][0] is None, rows[i][0] or 0))
+        expected += [(str(rows[i][0]), str(rows[best][0]), len(members)) for i in members]
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size) for r in got) == sorted(expected)
+
+
+def test_exact_groups_of_odd_rows(odd):
+    check_exact(odd)
+
+
+def test_exact_groups_keep_clashing_columns(odd, odd_wide):
+    check_exact(odd_wide)
+    kept = exact_dedup.exact_groups(odd_wide)
+    assert set(kept.columns) == (set(odd_wide.columns) - {"text"}) | {"keep_id", "group_size", "kept"}
+    assert {r.size for r in kept.collect()} == {1}
+
+
+def test_exact_groups_with_too_many_prefixes_to_broadcast(odd, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", -1)
+    check_exact(odd)
+
+
+def test_exact_groups_tell_texts_with_equal_prefix_and_length_apart(spark):
+    head = "x" * 200
+    check_exact(spark.createDataFrame([(1, head + "ab"), (2, head + "ba"), (3, head + " ab")], "doc_id long, text string"))
+
+
+def test_exact_groups_of_an_empty_table(empty):
+    assert exact_dedup.exact_groups(empty).collect() == []
+
+
+# --- near ------------------------------------------------------------------------------
+
+
+def near_rows(n=150, seed=7):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(n):
+        if rows and rng.random() < 0.6:
+            own = rng.choice(rows)[1].split()
+            for _ in range(rng.randrange(0, 3)):
+                own[rng.randrange(len(own))] = rng.choice(words)
+        else:
+            own = [rng.choice(words) for _ in range(rng.randrange(150, 400))]
+        rows.append((1000 - i, " ".join(own)))
+    return rows
+
+
+def test_components_equal_brute_force(spark, odd, monkeypatch):
+    monkeypatch.setattr(simhash, "SHARD_SIZE", 12)
+    monkeypatch.setattr(simhash, "LEAF_SIZE", 4)
+    monkeypatch.setattr(simhash, "SAMPLE_PER_SHARD", 4)
+    rows = near_rows() + [(r.doc_id, r.text) for r in odd.collect()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    fps = [plain_fingerprint(t) for _, t in rows]
+    parts = plain_components(fps)
+    least = {}
+    for (doc, _), p in zip(rows, parts):
+        if doc is not None:
+            least[p] = min(doc, least.get(p, doc))
+    expected = sorted((str(d), f, str(least.get(p))) for (d, _), f, p in zip(rows, fps, parts))
+    got = simhash.components(df).collect()
+    assert sorted((str(r.doc_id), r.fingerprint % (1 << 64), str(r.component_id)) for r in got) == expected
+    assert len(set(parts)) < len(set(fps))
+
+
+def test_links_equal_all_pairs_on_random_and_clustered_fingerprints(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SHARD_SIZE", 100)
+    monkeypatch.setattr(simhash, "LEAF_SIZE", 16)
+    rng = np.random.default_rng(1)
+    fps = list(rng.integers(-(2**63), 2**63 - 1, 600))
+    for _ in range(900):
+        value = int(fps[rng.integers(0, len(fps))]) % (1 << 64)
+        for bit in rng.choice(64, rng.integers(1, 5), replace=False):
+            value ^= 1 << int(bit)
+        fps.append(np.uint64(value).astype(np.int64))
+    fps = sorted({int(f) for f in fps})
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    stars = {r.a: r.b for r in simhash.contract(simhash.links(df)).collect()}
+    parts = plain_components([f % (1 << 64) for f in fps])
+    low = {}
+    for f, p in zip(fps, parts):
+        low[p] = min(f, low.get(p, f))
+    assert {f: stars.get(f, f) for f in fps} == {f: low[p] for f, p in zip(fps, parts)}
+
+
+def test_contraction_of_long_chains(spark):
+    chain = [(i, i + 1) for i in range(60)] + [(100 + 2 * i, 102 + 2 * i) for i in range(30)]
+    stars = {r.a: r.b for r in simhash.contract(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert stars == {i: 0 for i in range(1, 61)} | {100 + 2 * i: 100 for i in range(1, 31)}
+
+
+def test_one_row_of_each_component_stays(odd, odd_wide):
+    for df in (odd, odd_wide):
+        kept = simhash.deduplicated(df)
+        assert kept.columns == df.columns
+        parts = {(r.doc_id, r.component_id) for r in simhash.components(df.select("doc_id", "text")).collect()}
+        kept_ids = [r.doc_id for r in kept.collect()]
+        assert len(kept_ids) == len({c for _, c in parts})
+        assert set(kept_ids) == {c for _, c in parts}
+
+
+def test_near_dedup_of_an_empty_table(empty):
+    assert simhash.components(empty).collect() == []
+    assert simhash.deduplicated(empty).collect() == []
+
+
+# --- lines -----------------------------------------------------------------------------
+
+
+def plain_lines(rows):
+    """Rows keyed by id and text lose the lines of windows seen at a smaller place."""
+    distinct = sorted({(d is not None, d or 0, t) for d, t in rows if t is not None}, key=lambda r: r[:2])
+    seen, cut = set(), {}
+    for has_id, doc, text in distinct:
+        lines = text.split("\n")
+        gone = set()
+        for i in range(len(lines) - 2):
+            w = tuple(lines[i : i + 3])
+            if w in seen:
+                gone |= {i, i + 1, i + 2}
+            seen.add(w)
+        cut[has_id, doc, text] = (len(lines), len(gone), "\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return [(str(d), *(cut[d is not None, d or 0, t] if t is not None else (0, 0, None))) for d, t in rows]
+
+
+def check_lines(df):
+    rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+    got = line_dedup.without_repeats(df).collect()
+    assert sorted(map(str, ((str(r.doc_id), r.n_lines, r.n_removed, r.text) for r in got))) == sorted(map(str, plain_lines(rows)))
+
+
+def test_lines_of_odd_rows(odd, odd_wide):
+    check_lines(odd)
+    check_lines(odd_wide)
+    assert set(line_dedup.without_repeats(odd_wide).columns) == set(odd_wide.columns)
+
+
+def test_random_lines(spark):
+    rng = random.Random(9)
+    rows = [(i, "\n".join(rng.choice("abcd") for _ in range(rng.randrange(1, 15)))) for i in range(80)]
+    check_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+
+
+def test_lines_of_an_empty_table(empty):
+    assert line_dedup.without_repeats(empty).where(F.lit(True)).collect() == []
