@@ -1,13 +1,15 @@
 import datetime as dt
 import hashlib
+import glob
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from zonepipe.contract import Contract
 from zonepipe.plans.lookup import RunCounts, lookup_batch, update_lookup
-from zonepipe.sources.lookup import LookupStore, StaleRun, lookup_schema
+from zonepipe.operators.transform import transform
+from zonepipe.sources import lookup as lookup_module
+from zonepipe.sources.lookup import LookupStore, StaleRun, WrongFeed, lookup_schema
 
 RAW = "advertising_id string, user_id string, timestamp bigint, city string"
 D1, D2, D3 = (dt.date(2024, 1, d) for d in (1, 2, 3))
@@ -28,7 +30,7 @@ def run(spark, contract, version, day, *pairs):
 
 
 def stored(spark, contract):
-    store = LookupStore(spark, contract.lookup, lookup_schema(contract))
+    store = LookupStore.of(spark, contract)
     names = ("advertising_id", "user_id", "begin_date", "update_date", "flag_active")
     return sorted((tuple(r) for r in store.read().select(*names).collect()), key=repr)
 
@@ -49,11 +51,12 @@ def test_first_load_then_changes(spark, contract):
 
 def test_pairs_hold_raw_and_masked_values(spark, contract):
     run(spark, contract, 1, D1, ("A", "u1"))
-    store = LookupStore(spark, contract.lookup, lookup_schema(contract))
+    store = LookupStore.of(spark, contract)
     row = store.read().first().asDict()
     assert row["advertising_id"] == "A" and row["Masked_advertising_id"] == sha("A")
     assert row["user_id"] == "u1" and row["Masked_user_id"] == sha("u1")
-    assert store.read().schema == lookup_schema(contract)
+    types = [(f.name, f.dataType) for f in store.read().schema]
+    assert types == [(f.name, f.dataType) for f in lookup_schema(contract)]
 
 
 def test_replay_of_a_run_changes_nothing(spark, contract):
@@ -73,48 +76,125 @@ def test_older_run_is_refused(spark, contract):
 def test_uncommitted_run_does_not_count(spark, contract):
     run(spark, contract, 1, D1, ("A", "u1"))
     run(spark, contract, 2, D2, ("A", "u2"))
-    os.unlink(f"{contract.lookup}/v=2/_SUCCESS")
+    os.unlink(f"{contract.lookup}/v=2/as_of={D2}/_SUCCESS")
     assert stored(spark, contract) == [("A", "u1", D1, None, True)]
     assert run(spark, contract, 3, D3, ("A", "u3")).changed == 1
     assert stored(spark, contract) == [("A", "u1", D1, D3, False), ("A", "u3", D3, None, True)]
 
 
-def test_old_open_versions_can_be_dropped(spark, contract):
-    for version, (day, user) in enumerate([(D1, "u1"), (D2, "u2"), (D3, "u3")], start=1):
+def test_snapshots_take_the_place_of_older_changes(spark, contract):
+    store = LookupStore.of(spark, contract)
+    assert store.compact() is None and store.drop_superseded() == []
+    for version, (day, user) in enumerate([(D1, "u1"), (D2, "u2")], start=1):
         run(spark, contract, version, day, ("A", user), ("B", "u"))
     before = stored(spark, contract)
-    store = LookupStore(spark, contract.lookup, lookup_schema(contract))
-    assert len(store.drop_superseded()) == 1
+    assert store.compact() == 2 and store.compact() == 2
     assert stored(spark, contract) == before
-    assert store.versions() == [1, 2, 3]
-    assert run(spark, contract, 3, D3, ("A", "u3"), ("B", "u")).changed == 1
-    assert stored(spark, contract) == before
-    with pytest.raises(ValueError):
-        store.drop_superseded(keep=1)
-
-
-def test_unchanged_small_batch_writes_nothing(spark, contract, tmp_path, monkeypatch):
-    monkeypatch.setattr("zonepipe.plans.lookup.fits_broadcast", lambda df: "flag_active" not in df.columns)
-    path = str(tmp_path / "raw")
-    spark.createDataFrame([("A", "u1", 1, "x"), ("B", "u1", 1, "x")], RAW).write.parquet(path)
-    raw = spark.read.parquet(path)
-    store = LookupStore(spark, contract.lookup, lookup_schema(contract))
-    assert update_lookup(spark, raw, contract, D1, 1) == RunCounts(1, str(D1), 2, 0, 0)
-    assert update_lookup(spark, raw, contract, D2, 2) == RunCounts(2, str(D2), 0, 0, 2)
-    assert store.versions() == [1]
-    changed = raw.withColumn("user_id", F.when(F.col("advertising_id") == "A", "u2").otherwise("u1"))
-    assert update_lookup(spark, changed, contract, D3, 3) == RunCounts(3, str(D3), 0, 1, 1)
-    assert store.versions() == [1, 3]
-    assert stored(spark, contract) == [
-        ("A", "u1", D1, D3, False),
-        ("A", "u2", D3, None, True),
-        ("B", "u1", D1, None, True),
-    ]
+    assert store.drop_superseded() == []  # run 2 may have to be repeated
+    run(spark, contract, 3, D3, ("A", "u3"), ("C", "u"))
+    after = stored(spark, contract)
+    assert len(store.drop_superseded()) == 2
+    assert stored(spark, contract) == after and store.versions() == [1, 2, 3]
+    assert run(spark, contract, 3, D3, ("A", "u3"), ("C", "u")).changed == 1
+    assert stored(spark, contract) == after
+
+
+def test_snapshot_of_a_replaced_run_goes_first(spark, contract):
+    run(spark, contract, 1, D1, ("A", "u1"))
+    run(spark, contract, 2, D2, ("A", "wrong"))
+    LookupStore.of(spark, contract).compact()
+    run(spark, contract, 2, D2, ("A", "u2"))
+    assert stored(spark, contract) == [("A", "u1", D1, D2, False), ("A", "u2", D2, None, True)]
+
+
+def test_run_without_a_change_is_committed_without_data(spark, contract):
+    run(spark, contract, 1, D1, ("A", "u1"), ("B", "u1"))
+    assert run(spark, contract, 2, D2, ("A", "u1"), ("B", "u1")) == RunCounts(2, str(D2), 0, 0, 2)
+    assert LookupStore.of(spark, contract).versions() == [1, 2]
+    assert not glob.glob(f"{contract.lookup}/v=2/*/change=*")
+    assert stored(spark, contract) == [("A", "u1", D1, None, True), ("B", "u1", D1, None, True)]
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_repeat_with_corrected_input_replaces_the_run(spark, contract, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        right = [(f"k{i}", "u") for i in range(200)]
+        run(spark, contract, 1, D1, *right)
+        run(spark, contract, 2, D2, *[(k, "wrong") if i < 5 else (k, "u") for i, (k, _) in enumerate(right)])
+        assert run(spark, contract, 2, D2, *right) == RunCounts(2, str(D2), 0, 0, 200)
+        assert run(spark, contract, 3, D3, *right) == RunCounts(3, str(D3), 0, 0, 200)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert stored(spark, contract) == sorted([(k, u, D1, None, True) for k, u in right], key=repr)
+
+
+def test_repeat_under_another_date_replaces_the_run(spark, contract):
+    run(spark, contract, 1, D1, ("A", "u1"))
+    run(spark, contract, 2, D3, ("A", "u2"))
+    run(spark, contract, 2, D2, ("A", "u2"))
+    assert stored(spark, contract) == [("A", "u1", D1, D2, False), ("A", "u2", D2, None, True)]
+
+
+def test_two_runs_of_one_day(spark, contract):
+    for version, user in enumerate(["u1", "u2", "u3"], start=1):
+        run(spark, contract, version, D1, ("A", user))
+    assert [r[1] for r in stored(spark, contract) if r[4]] == ["u3"]
+    assert len(stored(spark, contract)) == 3
+
+
+def test_dates_do_not_go_back(spark, contract):
+    run(spark, contract, 1, D2, ("A", "u1"))
+    with pytest.raises(StaleRun, match="lies before"):
+        run(spark, contract, 2, D1, ("A", "u2"))
+
+
+def test_batch_and_stream_do_not_mix(spark, contract):
+    run(spark, contract, 1, D1, ("A", "u1"))
+    raw = spark.createDataFrame([("A", "u2", 1, "x")], RAW)
+    with pytest.raises(WrongFeed, match="fed by batch"):
+        update_lookup(spark, raw, contract, D2, 2, feed="stream")
+
+
+def test_a_read_lists_once(spark, contract, monkeypatch):
+    run(spark, contract, 1, D1, ("A", "u1"))
+    run(spark, contract, 2, D2, ("A", "u2"))
+    calls, real = [], lookup_module.glob
+
+    def counting(session, pattern):
+        calls.append(pattern)
+        return real(session, pattern)
+
+    monkeypatch.setattr(lookup_module, "glob", counting)
+    assert len(stored(spark, contract)) == 2
+    assert len(calls) == 1
+
+
+def test_composite_key_with_a_plain_column_and_an_uncast_tracked_one(spark, tmp_path):
+    contract = Contract.known(
+        "actives", str(tmp_path), pii=("advertising_id",), keys=("advertising_id", "city"), tracked=("points",)
+    )
+    schema = "advertising_id string, city string, points bigint, timestamp bigint"
+    for version, (day, points) in enumerate([(D1, 1), (D2, 2)], start=1):
+        raw = spark.createDataFrame([("A", "x", points, 1), ("A", "y", 1, 1), ("A", None, 9, 9)], schema)
+        update_lookup(spark, raw, contract, day, version)
+    names = ("city", "points", "begin_date", "update_date")
+    rows = sorted((tuple(r) for r in LookupStore.of(spark, contract).read().select(*names).collect()), key=repr)
+    assert rows == [("x", "1", D1, D2), ("x", "2", D2, None), ("y", "1", D1, None)]
+
+
+def test_lookup_and_staging_mask_the_same_text(spark, tmp_path):
+    contract = Contract.known(
+        "actives", str(tmp_path), pii=("birthday",), keys=("birthday",), tracked=(), masks=("birthday",),
+        casts={"birthday": "DateType()"}, partitions=(),
+    )
+    raw = spark.createDataFrame([("2024-1-5", 1)], "birthday string, timestamp bigint")
+    assert lookup_batch(raw, contract).first().Masked_birthday == transform(raw, contract).first().birthday
 
 
 def test_empty_store(spark, contract):
     assert stored(spark, contract) == []
-    assert LookupStore(spark, contract.lookup, lookup_schema(contract)).versions() == []
+    assert LookupStore.of(spark, contract).versions() == []
 
 
 def test_batch_is_reduced_and_null_keys_left_out(spark, contract):
@@ -135,7 +215,7 @@ def test_tracked_column_outside_the_identifiers(spark, tmp_path):
             [("A", channel, 1)], "advertising_id string, channel_name string, record_timestamp bigint"
         )
         update_lookup(spark, raw, contract, day, version)
-    store = LookupStore(spark, contract.lookup, lookup_schema(contract))
+    store = LookupStore.of(spark, contract)
     assert store.read().columns == [
         "advertising_id", "Masked_advertising_id", "channel_name", "begin_date", "update_date", "flag_active",
     ]

@@ -11,14 +11,8 @@ from zonepipe.operators.synth import synth_actives
 from zonepipe.operators.transform import transform
 from zonepipe.plans.dataset import stage_dataset
 from zonepipe.plans.lookup import lookup_batch, update_lookup
-from zonepipe.sources.lookup import LookupStore, lookup_schema
-from zonepipe.sources.session import (
-    PARTITION_BYTES,
-    SHUFFLE_PARTITIONS,
-    estimated_bytes,
-    fits_broadcast,
-    sized_shuffles,
-)
+from zonepipe.plans.queries import QUERIES
+from zonepipe.sources.lookup import LookupStore
 from zonepipe.sources.zones import scan_zone, stage
 
 
@@ -30,7 +24,7 @@ def zone(spark, tmp_path_factory):
     raw = scan_zone(spark, contract.transform.source)
     update_lookup(spark, raw.filter("state < 'N'"), contract, "2024-01-01", 1)
     update_lookup(spark, raw, contract, "2024-01-02", 2)
-    return contract, raw, LookupStore(spark, contract.lookup, lookup_schema(contract))
+    return contract, raw, LookupStore.of(spark, contract)
 
 
 def plan_of(df):
@@ -67,46 +61,24 @@ def test_step_shuffles_each_side_once(zone):
     assert plan.count("SortMergeJoin") == 1
 
 
-def test_small_batch_leaves_the_open_versions_in_place(zone):
+def test_small_batch_leaves_the_open_versions_in_place(spark, zone, tmp_path):
     contract, raw, store = zone
-    batch = lookup_batch(raw, contract)
-    assert fits_broadcast(batch)
-    pairing = scd2.scd2_pairing(store.active(), batch, contract.keys, contract.tracked, small_batch=True)
-    pairing.collect()
-    plan = pairing._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    scans = [i for i, line in enumerate(plan.splitlines()) if "v=2/flag_active=true" in line or "lookup/" in line]
-    assert scans and plan.count("BroadcastHashJoin") >= 2
-    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert not any("_old_" in line for line in shuffled)
-
-
-def test_size_check_follows_the_session_threshold(spark, zone):
-    contract, raw, _ = zone
+    lookup_batch(raw, contract).write.parquet(f"{tmp_path}/batch")
+    batch = spark.read.parquet(f"{tmp_path}/batch")
+    plan = plan_of(scd2.scd2_matched(store.active_to_change(9), batch, contract.keys, contract.tracked))
+    assert plan.count("BroadcastHashJoin") == 1 and "hashpartitioning" not in plan
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert not fits_broadcast(lookup_batch(raw, contract))
+        plan = plan_of(scd2.scd2_matched(store.active_to_change(9), batch, contract.keys, contract.tracked))
+        assert exchanges(plan) == ["hashpartitioning", "hashpartitioning"]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_shuffle_partitions_follow_the_input(spark, zone, monkeypatch):
-    _, raw, _ = zone
-    before = spark.conf.get(SHUFFLE_PARTITIONS)
-    with sized_shuffles(raw):
-        assert spark.conf.get(SHUFFLE_PARTITIONS) == before
-    assert PARTITION_BYTES == 256 * 2**20
-    monkeypatch.setattr("zonepipe.sources.session.PARTITION_BYTES", estimated_bytes(raw) // 50)
-    with sized_shuffles(raw, raw):
-        assert int(spark.conf.get(SHUFFLE_PARTITIONS)) >= 100
-    assert spark.conf.get(SHUFFLE_PARTITIONS) == before
-
-
-def test_size_estimates(spark, zone):
-    _, raw, _ = zone
-    assert estimated_bytes(raw.select("month")) < estimated_bytes(raw)
-    joined = raw.alias("a").join(raw.alias("b"), "advertising_id")
-    assert estimated_bytes(joined) <= 2 * estimated_bytes(raw)
-    assert estimated_bytes(spark.createDataFrame([(1,)], "v int")) is None
+@pytest.mark.parametrize("name", ["scd2_merge_actives", "scd2_merge_viewership"])
+def test_merge_evaluates_each_input_once(spark, name):
+    plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert len(re.findall(r"FileScan parquet .*events.parquet", plan)) == 2
 
 
 def test_hot_date_is_written_by_many_tasks(spark, tmp_path):
@@ -154,18 +126,12 @@ def test_staging_shuffles_raw_values(zone):
 
 def test_first_run_has_no_join(zone):
     contract, raw, store = zone
-    step = scd2.scd2_step(store.empty(), lookup_batch(raw, contract), contract.keys, contract.tracked, "2024-01-03")
+    step = scd2.scd2_step(store.active(before=1), lookup_batch(raw, contract), contract.keys, contract.tracked, "2024-01-03")
     plan = plan_of(step)
     assert "Join" not in plan
     assert exchanges(plan) == ["hashpartitioning"]
 
 
-def test_history_is_not_shuffled(zone):
-    contract, raw, store = zone
-    merged = scd2.scd2_merge(store.read(), lookup_batch(raw, contract), contract.keys, contract.tracked, "2024-01-03")
-    assert len(exchanges(plan_of(merged))) == 2
-
-
 def test_window_rebuild_limits_groups_before_the_first_exchange(zone):
     contract, raw, _ = zone
     feed = raw.select("advertising_id", "user_id", "timestamp", "date")

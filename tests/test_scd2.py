@@ -26,12 +26,12 @@ def batch(spark, *pairs):
 
 
 def merge(spark, versions, pairs, day=DAY[5], tracked=TRACKED):
-    """The merged lookup; both ways of pairing must agree on it."""
+    """The merged lookup; a step over open versions, beside history, must agree on it."""
     before, incoming = lookup(spark, *versions), batch(spark, *pairs)
     merged = rows(scd2.scd2_merge(before, incoming, KEYS, tracked, day))
-    small = scd2.scd2_pairing(scd2.lookup_active(before), incoming, KEYS, tracked, small_batch=True)
+    step = scd2.scd2_step(scd2.lookup_active(before), incoming, KEYS, tracked, day)
     history = before.filter("not flag_active")
-    assert rows(history.unionByName(scd2.scd2_apply(small, day))) == merged
+    assert rows(history.unionByName(step)) == merged
     return merged
 
 

@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonepipe.contract import Contract
+from zonepipe.operators.quality import QualityError
 from zonepipe.plans.lookup import update_lookup
 from zonepipe.operators.transform import transform
 from zonepipe.sources.lookup import LookupStore, lookup_schema
-from zonepipe.sources.zones import land, scan_zone
-from zonepipe.streaming.ingest import _DAY, process_batch, scan_streamed, stream_ingest
+from zonepipe.sources.zones import land, scan_zone, stage
+from zonepipe.streaming.ingest import _DAY, compact_streamed, process_batch, scan_streamed, stream_ingest
 
 RAW = (
     "advertising_id string, location_source string, timestamp bigint, user_id string, "
@@ -27,7 +28,7 @@ def frame(spark, arrival):
 
 
 def snapshot(spark, contract):
-    store = LookupStore(spark, contract.lookup, lookup_schema(contract))
+    store = LookupStore.of(spark, contract)
     return sorted(map(repr, store.read().collect()))
 
 
@@ -98,7 +99,44 @@ def test_empty_batch_is_skipped(spark, contract):
 def test_default_day_is_the_day_of_arrival(spark, contract, tmp_path):
     land(frame(spark, ARRIVALS[0]), contract, "0")
     start(spark, contract, tmp_path, None)
-    store = LookupStore(spark, contract.lookup, lookup_schema(contract))
+    store = LookupStore.of(spark, contract)
     days = {r.begin_date for r in store.read().collect()}
     today = dt.datetime.now(dt.timezone.utc).date()
     assert days <= {today, today - dt.timedelta(days=1)} and len(days) == 1
+
+
+def test_rows_are_routed_and_checked(spark, contract, tmp_path):
+    schema = frame(spark, ARRIVALS[0]).schema
+    land(frame(spark, ARRIVALS[2]), contract, "0")
+    stage(frame(spark, ARRIVALS[0]), f"{contract.ingest.source}/orders_1")
+    reports = []
+    start(spark, contract, tmp_path, schema, arrival_day=F.to_date("date"), report=reports.append)
+    assert sum(r.rows for r in reports) == 3 and sum(r.unrouted for r in reports) == 2
+    keys = [c for r in reports for c in r.checks if c["check"] == "null_key"]
+    assert [(c["actual"], c["passed"]) for c in keys] == [("1", False)]
+    store = LookupStore.of(spark, contract)
+    assert {r.user_id for r in store.read().collect()} == {"u3", None}
+
+
+def test_a_failed_gate_stops_the_micro_batch(spark, contract):
+    rows = [(None, "s", 1, "u", 1.0, 2.0, "01", "2024-01-01")]
+    dated = spark.createDataFrame(rows, RAW).withColumn(_DAY, F.to_date("date"))
+    with pytest.raises(QualityError, match="availability"):
+        process_batch(dated, 0, contract)
+    assert LookupStore.of(spark, contract).versions() == []
+
+
+def test_a_late_micro_batch_begins_no_version_before_an_earlier_run(spark, contract):
+    for batch_id in (0, 1):
+        dated = frame(spark, ARRIVALS[1 - batch_id]).withColumn(_DAY, F.to_date("date"))
+        process_batch(dated, batch_id, contract)
+    assert {str(r.begin_date) for r in LookupStore.of(spark, contract).read().collect()} == {"2024-01-02"}
+
+
+def test_compaction_leaves_the_rows_in_fewer_files(spark, contract, tmp_path):
+    schema = frame(spark, ARRIVALS[0]).schema
+    for batch_id in range(3):
+        process_batch(frame(spark, ARRIVALS[0]).withColumn(_DAY, F.to_date("date")), batch_id, contract)
+    compact_streamed(spark, contract, schema, str(tmp_path / "compact"))
+    assert len(list((tmp_path / "compact").rglob("*.parquet"))) == 1
+    assert spark.read.parquet(str(tmp_path / "compact")).count() == 6

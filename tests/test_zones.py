@@ -1,4 +1,5 @@
 import datetime as dt
+import shutil
 
 import pandas as pd
 import pytest
@@ -8,6 +9,7 @@ from zonepipe.operators.quality import count_by_file
 from zonepipe.operators.transform import staged_schema, transform
 from zonepipe.plans.dataset import stage_dataset
 from zonepipe.sources.zones import (
+    SchemaClash,
     ingest_raw,
     land,
     route_files,
@@ -150,3 +152,56 @@ def test_dates_of_viewership_stay_text(spark, tmp_path):
     row = scan_staging(spark, contract.transform).first()
     assert (row.month, row.date) == ("01", "2024-01-02")
     assert dt.date.fromisoformat(row.date)
+
+
+def shapes(spark, contract):
+    """Two arrivals: a misspelt column and an extra one in the second, text against a list."""
+    new = "advertising_id string, user_latitude double, location_source array<string>"
+    old = "advertising_id string, user_lattitude double, brand_new int, location_source string"
+    land(spark.createDataFrame([("A", 1.0, ["x", "y"])], new), contract, "1")
+    land(spark.createDataFrame([("B", 2.0, 7, "z")], old), contract, "2")
+
+
+def test_no_column_of_any_arrival_is_lost(spark, tmp_path):
+    contract = Contract.known("actives", str(tmp_path), rename={"user_lattitude": "user_latitude"})
+    shapes(spark, contract)
+    ingest_raw(spark, contract)
+    rows = scan_zone(spark, contract.ingest.destination, step=contract.transform)
+    got = rows.select("advertising_id", "user_latitude", "brand_new", "location_source").orderBy("advertising_id").collect()
+    assert [tuple(r) for r in got] == [("A", 1.0, None, "x,y"), ("B", 2.0, 7, "z")]
+    assert "user_lattitude" not in rows.columns
+
+
+def test_types_that_do_not_fit_are_named(spark, tmp_path):
+    contract = Contract.known("actives", str(tmp_path))
+    land(spark.createDataFrame([("A", "soon")], "advertising_id string, timestamp string"), contract, "1")
+    land(spark.createDataFrame([("B", 5)], "advertising_id string, timestamp bigint"), contract, "2")
+    ingest_raw(spark, contract)
+    with pytest.raises(SchemaClash, match="timestamp arrives as bigint, string"):
+        scan_zone(spark, contract.ingest.destination, step=contract.transform)
+
+
+def test_numbers_of_different_width_come_together(spark, tmp_path):
+    contract = Contract.known("actives", str(tmp_path))
+    land(spark.createDataFrame([(1,)], "timestamp int"), contract, "1")
+    land(spark.createDataFrame([(2**40,)], "timestamp bigint"), contract, "2")
+    rows = scan_zone(spark, contract.ingest.source, step=contract.transform)
+    assert sorted(r.timestamp for r in rows.collect()) == [1, 2**40]
+
+
+def test_stray_files_are_passed_over(spark, tmp_path):
+    contract = Contract.known("actives", str(tmp_path))
+    arrival = land(spark.createDataFrame([("A",)], "advertising_id string"), contract, "1")
+    (tmp_path / "landing" / "actives" / arrival / "notes.txt").write_text("no data")
+    ingest_raw(spark, contract, arrival)
+    assert scan_zone(spark, contract.ingest.destination).count() == 1
+
+
+def test_whole_zone_ingest_keeps_earlier_arrivals(spark, tmp_path):
+    contract = Contract.known("actives", str(tmp_path))
+    first = land(spark.createDataFrame([("A",)], "advertising_id string"), contract, "1")
+    ingest_raw(spark, contract)
+    shutil.rmtree(tmp_path / "landing" / "actives" / first)
+    land(spark.createDataFrame([("B",)], "advertising_id string"), contract, "2")
+    assert ingest_raw(spark, contract) == ["actives_2"]
+    assert sorted(r[0] for r in scan_zone(spark, contract.ingest.destination).collect()) == ["A", "B"]

@@ -58,6 +58,40 @@ def validate_reconcile(before: DataFrame, after: DataFrame, subject: str) -> Dat
     return _rows(sides, [_reconcile(subject, n_before, n_after)])
 
 
+def validate_arrivals(df: DataFrame, arrivals: DataFrame, counted: DataFrame) -> DataFrame:
+    """One verdict per arrival: it fails when it brought no row with a value in the first column.
+
+    ``arrivals`` names all of them (column ``arrival``), so one without any row is
+    found too; ``counted`` is ``df`` with the arrival of each row.
+    """
+    n = counted.groupBy("arrival").agg(F.count(df.columns[0]).alias("n"))
+    found = F.coalesce("n", F.lit(0))
+    return arrivals.join(n, "arrival", "left").select(
+        F.lit("availability").alias("check"),
+        F.col("arrival").alias("subject"),
+        F.lit("> 0").alias("expected"),
+        found.cast("string").alias("actual"),
+        (found > 0).alias("passed"),
+    )
+
+
+def validate_row_counts(after: DataFrame, expected: int, subject: str) -> DataFrame:
+    """Compares all rows of a zone, values in the first column or not, with a count."""
+    n = F.count(F.lit(1))
+    return _rows(after, [_verdict("row_count", subject, F.lit(str(expected)), n.cast("string"), n == expected)])
+
+
+def validate_partition_values(staged: DataFrame, contract: Contract) -> DataFrame:
+    """Partition values, read as text, that the contract's type cannot take."""
+    rows = []
+    for column in contract.transform.partitions:
+        spec = contract.transform.casts.get(column)
+        if spec:
+            bad = F.count_if(F.col(column).isNotNull() & cast_to(F.col(column), spec, T.StringType()).isNull())
+            rows.append(_verdict("partition_value", column, F.lit("0"), bad.cast("string"), bad == 0))
+    return _rows(staged, rows)
+
+
 def validate_types(df: DataFrame, contract: Contract) -> DataFrame:
     """Contract type against actual type per cast column.
 

@@ -11,7 +11,8 @@ Plan notes
 Both sides of every join hold at most one row per key, so no join key can be hot.
 The only place a hot key may appear is the raw batch, and there ``dedupe_batch``
 keeps the best row per key inside each map task before anything is shuffled.
-Closed history is never joined nor shuffled.
+The stored lookup never joins nor shuffles closed history; ``scd2_merge``, which takes a
+whole lookup as one frame, lets it pass through its one join.
 """
 
 from __future__ import annotations
@@ -105,46 +106,47 @@ def scd2_change_summary(
 
 
 def scd2_pairing(
-    active: DataFrame,
-    batch: DataFrame,
-    keys: Sequence[str],
-    tracked: Sequence[str],
-    small_batch: bool = False,
+    lookup: DataFrame, batch: DataFrame, keys: Sequence[str], tracked: Sequence[str]
 ) -> DataFrame:
-    """Open versions and batch rows side by side, one row per key on either side.
+    """Versions and batch rows side by side: open ones meet the batch row of their key.
 
     ``old`` and ``cur`` are structs, NULL where that side has no row, so presence
-    never has to be read off a nullable data column.  ``status`` is NULL for keys
-    the batch does not mention.
+    never has to be read off a nullable data column.  ``status`` is NULL for versions
+    the batch does not touch.  One full outer join; closed versions meet nothing and
+    pass through it, so either input is evaluated once.
+    """
+    old = lookup.select(*_packed(lookup.columns, keys, "old"))
+    cur = batch.select(*_packed(batch.columns, keys, "cur"))
+    same = reduce(lambda a, b: a & b, [F.col(f"_old_{k}") == F.col(f"_cur_{k}") for k in keys])
+    pairs = old.join(cur, same & F.col(f"old.{ACTIVE}"), "full_outer").select("old", "cur")
+    return pairs.withColumn("status", _status(tracked))
 
-    In general this is one full outer join, which shuffles both sides once.
-    ``small_batch`` says the batch is known to fit a broadcast: the open versions
-    then stay where they are, and keys without one are found among the few that
-    matched.  The rows are the same either way.
+
+def scd2_matched(
+    active: DataFrame, batch: DataFrame, keys: Sequence[str], tracked: Sequence[str]
+) -> DataFrame:
+    """Keys on both sides with their ``status``; ``old`` and ``cur`` only where they differ.
+
+    An inner join, so the planner may broadcast whichever side is small and leave the
+    other where it is.
     """
     old = active.select(*_packed(active.columns, keys, "old"))
     cur = batch.select(*_packed(batch.columns, keys, "cur"))
     same = reduce(lambda a, b: a & b, [F.col(f"_old_{k}") == F.col(f"_cur_{k}") for k in keys])
-    if small_batch:
-        known = old.join(cur, same, "left").select("old", "cur")
-        matched = old.select(*[f"_old_{k}" for k in keys]).join(cur, same, "left_semi")
-        fresh = cur.join(matched, same, "left_anti")
-        absent = F.lit(None).cast(old.schema["old"].dataType)
-        pairs = known.unionByName(fresh.select(absent.alias("old"), "cur"))
-    else:
-        pairs = old.join(cur, same, "full_outer").select("old", "cur")
-    differs = _any([~F.col(f"old.{c}").eqNullSafe(F.col(f"cur.{c}")) for c in tracked])
-    status = (
-        F.when(F.col("cur").isNull(), F.lit(None))
-        .when(F.col("old").isNull(), NEW)
-        .when(differs, CHANGED)
-        .otherwise(UNCHANGED)
+    changed = F.col("status") == CHANGED
+    return (
+        old.join(cur, same)
+        .withColumn("status", _status(tracked))
+        .select(
+            *[F.col(f"_cur_{k}").alias(k) for k in keys],
+            "status",
+            *[F.when(changed, F.col(side)).alias(side) for side in ("old", "cur")],
+        )
     )
-    return pairs.withColumn("status", status)
 
 
 def scd2_apply(pairing: DataFrame, as_of: dt.date | str) -> DataFrame:
-    """Versions after one run, without earlier history.
+    """Versions after one run.
 
     A pair yields the kept or closed old version, the newly opened one, or both;
     they come out of the same row, so the join is evaluated once.
@@ -154,7 +156,7 @@ def scd2_apply(pairing: DataFrame, as_of: dt.date | str) -> DataFrame:
     changed = F.col("status").eqNullSafe(CHANGED)
     replaced = {
         UPDATE: F.when(changed, as_date(as_of)).otherwise(F.col(f"old.{UPDATE}")),
-        ACTIVE: ~changed,
+        ACTIVE: F.when(changed, F.lit(False)).otherwise(F.col(f"old.{ACTIVE}")),
     }
     opened = {BEGIN: as_date(as_of), UPDATE: no_date(), ACTIVE: F.lit(True)}
     old = F.struct(*[replaced.get(c, F.col(f"old.{c}")).alias(c) for c in lookup_columns])
@@ -206,9 +208,8 @@ def scd2_merge(
     tracked: Sequence[str],
     as_of: dt.date | str,
 ) -> DataFrame:
-    """The whole lookup after one run: untouched history plus the run's step."""
-    step = scd2_step(lookup_active(lookup), batch, keys, tracked, as_of)
-    return lookup.filter(~F.col(ACTIVE)).unionByName(step)
+    """The whole lookup after one run, history included."""
+    return scd2_apply(scd2_pairing(lookup, batch, keys, tracked), as_of)
 
 
 def scd2_history(
@@ -244,6 +245,17 @@ def batch_columns(lookup_columns: Sequence[str]) -> list[str]:
     return [c for c in lookup_columns if c not in AUDIT]
 
 
+def _status(tracked: Sequence[str]) -> Column:
+    """What the batch row ``cur`` does to the open version ``old``."""
+    differs = _any([~F.col(f"old.{c}").eqNullSafe(F.col(f"cur.{c}")) for c in tracked])
+    return (
+        F.when(F.col("cur").isNull(), F.lit(None))
+        .when(F.col("old").isNull(), NEW)
+        .when(differs, CHANGED)
+        .otherwise(UNCHANGED)
+    )
+
+
 def _any(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 

@@ -12,11 +12,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Small vocabularies the text columns are picked from.
+# Small vocabularies the text columns are picked from, one for each kind of column.
 CITIES = ("Ashford", "Brookside", "Clearwater", "Dunmore", "Eastvale", "Fairview", "Glenrock", "Harwick")
-STATES = ("North", "South", "East", "West", "Central", "Coastal")
-NAMES = ("Alba Reyes", "Bo Lindqvist", "Chidi Okoro", "Dana Petrov", "Emi Sato", "Farid Haddad")
-WORDS = ("amber", "birch", "cobalt", "delta", "ember", "fjord", "granite", "harbor")
+REGIONS = ("North", "South", "East", "West", "Central", "Coastal")
+PLACES = ("home", "office", "transit", "shop", "park", "school", "stadium")
+GRAINS = ("point", "street", "district", "postcode", "city")
+ORIGINS = ("gps", "wifi", "cell", "ip")
+CHANNELS = ("Kite TV", "Meadow News", "Harbor Sports", "Lantern Kids", "Orbit Science", "Drift Music")
+GENRES = ("news", "sport", "drama", "comedy", "documentary", "music", "kids")
+LANGUAGES = ("de", "en", "es", "fr", "hi", "ja", "pt", "sw")
+DEVICES = ("tv-basic", "tv-pro", "box-one", "box-two", "stick", "tablet-mini")
+DEVICE_TYPES = ("television", "set-top box", "stick", "tablet", "phone")
 FLAGS = ("Y", "N")
 
 SLOT = 7  # hex digits per slice: 28 bits, far above every modulus used here
@@ -30,10 +36,10 @@ def synth_actives(ids: DataFrame, id_column: str, seed: int = 0) -> DataFrame:
     return make.over(ids).select(
         make.advertising_id(),
         make.pick(0, CITIES).alias("city"),
-        make.pick(1, CITIES).alias("location_category"),
-        make.pick(2, CITIES).alias("location_granularities"),
-        make.pick(3, STATES).alias("location_source"),
-        make.pick(4, STATES).alias("state"),
+        make.pick(1, PLACES).alias("location_category"),
+        make.pick(2, GRAINS).alias("location_granularities"),
+        make.pick(3, ORIGINS).alias("location_source"),
+        make.pick(4, REGIONS).alias("state"),
         make.epoch(5, 6).alias("timestamp"),
         make.uuid().alias("user_id"),
         make.degrees(7, 90).alias("user_latitude"),
@@ -47,21 +53,21 @@ def synth_viewership(ids: DataFrame, id_column: str, seed: int = 0) -> DataFrame
     make = _Row(id_column, seed, slots=18)
     return make.over(ids).select(
         make.advertising_id(),
-        make.pick(0, NAMES).alias("channel_genre"),
-        make.pick(1, NAMES).alias("channel_name"),
+        make.pick(0, GENRES).alias("channel_genre"),
+        make.pick(1, CHANNELS).alias("channel_name"),
         make.pick(2, CITIES).alias("city"),
-        make.pick(3, WORDS).alias("device"),
-        make.pick(4, WORDS).alias("device_type"),
+        make.pick(3, DEVICES).alias("device"),
+        make.pick(4, DEVICE_TYPES).alias("device_type"),
         make.number(5, 1000).alias("duration"),
         (make.number(6, 1001) + 1000).cast("string").alias("grid_id"),
-        make.pick(7, NAMES).alias("language"),
-        make.pick(8, CITIES).alias("location_category"),
-        make.pick(9, CITIES).alias("location_granularities"),
-        make.pick(10, CITIES).alias("location_source"),
+        make.pick(7, LANGUAGES).alias("language"),
+        make.pick(8, PLACES).alias("location_category"),
+        make.pick(9, GRAINS).alias("location_granularities"),
+        make.pick(10, ORIGINS).alias("location_source"),
         make.epoch(11, 12).alias("record_timestamp"),
         make.pick(13, FLAGS).alias("show_genre"),
         make.pick(14, FLAGS).alias("show_name"),
-        make.pick(15, STATES).alias("state"),
+        make.pick(15, REGIONS).alias("state"),
         make.degrees(16, 90).alias("user_lat"),
         make.degrees(17, 180).alias("user_long"),
         *make.month_and_date(11),

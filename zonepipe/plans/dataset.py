@@ -3,22 +3,34 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import Row
 
 from zonepipe.contract import Contract
 from zonepipe.operators.quality import (
     QualityError,
     raise_on_failure,
+    validate_arrivals,
     validate_columns,
+    validate_partition_values,
     validate_raw,
+    validate_row_counts,
     validate_staging,
 )
 from zonepipe.operators.transform import transform
 from zonepipe.plans.lookup import RunCounts, update_lookup
-from zonepipe.sources.zones import ingest_raw, scan_staging, scan_zone, stage
+from zonepipe.sources.zones import (
+    ARRIVAL,
+    arrival_name,
+    arrivals_in,
+    ingest_raw,
+    scan_staging,
+    scan_zone,
+    stage,
+)
 
 # Checks that are reported but do not stop a run.
 REPORT_ONLY = ("cast_loss", "null_key")
@@ -44,23 +56,65 @@ def run_dataset(
 ) -> RunReport:
     """Ingest, check, transform, stage, check again, and update the lookup.
 
-    Staging is rebuilt from the whole raw zone.  A failed gate stops the run
-    before the lookup is touched.  Every step replaces its own output, so a run
-    that died may simply be repeated with the same ``version``.
+    With ``arrival`` every step handles that arrival and nothing else: staging has the
+    arrival as its last partition column, and only partitions of the arrival are replaced.
+    Without, all landed arrivals are ingested and the run covers the whole raw zone.  A
+    failed gate stops the run before the lookup is touched.  Every step replaces its own
+    output, so a run that died may simply be repeated with the same ``version``.
     """
-    ingest_raw(spark, contract, arrival)
-    raw = scan_zone(spark, contract.transform.source, file_format=contract.transform.source_format)
-    checks = check_raw(raw, contract)
-    stage_dataset(raw, contract, strict, pepper)
-    checks += check_staging(spark, raw, contract, expected=_counted(checks))
+    step = contract.transform
+    names = ingest_raw(spark, contract, arrival)
+    if arrival is None:
+        names = [arrival_name(p) for p in arrivals_in(spark, contract.ingest.destination)]
+    folders = [f"{contract.ingest.destination}/{name}" for name in names]
+    raw = scan_zone(spark, folders, file_format=step.source_format, step=step)
+    tagged = with_arrivals(spark, folders, contract)
+    checks = check_raw(spark, raw, contract, names, tagged)
+    stage_arrivals(tagged, contract, strict, pepper, whole=arrival is None)
+    checks += check_staging(spark, raw, contract, names, checks)
     counts = update_lookup(spark, raw, contract, as_of, version, pepper)
     return RunReport(contract.dataset, counts, checks)
 
 
+def with_arrivals(spark: SparkSession, folders: list[str], contract: Contract) -> DataFrame:
+    """Raw rows with the arrival they came in, named by its folder."""
+    step = contract.transform
+    rows = scan_zone(spark, folders, file_format=step.source_format, step=step)
+    if len(folders) == 1:
+        return rows.withColumn(ARRIVAL, F.lit(arrival_name(folders[0])))
+    return rows.withColumn(ARRIVAL, F.element_at(F.split(F.input_file_name(), "/"), -2))
+
+
+def stage_arrivals(
+    tagged: DataFrame, contract: Contract, strict: bool = False, pepper: str | None = None, whole: bool = False
+) -> None:
+    """Transform rows and write them to staging, replacing the partitions of their arrivals.
+
+    ``whole`` says that the rows are all there are, and replaces the zone.
+    """
+    step = contract.transform
+    finest = step.partitions[-1] if step.partitions else ARRIVAL
+    stage(
+        transform(tagged, contract, strict, pepper, spread_by=finest),
+        step.destination,
+        [*step.partitions, ARRIVAL],
+        rebalance=False,
+        overwrite="static" if whole else "dynamic",
+        file_format=step.destination_format,
+    )
+
+
+def scan_arrivals(spark: SparkSession, contract: Contract, names: list[str] | None = None, text_partitions: bool = False) -> DataFrame:
+    """The staging zone that runs have written, without the arrival; with ``names``, only theirs."""
+    step = replace(contract.transform, partitions=(*contract.transform.partitions, ARRIVAL))
+    rows = scan_staging(spark, step, text_partitions=text_partitions)
+    return (rows if names is None else rows.filter(F.col(ARRIVAL).isin(names))).drop(ARRIVAL)
+
+
 def stage_dataset(
     raw: DataFrame, contract: Contract, strict: bool = False, pepper: str | None = None
 ) -> None:
-    """Transform the raw rows and write them to the staging zone."""
+    """Transform the raw rows and write them to the staging zone, which they replace."""
     step = contract.transform
     finest = step.partitions[-1] if step.partitions else None
     stage(
@@ -72,26 +126,37 @@ def stage_dataset(
     )
 
 
-def check_raw(raw: DataFrame, contract: Contract) -> list[Row]:
-    """Gate before the transform."""
+def check_raw(
+    spark: SparkSession, raw: DataFrame, contract: Contract, names: list[str], tagged: DataFrame
+) -> list[Row]:
+    """Gate before the transform: columns, every arrival's rows, casts and keys."""
     missing = validate_columns(raw, contract)
     if missing:
         raise QualityError(f"columns missing from the data: {missing}")
-    step = contract.transform
-    renamed = raw.withColumnsRenamed(dict(step.rename)) if step.rename else raw
-    return raise_on_failure(validate_raw(renamed, contract), REPORT_ONLY)
+    verdicts = validate_raw(raw, contract)
+    if len(names) > 1:
+        arrivals = spark.createDataFrame([(n,) for n in names], f"{ARRIVAL} string")
+        verdicts = verdicts.unionByName(validate_arrivals(raw, arrivals, tagged))
+    return raise_on_failure(verdicts, REPORT_ONLY)
 
 
 def check_staging(
-    spark: SparkSession, raw: DataFrame, contract: Contract, expected: int
+    spark: SparkSession, raw: DataFrame, contract: Contract, names: list[str], before: list[Row]
 ) -> list[Row]:
-    """Gate after the transform: reads back what was written, with the types in its files."""
-    step = contract.transform
-    staged = scan_staging(spark, step)
-    first = raw.columns[0]
-    column = step.rename.get(first, first)
-    return raise_on_failure(validate_staging(staged, contract, column, expected), REPORT_ONLY)
+    """Gate after the transform: reads back what was written, with the types in its files.
 
-
-def _counted(checks: list[Row]) -> int:
-    return next(int(r["actual"]) for r in checks if r["check"] == "availability")
+    Types are those that all files' footers agree on; partition values are read as text
+    and tried against the contract's type.
+    """
+    expected = next(int(r["actual"]) for r in before if r["check"] == "availability")
+    try:
+        staged = scan_arrivals(spark, contract, names)
+        written = scan_arrivals(spark, contract, names, text_partitions=True)
+    except Exception as clash:
+        if "MERGE_SCHEMA" not in str(clash):
+            raise
+        raise QualityError(f"type: files of {contract.transform.destination} disagree: {clash}") from clash
+    values = raise_on_failure(validate_partition_values(written, contract), REPORT_ONLY)
+    checks = validate_staging(staged, contract, raw.columns[0], expected)
+    rows = validate_row_counts(staged, raw.count(), contract.dataset)
+    return values + raise_on_failure(checks.unionByName(rows), REPORT_ONLY)

@@ -5,22 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonepipe.contract import Contract
 from zonepipe.functions import cast_to
-from zonepipe.operators.pii import pii_pairs
-from zonepipe.operators.scd2 import (
-    CHANGED,
-    NEW,
-    UNCHANGED,
-    dedupe_batch,
-    scd2_apply,
-    scd2_pairing,
-)
-from zonepipe.sources.lookup import LookupStore, lookup_schema
-from zonepipe.sources.session import fits_broadcast, sized_shuffles
+from zonepipe.operators.pii import ACTIVE, BEGIN, UPDATE, as_date, no_date, pii_pairs
+from zonepipe.operators.scd2 import CHANGED, UNCHANGED, dedupe_batch, scd2_matched
+from zonepipe.sources.files import remove
+from zonepipe.sources.lookup import OPENED_IN, LookupStore, lookup_extra, stored_type
 
 
 @dataclass(frozen=True)
@@ -44,28 +37,33 @@ def lookup_batch(raw: DataFrame, contract: Contract, pepper: str | None = None)
     Masks are computed after the reduction: once per key, and never shuffled.
     """
     slim = lookup_columns(raw, contract)
-    pii, extra = _identifiers(slim, contract)
+    pii = [c for c in contract.pii if c in slim.columns]
     latest = dedupe_batch(slim, contract.keys, contract.recency)
-    return pii_pairs(latest, pii, extra, pepper)
+    return pii_pairs(latest, pii, lookup_extra(contract), pepper)
 
 
 def lookup_columns(raw: DataFrame, contract: Contract) -> DataFrame:
-    """The key, identifier, tracked and recency columns of raw rows, typed as the lookup stores them."""
+    """The key, identifier, tracked and recency columns of raw rows, typed as the lookup stores them.
+
+    A contract cast comes before the text an identifier is stored as, like in staging,
+    so that both mask the same text.
+    """
     step = contract.transform
     rows = raw.withColumnsRenamed(dict(step.rename)) if step.rename else raw
-    pii, extra = _identifiers(rows, contract)
-    wanted = list(dict.fromkeys([*contract.keys, *pii, *extra, *contract.recency]))
-    typed = {c: F.col(c).cast("string") for c in pii}
-    typed |= {
-        c: cast_to(F.col(c), step.casts[c], rows.schema[c].dataType) for c in extra if c in step.casts
-    }
-    return rows.select(*[typed.get(c, F.col(c)).alias(c) for c in wanted])
+    pii = [c for c in contract.pii if c in rows.columns]
+    extra = lookup_extra(contract)
 
+    def typed(column: str):
+        value = F.col(column)
+        if column in step.casts and (column in pii or column in extra):
+            value = cast_to(value, step.casts[column], rows.schema[column].dataType)
+        if column in pii:
+            value = value.cast("string")
+        elif column in extra:
+            value = value.cast(stored_type(column, contract))
+        return value.alias(column)
 
-def _identifiers(rows: DataFrame, contract: Contract) -> tuple[list[str], list[str]]:
-    """Identifier columns the rows have, and tracked columns that are not identifiers."""
-    pii = [c for c in contract.pii if c in rows.columns]
-    return pii, [c for c in contract.tracked if c not in pii]
+    return rows.select(*map(typed, dict.fromkeys([*contract.keys, *pii, *extra, *contract.recency])))
 
 
 def update_lookup(
@@ -75,39 +73,39 @@ def update_lookup(
     as_of: dt.date | str,
     version: int,
     pepper: str | None = None,
+    feed: str = "batch",
 ) -> RunCounts:
-    """Merge ``raw`` into the stored lookup as run ``version``, in one write job.
-
-    The change counts are observed on the rows being written (after the last
-    shuffle, so a recomputed stage cannot count twice); the join runs once.
+    """Merge ``raw`` into the stored lookup as run ``version``; always commits the run.
 
-    A small batch against a large lookup leaves the open versions unshuffled.
-    It is also looked up first, in the key and tracked columns only: if it
-    brings no change, the lookup stays as it is and nothing is written.
+    The batch is reduced and written first, so the planner knows its size: it broadcasts a
+    small one and leaves the open versions where they are, or shuffles both sides.  What
+    either finds is written as well, so nothing is evaluated twice, and the run itself
+    writes the versions it opens and closes and nothing else.
     """
-    store = LookupStore(spark, contract.lookup, lookup_schema(contract))
-    store.check_order(version)
-    active = store.active(before=version)
-    batch = lookup_batch(raw, contract, pepper)
-    sides = contract.keys, contract.tracked
-    small = fits_broadcast(batch) and not fits_broadcast(active)
-    if small:
-        compared = list(dict.fromkeys([*contract.keys, *contract.tracked]))
-        labelled = scd2_pairing(active.select(compared), batch.select(compared), *sides, small)
-        counts = _counts(version, as_of, labelled.agg(*_status_counts()).first().asDict())
-        if not counts.updated:
-            return counts
-    seen = Observation()
-    counted = scd2_pairing(active, batch, *sides, small).observe(seen, *_status_counts())
-    with sized_shuffles(active, lookup_columns(raw, contract)):
-        store.write(scd2_apply(counted, as_of), version)
-    return _counts(version, as_of, seen.get)
-
-
-def _status_counts() -> list[Column]:
-    return [F.count_if(F.col("status") == s).alias(s) for s in (NEW, CHANGED, UNCHANGED)]
-
-
-def _counts(version: int, as_of: dt.date | str, by_status: dict) -> RunCounts:
-    counts = {s: by_status.get(s) or 0 for s in (NEW, CHANGED, UNCHANGED)}
-    return RunCounts(version=version, as_of=str(as_of), **counts)
+    store = LookupStore.of(spark, contract)
+    store.check_order(version, as_of)
+    store.claim(feed)
+    scratch = f"{store.path}/_run_{version}"
+    try:
+        batch = _kept(lookup_batch(raw, contract, pepper), f"{scratch}/batch")
+        active = store.active_to_change(before=version)
+        matched = _kept(scd2_matched(active, batch, contract.keys, contract.tracked), f"{scratch}/matched")
+        fresh = batch.join(matched.select(*contract.keys), list(contract.keys), "left_anti")
+
+        changed = matched.filter(F.col("status") == CHANGED)
+        opened = fresh.unionByName(changed.select("cur.*")).withColumns(
+            {BEGIN: as_date(as_of), UPDATE: no_date(), ACTIVE: F.lit(True), OPENED_IN: F.lit(version).cast("long")}
+        )
+        closed = changed.select("old.*").withColumns({UPDATE: as_date(as_of), ACTIVE: F.lit(False)})
+        store.write(opened.unionByName(closed), version, as_of)
+
+        by_status = {r["status"]: r["count"] for r in matched.groupBy("status").count().collect()}
+        n_changed, n_unchanged = by_status.get(CHANGED, 0), by_status.get(UNCHANGED, 0)
+        return RunCounts(version, str(as_of), batch.count() - n_changed - n_unchanged, n_changed, n_unchanged)
+    finally:
+        remove(spark, scratch)
+
+
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -134,6 +134,16 @@ ACTIVE_IDS = Dataset("actives", '"timestamp"', ("advertising_id", "user_id"), ("
 VIEWER_IDS = Dataset("viewership", "record_timestamp", ("advertising_id",), ())
 CHANNELS = Dataset("viewership", "record_timestamp", ("advertising_id",), ("channel_name",))
 
+COMPOSITE = f"""placed as (select *, event_id % 3 as points from actives),
+    comp_in as (select *, cast({run_day()} as date) as run_date from placed),
+    comp_run as (select * from (select *, row_number() over (
+        partition by advertising_id, city, run_date order by "timestamp" desc, event_id desc) as rank from comp_in)
+        where rank = 1),
+    comp_seen as (select *, lag(run_date) over w as before_run, lag(points) over w as before_points
+        from comp_run window w as (partition by advertising_id, city order by run_date)),
+    comp_ends as (select *, lead(run_date) over (partition by advertising_id, city order by run_date) as ends
+        from comp_seen where before_run is null or points is distinct from before_points)"""
+
 STORED = ACTIVE_IDS.history("stored", "actives", run_day())
 
 
@@ -205,10 +215,10 @@ def synthetic_actives() -> str:
     return row.select(
         {
             "city": row.pick(0, synth.CITIES),
-            "location_category": row.pick(1, synth.CITIES),
-            "location_granularities": row.pick(2, synth.CITIES),
-            "location_source": row.pick(3, synth.STATES),
-            "state": row.pick(4, synth.STATES),
+            "location_category": row.pick(1, synth.PLACES),
+            "location_granularities": row.pick(2, synth.GRAINS),
+            "location_source": row.pick(3, synth.ORIGINS),
+            "state": row.pick(4, synth.REGIONS),
             "timestamp": row.epoch(5, 6),
             "user_id": uuid,
             "user_latitude": row.degrees(7, 90),
@@ -222,21 +232,21 @@ def synthetic_viewership() -> str:
     row = Synthetic(18)
     return row.select(
         {
-            "channel_genre": row.pick(0, synth.NAMES),
-            "channel_name": row.pick(1, synth.NAMES),
+            "channel_genre": row.pick(0, synth.GENRES),
+            "channel_name": row.pick(1, synth.CHANNELS),
             "city": row.pick(2, synth.CITIES),
-            "device": row.pick(3, synth.WORDS),
-            "device_type": row.pick(4, synth.WORDS),
+            "device": row.pick(3, synth.DEVICES),
+            "device_type": row.pick(4, synth.DEVICE_TYPES),
             "duration": row.number(5, 1000),
             "grid_id": f"cast({row.number(6, 1001)} + 1000 as varchar)",
-            "language": row.pick(7, synth.NAMES),
-            "location_category": row.pick(8, synth.CITIES),
-            "location_granularities": row.pick(9, synth.CITIES),
-            "location_source": row.pick(10, synth.CITIES),
+            "language": row.pick(7, synth.LANGUAGES),
+            "location_category": row.pick(8, synth.PLACES),
+            "location_granularities": row.pick(9, synth.GRAINS),
+            "location_source": row.pick(10, synth.ORIGINS),
             "record_timestamp": row.epoch(11, 12),
             "show_genre": row.pick(13, synth.FLAGS),
             "show_name": row.pick(14, synth.FLAGS),
-            "state": row.pick(15, synth.STATES),
+            "state": row.pick(15, synth.REGIONS),
             "user_lat": row.degrees(16, 90),
             "user_long": row.degrees(17, 180),
         },
@@ -280,6 +290,8 @@ NULL_KEYS = verdict(
 ORACLE: dict[str, str] = {
     "scan_zone": f"{BASE} select * replace ({FLAT}) from actives",
     "ingest_raw": f"{BASE} select * replace ({FLAT}) from viewership",
+    "ingest_mixed": f"""{BASE} select * replace ({FLAT}),
+        case when "date" <= '{RUN_DAYS[0]}' then event_id % 10 end as only_here from actives""",
     "route_files": f"""{BASE}
         select 'actives' as dataset, 'actives_{STAMP}' as arrival, count(*) as n_rows from actives
         union all select 'viewership', 'viewership_{STAMP}', count(*) from viewership
@@ -322,6 +334,10 @@ ORACLE: dict[str, str] = {
     "scd2_merge_actives": ACTIVE_IDS.merge(),
     "scd2_merge_viewership": VIEWER_IDS.merge(),
     "scd2_merge_channel": CHANNELS.merge(),
+    "scd2_merge_composite": f"""{BASE}, {COMPOSITE}
+        select advertising_id, sha256(advertising_id) as Masked_advertising_id, city,
+            cast(points as varchar) as points, run_date as begin_date, ends as update_date,
+            ends is null as flag_active from comp_ends""",
     "scd2_history": f"""{BASE}, {ACTIVE_IDS.history('versions', 'actives', '"date"')} select * from versions""",
     "scd2_history_channel": f"""{BASE}, {CHANNELS.history('versions', 'viewership', '"date"')}
         select * from versions""",
@@ -333,6 +349,8 @@ ORACLE: dict[str, str] = {
                 as n_unchanged
         from stored_seen group by run_date""",
     "lookup_scan": f"{BASE}, {STORED} select * from stored",
+    "lookup_replay": f"{BASE}, {STORED} select * from stored",
+    "lookup_compact": f"{BASE}, {STORED} select * from stored",
     "lookup_active": f"{BASE}, {STORED} select * from stored where flag_active",
     "validate_counts": f"{BASE} select count(*) as n_rows, count(advertising_id) as n_values from actives",
     "count_by_partition": f"""{BASE} select month, cast("date" as date) as "date", count(*) as n_rows,
@@ -347,6 +365,11 @@ ORACLE: dict[str, str] = {
     "validate_cast_loss": f"{BASE} {loss_rows('actives', ACTIVE_LOSS)}",
     "validate_raw": f"""{BASE} select {AVAILABLE} from viewership union all
         {loss_rows('viewership', VIEWER_LOSS)} union all select {NULL_KEYS} from viewership""",
+    "validate_arrivals": f"""{BASE} select 'availability' as "check", 'actives_{STAMP}_' || number as subject,
+            '> 0' as expected, cast(count(day) as varchar) as actual, count(day) > 0 as passed
+        from (values ('0', '{RUN_DAYS[0]}'), ('1', '{RUN_DAYS[1]}'), ('2', 'none')) as a(number, arrived)
+        left join (select {run_day()} as day from actives where advertising_id is not null) on day = arrived
+        group by number""",
     "validate_staging": f"""{BASE}, transformed as ({TRANSFORMED_ACTIVES}),
         raw as (select count(advertising_id) as n from actives)
         select {ACTIVES_AVAILABLE} from transformed union all
@@ -358,6 +381,7 @@ ORACLE: dict[str, str] = {
         {OPEN} as update_date, true as flag_active from ({ACTIVE_IDS.latest('actives')})""",
     "run_viewership": f"{BASE} {TRANSFORMED_VIEWERSHIP}",
     "stream_ingest": f"{BASE} {TRANSFORMED_ACTIVES}",
-    "stream_lookup": f"""{BASE} select distinct advertising_id,
-        sha256(advertising_id) as Masked_advertising_id, true as flag_active from viewership""",
+    "run_arrivals": f"{BASE}, {STORED} select * from stored",
+    "run_arrivals_staging": f"{BASE} {TRANSFORMED_ACTIVES}",
+    "stream_lookup": f"{BASE}, {STORED} select * from stored",
 }

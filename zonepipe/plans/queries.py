@@ -19,10 +19,10 @@ from zonepipe.contract import Contract
 from zonepipe.functions import flatten_to_string
 from zonepipe.operators import pii, quality, scd2, synth
 from zonepipe.operators.transform import cast_columns, mask_columns, staged_schema, transform
-from zonepipe.plans.dataset import run_dataset, stage_dataset
+from zonepipe.plans.dataset import run_dataset, scan_arrivals, stage_dataset, with_arrivals
 from zonepipe.plans.lookup import RunCounts, lookup_batch, update_lookup
 from zonepipe.sources import star_schema
-from zonepipe.sources.lookup import LookupStore, lookup_schema
+from zonepipe.sources.lookup import LookupStore
 from zonepipe.sources.session import work_folder
 from zonepipe.sources.zones import ingest_raw, land, route_files, scan_staging, scan_zone, stage
 from zonepipe.streaming.ingest import scan_streamed, stream_ingest
@@ -88,6 +88,20 @@ def _ingest_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readable(scan_zone(spark, contract.ingest.destination))
 
 
+@query("ingest_mixed")
+def _ingest_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals of different shape: an old column name and text against a list; returns the raw zone."""
+    contract = actives_contract(work_folder(spark), rename={"user_lattitude": "user_latitude"})
+    rows = star_schema.actives(spark, sf_dir)
+    early = F.col("date") <= RUN_DAYS[0]
+    land(rows.filter(~early), contract, f"{STAMP}_1")
+    older = readable(rows.filter(early)).withColumnRenamed("user_latitude", "user_lattitude")
+    land(older.withColumn("only_here", F.col("event_id") % 10), contract, f"{STAMP}_0")
+    ingest_raw(spark, contract)
+    raw = scan_zone(spark, contract.ingest.destination, step=contract.transform)
+    return readable(raw)
+
+
 @query("route_files")
 def _route_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = work_folder(spark)
@@ -255,6 +269,18 @@ def _scd2_merge_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merge(star_schema.viewership(spark, sf_dir), contract)
 
 
+@query("scd2_merge_composite")
+def _scd2_merge_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three stored runs with a key of an identifier and a plain column, tracking an uncast number."""
+    contract = actives_contract(
+        work_folder(spark), pii=("advertising_id",), keys=("advertising_id", "city"), tracked=("points",)
+    )
+    rows = star_schema.actives(spark, sf_dir).withColumn("points", F.col("event_id") % 3)
+    for version, day in enumerate(RUN_DAYS, start=1):
+        update_lookup(spark, rows.filter(run_day() == day), contract, day, version)
+    return LookupStore.of(spark, contract).read()
+
+
 @query("scd2_history")
 def _scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history(star_schema.actives(spark, sf_dir), actives_contract())
@@ -280,6 +306,34 @@ def _lookup_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
+@query("lookup_replay")
+def _lookup_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run with wrong rows is repeated with the right ones, then the next follows; the lookup."""
+    contract = actives_contract(work_folder(spark))
+    rows = star_schema.actives(spark, sf_dir)
+    wrong = rows.withColumn("user_id", F.concat("user_id", F.lit("-wrong")))
+    first, second, last = RUN_DAYS
+    update_lookup(spark, rows.filter(run_day() == first), contract, first, 1)
+    update_lookup(spark, wrong.filter(run_day() == second), contract, second, 2)
+    LookupStore.of(spark, contract).compact()
+    update_lookup(spark, rows.filter(run_day() == second), contract, second, 2)
+    update_lookup(spark, rows.filter(run_day() == last), contract, last, 3)
+    return LookupStore.of(spark, contract).read()
+
+
+@query("lookup_compact")
+def _lookup_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots between runs, what they replace removed; the lookup."""
+    contract = actives_contract(work_folder(spark))
+    rows = star_schema.actives(spark, sf_dir)
+    store = LookupStore.of(spark, contract)
+    for version, day in enumerate(RUN_DAYS, start=1):
+        update_lookup(spark, rows.filter(run_day() == day), contract, day, version)
+        store.drop_superseded()
+        store.compact()
+    return store.read()
+
+
 @query("lookup_active")
 def _lookup_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, _ = _stored_lookup(spark, sf_dir)
@@ -330,6 +384,20 @@ def _validate_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.validate_raw(star_schema.viewership(spark, sf_dir), viewership_contract())
 
 
+@query("validate_arrivals")
+def _validate_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per arrival; the third arrival is empty."""
+    contract = actives_contract(work_folder(spark))
+    rows = star_schema.actives(spark, sf_dir)
+    for number, day in enumerate([*RUN_DAYS[:2], "none"]):
+        land(rows.filter(run_day() == day), contract, f"{STAMP}_{number}")
+    names = ingest_raw(spark, contract)
+    folders = [f"{contract.ingest.destination}/{name}" for name in names]
+    tagged = with_arrivals(spark, folders, contract)
+    arrivals = spark.createDataFrame([(n,) for n in names], "arrival string")
+    return quality.validate_arrivals(scan_zone(spark, folders), arrivals, tagged)
+
+
 @query("validate_staging")
 def _validate_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract, raw = _staged_actives(spark, sf_dir)
@@ -347,7 +415,7 @@ def _run_actives(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract = actives_contract(work_folder(spark))
     land(star_schema.actives(spark, sf_dir), contract, STAMP)
     run_dataset(spark, contract, AS_OF, version=1)
-    return LookupStore(spark, contract.lookup, lookup_schema(contract)).read()
+    return LookupStore.of(spark, contract).read()
 
 
 @query("run_viewership")
@@ -356,7 +424,19 @@ def _run_viewership(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract = viewership_contract(work_folder(spark))
     land(star_schema.viewership(spark, sf_dir), contract, STAMP)
     run_dataset(spark, contract, AS_OF, version=1)
-    return scan_staging(spark, contract.transform)
+    return scan_arrivals(spark, contract)
+
+
+@query("run_arrivals")
+def _run_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run per arrival, three arrivals; returns the lookup."""
+    return LookupStore.of(spark, _arrivals_run(spark, sf_dir)).read()
+
+
+@query("run_arrivals_staging")
+def _run_arrivals_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run per arrival, three arrivals; returns the staging zone."""
+    return scan_arrivals(spark, _arrivals_run(spark, sf_dir))
 
 
 @query("stream_ingest")
@@ -369,11 +449,15 @@ def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_lookup")
 def _stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arrivals as a stream; returns the lookup's open pairs (dates depend on batch sizes)."""
-    contract = viewership_contract(work_folder(spark))
-    _stream(spark, star_schema.viewership(spark, sf_dir), contract)
-    store = LookupStore(spark, contract.lookup, lookup_schema(contract))
-    return store.active().select("advertising_id", "Masked_advertising_id", "flag_active")
+    """Three streams in turn on one checkpoint, an arrival each; returns the lookup with its dates."""
+    contract = actives_contract(work_folder(spark))
+    rows = star_schema.actives(spark, sf_dir)
+    for number, day in enumerate(RUN_DAYS):
+        land(rows.filter(run_day() == day), contract, f"{STAMP}_{number}")
+        # Something else lands beside it, and is left out.
+        stage(rows.limit(1), f"{contract.ingest.source}/orders_{number}")
+        _start(spark, rows, contract, run_day()).awaitTermination()
+    return LookupStore.of(spark, contract).read()
 
 
 # --- shared inputs -----------------------------------------------------------
@@ -442,19 +526,33 @@ def _stored_lookup(spark: SparkSession, sf_dir: str) -> tuple[LookupStore, list[
         update_lookup(spark, rows.filter(run_day() == day), contract, day, version)
         for version, day in enumerate(RUN_DAYS, start=1)
     ]
-    return LookupStore(spark, contract.lookup, lookup_schema(contract)), runs
+    return LookupStore.of(spark, contract), runs
+
+
+def _arrivals_run(spark: SparkSession, sf_dir: str) -> Contract:
+    """Three runs of one arrival each."""
+    contract = actives_contract(work_folder(spark))
+    rows = star_schema.actives(spark, sf_dir)
+    for number, day in enumerate(RUN_DAYS):
+        arrival = land(rows.filter(run_day() == day), contract, f"{STAMP}_{number}")
+        run_dataset(spark, contract, day, number + 1, arrival)
+    return contract
 
 
 def _stream(spark: SparkSession, rows: DataFrame, contract: Contract) -> DataFrame:
     for number, day in enumerate(RUN_DAYS):
         land(rows.filter(run_day() == day), contract, f"{STAMP}_{number}")
-    stream = stream_ingest(
+    _start(spark, rows, contract, F.to_date("date")).awaitTermination()
+    return rows
+
+
+def _start(spark: SparkSession, rows: DataFrame, contract: Contract, day: Column):
+    """A stream over what has landed, all of it in one micro-batch."""
+    return stream_ingest(
         spark,
         contract,
         f"{contract.lookup}-checkpoint",
         rows.schema,
-        arrival_day=F.to_date("date"),
+        arrival_day=F.to_date(day),
         options={"maxFilesPerTrigger": "1000"},
     )
-    stream.awaitTermination()
-    return rows

@@ -1,17 +1,26 @@
-"""Stored lookup: one parquet snapshot folder per run.
+"""Stored lookup: one folder of changes per run, and snapshots made on request.
 
-``<path>/v=N/flag_active=true``   open versions after run N (complete)
-``<path>/v=N/flag_active=false``  versions closed by run N (only those)
-``<path>/v=N/_SUCCESS``           written last by Spark's committer; without it run N does not count
+``<path>/v=N/as_of=D/change=opened``  versions run N opened
+``<path>/v=N/as_of=D/change=closed``  versions run N closed
+``<path>/v=N/as_of=D/_SUCCESS``       written last by Spark's committer; without it run N does not count
+``<path>/snapshots/v=N``              all open versions after run N, with a ``_SUCCESS`` of its own
 
-A run is one write job, so it is there entirely or not at all.  Readers take the
-open versions of the newest run and the closed versions of all runs; history is
-append-only.  Repeating a run rewrites its own folder from the same older input.
-One writer at a time.  A run that changes nothing need not be written.
+Every run is committed, one that changes nothing with no data at all.  Open versions
+are the newest snapshot's and those opened since, less those closed since; a version is
+known by its key and the run that opened it.  History is what all runs closed.  Readers
+list the folders once and work from that list.
+
+Repeating the newest run replaces its folder, computed from the same older input; a
+snapshot of the replaced run goes first.  Dates of runs never go back.  One writer at a
+time, and either batch runs or a stream, which the first run settles.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,21 +28,31 @@ from pyspark.sql import types as T
 from zonepipe.contract import Contract
 from zonepipe.functions import parse_type
 from zonepipe.operators.pii import ACTIVE, BEGIN, MASKED_PREFIX, UPDATE
+from zonepipe.sources.files import glob, remove, touch
+
+OPENED, CLOSED = "opened", "closed"
+CHANGE = "change"
+#: Stored beside the lookup's columns: the run that opened a version.
+OPENED_IN = "_opened_in"
+FEEDS = ("batch", "stream")
 
 
 class StaleRun(Exception):
-    """A newer run has been committed already."""
+    """A newer run has been committed already, or the run's date lies before an earlier run's."""
+
+
+class WrongFeed(Exception):
+    """A lookup fed by batch runs is given a stream, or the other way round."""
 
 
 def lookup_schema(contract: Contract) -> T.StructType:
-    """Columns of the stored lookup in order."""
+    """Columns of the stored lookup in order.
+
+    Identifiers and whatever the contract does not cast are text.
+    """
     pairs = [name for c in contract.pii for name in (c, MASKED_PREFIX + c)]
-    extra = [c for c in contract.tracked if c not in contract.pii]
-    casts = contract.transform.casts
     fields = [T.StructField(c, T.StringType()) for c in pairs]
-    fields += [
-        T.StructField(c, parse_type(casts[c]) if c in casts else T.StringType()) for c in extra
-    ]
+    fields += [T.StructField(c, stored_type(c, contract)) for c in lookup_extra(contract)]
     fields += [
         T.StructField(BEGIN, T.DateType()),
         T.StructField(UPDATE, T.DateType()),
@@ -42,77 +61,169 @@ def lookup_schema(contract: Contract) -> T.StructType:
     return T.StructType(fields)
 
 
+def lookup_extra(contract: Contract) -> list[str]:
+    """Key and tracked columns that are no identifiers."""
+    return [c for c in dict.fromkeys([*contract.keys, *contract.tracked]) if c not in contract.pii]
+
+
+def stored_type(column: str, contract: Contract) -> T.DataType:
+    casts = contract.transform.casts
+    return parse_type(casts[column]) if column in casts else T.StringType()
+
+
+@dataclass(frozen=True)
+class Listing:
+    """What one look at a lookup's folders has found."""
+
+    #: Committed runs and their dates.
+    runs: dict[int, str] = field(default_factory=dict)
+    #: Folders of changes of committed runs.
+    changes: dict[tuple[int, str], str] = field(default_factory=dict)
+    snapshots: dict[int, str] = field(default_factory=dict)
+
+
 class LookupStore:
-    """Reads and writes the snapshot folders of one dataset's lookup."""
+    """Reads and writes the folders of one dataset's lookup."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...] = ()):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.keys = list(keys or schema.names[:1])
+
+    @staticmethod
+    def of(spark: SparkSession, contract: Contract) -> LookupStore:
+        return LookupStore(spark, contract.lookup, lookup_schema(contract), contract.keys)
+
+    def listing(self) -> Listing:
+        found = Listing()
+        paths = glob(self.spark, f"{self.path}/{{v=*/as_of=*/*,snapshots/v=*/_SUCCESS}}")
+        for path in paths:
+            if m := re.search(r"/snapshots/v=(\d+)/_SUCCESS$", path):
+                found.snapshots[int(m[1])] = path.removesuffix("/_SUCCESS")
+            elif m := re.search(r"/v=(\d+)/as_of=([\d-]+)/_SUCCESS$", path):
+                found.runs[int(m[1])] = m[2]
+        for path in paths:
+            m = re.search(rf"/v=(\d+)/as_of=([\d-]+)/{CHANGE}=(\w+)$", path)
+            if m and found.runs.get(int(m[1])) == m[2]:
+                found.changes[int(m[1]), m[3]] = path
+        for version in [v for v in found.snapshots if v not in found.runs]:
+            del found.snapshots[version]
+        return found
 
     def versions(self) -> list[int]:
         """Committed runs, oldest first."""
-        return sorted(int(p.split("/v=")[1].split("/")[0]) for p in self._glob("v=*/_SUCCESS"))
+        return sorted(self.listing().runs)
 
     def active(self, before: int | None = None) -> DataFrame:
         """Open versions after the newest run (older than ``before``)."""
-        newest = [v for v in self.versions() if before is None or v < before][-1:]
-        return self._read(newest, active=True)
+        return self._active(self.listing(), before).drop(OPENED_IN)
 
-    def closed(self, versions: list[int] | None = None) -> DataFrame:
-        """Versions closed by all (or the given) runs."""
-        return self._read(self.versions() if versions is None else versions, active=False)
+    def active_to_change(self, before: int) -> DataFrame:
+        """``active`` with the run that opened each version."""
+        return self._active(self.listing(), before)
 
-    def read(self) -> DataFrame:
-        """The whole lookup."""
-        return self.active().unionByName(self.closed())
+    def closed(self) -> DataFrame:
+        """Versions that runs have closed."""
+        return self._closed(self.listing())
 
-    def empty(self) -> DataFrame:
-        """A lookup without rows, as a plan the optimizer knows to be empty."""
-        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        return self.spark.range(1).select(*columns).filter(F.lit(False))
+    def read(self) -> DataFrame:
+        """The whole lookup, from one listing."""
+        now = self.listing()
+        return self._active(now).drop(OPENED_IN).unionByName(self._closed(now))
 
-    def check_order(self, version: int) -> None:
-        newer = [v for v in self.versions() if v > version]
+    def check_order(self, version: int, as_of: dt.date | str) -> None:
+        runs = self.listing().runs
+        newer = [v for v in runs if v > version]
         if newer:
-            raise StaleRun(f"run {version} comes after committed run {newer[-1]} of {self.path}")
-
-    def write(self, step: DataFrame, version: int) -> None:
-        """Store one run: its open versions and the ones it closed."""
-        self.check_order(version)
+            raise StaleRun(f"run {version} comes after committed run {max(newer)} of {self.path}")
+        later = [d for v, d in runs.items() if v < version and d > str(as_of)]
+        if later:
+            raise StaleRun(f"run {version} of {as_of} lies before a committed run of {max(later)} in {self.path}")
+
+    def latest_day(self, before: int) -> str | None:
+        """The date of the last run older than ``before``."""
+        return max((d for v, d in self.listing().runs.items() if v < before), default=None)
+
+    def claim(self, feed: str) -> None:
+        """Settle who feeds the lookup; refuse if it has been settled otherwise."""
+        others = [f for f in FEEDS if f != feed]
+        if taken := glob(self.spark, f"{self.path}/_fed_by_{{{','.join(others)}}}"):
+            raise WrongFeed(f"{self.path} is fed by {taken[0].rsplit('_', 1)[1]}, not by {feed}")
+        touch(self.spark, f"{self.path}/_fed_by_{feed}")
+
+    def write(self, changes: DataFrame, version: int, as_of: dt.date | str) -> None:
+        """Commit one run: ``changes`` are lookup rows with OPENED_IN; open ones it opened, others it closed."""
+        self.check_order(version, as_of)
+        target = f"{self.path}/v={version}/as_of={as_of}"
+        for path in glob(self.spark, f"{self.path}/{{snapshots/v={version},v={version}/as_of=*}}"):
+            if not path.endswith(target):
+                remove(self.spark, path)
         (
-            step.write.mode("overwrite")
+            changes.withColumn(CHANGE, F.when(F.col(ACTIVE), OPENED).otherwise(CLOSED))
+            .drop(ACTIVE)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-            .partitionBy(ACTIVE)
-            .parquet(f"{self.path}/v={version}")
+            .partitionBy(CHANGE)
+            .parquet(target)
         )
 
-    def drop_superseded(self, keep: int = 2) -> list[str]:
-        """Remove open-version folders older than the newest ``keep`` runs; history stays whole.
-
-        Two have to stay: the newest for readers, the one before to repeat the newest run.
+    def compact(self) -> int | None:
+        """Write all open versions after the newest run as a snapshot; the run's number."""
+        now = self.listing()
+        if not now.runs:
+            return None
+        version = max(now.runs)
+        if version not in now.snapshots:
+            rows = self._active(now).drop(ACTIVE)
+            rows.write.mode("overwrite").option(
+                "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true"
+            ).parquet(f"{self.path}/snapshots/v={version}")
+        return version
+
+    def drop_superseded(self) -> list[str]:
+        """Remove what a snapshot has taken the place of; history stays whole.
+
+        The snapshot has to be older than the newest run, which may have to be repeated.
         """
-        if keep < 2:
-            raise ValueError("the newest two runs have to stay")
-        old = self.versions()[:-keep]
-        leaf = f"{ACTIVE}=true"
-        folders = [p for v in old for p in self._glob(f"v={v}/{leaf}")]
-        for folder in folders:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-        return folders
-
-    def _read(self, versions: list[int], active: bool) -> DataFrame:
-        leaf = f"{ACTIVE}={str(active).lower()}"
-        wanted = {f"v={v}/{leaf}" for v in versions}
-        present = [p for p in self._glob(f"v=*/{leaf}") if "/".join(p.split("/")[-2:]) in wanted]
-        if not present:
-            return self.empty()
-        stored = T.StructType([f for f in self.schema.fields if f.name != ACTIVE])
-        rows = self.spark.read.schema(stored).option("recursiveFileLookup", "true").parquet(*present)
-        return rows.withColumn(ACTIVE, F.lit(active)).select(*self.schema.names)
-
-    def _glob(self, pattern: str) -> list[str]:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return [str(s.getPath()) for s in files.globStatus(path) or []]
+        now = self.listing()
+        usable = [v for v in now.snapshots if v < max(now.runs)] if now.runs else []
+        if not usable:
+            return []
+        base = max(usable)
+        gone = [p for v, p in now.snapshots.items() if v < base]
+        gone += [p for (v, change), p in now.changes.items() if v <= base and change == OPENED]
+        for path in gone:
+            remove(self.spark, path)
+        return gone
 
+    def empty(self) -> DataFrame:
+        """A lookup without rows, as a plan the optimizer knows to be empty."""
+        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in self._stored().fields]
+        rows = self.spark.range(1).select(*columns, F.lit(True).alias(ACTIVE))
+        return rows.select(*self.schema.names, OPENED_IN).filter(F.lit(False))
+
+    def _active(self, now: Listing, before: int | None = None) -> DataFrame:
+        runs = [v for v in now.runs if before is None or v < before]
+        base = max((v for v in now.snapshots if v in runs), default=None)
+        since = [v for v in runs if base is None or v > base]
+        folders = [now.changes[v, OPENED] for v in since if (v, OPENED) in now.changes]
+        rows = self._load(folders + ([now.snapshots[base]] if base is not None else []), active=True)
+        ended = [now.changes[v, CLOSED] for v in since if (v, CLOSED) in now.changes]
+        if not ended:
+            return rows
+        gone = self._load(ended, active=False).select(*self.keys, OPENED_IN)
+        return rows.join(gone, [*self.keys, OPENED_IN], "left_anti").select(*self.schema.names, OPENED_IN)
+
+    def _closed(self, now: Listing) -> DataFrame:
+        folders = [path for (_, change), path in now.changes.items() if change == CLOSED]
+        return self._load(folders, active=False).drop(OPENED_IN)
+
+    def _stored(self) -> T.StructType:
+        kept = [f for f in self.schema.fields if f.name != ACTIVE]
+        return T.StructType([*kept, T.StructField(OPENED_IN, T.LongType())])
+
+    def _load(self, folders: list[str], active: bool) -> DataFrame:
+        if not folders:
+            return self.empty()
+        rows = self.spark.read.schema(self._stored()).option("recursiveFileLookup", "true").parquet(*folders)
+        return rows.withColumn(ACTIVE, F.lit(active)).select(*self.schema.names, OPENED_IN)

@@ -1,4 +1,4 @@
-"""Session settings the jobs rely on, size estimates, and the shared work folder."""
+"""Session settings the jobs rely on, and the shared work folder."""
 
 from __future__ import annotations
 
@@ -6,16 +6,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 JOB_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,6 +21,9 @@ JOB_SETTINGS = {
     # Rebalanced staging writes and merged shuffle partitions aim at this much data.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # Adaptive execution merges partitions but adds none: ask for many.  A deployment whose
+    # lookup shuffles more than this number times the size above should raise it.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
 }
 
 
@@ -36,50 +35,6 @@ def job_session(name: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Estimated size of what a frame reads, or None for frames of unknown size.
-
-    The smaller of the whole plan's estimate, which knows about unread columns,
-    and the sum over its inputs, which does not multiply up over joins.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    leaves = plan.collectLeaves()
-    inputs = sum(_bytes(leaves.apply(i)) for i in range(leaves.size()))
-    size = min(_bytes(plan), inputs)
-    unknown = df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
-    return size if size < unknown // 1024 else None
-
-
-def _bytes(plan) -> int:
-    return int(str(plan.stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the estimated size of ``df`` is within the session's broadcast threshold."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return _bytes(df._jdf.queryExecution().optimizedPlan()) <= conf.autoBroadcastJoinThreshold()
-
-
-@contextmanager
-def sized_shuffles(*inputs: DataFrame) -> Iterator[None]:
-    """Run a job with enough shuffle partitions for what it reads.
-
-    A fixed number that suits a small lookup gives partitions of hundreds of
-    gigabytes on a large one, and adaptive execution merges partitions but does
-    not add any.  So the number follows the inputs' estimated size; it is only
-    ever raised, and put back afterwards.  Beyond the maximum, partitions grow
-    instead and spill: more of them would cost more in bookkeeping.
-    """
-    conf = inputs[0].sparkSession.conf
-    before = conf.get(SHUFFLE_PARTITIONS)
-    needed = sum(estimated_bytes(df) or 0 for df in inputs) // PARTITION_BYTES + 1
-    conf.set(SHUFFLE_PARTITIONS, max(int(before), min(needed, MAX_SHUFFLE_PARTITIONS)))
-    try:
-        yield
-    finally:
-        conf.set(SHUFFLE_PARTITIONS, before)
-
-
 def work_folder(spark: SparkSession) -> str:
     """A fresh folder every executor can reach.
 

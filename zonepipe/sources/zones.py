@@ -2,43 +2,126 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonepipe.contract import Contract, ZoneStep
-from zonepipe.functions import parse_type
+from zonepipe.functions import FLATTEN, flatten_to_string, parse_type
 from zonepipe.operators.quality import count_by_file
+from zonepipe.sources.files import glob
 
 # Fixed value: index column that pandas may add to the files it writes.
 PANDAS_INDEX = "__index_level_0__"
 UNROUTED = "unrouted"
+#: Last partition column of a staging zone that is written arrival by arrival.
+ARRIVAL = "arrival"
+
+
+class SchemaClash(Exception):
+    """Arrivals of one zone hold a column in types that do not fit together."""
 
 
 def scan_zone(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, file_format: str = "parquet"
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType | None = None,
+    file_format: str = "parquet",
+    step: ZoneStep | None = None,
 ) -> DataFrame:
-    """All files below an unpartitioned zone (landing, raw), one folder or file per arrival."""
-    reader = spark.read.format(file_format).option("recursiveFileLookup", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(path).drop(PANDAS_INDEX)
-
+    """All data files below an unpartitioned zone (landing, raw), one folder or file per arrival.
 
-def scan_staging(spark: SparkSession, step: ZoneStep, schema: T.StructType | None = None) -> DataFrame:
+    No column of any arrival is lost: the footers of all files are merged.  With ``step``,
+    columns it renames are brought to their new name, whichever name an arrival uses, and
+    arrivals that hold a column as text and as an array, which the contract flattens, or as
+    numbers of different types are brought together.  Other clashes raise ``SchemaClash``.
+    Files that are not of the zone's format are passed over.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+
+    def load(*folders: str) -> DataFrame:
+        reader = spark.read.format(file_format).option("recursiveFileLookup", "true")
+        reader = reader.option("pathGlobFilter", f"*.{file_format}")
+        reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
+        return reader.load(list(folders))
+
+    try:
+        rows = load(*paths).drop(PANDAS_INDEX)
+    except Exception as clash:
+        if "MERGE_SCHEMA" not in str(clash) or schema is not None:
+            raise
+        rows = _fitted([load(a).drop(PANDAS_INDEX) for p in paths for a in arrivals_in(spark, p)], step)
+    return one_name(rows, step.rename) if step else rows
+
+
+def arrivals_in(spark: SparkSession, zone: str) -> list[str]:
+    """Paths of a zone's arrivals, each a folder or a file; markers and hidden files are none."""
+    return [p for p in glob(spark, f"{zone}/*") if not p.rsplit("/", 1)[1].startswith(("_", "."))]
+
+
+def one_name(rows: DataFrame, rename: Mapping[str, str]) -> DataFrame:
+    """Renamed columns under their new name; a row has it from whichever name its arrival used."""
+    for old, new in rename.items():
+        if old in rows.columns and new in rows.columns:
+            rows = rows.withColumn(new, F.coalesce(new, old)).drop(old)
+        else:
+            rows = rows.withColumnRenamed(old, new)
+    return rows
+
+
+def _fitted(parts: list[DataFrame], step: ZoneStep | None) -> DataFrame:
+    """Arrivals of different types under one another."""
+    types: dict[str, list[T.DataType]] = {}
+    for part in parts:
+        for f in part.schema.fields:
+            if f.dataType not in types.setdefault(f.name, []):
+                types[f.name].append(f.dataType)
+    flat = {c for c, spec in (step.casts if step else {}).items() if spec.strip() == FLATTEN}
+    targets: dict[str, T.DataType] = {}
+    for name, kinds in types.items():
+        if len(kinds) == 1:
+            continue
+        if name in flat and all(isinstance(k, (T.StringType, T.ArrayType)) for k in kinds):
+            targets[name] = T.StringType()
+        elif all(isinstance(k, T.IntegralType) for k in kinds):
+            targets[name] = T.LongType()
+        elif all(isinstance(k, T.NumericType) and not isinstance(k, T.DecimalType) for k in kinds):
+            targets[name] = T.DoubleType()
+        else:
+            raise SchemaClash(f"column {name} arrives as {', '.join(sorted(k.simpleString() for k in kinds))}")
+
+    def fit(part: DataFrame) -> DataFrame:
+        own = {n: t for n, t in targets.items() if n in part.columns}
+        return part.withColumns(
+            {
+                n: flatten_to_string(F.col(n), part.schema[n].dataType) if n in flat else F.col(n).cast(t)
+                for n, t in own.items()
+            }
+        )
+
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(fit, parts))
+
+
+def scan_staging(
+    spark: SparkSession, step: ZoneStep, schema: T.StructType | None = None, text_partitions: bool = False
+) -> DataFrame:
     """A staging zone, with partition values in their written types.
 
+    ``text_partitions`` reads every partition value as text, whatever the contract says.
     Jobs know the schema and pass it.  Without one, the data columns come from a
     file footer and partition columns are text unless the contract casts them,
     so month ``01`` stays ``01``.
     """
     reader = spark.read.format(step.destination_format)
     if schema is None and step.partitions:
-        stored = reader.option("recursiveFileLookup", "true").load(step.destination).schema
+        stored = (
+            reader.option("recursiveFileLookup", "true").option("mergeSchema", "true").load(step.destination).schema
+        )
         parts = [
-            T.StructField(p, parse_type(step.casts[p]) if p in step.casts else T.StringType())
+            T.StructField(p, parse_type(step.casts[p]) if p in step.casts and not text_partitions else T.StringType())
             for p in step.partitions
         ]
         schema = T.StructType([f for f in stored.fields if f.name not in step.partitions] + parts)
@@ -75,18 +158,27 @@ def stage(
     writer.save(path)
 
 
-def ingest_raw(spark: SparkSession, contract: Contract, arrival: str | None = None) -> None:
-    """Copy landed rows to the raw zone without changing them.
+def ingest_raw(spark: SparkSession, contract: Contract, arrival: str | None = None) -> list[str]:
+    """Copy landed rows to the raw zone without changing them; the arrivals copied.
 
-    With ``arrival`` only that folder or file is copied, to its own folder of
-    the raw zone; repeating it replaces that folder and nothing else.  Without,
-    the whole zone is copied.
+    Each arrival goes to its own folder of the raw zone, with the columns and types it came
+    with; repeating it replaces that folder and nothing else.  Without ``arrival``, all
+    landed ones are copied in turn; earlier ones that landing no longer holds stay.
     """
     step = contract.ingest
-    source, target = step.source, step.destination
-    if arrival:
-        source, target = f"{source}/{arrival}", f"{target}/{arrival.removesuffix('.parquet')}"
-    stage(scan_zone(spark, source, file_format=step.source_format), target, file_format=step.destination_format)
+    landed = [f"{step.source}/{arrival}"] if arrival else arrivals_in(spark, step.source)
+    names = []
+    for source in landed:
+        name = arrival_name(source)
+        rows = scan_zone(spark, source, file_format=step.source_format)
+        stage(rows, f"{step.destination}/{name}", file_format=step.destination_format)
+        names.append(name)
+    return names
+
+
+def arrival_name(path: str) -> str:
+    """The stem of a landed object."""
+    return path.rstrip("/").rsplit("/", 1)[-1].split(".")[0]
 
 
 def land(df: DataFrame, contract: Contract, stamp: str) -> str:
