@@ -90,7 +90,8 @@ def without_repeats(
         repeated_runs(rows, window).select(F.col("id").alias(cut_id), F.col("row").alias(cut_row), F.col("runs").alias(runs)),
         "runs",
     )
-    found = keyed.join(cut, F.col(id_col).eqNullSafe(F.col(cut_id)) & (F.col(row) == F.col(cut_row)), "left").withColumn(
+    # Runs grow with the corpus: the same shuffle at every size, never a broadcast of them.
+    found = keyed.join(cut.hint("merge"), F.col(id_col).eqNullSafe(F.col(cut_id)) & (F.col(row) == F.col(cut_row)), "left").withColumn(
         parts, lines(text_col)
     )
     n_runs, n_lines = F.size(runs), F.size(parts)
