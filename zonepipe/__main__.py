@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 
-
 from zonepipe.contract import Contract
 from zonepipe.operators.synth import synth_actives, synth_viewership
 from zonepipe.plans.dataset import run_dataset
@@ -29,10 +28,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     run.add_argument("--arrival", help="landed folder or file to ingest; all if not given")
     run.add_argument("--strict", action="store_true", help="fail on values that do not cast")
 
+    run.add_argument("--pepper-file", help="text file whose content goes into every mask")
+
     stream = job("stream", "process what has landed since the last call")
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--max-files", help="files per micro-batch")
     stream.add_argument("--strict", action="store_true")
+    stream.add_argument("--pepper-file", help="text file whose content goes into every mask")
 
     generate = job("generate", "land synthetic rows")
     generate.add_argument("--rows", type=int, default=1000)
@@ -45,9 +47,12 @@ def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = job_session(f"zonepipe-{args.job}-{args.dataset}")
     contract = Contract.load(spark, args.config, args.dataset)
+    pepper = None
+    if getattr(args, "pepper_file", None):
+        pepper = spark.read.text(args.pepper_file, wholetext=True).first()[0].strip()
     if args.job == "run":
         report = run_dataset(
-            spark, contract, args.as_of, args.version, args.arrival, strict=args.strict
+            spark, contract, args.as_of, args.version, args.arrival, strict=args.strict, pepper=pepper
         )
         for check in report.checks:
             print(*check, sep="\t")
@@ -55,7 +60,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "stream":
         options = {"maxFilesPerTrigger": args.max_files} if args.max_files else None
         stream_ingest(
-            spark, contract, args.checkpoint, options=options, strict=args.strict
+            spark, contract, args.checkpoint, options=options, strict=args.strict, pepper=pepper
         ).awaitTermination()
     else:
         makers = {"actives": synth_actives, "viewership": synth_viewership}

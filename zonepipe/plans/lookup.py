@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from zonepipe.contract import Contract
@@ -80,30 +80,42 @@ def update_lookup(
     The batch is reduced and written first, so the planner knows its size: it broadcasts a
     small one and leaves the open versions where they are, or shuffles both sides.  What
     either finds is written as well, so nothing is evaluated twice, and the run itself
-    writes the versions it opens and closes and nothing else.
+    writes the versions it opens and closes and nothing else.  A first run only opens
+    versions and needs neither.
+
+    Counts are observed on rows being written, after the last shuffle, so a recomputed
+    stage cannot count twice.
     """
     store = LookupStore.of(spark, contract)
     store.check_order(version, as_of)
     store.claim(feed)
+    batch = lookup_batch(raw, contract, pepper)
+    begun = {BEGIN: as_date(as_of), UPDATE: no_date(), ACTIVE: F.lit(True), OPENED_IN: F.lit(version).cast("long")}
+    if not any(v < version for v in store.versions()):
+        opened = Observation()
+        store.write(batch.observe(opened, F.count(F.lit(1)).alias("n")).withColumns(begun), version, as_of)
+        return RunCounts(version, str(as_of), opened.get.get("n") or 0, 0, 0)
+
     scratch = f"{store.path}/_run_{version}"
+    read, met = Observation(), Observation()
     try:
-        batch = _kept(lookup_batch(raw, contract, pepper), f"{scratch}/batch")
+        batch = _kept(batch.observe(read, F.count(F.lit(1)).alias("n")), f"{scratch}/batch")
         active = store.active_to_change(before=version)
-        matched = _kept(scd2_matched(active, batch, contract.keys, contract.tracked), f"{scratch}/matched")
+        matched = scd2_matched(active, batch, contract.keys, contract.tracked)
+        by_status = [F.count_if(F.col("status") == s).alias(s) for s in (CHANGED, UNCHANGED)]
+        matched = _kept(matched.observe(met, *by_status), f"{scratch}/matched")
         fresh = batch.join(matched.select(*contract.keys), list(contract.keys), "left_anti")
 
         changed = matched.filter(F.col("status") == CHANGED)
-        opened = fresh.unionByName(changed.select("cur.*")).withColumns(
-            {BEGIN: as_date(as_of), UPDATE: no_date(), ACTIVE: F.lit(True), OPENED_IN: F.lit(version).cast("long")}
-        )
+        opened = fresh.unionByName(changed.select("cur.*")).withColumns(begun)
         closed = changed.select("old.*").withColumns({UPDATE: as_date(as_of), ACTIVE: F.lit(False)})
         store.write(opened.unionByName(closed), version, as_of)
-
-        by_status = {r["status"]: r["count"] for r in matched.groupBy("status").count().collect()}
-        n_changed, n_unchanged = by_status.get(CHANGED, 0), by_status.get(UNCHANGED, 0)
-        return RunCounts(version, str(as_of), batch.count() - n_changed - n_unchanged, n_changed, n_unchanged)
     finally:
         remove(spark, scratch)
+    n_changed, n_unchanged = (met.get.get(s) or 0 for s in (CHANGED, UNCHANGED))
+    return RunCounts(
+        version, str(as_of), (read.get.get("n") or 0) - n_changed - n_unchanged, n_changed, n_unchanged
+    )
 
 
 def _kept(df: DataFrame, path: str) -> DataFrame:
