@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonepipe.llm import decontamination, mixing, quality, sharding, simhash
-from zonepipe.llm.common import shared_folder, table, text_or_empty
+from zonepipe.llm.common import shared_folder, table, text_or_empty, word_count
 from zonepipe.llm.queries import MIX_MOST, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, N_SHARDS, remainder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -38,12 +38,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    copies = "copies_"
-    while copies in docs.columns:
-        copies = f"_{copies}"
-    mixed = mixing.mix(docs, MIX_WEIGHTS, MIX_SHARE, MIX_MOST, MIX_SEED).where("copies > 0")
-    repeated = mixed.withColumn(copies, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return repeated.select(*docs.columns)
+    # The row travels as one column, so that no column of it can clash with the mix's own.
+    rows = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("document"), "doc_id", "source", word_count("text").alias("words")
+    )
+    mixed = mixing.mix(rows, MIX_WEIGHTS, MIX_SHARE, MIX_MOST, MIX_SEED, size=F.col("words"))
+    copies = F.sequence(F.lit(1).cast("long"), F.col("copies"))
+    return mixed.where("copies > 0").select("document", F.explode(copies)).select("document.*")
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,6 +45,16 @@ def test_stages_on_real_documents(spark):
     assert len({(r.shard, r.slot) for r in rows}) == len(rows)
 
 
+def test_stages_keep_every_column_of_odd_rows(spark, odd_wide, odd_dir):
+    rows = {tuple(r) for r in odd_wide.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, odd_wide, odd_dir)
+        assert kept.columns == odd_wide.columns, name
+        assert {tuple(r) for r in kept.collect()} <= rows, name
+    sharded = corpus_pipeline.STAGES[-1][1](spark, odd_wide, odd_dir)
+    assert set(sharded.columns) == set(odd_wide.columns) and sharded.count() == odd_wide.count()
+
+
 def test_run_equals_stages_in_turn(spark, odd_dir, empty_dir):
     rows = corpus_pipeline.run(spark, odd_dir)
     assert rows.columns == ["doc_id", "text", "lang", "source", "n_chars", "shard", "slot"]

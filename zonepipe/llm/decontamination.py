@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonepipe.llm.common import unused
+
 WINDOW = 10
 # Bytes of benchmark text whose windows go into one automaton: an automaton takes about
 # 200 times its window text's share, a few hundred MB of worker memory at this bound.
@@ -133,16 +135,17 @@ def find_contamination(
     window: int = WINDOW,
     spans: bool = True,
     max_bytes: int = MAX_BYTES,
+    into: str = "hits",
 ) -> DataFrame:
-    """``docs`` with a struct ``hits``: words, hit words, items and byte spans of the original.
+    """``docs`` with a struct ``into``: words, hit words, items and byte spans of the original.
 
     A span runs from the first to the last hit word of a maximal run.  An item with fewer
     words than a window is one window; items and documents without words, null texts
     included, match nothing.  A null item id counts as the text ``null``.  Items with equal
     windows are all named.  With an empty benchmark nothing is hit.  ``docs`` may hold any
-    other columns; one named ``hits`` is replaced.
+    other columns; one named like ``into`` is replaced.
     """
-    docs = docs.drop("hits")
+    docs = docs.drop(into)
     n = _blocks(benchmark, item_col, item_text_col, max_bytes)
     rows = benchmark.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
@@ -150,14 +153,14 @@ def find_contamination(
         F.pmod(F.xxhash64(F.col(item_col), F.col(item_text_col)), F.lit(n)).alias("block"),
     )
     found = docs
-    blocks = [f"hits_{i}_" for i in range(n)] if n > 1 else ["hits"]
+    blocks = unused(docs, *[f"{into}_{i}_" for i in range(n)]) if n > 1 else [into]
     for i, name in enumerate(blocks):
         # One block's texts, of bounded size; blocks follow each other inside a task.
         items = [(r["item"], r["text"]) for r in rows.where(F.col("block") == i).select("item", "text").collect()]
         found = found.withColumn(name, _scanner(items, window, spans or n > 1)(F.col(text_col)))
     if n == 1:
         return found
-    return found.withColumn("hits", _united(F.array(*blocks), F.col(text_col))).drop(*blocks)
+    return found.withColumn(into, _united(F.array(*blocks), F.col(text_col))).drop(*blocks)
 
 
 @F.pandas_udf(HIT_SCHEMA)
@@ -185,5 +188,6 @@ def _united(parts: pd.Series, texts: pd.Series) -> pd.DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, unchanged, that hold no window of the benchmark."""
-    found = find_contamination(docs.drop("hits"), benchmark, spans=False, **options)
-    return found.where(F.col("hits.n_hit") == 0).select(*[c for c in docs.columns if c != "hits"])
+    (hits,) = unused(docs, "hits")
+    found = find_contamination(docs, benchmark, spans=False, into=hits, **options)
+    return found.where(F.col(hits)["n_hit"] == 0).select(*docs.columns)
