@@ -1,14 +1,15 @@
 import json
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tests.test_contract import contract_file
 from zonepipe.__main__ import arguments
 from zonepipe.contract import Contract
-from zonepipe.operators.quality import QualityError, validate_partition_values
+from zonepipe.operators.quality import QualityError
 from zonepipe.operators.synth import synth_actives, synth_viewership
-from zonepipe.plans.dataset import run_dataset, scan_arrivals
+from zonepipe.plans.dataset import check_staging, run_dataset, scan_arrivals
 from zonepipe.sources.lookup import LookupStore, lookup_schema
 from zonepipe.sources.session import CHECKPOINT_DIR, work_folder
 from zonepipe.sources.zones import land, stage
@@ -77,9 +78,9 @@ def test_a_partition_value_that_is_no_date_is_a_verdict(spark, tmp_path):
     assert failed == {"cast_loss"}
     staging = contract.transform.destination
     stage(scan_arrivals(spark, contract).drop("date"), f"{staging}/month=01/date=soon/arrival=actives_9")
-    written = scan_arrivals(spark, contract, ["actives_9"], text_partitions=True)
-    verdict = validate_partition_values(written, contract).first()
-    assert (verdict["check"], verdict["actual"], verdict["passed"]) == ("partition_value", "5", False)
+    counted = [Row(check=c, subject="actives", actual="5") for c in ("availability", "rows")]
+    with pytest.raises(QualityError, match="partition_value.date.: expected 0, got 5"):
+        check_staging(spark, "advertising_id", contract, ["actives_9"], counted)
 
 
 def test_row_counts_hold_rows_without_a_first_value(spark, tmp_path):

@@ -7,7 +7,7 @@ with ``raise_on_failure``.  Every check is one aggregate with map-side partials.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,23 +75,6 @@ def validate_arrivals(df: DataFrame, arrivals: DataFrame, counted: DataFrame) ->
     )
 
 
-def validate_row_counts(after: DataFrame, expected: int, subject: str) -> DataFrame:
-    """Compares all rows of a zone, values in the first column or not, with a count."""
-    n = F.count(F.lit(1))
-    return _rows(after, [_verdict("row_count", subject, F.lit(str(expected)), n.cast("string"), n == expected)])
-
-
-def validate_partition_values(staged: DataFrame, contract: Contract) -> DataFrame:
-    """Partition values, read as text, that the contract's type cannot take."""
-    rows = []
-    for column in contract.transform.partitions:
-        spec = contract.transform.casts.get(column)
-        if spec:
-            bad = F.count_if(F.col(column).isNotNull() & cast_to(F.col(column), spec, T.StringType()).isNull())
-            rows.append(_verdict("partition_value", column, F.lit("0"), bad.cast("string"), bad == 0))
-    return _rows(staged, rows)
-
-
 def validate_types(df: DataFrame, contract: Contract) -> DataFrame:
     """Contract type against actual type per cast column.
 
@@ -105,10 +88,11 @@ def validate_cast_loss(raw: DataFrame, contract: Contract) -> DataFrame:
     return _rows(raw, _cast_loss(raw, contract))
 
 
-def validate_raw(raw: DataFrame, contract: Contract) -> DataFrame:
+def validate_raw(raw: DataFrame, contract: Contract, count_rows: bool = False) -> DataFrame:
     """All checks of a raw zone in one pass over the columns they need.
 
-    Availability is a gate; cast loss and NULL lookup keys are reported.
+    Availability is a gate; cast loss and NULL lookup keys are reported, and with
+    ``count_rows`` the number of rows.
     """
     null_keys = [
         _verdict("null_key", key, F.lit("0"), n.cast("string"), n == 0)
@@ -116,15 +100,39 @@ def validate_raw(raw: DataFrame, contract: Contract) -> DataFrame:
         for n in [F.count_if(F.col(key).isNull())]
     ]
     checks = [_availability(raw.columns[0], contract.dataset), *_cast_loss(raw, contract), *null_keys]
+    if count_rows:
+        n = F.count(F.lit(1))
+        checks.append(_verdict("rows", contract.dataset, F.lit("> 0"), n.cast("string"), n > 0))
     return _rows(raw, checks)
 
 
-def validate_staging(staged: DataFrame, contract: Contract, column: str, expected: int) -> DataFrame:
-    """All checks of a staging zone in one pass: availability, count, types."""
-    counted = _reconcile(contract.dataset, F.lit(expected), F.count(column))
-    return _rows(
-        staged, [_availability(column, contract.dataset), counted, *_types(staged, contract)]
-    )
+def validate_staging(
+    staged: DataFrame,
+    contract: Contract,
+    column: str,
+    expected: int,
+    expected_rows: int | None = None,
+    partition_text: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """All checks of a staging zone in one pass: availability, count, types.
+
+    With ``expected_rows`` all rows are counted too, and with ``partition_text`` (partition
+    column → column that holds its value as text) so are values its type cannot take.
+    """
+    checks = [
+        _availability(column, contract.dataset),
+        _reconcile(contract.dataset, F.lit(expected), F.count(column)),
+        *_types(staged, contract),
+    ]
+    if expected_rows is not None:
+        n = F.count(F.lit(1))
+        checks.append(
+            _verdict("row_count", contract.dataset, F.lit(str(expected_rows)), n.cast("string"), n == expected_rows)
+        )
+    for name, text in (partition_text or {}).items():
+        bad = F.count_if(F.col(text).isNotNull() & F.col(name).isNull())
+        checks.append(_verdict("partition_value", name, F.lit("0"), bad.cast("string"), bad == 0))
+    return _rows(staged, checks)
 
 
 def validate_columns(df: DataFrame, contract: Contract) -> list[str]:

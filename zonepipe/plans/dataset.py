@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import Row
 
 from zonepipe.contract import Contract
+from zonepipe.functions import cast_to
 from zonepipe.operators.quality import (
     QualityError,
     raise_on_failure,
     validate_arrivals,
     validate_columns,
-    validate_partition_values,
     validate_raw,
-    validate_row_counts,
     validate_staging,
 )
 from zonepipe.operators.transform import transform
@@ -71,7 +70,7 @@ def run_dataset(
     tagged = with_arrivals(spark, folders, contract)
     checks = check_raw(spark, raw, contract, names, tagged)
     stage_arrivals(tagged, contract, strict, pepper, whole=arrival is None)
-    checks += check_staging(spark, raw, contract, names, checks)
+    checks += check_staging(spark, raw.columns[0], contract, names, checks)
     counts = update_lookup(spark, raw, contract, as_of, version, pepper)
     return RunReport(contract.dataset, counts, checks)
 
@@ -133,7 +132,7 @@ def check_raw(
     missing = validate_columns(raw, contract)
     if missing:
         raise QualityError(f"columns missing from the data: {missing}")
-    verdicts = validate_raw(raw, contract)
+    verdicts = validate_raw(raw, contract, count_rows=True)
     if len(names) > 1:
         arrivals = spark.createDataFrame([(n,) for n in names], f"{ARRIVAL} string")
         verdicts = verdicts.unionByName(validate_arrivals(raw, arrivals, tagged))
@@ -141,22 +140,27 @@ def check_raw(
 
 
 def check_staging(
-    spark: SparkSession, raw: DataFrame, contract: Contract, names: list[str], before: list[Row]
+    spark: SparkSession, column: str, contract: Contract, names: list[str], before: list[Row]
 ) -> list[Row]:
     """Gate after the transform: reads back what was written, with the types in its files.
 
     Types are those that all files' footers agree on; partition values are read as text
-    and tried against the contract's type.
+    and tried against the contract's type.  ``column`` is the first of the raw zone, and
+    ``before`` what the gate there has counted.
     """
-    expected = next(int(r["actual"]) for r in before if r["check"] == "availability")
+    counted = {r["check"]: r["actual"] for r in before if r["subject"] == contract.dataset}
     try:
-        staged = scan_arrivals(spark, contract, names)
-        written = scan_arrivals(spark, contract, names, text_partitions=True)
+        staged = scan_arrivals(spark, contract, names, text_partitions=True)
     except Exception as clash:
         if "MERGE_SCHEMA" not in str(clash):
             raise
         raise QualityError(f"type: files of {contract.transform.destination} disagree: {clash}") from clash
-    values = raise_on_failure(validate_partition_values(written, contract), REPORT_ONLY)
-    checks = validate_staging(staged, contract, raw.columns[0], expected)
-    rows = validate_row_counts(staged, raw.count(), contract.dataset)
-    return values + raise_on_failure(checks.unionByName(rows), REPORT_ONLY)
+    casts = {p: contract.transform.casts[p] for p in contract.transform.partitions if p in contract.transform.casts}
+    texts = {p: f"_text_{p}" for p in casts}
+    typed = staged.withColumns({t: F.col(p) for p, t in texts.items()}).withColumns(
+        {p: cast_to(F.col(p), spec, staged.schema[p].dataType) for p, spec in casts.items()}
+    )
+    verdicts = validate_staging(
+        typed, contract, column, int(counted["availability"]), int(counted["rows"]), texts
+    )
+    return raise_on_failure(verdicts, REPORT_ONLY)
