@@ -5,7 +5,8 @@ Most positions cannot take part, so suffixes are sorted only where it matters:
 
 1. Anchors.  A 20-byte gram is an anchor where its hash is the least of some 31 in a row,
    so every 50-byte string holds an anchor, and equal strings hold it at the same place.
-   An anchor's context is the 80 bytes in which all 50-byte strings over its gram lie.
+   An anchor's context is the 80 bytes in which all 50-byte strings over its gram lie,
+   known by a 64-bit hash beside 32 bits of its gram's.
    Documents are dealt into batches by hash; a batch sends hashes of its distinct grams
    and contexts, never text, to gram shards.
 2. A shard answers each batch: a context that occurs in an earlier document is covered
@@ -98,7 +99,7 @@ def anchors(data: np.ndarray, roller: Roller) -> tuple[np.ndarray, np.ndarray, n
     at = np.flatnonzero(_sliding(np.concatenate((zeros, least, zeros)), span, np.maximum) == grams)
     start, stop = np.maximum(at - LEAD, 0), np.minimum(at + LENGTH, n)
     place = ((at - start) * 128 + (stop - at)).astype(np.uint64)
-    context = (roller.hashes(sums, start, stop) ^ (place * np.uint64(_ROOT))) >> np.uint64(16)
+    context = roller.hashes(sums, start, stop) ^ (place * np.uint64(_ROOT))
     return at, grams[at], context, sums
 
 
@@ -115,16 +116,6 @@ def _unplanes(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
 
 
-def _six(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def _unsix(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return wide.view(np.uint64).ravel()
-
-
 # --- step 1: what a batch sends -----------------------------------------------------
 
 SENT = "shard int, batch int, gram binary, context binary, doc binary, several binary"
@@ -158,7 +149,7 @@ def _sender(shards: int):
                     int(shard[a]),
                     int(batch["batch"].iloc[0]),
                     (gram[a:b] >> np.uint64(32)).astype(np.uint32).tobytes(),
-                    _six(context[a:b]),
+                    context[a:b].tobytes(),
                     _planes(doc[a:b]),
                     np.packbits(several[a:b]).tobytes(),
                 )
@@ -179,7 +170,7 @@ def answer(shard: pd.DataFrame) -> pd.DataFrame:
     """For each batch the contexts that matter to it, with their first document."""
     counts = [len(x) // 4 for x in shard["gram"]]
     gram = np.frombuffer(b"".join(shard["gram"]), np.uint32)
-    context = np.concatenate([_unsix(x) for x in shard["context"]])
+    context = np.frombuffer(b"".join(shard["context"]), np.uint64)
     doc = np.concatenate([_unplanes(x, np.int64) for x in shard["doc"]])
     several = np.concatenate(
         [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(shard["several"], counts)]
@@ -206,7 +197,7 @@ def answer(shard: pd.DataFrame) -> pd.DataFrame:
     batches = shard["batch"].to_numpy()
     return pd.DataFrame(
         [
-            (int(batches[row[a]]), _six(context[a:b]), _planes(first[a:b]), look[a:b].tobytes())
+            (int(batches[row[a]]), context[a:b].tobytes(), _planes(first[a:b]), look[a:b].tobytes())
             for a, b in zip(cuts, [*cuts[1:], len(row)])
         ],
         columns=[c.split()[0] for c in ANSWERED.split(", ")],
@@ -235,7 +226,7 @@ def look_up(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     columns = [c.split()[0] for c in FOUND.split(", ")]
     if not len(answers) or not len(batch):
         return pd.DataFrame({c: [] for c in columns})
-    known = np.concatenate([_unsix(x) for x in answers["context"]])
+    known = np.frombuffer(b"".join(answers["context"]), np.uint64)
     first = np.concatenate([_unplanes(x, np.int64) for x in answers["first"]])
     look = np.frombuffer(b"".join(answers["look"]), np.uint8)
     order = np.argsort(known, kind="stable")
