@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 
 from zonepipe.llm import suffix_dedup as sd
 
@@ -62,11 +63,32 @@ def test_exactly_fifty_bytes(spark):
     check(spark, [(1, "x" + text + "y"), (2, "z" + text), (3, text[:49]), (4, text + text[:49])])
 
 
-def test_low_complexity_and_hot_grams(spark, monkeypatch):
-    monkeypatch.setattr(sd, "HOT_CONTEXTS", 3)
+def test_low_complexity_and_hot_grams(spark):
     rng = random.Random(2)
     rows = [(i, "".join(rng.choice("xyz") for _ in range(i)) + "the " * (10 + i) + "".join(rng.choice("uvw") for _ in range(60))) for i in range(40)]
     check(spark, rows)
+    # All in one batch: hot grams are found before anything is sent.
+    check(spark, rows, hot_contexts=3)
+    # Few in each batch: a shard that finds a hot gram asks for its strings.
+    check(spark, rows, hot_contexts=3, batch_bytes=300)
+
+
+def test_contexts_of_a_gram_are_counted_and_hot_ones_become_strings():
+    rng = random.Random(5)
+    passage = "the very same passage that every document holds"
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(90)) + passage + "".join(rng.choice("abcdefgh") for _ in range(90)) for _ in range(20)]
+    batch = pd.DataFrame({"batch": 0, "body": [t.encode() for t in texts]})
+    counts = sd.count_contexts(batch)
+    assert counts["n"].max() == 20
+    hot = np.sort(counts.loc[counts["n"] == 20, "gram"].to_numpy().view(np.uint64))
+    data = np.frombuffer(texts[0].encode(), np.uint8)
+    start, stop, at, gram, context, _ = sd.Entries(hot).of(data)
+    assert not np.isin(gram, hot).any()
+    # Every 50-byte string still lies in an entry.
+    inside = np.zeros(len(data), bool)
+    for a, b in zip(start, stop):
+        inside[a : b - sd.LENGTH + 1] = True
+    assert inside[: len(data) - sd.LENGTH + 1].all()
 
 
 def test_blind_trie_orders_strings():

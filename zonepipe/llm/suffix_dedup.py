@@ -18,8 +18,10 @@ Most positions cannot take part, so suffixes are sorted only where it matters:
 4. Every document is cut once by all of its spans.
 
 Batches live in one table bucketed by batch, so text is shuffled once.  What a common
-passage sends to a shard is one entry per batch, not per document.  A gram with very many
-contexts is dealt by whole 50-byte strings instead, which spreads it over all shards.
+passage sends to a shard is one entry per batch, not per document.  Grams with so many
+contexts that their shard would grow with the corpus are found first, from counts of all
+batches; the 50-byte strings over them take the place of their contexts, which spreads
+them over all shards.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +46,10 @@ SHALLOW = 16
 BATCH_BYTES = 16 << 20
 #: Expected anchors for each gram shard.
 SHARD_ANCHORS = 1 << 20
-#: A gram with more contexts is dealt by whole strings.
+#: A gram with more contexts is dealt by whole strings; so many as there are at least.
 HOT_CONTEXTS = 20_000
+#: A hot gram has at least this share of all bytes in contexts, which bounds their number.
+HOT_SHARE = 1 << 23
 
 _ROOT = 0x9E3779B97F4A7C15
 _MIX = 0xBF58476D1CE4E5B9
@@ -56,8 +61,8 @@ _MIX = 0xBF58476D1CE4E5B9
 class Roller:
     """Hashes of all stretches of a byte string, from prefix sums of weighted byte codes."""
 
-    def __init__(self):
-        self.code = np.random.default_rng(3).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    def __init__(self, seed: int = 3):
+        self.code = np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.up = self.down = np.ones(1, np.uint64)
 
     def _powers(self, n: int) -> None:
@@ -103,6 +108,43 @@ def anchors(data: np.ndarray, roller: Roller) -> tuple[np.ndarray, np.ndarray, n
     return at, grams[at], context, sums
 
 
+class Entries:
+    """What stands for a document's strings: contexts of anchors, and strings over hot grams.
+
+    A string over a hot gram is an entry of its own, with its hash as the gram and an
+    independent hash as the context, so no two different ones share a gram.
+    """
+
+    def __init__(self, hot: np.ndarray):
+        self.hot, self.roller, self.second = hot, Roller(), Roller(seed=5)
+
+    def of(self, data: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Start, stop and anchor of each entry, its gram and context, and the prefix sums."""
+        n = len(data)
+        at, gram, context, sums = anchors(data, self.roller)
+        start, stop = np.maximum(at - LEAD, 0), np.minimum(at + LENGTH, n)
+        if not len(self.hot):
+            return start, stop, at, gram, context, sums
+        is_hot = self.hot[np.minimum(np.searchsorted(self.hot, gram), len(self.hot) - 1)] == gram
+        if not is_hot.any():
+            return start, stop, at, gram, context, sums
+        change = np.zeros(n + 2, np.int64)
+        np.add.at(change, start[is_hot], 1)
+        # The last string over a gram begins at the gram, or as late as the text allows.
+        np.add.at(change, np.maximum(np.minimum(at[is_hot], n - LENGTH) + 1, start[is_hot]), -1)
+        own = np.flatnonzero(np.cumsum(change) > 0)
+        whole, cold = self.roller.hashes(sums, own, own + LENGTH), ~is_hot
+        again = self.second.hashes(self.second.sums(data), own, own + LENGTH)
+        return (
+            np.concatenate((start[cold], own)),
+            np.concatenate((stop[cold], own + LENGTH)),
+            np.concatenate((at[cold], own)),
+            np.concatenate((gram[cold], whole)),
+            np.concatenate((context[cold], again)),
+            sums,
+        )
+
+
 def _bytes(text: object) -> np.ndarray:
     return np.frombuffer(text if isinstance(text, bytes) else b"", np.uint8)
 
@@ -116,18 +158,49 @@ def _unplanes(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
 
 
+# --- hot grams ----------------------------------------------------------------------
+
+
+def count_contexts(batch: pd.DataFrame) -> pd.DataFrame:
+    """Distinct contexts in a batch of each gram that has two or more there."""
+    roller, parts = Roller(), []
+    for text in batch["body"]:
+        data = _bytes(text)
+        if len(data) >= LENGTH:
+            parts.append(np.stack(anchors(data, roller)[1:3]))
+    gram, context = np.concatenate(parts, axis=1) if parts else np.zeros((2, 0), np.uint64)
+    order = np.lexsort((context, gram))
+    gram, context = gram[order], context[order]
+    new = np.concatenate(([True], (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])))[: len(gram)]
+    grams, n = np.unique(gram[new], return_counts=True)
+    return pd.DataFrame({"gram": grams[n > 1].view(np.int64), "n": n[n > 1]})
+
+
+def hot_grams(docs: DataFrame, total: int, hot_contexts: int) -> np.ndarray:
+    """Sorted hashes of the grams with at least ``hot_contexts`` contexts and a HOT_SHARE of all bytes.
+
+    Each counted context begins at a byte of its own, so there are at most HOT_SHARE of
+    them, 64 MB, at every size of the corpus; a gram that is left out sends a shard fewer
+    entries than that limit and one for each batch.
+    """
+    least = max(hot_contexts, -(-total // HOT_SHARE))
+    counts = docs.select("batch", "body").groupBy("batch").applyInPandas(count_contexts, "gram long, n long")
+    found = counts.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("gram").toArrow()
+    return np.sort(found["gram"].to_numpy().astype(np.int64).view(np.uint64))
+
+
 # --- step 1: what a batch sends -----------------------------------------------------
 
 SENT = "shard int, batch int, gram binary, context binary, doc binary, several binary"
 
 
-def _sender(shards: int):
+def _sender(shards: int, hot: Broadcast):
     def send(batch: pd.DataFrame) -> pd.DataFrame:
-        roller, parts = Roller(), []
+        entries, parts = Entries(hot.value), []
         for doc, text in zip(batch["doc"].to_numpy(np.int64), batch["body"]):
             data = _bytes(text)
             if len(data) >= LENGTH:
-                _, gram, context, _ = anchors(data, roller)
+                _, _, _, gram, context, _ = entries.of(data)
                 parts.append((gram, context, np.full(len(gram), doc)))
         if not parts:
             return pd.DataFrame({c.split()[0]: [] for c in SENT.split(", ")})
@@ -166,42 +239,45 @@ ANSWERED = "batch int, context binary, first binary, look binary"
 _NOTHING, _SEND, _SEND_STRINGS = 0, 1, 2
 
 
-def answer(shard: pd.DataFrame) -> pd.DataFrame:
-    """For each batch the contexts that matter to it, with their first document."""
-    counts = [len(x) // 4 for x in shard["gram"]]
-    gram = np.frombuffer(b"".join(shard["gram"]), np.uint32)
-    context = np.frombuffer(b"".join(shard["context"]), np.uint64)
-    doc = np.concatenate([_unplanes(x, np.int64) for x in shard["doc"]])
-    several = np.concatenate(
-        [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(shard["several"], counts)]
-    ).astype(bool)
-    row = np.repeat(np.arange(len(counts)), counts)
-    order = np.lexsort((doc, context, gram))
-    gram, context, doc, several, row = (x[order] for x in (gram, context, doc, several, row))
-
-    new_gram = np.concatenate(([True], gram[1:] != gram[:-1]))
-    new_context = new_gram | np.concatenate(([True], context[1:] != context[:-1]))
-    gram_at, context_at = np.flatnonzero(new_gram), np.flatnonzero(new_context)
-    gram_of, context_of = np.cumsum(new_gram) - 1, np.cumsum(new_context) - 1
-    first = doc[context_at][context_of]
-    contexts = np.add.reduceat(new_context.astype(np.int64), gram_at)
-    shared = (np.minimum.reduceat(doc, gram_at) < np.maximum.reduceat(doc, gram_at)) | np.logical_or.reduceat(several, gram_at)
-    look = np.where(contexts > HOT_CONTEXTS, _SEND_STRINGS, np.where(contexts > 1, _SEND, _NOTHING))[gram_of]
-    look = np.where(shared[gram_of] & (doc == first), look, _NOTHING).astype(np.uint8)
-    matters = shared[gram_of] & ((first < doc) | several | (look > 0))
-    context, first, look, row = (x[matters] for x in (context, first, look, row))
-
-    order = np.lexsort((first, row))
-    context, first, look, row = (x[order] for x in (context, first, look, row))
-    cuts = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1]))) if len(row) else []
-    batches = shard["batch"].to_numpy()
-    return pd.DataFrame(
-        [
-            (int(batches[row[a]]), context[a:b].tobytes(), _planes(first[a:b]), look[a:b].tobytes())
-            for a, b in zip(cuts, [*cuts[1:], len(row)])
-        ],
-        columns=[c.split()[0] for c in ANSWERED.split(", ")],
-    )
+def _answerer(hot_contexts: int):
+    def answer(shard: pd.DataFrame) -> pd.DataFrame:
+        """For each batch the contexts that matter to it, with their first document."""
+        counts = [len(x) // 4 for x in shard["gram"]]
+        gram = np.frombuffer(b"".join(shard["gram"]), np.uint32)
+        context = np.frombuffer(b"".join(shard["context"]), np.uint64)
+        doc = np.concatenate([_unplanes(x, np.int64) for x in shard["doc"]])
+        several = np.concatenate(
+            [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(shard["several"], counts)]
+        ).astype(bool)
+        row = np.repeat(np.arange(len(counts)), counts)
+        order = np.lexsort((doc, context, gram))
+        gram, context, doc, several, row = (x[order] for x in (gram, context, doc, several, row))
+
+        new_gram = np.concatenate(([True], gram[1:] != gram[:-1]))
+        new_context = new_gram | np.concatenate(([True], context[1:] != context[:-1]))
+        gram_at, context_at = np.flatnonzero(new_gram), np.flatnonzero(new_context)
+        gram_of, context_of = np.cumsum(new_gram) - 1, np.cumsum(new_context) - 1
+        first = doc[context_at][context_of]
+        contexts = np.add.reduceat(new_context.astype(np.int64), gram_at)
+        shared = (np.minimum.reduceat(doc, gram_at) < np.maximum.reduceat(doc, gram_at)) | np.logical_or.reduceat(several, gram_at)
+        look = np.where(contexts > hot_contexts, _SEND_STRINGS, np.where(contexts > 1, _SEND, _NOTHING))[gram_of]
+        look = np.where(shared[gram_of] & (doc == first), look, _NOTHING).astype(np.uint8)
+        matters = shared[gram_of] & ((first < doc) | several | (look > 0))
+        context, first, look, row = (x[matters] for x in (context, first, look, row))
+
+        order = np.lexsort((first, row))
+        context, first, look, row = (x[order] for x in (context, first, look, row))
+        cuts = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1]))) if len(row) else []
+        batches = shard["batch"].to_numpy()
+        return pd.DataFrame(
+            [
+                (int(batches[row[a]]), context[a:b].tobytes(), _planes(first[a:b]), look[a:b].tobytes())
+                for a, b in zip(cuts, [*cuts[1:], len(row)])
+            ],
+            columns=[c.split()[0] for c in ANSWERED.split(", ")],
+        )
+
+    return answer
 
 
 # --- step 3: contexts to sort, and spans that need no sorting --------------------------
@@ -221,41 +297,43 @@ def _merged(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     return np.stack((start[new], reach[ends]), axis=1).astype(np.int64)
 
 
-def look_up(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-    """Spans of a batch's documents that are covered whole, and the contexts they have to send."""
-    columns = [c.split()[0] for c in FOUND.split(", ")]
-    if not len(answers) or not len(batch):
-        return pd.DataFrame({c: [] for c in columns})
-    known = np.frombuffer(b"".join(answers["context"]), np.uint64)
-    first = np.concatenate([_unplanes(x, np.int64) for x in answers["first"]])
-    look = np.frombuffer(b"".join(answers["look"]), np.uint8)
-    order = np.argsort(known, kind="stable")
-    known, first, look = known[order], first[order], look[order]
-    number, roller, rows = int(batch["batch"].iloc[0]), Roller(), []
-    for doc, row, text in zip(batch["doc"].tolist(), batch["row"].tolist(), batch["body"]):
-        data = _bytes(text)
-        if len(data) < LENGTH:
-            continue
-        at, gram, context, sums = anchors(data, roller)
-        place = np.minimum(np.searchsorted(known, context), len(known) - 1)
-        hit = known[place] == context
-        covered = hit & (first[place] < doc)
-        start, stop = np.maximum(at - LEAD, 0), np.minimum(at + LENGTH, len(data))
-        whole = covered & (stop - start >= LENGTH)
-        if whole.any():
-            rows.append((_SPANS, number, doc, row, 0, 0, 0, None, _merged(start[whole], stop[whole]).tobytes()))
-        asked = np.flatnonzero(hit & (first[place] == doc) & (look[place] > 0) & (stop - start >= LENGTH))
-        for i in asked.tolist():
-            a, b, p = int(start[i]), int(stop[i]), int(at[i])
-            own = data[a:b].tobytes()
-            if look[place[i]] == _SEND:
-                rows.append((_CONTEXT, number, doc, row, int(gram[i : i + 1].view(np.int64)[0]), p, p - a, own, None))
+def _looker(hot: Broadcast):
+    def look_up(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        """Spans of a batch's documents that are covered whole, and the contexts they have to send."""
+        columns = [c.split()[0] for c in FOUND.split(", ")]
+        if not len(answers) or not len(batch):
+            return pd.DataFrame({c: [] for c in columns})
+        known = np.frombuffer(b"".join(answers["context"]), np.uint64)
+        first = np.concatenate([_unplanes(x, np.int64) for x in answers["first"]])
+        look = np.frombuffer(b"".join(answers["look"]), np.uint8)
+        order = np.argsort(known, kind="stable")
+        known, first, look = known[order], first[order], look[order]
+        number, entries, rows = int(batch["batch"].iloc[0]), Entries(hot.value), []
+        for doc, row, text in zip(batch["doc"].tolist(), batch["row"].tolist(), batch["body"]):
+            data = _bytes(text)
+            if len(data) < LENGTH:
                 continue
-            for s in range(a, min(p, b - LENGTH) + 1):
-                key = int(roller.hashes(sums, np.array([s]), np.array([s + LENGTH])).view(np.int64)[0])
-                piece = own[s - a : s - a + LENGTH]
-                rows.append((_CONTEXT, number, doc, row, key, p, p - s, piece, None))
-    return pd.DataFrame(rows, columns=columns)
+            start, stop, at, gram, context, sums = entries.of(data)
+            place = np.minimum(np.searchsorted(known, context), len(known) - 1)
+            hit = known[place] == context
+            covered = hit & (first[place] < doc)
+            whole = covered & (stop - start >= LENGTH)
+            if whole.any():
+                rows.append((_SPANS, number, doc, row, 0, 0, 0, None, _merged(start[whole], stop[whole]).tobytes()))
+            asked = np.flatnonzero(hit & (first[place] == doc) & (look[place] > 0) & (stop - start >= LENGTH))
+            for i in asked.tolist():
+                a, b, p = int(start[i]), int(stop[i]), int(at[i])
+                own = data[a:b].tobytes()
+                if look[place[i]] == _SEND:
+                    rows.append((_CONTEXT, number, doc, row, int(gram[i : i + 1].view(np.int64)[0]), p, p - a, own, None))
+                    continue
+                for s in range(a, min(p, b - LENGTH) + 1):
+                    key = int(entries.roller.hashes(sums, np.array([s]), np.array([s + LENGTH])).view(np.int64)[0])
+                    piece = own[s - a : s - a + LENGTH]
+                    rows.append((_CONTEXT, number, doc, row, key, p, p - s, piece, None))
+        return pd.DataFrame(rows, columns=columns)
+
+    return look_up
 
 
 # --- deep-shallow sorting -------------------------------------------------------------
@@ -444,7 +522,13 @@ def cut(batch: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["no_id", "doc", "n_bytes", "n_removed", "spans", "kept"])
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def remove_repeats(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    batch_bytes: int = BATCH_BYTES,
+    hot_contexts: int = HOT_CONTEXTS,
+) -> DataFrame:
     """One row per row of ``df``: id, ``n_bytes``, ``n_removed``, ``spans`` and the ``kept`` bytes.
 
     Texts are taken as UTF-8 bytes, null as empty; texts under 50 bytes are kept whole.  A
@@ -475,9 +559,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     docs = spark.table(name)
 
-    sent = docs.groupBy("batch").applyInPandas(_sender(shards), SENT)
-    answers = written(sent.groupBy("shard").applyInPandas(answer, ANSWERED), "answers")
-    found = written(docs.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(look_up, FOUND), "found")
+    hot = spark.sparkContext.broadcast(hot_grams(docs, total, hot_contexts))
+    sent = docs.groupBy("batch").applyInPandas(_sender(shards, hot), SENT)
+    answers = written(sent.groupBy("shard").applyInPandas(_answerer(hot_contexts), ANSWERED), "answers")
+    found = written(docs.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(_looker(hot), FOUND), "found")
     contexts = (
         found.where(F.col("kind") == _CONTEXT)
         .withColumn("part", F.pmod(F.xxhash64("key"), F.lit(4 * shards)))
