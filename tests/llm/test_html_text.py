@@ -54,6 +54,19 @@ def test_broken_markup():
     assert extract("") == "" and extract(None) is None and extract("<br>") == ""
 
 
+def test_stray_and_unclosed_quotes():
+    assert extract('<p class="a"">x</p><p "b>y</p>') == "x\n\ny"
+    assert extract("<p>it's <b title=don't>bold</b> isn't it") == "it's bold isn't it"
+    assert extract('<p>before <a href="never closed>and after') == "before"
+    assert extract("<p>a<!-->b<!--->c") == "abc"
+
+
+def test_cost_is_linear_in_odd_pages():
+    # Each of these takes hours where a tag costs a look at the whole stack or the rest of the page.
+    assert extract("<p>x" + '<a "' * 300_000) == "x"
+    assert extract("<i>" * 100_000 + "<section>y</section></b>" * 100_000).startswith("y\ny\n")
+
+
 def test_depth_and_length_are_no_obstacle():
     assert extract("<div>" * 20_000 + "x") == "x"
     assert extract("<ul><li>" * 2_000 + "x").endswith("x")

@@ -12,6 +12,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -49,9 +50,11 @@ CLOSES = {
 #: Elements whose border an implied or stray end tag does not cross.
 SCOPE = frozenset("table td th caption button object template html".split())
 
+# Quotes count only as an attribute's value, which an unclosed one ends with the page.
 _TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)"
+    r"(?P<rest>(?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))?)*+)(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -70,9 +73,22 @@ def parse(page: str) -> Node:
     """The page's tree; text is kept as strings among the children."""
     root = Node("html", {})
     stack, at, end = [root], 0, len(page)
+    # How many elements of a name are open: most tags close nothing and need no look at the stack.
+    held: Counter[str] = Counter()
+
+    def open_element(node: Node) -> None:
+        stack[-1].children.append(node)
+        stack.append(node)
+        held[node.name] += 1
+
+    def close_from(i: int) -> None:
+        held.subtract(node.name for node in stack[i:])
+        del stack[i:]
 
     def pop_to(names: set[str] | frozenset[str], barrier) -> None:
         """End the outermost open element of ``names`` that no ``barrier`` hides."""
+        if not any(held[name] for name in names):
+            return
         cut = None
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].name in names:
@@ -80,7 +96,7 @@ def parse(page: str) -> Node:
             elif stack[i].name in barrier:
                 break
         if cut:
-            del stack[cut:]
+            close_from(cut)
 
     while at < end:
         stop, found = page.find("<", at), None
@@ -101,10 +117,10 @@ def parse(page: str) -> Node:
         if found["end"]:
             if name == "br":
                 stack[-1].children.append(Node("br", {}))
-            elif name not in ("html", "body"):
+            elif name not in ("html", "body") and held[name]:
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].name == name:
-                        del stack[i:]
+                        close_from(i)
                         break
                     if stack[i].name in SCOPE and name not in ("table", "tr", "tbody", "thead", "tfoot"):
                         break
@@ -125,14 +141,13 @@ def parse(page: str) -> Node:
             pop_to({"head"}, ())
             pop_to({"p"}, SCOPE)
         if name in ("td", "th") and stack[-1].name in ("table", "thead", "tbody", "tfoot"):
-            row = Node("tr", {})
-            stack[-1].children.append(row)
-            stack.append(row)
+            open_element(Node("tr", {}))
         node = Node(name, attributes)
-        stack[-1].children.append(node)
         if name in VOID:
+            stack[-1].children.append(node)
             continue
         if name in RAW_TEXT:
+            stack[-1].children.append(node)
             closing = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             body = page[at : closing.start() if closing else end]
             if name in ("title", "textarea"):
@@ -140,7 +155,7 @@ def parse(page: str) -> Node:
             node.children.append(body)
             at = closing.end() if closing else end
             continue
-        stack.append(node)
+        open_element(node)
     return root
 
 
