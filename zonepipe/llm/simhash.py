@@ -37,8 +37,11 @@ SHARD_SIZE = 4096
 LEAF_SIZE = 128
 #: Fingerprints sampled for each shard to place its tree's vantage points.
 SAMPLE_PER_SHARD = 24
-#: Upper trees end here; shards beyond it grow, and are searched by deeper local trees.
-MAX_SHARDS = 1 << 13
+#: Upper trees end here, a quarter of a billion distinct fingerprints on; shards beyond it grow,
+#: and are searched by deeper local trees.  At 20 billion a shard has some 20 million narrow rows.
+MAX_SHARDS = 1 << 16
+#: Fingerprints that a task walks through an upper tree at once, and rows it hands out at once.
+DEAL_AT_ONCE = 1 << 18
 
 
 # --- fingerprints -----------------------------------------------------------------
@@ -211,10 +214,27 @@ def shard_links(shard: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": x, "b": y})
 
 
-def _dealer(trees: list[tuple]) -> Callable:
+def _gathered(batches: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
+    """Fingerprints of many batches at once: a walk through a tree costs the same for few as for many."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch["fp"].to_numpy(np.int64))
+        size += len(batch)
+        if size >= DEAL_AT_ONCE:
+            yield np.concatenate(held)
+            held, size = [], 0
+    if size:
+        yield np.concatenate(held)
+
+
+def _dealer(trees: list[dict]) -> Callable:
+    def dealt(which: int, fps: np.ndarray, home: np.ndarray, parts: list[tuple[int, np.ndarray]]) -> pd.DataFrame:
+        at = np.concatenate([x for _, x in parts])
+        shard = np.repeat(np.array([leaf for leaf, _ in parts], np.int32), [len(x) for _, x in parts])
+        return pd.DataFrame({"tree": np.int32(which), "shard": shard, "fp": fps[at], "home": home[at] == shard})
+
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fps = batch["fp"].to_numpy(np.int64)
+        for fps in _gathered(batches):
             for which, state in enumerate(trees):
                 tree = Tree.__new__(Tree)
                 tree.__dict__ = state
@@ -222,10 +242,15 @@ def _dealer(trees: list[tuple]) -> Callable:
                 home = np.full(len(fps), -1)
                 for leaf, at in tree.route(values, 0):
                     home[at] = leaf
+                parts, size = [], 0
                 for leaf, at in tree.route(values, RADIUS):
-                    yield pd.DataFrame(
-                        {"tree": np.int32(which), "shard": np.int32(leaf), "fp": fps[at], "home": home[at] == leaf}
-                    )
+                    parts.append((leaf, at))
+                    size += len(at)
+                    if size >= DEAL_AT_ONCE:
+                        yield dealt(which, fps, home, parts)
+                        parts, size = [], 0
+                if parts:
+                    yield dealt(which, fps, home, parts)
 
     return deal
 
@@ -235,8 +260,8 @@ def links(fps: DataFrame) -> DataFrame:
     n = fps.count()
     shards = min(MAX_SHARDS, max(1, -(-n // SHARD_SIZE)))
     wanted = shards * SAMPLE_PER_SHARD
-    sample = fps.sample(fraction=min(1.0, 1.2 * wanted / max(1, n)), seed=SEED).limit(2 * wanted)
-    points = np.sort(np.array([r["fp"] for r in sample.collect()], np.int64))
+    sample = fps.select("fp").sample(fraction=min(1.0, 1.2 * wanted / max(1, n)), seed=SEED).limit(2 * wanted)
+    points = np.sort(sample.toArrow()["fp"].to_numpy().astype(np.int64))
     trees = []
     for which in (0, 1):
         tree = Tree(half(points, which) if len(points) else np.zeros(0, np.uint32), SAMPLE_PER_SHARD * 2 if shards > 1 else len(points))
