@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -73,11 +74,23 @@ def test_exact_groups_keep_clashing_columns(odd, odd_wide):
     assert {r.size for r in kept.collect()} == {1}
 
 
-def test_exact_groups_with_too_many_prefixes_to_broadcast(odd, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", -1)
+@pytest.mark.parametrize("bits", [1, 2, 1 << 16])
+def test_exact_groups_with_too_many_prefixes_for_the_filter(odd, monkeypatch, bits):
+    monkeypatch.setattr(exact_dedup, "FILTER_BITS", bits)
     check_exact(odd)
 
 
+def test_filter_holds_the_surviving_groups_and_little_else(spark):
+    pairs = spark.range(2000).select(F.col("id").cast("int").alias("length"), F.xxhash64("id").alias("prefix"))
+    kept = exact_dedup.survivor_filter(pairs.where("length % 4 = 0")).toDF("map", "bits")
+    asked = pairs.withColumn("bit", exact_dedup._bit("length", "prefix"))
+    found = asked.join(kept, F.expr(f"bit div {exact_dedup.BITMAP_BITS}") == F.col("map"), "left").where(
+        exact_dedup._is_set(F.col("bits"), F.col("bit"))
+    )
+    lengths = {r["length"] for r in found.collect()}
+    assert lengths >= set(range(0, 2000, 4)) and len(lengths) < 510
+
+
 def test_exact_groups_tell_texts_with_equal_prefix_and_length_apart(spark):
     head = "x" * 200
     check_exact(spark.createDataFrame([(1, head + "ab"), (2, head + "ba"), (3, head + " ab")], "doc_id long, text string"))

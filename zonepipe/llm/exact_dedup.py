@@ -4,6 +4,9 @@ Texts are equal when they are identical after white space is deleted.  Documents
 grouped by normalised length, groups of two and more by the hash of a prefix, and only
 documents in groups that survive both get a hash of their whole text.
 
+Which groups survive is sent to every task as a filter of fixed size, one bit per hash of
+a group.  Two groups on one bit cost a hash that was not needed and change no result.
+
 Shuffles carry lengths and hashes, never texts.  Copies are counted with partial
 aggregation, so a group that holds a third of all rows reaches each reducer as one row
 per task; the join that hands the group's result back is one that adaptive execution
@@ -15,9 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonepipe.llm.common import BROADCAST_ROWS, WHITESPACE, text_or_empty, unused, written
+from zonepipe.llm.common import WHITESPACE, text_or_empty, unused, written
 
 PREFIX_CHARS = 64
+#: Bits of the filter of surviving groups: 8 MB, whatever the size of the corpus.
+FILTER_BITS = 1 << 26
+# Fixed value: bits of one bitmap that Spark's bitmap aggregate makes.
+BITMAP_BITS = 1 << 15
 
 
 def normalised(text: str | Column) -> Column:
@@ -43,6 +50,26 @@ def surviving_prefixes(df: DataFrame, text_col: str = "text", prefix_chars: int
     return _shared(sized.join(lengths, "length", "left_semi"), ["length", "prefix"]).select("length", "prefix")
 
 
+def _bit(length: str, prefix: str) -> Column:
+    return F.pmod(F.xxhash64(length, prefix), F.lit(FILTER_BITS))
+
+
+def survivor_filter(survivors: DataFrame) -> DataFrame:
+    """``map, bits``: bitmaps with a bit for each ``(length, prefix)``, at most FILTER_BITS in all."""
+    return (
+        survivors.select(_bit("length", "prefix").alias("bit"))
+        .select(F.expr(f"bit div {BITMAP_BITS}").alias("map"), F.pmod("bit", F.lit(BITMAP_BITS)).alias("at"))
+        .groupBy("map")
+        .agg(F.bitmap_construct_agg("at").alias("bits"))
+    )
+
+
+def _is_set(bits: Column, bit: Column) -> Column:
+    at = F.pmod(bit, F.lit(BITMAP_BITS)).cast("int")
+    byte = F.conv(F.hex(F.substring(bits, F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    return F.getbit(byte.cast("long"), at % 8) == 1
+
+
 def exact_groups(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = PREFIX_CHARS
 ) -> DataFrame:
@@ -56,11 +83,11 @@ def exact_groups(
     """
     results = (text_col, "keep_id", "group_size", "kept")
     carried = [c for c in df.columns if c not in results]
-    points, uid, length, prefix, body, shared, digest, best, keep_row = unused(
-        df, "points_", "uid_", "length_", "prefix_", "body_", "shared_", "digest_", "best_", "keep_row_"
+    points, uid, length, prefix, body, bit, slot, bits, digest, best, keep_row = unused(
+        df, "points_", "uid_", "length_", "prefix_", "body_", "bit_", "map_", "bits_", "digest_", "best_", "keep_row_"
     )
     norm = normalised(text_col)
-    survivors = written(surviving_prefixes(df, text_col, prefix_chars), "prefixes")
+    survivors = written(survivor_filter(surviving_prefixes(df, text_col, prefix_chars)), "survivors").toDF(slot, bits)
 
     seen = df.select(
         *carried,
@@ -71,13 +98,11 @@ def exact_groups(
         F.monotonically_increasing_id().alias(uid),
     )
     full = F.sha2(F.col(body), 256)
-    if survivors.count() <= BROADCAST_ROWS:
-        groups_of_two = survivors.select(F.col("length").alias(length), F.col("prefix").alias(prefix), F.lit(True).alias(shared))
-        marked = seen.join(F.broadcast(groups_of_two), [length, prefix], "left").withColumn(digest, F.when(F.col(shared), full))
-    else:
-        # Too many groups to send to every task: hashing every text gives the same groups
-        # and moves no text.
-        marked = seen.withColumn(digest, full)
+    marked = (
+        seen.withColumn(bit, _bit(length, prefix))
+        .join(F.broadcast(survivors), F.expr(f"`{bit}` div {BITMAP_BITS}") == F.col(slot), "left")
+        .withColumn(digest, F.when(_is_set(F.col(bits), F.col(bit)), full))
+    )
     hashed = written(marked.select(*carried, points, length, uid, digest), "hashed")
 
     rank = F.struct(
