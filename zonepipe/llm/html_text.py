@@ -87,7 +87,7 @@ def parse(page: str) -> Node:
 
     def pop_to(names: set[str] | frozenset[str], barrier) -> None:
         """End the outermost open element of ``names`` that no ``barrier`` hides."""
-        if not any(held[name] for name in names):
+        if not any(map(held.get, names)):
             return
         cut = None
         for i in range(len(stack) - 1, 0, -1):
@@ -117,7 +117,7 @@ def parse(page: str) -> Node:
         if found["end"]:
             if name == "br":
                 stack[-1].children.append(Node("br", {}))
-            elif name not in ("html", "body") and held[name]:
+            elif name not in ("html", "body") and held.get(name):
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].name == name:
                         close_from(i)
