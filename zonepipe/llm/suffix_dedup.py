@@ -44,6 +44,8 @@ LEAD = LENGTH - GRAM
 #: Depth in bytes of the quicksort; deeper groups go to blind tries.
 SHALLOW = 16
 BATCH_BYTES = 16 << 20
+#: Buckets of the table of batches; beyond so many batches a bucket holds several.
+MAX_BUCKETS = 1 << 14
 #: Expected anchors for each gram shard.
 SHARD_ANCHORS = 1 << 20
 #: A gram with more contexts is dealt by whole strings; so many as there are at least.
@@ -549,7 +551,7 @@ def remove_repeats(
         body.alias("body"),
     )
     name = f"llm_batches_{uuid.uuid4().hex}"
-    buckets = min(batches, 4096)
+    buckets = min(batches, MAX_BUCKETS)
     (
         dealt.repartition(buckets, "batch")
         .write.bucketBy(buckets, "batch")
