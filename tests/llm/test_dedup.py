@@ -172,6 +172,16 @@ def test_one_row_of_each_component_stays(odd, odd_wide):
         assert set(kept_ids) == {c for _, c in parts}
 
 
+def test_unlinked_rows_without_or_with_one_id_all_stay(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(4)]
+    assert len(set(plain_components([plain_fingerprint(t) for t in texts]))) == 4
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (6, texts[3])]
+    kept = simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3])]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, expected))
+
+
 def test_near_dedup_of_an_empty_table(empty):
     assert simhash.components(empty).collect() == []
     assert simhash.deduplicated(empty).collect() == []

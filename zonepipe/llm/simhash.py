@@ -307,6 +307,24 @@ def contract(edges: DataFrame) -> DataFrame:
         edges = written(small.unionByName(own).where("a <> b").distinct(), "links")
 
 
+def _rooted(df: DataFrame, id_col: str, text_col: str, root: str) -> DataFrame:
+    """The rows of ``components``, and as ``root`` the smallest fingerprint of each one's component."""
+    results = (text_col, "fingerprint", "component_id")
+    columns = [c for c in df.columns if c not in results]
+    node, least = unused(df.withColumn(root, F.lit(0)), "node_", "least_")
+    rows = written(df.select(*columns, fingerprints(F.col(text_col)).alias("fingerprint")), "fingerprints")
+    distinct = written(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(id_col).alias("first_id")), "distinct")
+    stars = contract(links(distinct))
+    rooted = distinct.join(stars, distinct["fp"] == stars["a"], "left").select(
+        "fp", "first_id", F.coalesce("b", "fp").alias(root)
+    )
+    smallest = rooted.groupBy(root).agg(F.min("first_id").alias(least))
+    named = written(rooted.join(smallest, root).select(F.col("fp").alias(node), root, least), "components")
+    return rows.join(named, F.col("fingerprint") == F.col(node)).select(
+        *columns, "fingerprint", F.col(least).alias("component_id"), root
+    )
+
+
 def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of ``df`` but the text, plus ``fingerprint`` and ``component_id``.
 
@@ -317,33 +335,23 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     An empty table gives an empty result.  Columns of ``df`` with the names of result
     columns are replaced.
     """
-    results = (text_col, "fingerprint", "component_id")
-    columns = [c for c in df.columns if c not in results]
-    node, least = unused(df, "node_", "least_")
-    rows = written(df.select(*columns, fingerprints(F.col(text_col)).alias("fingerprint")), "fingerprints")
-    distinct = written(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(id_col).alias("first_id")), "distinct")
-    stars = contract(links(distinct))
-    rooted = distinct.join(stars, distinct["fp"] == stars["a"], "left").select(
-        "fp", "first_id", F.coalesce("b", "fp").alias("root")
-    )
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias(least))
-    named = written(rooted.join(smallest, "root").select(F.col("fp").alias(node), least), "components")
-    return rows.join(named, F.col("fingerprint") == F.col(node)).select(
-        *columns, "fingerprint", F.col(least).alias("component_id")
-    )
+    [root] = unused(df, "root_")
+    return _rooted(df, id_col, text_col, root).drop(root)
 
 
 def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df``, unchanged, less all but one of each component.
 
     The row with the smallest id stays; among rows that repeat it, the one with the
-    smallest hash of all columns.  Components without any id keep one row too.
+    smallest hash of all columns.  Components without any id keep one row each too, and an
+    id that occurs in two components can stay in both: a component is known by its root
+    fingerprint, not by its smallest id.
     """
-    tie, best, component, kept = unused(df, "tie_", "best_", "component_", "kept_")
+    tie, best, root, kept = unused(df, "tie_", "best_", "root_", "kept_")
     rows = df.withColumn(tie, F.xxhash64(*df.columns))
-    found = components(rows.select(id_col, tie, text_col), id_col, text_col)
+    found = _rooted(rows.select(id_col, tie, text_col), id_col, text_col, root)
     # The null-last order of ids, and one row per component: partial maxima first.
-    first = found.groupBy(F.col("component_id").alias(component)).agg(
+    first = found.groupBy(root).agg(
         F.max(F.struct((-F.col(id_col)).alias("id"), (-F.col(tie)).alias("tie"))).alias(best)
     )
     keep = written(first.select((-F.col(best)["id"]).alias(kept), (-F.col(best)["tie"]).alias(best)), "kept")
