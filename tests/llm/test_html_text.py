@@ -23,6 +23,16 @@ def test_wide_and_spanning_cells():
     assert extract("<table><tr><td colspan=2>whole width here<td>z<tr><td>a<td>b<td>c</table>") == "whole width here  z\na  b  c"
 
 
+def test_what_lies_outside_rows_and_cells_is_shown():
+    assert extract("<table><tbody><form><tr><td>text</td></tr></form></tbody></table>") == "text"
+    assert extract("<table><form><tr><td>a<td>b</tr><tr><td>c</form></table>") == "a  b\nc"
+    assert extract("<table><tbody>some text<tr><td>a</table>") == "some text\na"
+    assert extract("<table><tbody><div>text</div></tbody><tfoot>foot<tr><td>a</table>") == "text\nfoot\na"
+    assert extract("<table><colgroup><col>loose<tr><td>a</table>") == "loose\na"
+    assert extract("<table><tr><td>a<td>b<tr><form><td>c<td>d</form></table>") == "a  b\nc  d"
+    assert extract("<table><tbody hidden>no<tr><td>no<tbody><noscript><tr><td>no</td></tr></noscript><tr><td>a</table>") == "a"
+
+
 def test_nested_table_stays_in_its_cell():
     assert extract("<table><tr><td>a<td><table><tr><td>x<td>y</table></table>") == "a  x  y"
 

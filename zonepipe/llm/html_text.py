@@ -47,6 +47,15 @@ CLOSES = {
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
 }
+#: Parts of a table, and what they may lie in: elements in between end, as in a browser.
+WITHIN = {
+    "td": {"tr", "thead", "tbody", "tfoot", "table"},
+    "th": {"tr", "thead", "tbody", "tfoot", "table"},
+    "tr": {"thead", "tbody", "tfoot", "table"},
+    "thead": {"table"},
+    "tbody": {"table"},
+    "tfoot": {"table"},
+}
 #: Elements whose border an implied or stray end tag does not cross.
 SCOPE = frozenset("table td th caption button object template html".split())
 
@@ -98,6 +107,15 @@ def parse(page: str) -> Node:
         if cut:
             close_from(cut)
 
+    def back_to(names: set[str]) -> None:
+        """End what lies inside the innermost open element of ``names``, unless it is hidden there."""
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i].name in names:
+                close_from(i + 1)
+            elif stack[i].name not in HIDDEN:
+                continue
+            return
+
     while at < end:
         stop, found = page.find("<", at), None
         while stop >= 0 and not (found := _TOKEN.match(page, stop)):
@@ -140,6 +158,8 @@ def parse(page: str) -> Node:
         if name in BLOCK and name not in ("option", "optgroup"):
             pop_to({"head"}, ())
             pop_to({"p"}, SCOPE)
+        if name in WITHIN and held["table"] and stack[-1].name not in WITHIN[name]:
+            back_to(WITHIN[name])
         if name in ("td", "th") and stack[-1].name in ("table", "thead", "tbody", "tfoot"):
             open_element(Node("tr", {}))
         node = Node(name, attributes)
@@ -338,6 +358,15 @@ def _rows(node: Node) -> Iterator[Node]:
                 yield child
 
 
+def _loose(node: Node) -> Iterator[Node | str]:
+    """What lies in the table or its sections outside all rows; a browser shows it before the table."""
+    for child in node.children:
+        if isinstance(child, str) or child.name not in ("thead", "tbody", "tfoot", "colgroup", "tr", "col"):
+            yield child
+        elif child.name not in ("tr", "col") and visible(child):
+            yield from _loose(child)
+
+
 def _span(node: Node) -> int:
     value = node.attributes.get("colspan", "1").strip()
     return min(1000, max(1, int(value))) if re.fullmatch(r"\d{1,4}", value) else 1
@@ -345,8 +374,7 @@ def _span(node: Node) -> int:
 
 def _table(node: Node, lines: Lines, depth: int) -> None:
     loose = Node("div", {})
-    sections = ("thead", "tbody", "tfoot", "tr", "colgroup", "col")
-    loose.children = [c for c in node.children if not (isinstance(c, Node) and c.name in sections)]
+    loose.children = list(_loose(node))
     before = _rendered(loose, depth)
     if before:
         lines.insert(before)
@@ -361,7 +389,11 @@ def _table(node: Node, lines: Lines, depth: int) -> None:
                 holder.children = [cell]
                 cell = holder
             if visible(cell):
-                cells.append((column, _rendered(cell, depth)))
+                body = _rendered(cell, depth)
+                # Only cells take a column when they are empty.
+                if not body and cell.name not in ("td", "th"):
+                    continue
+                cells.append((column, body))
                 column += _span(cell)
         if any(body for _, body in cells):
             grid.append(cells)
