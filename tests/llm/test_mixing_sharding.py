@@ -72,6 +72,20 @@ def test_border_inside_one_bucket(spark, monkeypatch):
     assert sorted((r.doc_id, r.copies) for r in check_mix(docs)) == expected
 
 
+@pytest.mark.parametrize("few", [200_000, -1])
+def test_rows_without_or_with_one_id_are_drawn_apart(spark, monkeypatch, few):
+    monkeypatch.setattr("zonepipe.llm.common.BROADCAST_ROWS", few)
+    rows = [(None if i < 60 else 7, f"t{i % 40} w w w", "a") for i in range(120)] + [(8, "x y", "b"), (9, "x", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    options = ((1, 1), 0.5)
+    got = mixing.mix(docs, *options).collect()
+    taken = sum(r.copies * r.size for r in got if r.source == "a")
+    [target] = {r.target for r in got if r.source == "a"}
+    assert len(got) == len(rows) and 0 < target < 480 and abs(taken - target) <= 4
+    again = mixing.mix(docs.repartition(5), *options).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_mix_of_an_empty_table_and_of_no_words(spark, empty):
     assert mixing.mix(empty, MIX_WEIGHTS, MIX_SHARE).collect() == []
     blank = spark.createDataFrame([(1, None, "a"), (2, "", "b")], "doc_id long, text string, source string")

@@ -5,8 +5,8 @@ times for certain; the rest of the target is an unequal-probability sample of fi
 in words: documents are ranked by Pareto's order statistic, the odds of a uniform number
 divided by the odds of inclusion, and the first ones that fill the rest are taken.
 
-The uniform number is a hash of id and seed, so a rerun takes the same documents.  The
-rank is cut without sorting a source: word counts per rank bucket are summed first, and
+The uniform number is a hash of id and seed, so a rerun takes the same documents; where rows
+share an id, or have none, the rest of the row decides too.  The rank is cut without sorting a source: word counts per rank bucket are summed first, and
 only the one bucket per source that holds the border is ordered row by row.
 """
 
@@ -25,13 +25,47 @@ RANK_BUCKETS = 4096
 UNIFORM_DIGITS = 13
 
 
-def uniform(id_col: str, seed: str) -> Column:
-    """A number in (0, 1) that only the id and the seed decide."""
-    digest = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+def uniform(id_col: str, seed: str, *more: Column) -> Column:
+    """A number in (0, 1) that only the id, the seed and the values of ``more`` decide."""
+    rest = [part for column in more for part in (F.lit("/"), column.cast("string"))]
+    digest = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), *rest))
     drawn = F.conv(F.substring(digest, 1, UNIFORM_DIGITS), 16, 10).cast("double")
     return (drawn + F.lit(0.5)) / F.lit(float(16**UNIFORM_DIGITS))
 
 
+def _drawn(df: DataFrame, id_col: str, seed: str, u: str, id_key: str) -> DataFrame:
+    """``df`` plus its uniform numbers ``u`` and, for equal ranks, the order ``id_key``.
+
+    Ids that occur once need nothing but themselves.  Rows that share an id, or are several
+    without one, are told apart by a hash of the row, and full repeats by a count of them;
+    which of the equal rows gets which number makes no difference.
+    """
+    shared, row, copy = unused(df, "shared_", "row_", "copy_")
+
+    def by_id(rows: DataFrame) -> DataFrame:
+        key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
+        return rows.withColumn(u, uniform(id_col, seed)).withColumn(id_key, key)
+
+    counted = df.groupBy(F.col(id_col).alias(shared)).agg(F.count("*").alias("n"))
+    ids = written(counted.where("n > 1").select(shared), "mix-shared-ids")
+    n_ids = ids.count()
+    if not n_ids:
+        return by_id(df)
+    same = df[id_col].eqNullSafe(ids[shared])
+    # Maps have no hash.
+    hashed = [c for c, kind in df.dtypes if "map<" not in kind]
+    equal = Window.partitionBy(id_col, row).orderBy(row)
+    many = (
+        join_checked(df, ids, same, "left_semi", n_ids)
+        .withColumn(row, F.xxhash64(*hashed))
+        .withColumn(copy, F.row_number().over(equal))
+        .withColumn(u, uniform(id_col, seed, F.col(row), F.col(copy)))
+        .withColumn(id_key, F.xxhash64(row, copy))
+        .drop(row, copy)
+    )
+    return by_id(join_checked(df, ids, same, "left_anti", n_ids)).unionByName(many)
+
+
 def source_targets(
     sizes: DataFrame, weights: Sequence[float], share: float, most: float
 ) -> DataFrame:
@@ -79,9 +113,9 @@ def mix(
     ``copies`` is how often the mix takes a row: the certain copies, and one more where the
     sample holds it.  Words taken of a source differ from its target by less than one
     document.  Null sources form one source; rows without words are taken as often as the
-    source's certain copies, and in a source without words not at all.  Rows that repeat an
-    id are drawn alike.  An empty table gives an empty result.  Columns of ``df`` with the
-    names of result columns are replaced.
+    source's certain copies, and in a source without words not at all.  Rows that share an
+    id, or have none, are drawn apart, full repeats too.  An empty table gives an empty
+    result.  Columns of ``df`` with the names of result columns are replaced.
 
     ``most`` caps a target, so a row has at most ``most`` copies, rounded up.
     """
@@ -89,11 +123,7 @@ def mix(
     results = ("size", "source_size", "target", "copies")
     columns = [c for c in df.columns if c not in results]
     u, id_key, key, plan_c, rank = unused(df, "u_", "id_", "source_key_", "plan_", "rank_")
-    drawn = (
-        df.withColumn("size", size)
-        .withColumn(u, uniform(id_col, seed))
-        .withColumn(id_key, F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))))
-    )
+    drawn = _drawn(df.withColumn("size", size), id_col, seed, u, id_key)
     narrow = written(drawn.select(F.col(source_col).alias(key), "size", u, id_key), "mix-sizes")
 
     targets = written(
