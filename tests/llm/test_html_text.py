@@ -46,6 +46,12 @@ def test_visibility():
     assert extract(page) == "yes"
 
 
+def test_text_and_inline_elements_end_an_open_head():
+    assert extract("<head><title>t</title>Hello <b>world</b><p>x") == "Hello world\n\nx"
+    assert extract("<head>\n<meta charset=utf-8> <style>p{}</style>\n<a href=x>link</a> y<p>x") == "link y\n\nx"
+    assert extract("<head><noscript><img alt=no></noscript><title>t</title></head>x") == "x"
+
+
 def test_white_space_and_breaks():
     assert extract("a  b\n\tc<br>d <b> e</b>f<hr>g") == "a b c\nd ef\n---\ng"
     assert extract("<pre>x\n  y</pre>z") == "x\n  y\n\nz"

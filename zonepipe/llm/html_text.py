@@ -59,6 +59,9 @@ WITHIN = {
 #: Elements whose border an implied or stray end tag does not cross.
 SCOPE = frozenset("table td th caption button object template html".split())
 
+#: Start tags that leave an open head open.
+HEAD = frozenset("head base basefont bgsound link meta noframes noscript script style template title".split())
+
 # Quotes count only as an attribute's value, which an unclosed one ends with the page.
 _TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -123,7 +126,10 @@ def parse(page: str) -> Node:
         if stop < 0:
             stop = end
         if stop > at:
-            stack[-1].children.append(html.unescape(page[at:stop]))
+            text = html.unescape(page[at:stop])
+            if stack[-1].name == "head" and text.strip(" \t\n\r\f"):
+                close_from(len(stack) - 1)
+            stack[-1].children.append(text)
         if not found:
             break
         at = max(found.end(), stop + 1)
@@ -152,6 +158,8 @@ def parse(page: str) -> Node:
         if rest and not rest.isspace():
             for a in _ATTRIBUTE.finditer(rest):
                 attributes.setdefault(a[1].lower(), html.unescape(a[2] or a[3] or a[4] or ""))
+        if stack[-1].name == "head" and name not in HEAD:
+            close_from(len(stack) - 1)
         if name in CLOSES:
             closing, barrier = CLOSES[name]
             pop_to(closing, barrier)
