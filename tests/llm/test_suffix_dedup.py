@@ -91,6 +91,13 @@ def test_contexts_of_a_gram_are_counted_and_hot_ones_become_strings():
     assert inside[: len(data) - sd.LENGTH + 1].all()
 
 
+def test_padding_is_told_from_nul_bytes():
+    parts = np.zeros((3, sd.LENGTH), np.uint8)
+    parts[:, :5] = 7
+    got = sd._agreement(parts, np.array([sd.LENGTH, 5, sd.LENGTH]), np.zeros(3, np.int64))
+    assert got.tolist() == [sd.LENGTH, 5, sd.LENGTH]
+
+
 def test_blind_trie_orders_strings():
     rng = random.Random(3)
     strings = [bytes(rng.choice(b"ab") for _ in range(12)) for _ in range(300)]

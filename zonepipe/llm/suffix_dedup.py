@@ -441,7 +441,9 @@ def string_classes(strings: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 def _agreement(parts: np.ndarray, length: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Bytes that each row has in common, from the front, with the best other row of its key."""
-    order, _ = multikey_groups(parts, key, parts.shape[1])
+    # The length comes last: a short part padded with zeros must not stand between longer ones that hold NULs.
+    by_length = np.hstack((parts, length[:, None].astype(np.uint8)))
+    order, _ = multikey_groups(by_length, key, by_length.shape[1])
     sorted_, lengths = parts[order], length[order]
     differs = sorted_[1:] != sorted_[:-1]
     common = np.where(differs.any(axis=1), differs.argmax(axis=1), parts.shape[1])
