@@ -46,6 +46,20 @@ def test_visibility():
     assert extract(page) == "yes"
 
 
+def test_formulas_and_texts_of_drawings_are_shown():
+    formula = "<math><semantics><mrow><mi>x</mi><mspace width=1/><mo>=</mo><mn>1</mn></mrow><annotation>no</annotation></semantics></math>"
+    assert extract(f"<p>so {formula} holds") == "so x=1 holds"
+    drawing = "<svg>no<title>no</title><defs><text>no</text></defs><path d='M0'/><g><text>one <tspan>two</tspan></text></g><text>three</text></svg>"
+    assert extract(f"a{drawing}b") == "a one two three b"
+    assert extract("<svg><text display=none>no</text><text>yes</text></svg><svg/>after") == "yes after"
+
+
+def test_visible_parts_of_hidden_elements_are_shown():
+    page = "<div style='visibility:hidden'>no<img alt=no><p>no <b style='visibility: visible'>yes</b></div><p>end"
+    assert extract(page) == "yes\n\nend"
+    assert extract("<div style='visibility:visible'>a<i style=visibility:collapse>no</i></div>") == "a"
+
+
 def test_text_and_inline_elements_end_an_open_head():
     assert extract("<head><title>t</title>Hello <b>world</b><p>x") == "Hello world\n\nx"
     assert extract("<head>\n<meta charset=utf-8> <style>p{}</style>\n<a href=x>link</a> y<p>x") == "link y\n\nx"

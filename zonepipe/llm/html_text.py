@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TEXT = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
-    "script style template head title noscript iframe object embed canvas audio video svg math datalist noembed noframes".split()
+    "script style template head title noscript iframe object embed canvas audio video datalist noembed noframes"
+    " annotation annotation-xml mphantom".split()
 )
 BLOCK = frozenset(
     "html body address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form"
@@ -59,6 +60,8 @@ WITHIN = {
 #: Elements whose border an implied or stray end tag does not cross.
 SCOPE = frozenset("table td th caption button object template html".split())
 
+#: Parts of a drawing that are not shown where they stand.
+UNDRAWN = frozenset("defs symbol clippath mask pattern marker desc metadata".split())
 #: Start tags that leave an open head open.
 HEAD = frozenset("head base basefont bgsound link meta noframes noscript script style template title".split())
 
@@ -70,7 +73,8 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+_HIDDEN_STYLE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible|initial)\b", re.I)
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -84,7 +88,7 @@ class Node:
 def parse(page: str) -> Node:
     """The page's tree; text is kept as strings among the children."""
     root = Node("html", {})
-    stack, at, end = [root], 0, len(page)
+    stack, at, end, styled = [root], 0, len(page), False
     # How many elements of a name are open: most tags close nothing and need no look at the stack.
     held: Counter[str] = Counter()
 
@@ -158,6 +162,7 @@ def parse(page: str) -> Node:
         if rest and not rest.isspace():
             for a in _ATTRIBUTE.finditer(rest):
                 attributes.setdefault(a[1].lower(), html.unescape(a[2] or a[3] or a[4] or ""))
+            styled = styled or _visibility(attributes) is not None
         if stack[-1].name == "head" and name not in HEAD:
             close_from(len(stack) - 1)
         if name in CLOSES:
@@ -171,7 +176,9 @@ def parse(page: str) -> Node:
         if name in ("td", "th") and stack[-1].name in ("table", "thead", "tbody", "tfoot"):
             open_element(Node("tr", {}))
         node = Node(name, attributes)
-        if name in VOID:
+        # In drawings and formulas a slash ends an element, unless it belongs to an attribute's value.
+        empty = rest.endswith("/") and (held["svg"] or held["math"] or name in ("svg", "math"))
+        if name in VOID or (empty and "=" not in rest[max(map(rest.rfind, " \t\n\r\f\"'")) + 1 :]):
             stack[-1].children.append(node)
             continue
         if name in RAW_TEXT:
@@ -184,9 +191,51 @@ def parse(page: str) -> Node:
             at = closing.end() if closing else end
             continue
         open_element(node)
+    if styled:
+        _drop_invisible(root)
     return root
 
 
+def _visibility(attributes: dict[str, str]) -> str | None:
+    """The element's own visibility, or None where it has its parent's."""
+    said = _VISIBILITY.findall(attributes.get("style", ""))
+    return said[-1].lower() if said else None
+
+
+def _drop_invisible(root: Node) -> None:
+    """Takes out what visibility hides; elements in it that are made visible again stay."""
+    pending, order = [(root, False)], []
+    while pending:
+        node, hidden = pending.pop()
+        own = _visibility(node.attributes)
+        hidden = own in ("hidden", "collapse") if own else hidden
+        order.append((node, hidden))
+        pending.extend((c, hidden) for c in node.children if isinstance(c, Node))
+    gone = set()
+    for node, hidden in reversed(order):
+        node.children = [c for c in node.children if (not hidden if isinstance(c, str) else id(c) not in gone)]
+        if hidden and not node.children:
+            gone.add(id(node))
+
+
+def _drawn(node: Node) -> list[Node | str]:
+    """The texts of a drawing, and the pages it embeds, each set off by blanks."""
+    found, pending = [], [*reversed(node.children)]
+    while pending:
+        child = pending.pop()
+        if isinstance(child, str) or child.name in UNDRAWN or not visible(child):
+            continue
+        if child.attributes.get("display", "").strip().lower() == "none":
+            continue
+        if child.name in ("text", "foreignobject"):
+            shown = Node(child.name, {})
+            shown.children = [c for c in child.children if isinstance(c, str) or c.name not in UNDRAWN]
+            found += [" ", shown, " "]
+        else:
+            pending.extend(reversed(child.children))
+    return found
+
+
 def visible(node: Node) -> bool:
     if node.name in HIDDEN:
         return False
@@ -330,7 +379,7 @@ def _children(node: Node, lines: Lines, depth: int) -> None:
                 lines.block(name in SPACED)
             if name == "pre":
                 lines.preformatted += 1
-            stack.append(iter(child.children))
+            stack.append(iter(_drawn(child) if name == "svg" else child.children))
             ends.append(child)
 
 
