@@ -15,6 +15,8 @@ DOCUMENTS = T.StructType(
     ]
 )
 
+CONVERSATIONS = "conv_id long, turn long, role string, text string"
+
 #: Column names that operators use for results or for themselves.
 CLASHING = (
     "size", "target", "copies", "source_size", "shard", "slot", "row", "row_", "before", "bucket", "first", "hits", "score",
@@ -55,6 +57,19 @@ def odd_rows():
     ]
 
 
+def odd_turns():
+    """Shared beginnings, copies, gaps, ties, null and repeated turns, a long conversation."""
+    rng = random.Random(9)
+    rows = []
+    for conv in [*range(0, 60), 100, 101, 102, 250, 251, 4095, 4096, -3]:
+        for turn in range(rng.randrange(5)):
+            rows.append((conv, turn * 2, "user" if turn % 2 == 0 else "bot", rng.choice(["hi", "so", "", "你好 😀"])))
+    rows += [(300 + i, t, "user", f"same {t}") for i in range(40) for t in range(3)]
+    rows += [(500, t, "bot", f"turn {t % 3}") for t in range(300)]
+    rows += [(600, None, "user", "first"), (600, -1, None, None), (600, 1, "b", "tie"), (600, 1, "a", "tie"), (600, 1, "a", "tie")]
+    return rows + [(None, 0, "user", "hi"), (601, 0, "us", "er"), (602, 0, "u", "ser"), (603, 0, None, "w" * 100_000)]
+
+
 @pytest.fixture(scope="session")
 def odd(spark):
     return spark.createDataFrame(odd_rows(), DOCUMENTS).repartition(3).cache()
@@ -89,6 +104,7 @@ def odd_dir(odd, spark, tmp_path_factory):
         [(1, "u", None), (2, None, ""), (None, "u", "<p>text"), (3, "u", "<b>" * 3000 + "deep")],
         "page_id long, url string, html string",
     ).write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame(odd_turns(), CONVERSATIONS).write.parquet(f"{folder}/conversations.parquet")
     return folder
 
 
@@ -99,6 +115,7 @@ def empty_dir(spark, tmp_path_factory):
         "documents": DOCUMENTS,
         "benchmark": "item_id long, text string",
         "labels": "doc_id long, quality int, toxic int",
+        "conversations": CONVERSATIONS,
         "pages": "page_id long, url string, html string",
     }
     for name, schema in schemas.items():

@@ -119,3 +119,48 @@ select d.doc_id, len(d.words)::bigint as n_words, coalesce(h.n_hit, 0)::bigint a
        coalesce(h.n_hit, 0) > 0 as contaminated
 from docs d left join hit h on d.doc_id = h.doc_id left join owners o on d.doc_id = o.doc_id
 """
+
+ORACLE["op12_prefix_trie"] = r"""
+with turns as (
+  select conv_id, struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) as said,
+         row_number() over (partition by conv_id order by turn nulls first) as pos
+  from conversations where conv_id is not null
+), ids as (
+  select conv_id, conv_id - conv_id % 100 as family,
+         xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+           lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+             lambda x, bit: case when x % 2 = 1 then xor(x >> 1, 3988292384::bigint) else x >> 1 end)), 4294967295::bigint) % 6 as head
+  from (select distinct conv_id from turns)
+), placed as (
+  select i.conv_id, t.pos, t.said from ids i join turns t on t.conv_id = i.family and t.pos <= i.head
+  union all
+  select i.conv_id, t.pos, t.said from ids i join turns t on t.conv_id = i.conv_id and t.pos > i.head
+), whole as (
+  select i.conv_id, coalesce(list(p.said order by p.pos) filter (p.pos is not null), []) as said
+  from ids i left join placed p on i.conv_id = p.conv_id group by i.conv_id
+), prefixes as (
+  select conv_id, d, list_slice(said, 1, d) as prefix, d = len(said) as here
+  from (select *, unnest(range(0, len(said) + 1)) as d from whole)
+), nodes as (
+  select prefix, d as depth, min(conv_id) as conv_id, count(*) as n_convs,
+         (count(*) - 1) * (case when d = 0 then 0 else length(prefix[d].text) end) as saved,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (here), '')) as ends_sha256
+  from prefixes group by prefix, d
+), children as (
+  select list_slice(prefix, 1, depth - 1) as prefix, depth - 1 as depth, count(*) as n_children
+  from nodes where depth > 0 group by all
+), counted as (
+  select n.*, coalesce(c.n_children, 0) as n_children
+  from nodes n left join children c on n.depth = c.depth and n.prefix = c.prefix
+), above as (
+  select list_slice(prefix, 1, d) as prefix, d as depth, saved, n_children
+  from (select *, unnest(range(0, depth + 1)) as d from counted)
+), subtrees as (
+  select prefix, depth, sum(saved)::bigint as saved_tokens, count(*) filter (n_children = 0) as n_leaves
+  from above group by prefix, depth
+)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+from counted n
+join subtrees s on n.depth = s.depth and n.prefix = s.prefix
+left join nodes p on p.depth = n.depth - 1 and p.prefix = list_slice(n.prefix, 1, n.depth - 1)
+"""

@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepipe.llm import decontamination, exact_dedup, html_text, language, line_dedup, mixing, quality, sharding, simhash, suffix_dedup
-from zonepipe.llm.common import table, text_or_empty
+from zonepipe.llm import (
+    decontamination,
+    exact_dedup,
+    html_text,
+    language,
+    line_dedup,
+    mixing,
+    prefix_trie,
+    quality,
+    sharding,
+    simhash,
+    suffix_dedup,
+)
+from zonepipe.llm.common import table, text_or_empty, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +29,9 @@ MIX_WEIGHTS = (5, 2, 1)
 MIX_SHARE = 1.5
 MIX_MOST = 2.0
 MIX_SEED = "mix"
+# A conversation begins with fewer turns than FAMILY_TURNS of the first one of its FAMILY ids.
+FAMILY = 100
+FAMILY_TURNS = 6
 
 
 def remainder(id_col: str, divisor: int) -> Column:
@@ -119,6 +134,28 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """Conversations that begin with the first turns of their family's first one.
+
+    Positions of the own turns that stay are above those of the turns they follow.
+    """
+    ids = turns.select("conv_id").distinct()
+    head = F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(FAMILY_TURNS))
+    first = turns.where((F.col("conv_id") % FAMILY == 0) & (F.col("pos") < FAMILY_TURNS))
+    shared = (
+        ids.withColumns({"family": F.col("conv_id") - F.col("conv_id") % FAMILY, "head": head})
+        .join(first.withColumnRenamed("conv_id", "family"), "family")
+        .where(F.col("pos") <= F.col("head"))
+    )
+    return shared.select(*turns.columns).unionByName(turns.where(F.col("pos") > head))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of rebuilt conversations."""
+    turns = written(prefix_trie.turn_digests(table(spark, sf_dir, "conversations")), "turns")
+    return prefix_trie.prefix_trie(rebuilt(turns), members=turns)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -132,5 +169,6 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_exact_dedup,
         op10_decontamination,
+        op12_prefix_trie,
     )
 }
