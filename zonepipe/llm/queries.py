@@ -16,6 +16,7 @@ from zonepipe.llm import (
     mixing,
     prefix_trie,
     quality,
+    quality_rules,
     sharding,
     simhash,
     suffix_dedup,
@@ -156,6 +157,20 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(rebuilt(turns), members=turns)
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document, and what fixed rules and the learned decision list say of it."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    judged = quality_rules.judged(docs, quality_rules.fit(docs, labels))
+    counts = {c: F.col("stats")[c] for c in quality_rules.BASE}
+    base_failed = (counts["n_words"] < 50) | (100 * counts["n_repeat_words"] > 50 * counts["n_words"])
+    return judged.select(
+        "doc_id",
+        *[count.alias(c) for c, count in counts.items()],
+        base_failed.alias("base_failed"),
+        (~base_failed & F.col("kept")).alias("kept"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -170,5 +185,6 @@ QUERIES: dict[str, Query] = {
         op9_exact_dedup,
         op10_decontamination,
         op12_prefix_trie,
+        op13_quality_rules,
     )
 }
