@@ -120,6 +120,36 @@ select d.doc_id, len(d.words)::bigint as n_words, coalesce(h.n_hit, 0)::bigint a
 from docs d left join hit h on d.doc_id = h.doc_id left join owners o on d.doc_id = o.doc_id
 """
 
+ORACLE["op11_lexical_search"] = r"""
+with docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents
+), items as (
+  select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark
+), asked as (
+  select item_id, term, count(*) as times from items group by item_id, term
+), corpus as (
+  select count(*) as n_docs, sum(len(terms))::bigint as n_terms from docs where len(terms) > 0
+), counts as (
+  select doc_id, term, count(*) as tf, any_value(n) as n
+  from (select doc_id, len(terms)::bigint as n, unnest(terms) as term from docs) group by doc_id, term
+), weights as (
+  select term, floor(1000 * ln((2 * any_value(n_docs) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from counts, corpus where term in (select term from asked) group by term
+), scored as (
+  select item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::bigint as score
+  from asked join counts using (term) join weights using (term), corpus
+  group by item_id, doc_id
+), ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id)::integer as rank, doc_id, score
+  from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 20
+"""
+
 ORACLE["op12_prefix_trie"] = r"""
 with turns as (
   select conv_id, struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) as said,

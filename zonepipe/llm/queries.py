@@ -12,6 +12,7 @@ from zonepipe.llm import (
     exact_dedup,
     html_text,
     language,
+    lexical_search,
     line_dedup,
     mixing,
     prefix_trie,
@@ -135,6 +136,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that match each benchmark item best."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical_search.search(docs.select("doc_id", "text"), items.select("item_id", "text"))
+
+
 def rebuilt(turns: DataFrame) -> DataFrame:
     """Conversations that begin with the first turns of their family's first one.
 
@@ -184,6 +191,7 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_exact_dedup,
         op10_decontamination,
+        op11_lexical_search,
         op12_prefix_trie,
         op13_quality_rules,
     )
