@@ -134,7 +134,7 @@ def test_query_equals_plain_learner(spark, folder):
 def test_low_quality_is_rejected_and_clean_text_left_alone(spark):
     docs, labels = tables(spark, SF_DIR)
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
-    rules = quality_rules.fit(docs.where(~held_out), labels)
+    rules, _ = quality_rules.fit(docs.where(~held_out), labels)
     found = quality_rules.judged(docs.where(held_out), rules).join(labels, "doc_id").collect()
     # The list leaves it to the fixed rules to reject short texts.
     found = [r for r in found if r.stats.n_words >= 50]
@@ -157,7 +157,7 @@ def test_accepted_keeps_rows_as_they_are(spark, odd, odd_wide):
 @pytest.mark.parametrize("rows", [[], [(1, 1), (2, 1)], [(1, 0)], [(None, 0), (3, None)], [(8, 0), (8, 1)]])
 def test_without_two_kinds_of_labels_all_is_kept(spark, odd, rows):
     labels = spark.createDataFrame(rows, "doc_id long, quality int")
-    assert quality_rules.fit(odd, labels) == []
+    assert quality_rules.fit(odd, labels)[0] == []
     assert quality_rules.accepted(odd, labels).count() == odd.count()
 
 

@@ -289,8 +289,8 @@ def learn(labelled: DataFrame, max_rules: int = MAX_RULES, precision: float = PR
     return rules
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """Statistics and label of labelled documents; an id that ``labels`` repeats has its mean label.
+def labelled_rows(stats: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """Statistics with the label of their id; an id that ``labels`` repeats has its mean label.
 
     Two thirds of the ids are to grow rules on.  Rows without an id or a label take no part.
     """
@@ -299,9 +299,8 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
         .groupBy(F.col(id_col).alias("label_id"))
         .agg(F.avg(F.col(label_col).cast("double")).alias("label"))
     )
-    found = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body")).join(one, F.col("doc") == F.col("label_id"))
-    grow = F.pmod(F.xxhash64("doc"), F.lit(3)) != 0
-    return found.select(statistics("body").alias("stats"), "label", grow.alias("grow"))
+    found = stats.select(F.col(id_col).alias("doc"), "stats").join(one, F.col("doc") == F.col("label_id"))
+    return found.select("stats", "label", (F.pmod(F.xxhash64("doc"), F.lit(3)) != 0).alias("grow"))
 
 
 def fit(
@@ -311,9 +310,13 @@ def fit(
     text_col: str = "text",
     label_col: str = "quality",
     **options,
-) -> list[Rule]:
-    """The decision list learned from all labelled documents; other columns are not looked at."""
-    return learn(written(labelled_rows(docs, labels, id_col, text_col, label_col), "labelled"), **options)
+) -> tuple[list[Rule], DataFrame]:
+    """The decision list learned from all labelled documents, and a table of every row's id and ``stats``.
+
+    Statistics meet labels; texts are not moved.  Other columns are not looked at.
+    """
+    stats = written(docs.select(F.col(id_col), statistics(text_col).alias("stats")), "statistics")
+    return learn(written(labelled_rows(stats, labels, id_col, label_col), "labelled"), **options), stats
 
 
 def judged(docs: DataFrame, rules: Sequence[Rule], text_col: str = "text", into: str = "stats", kept: str = "kept") -> DataFrame:
@@ -327,5 +330,5 @@ def accepted(docs: DataFrame, labels: DataFrame, text_col: str = "text", **optio
 
     Null and empty texts are judged by their statistics, which are all 0.
     """
-    rules = fit(docs, labels, text_col=text_col, **options)
+    rules, _ = fit(docs, labels, text_col=text_col, **options)
     return docs.where(let(statistics(text_col), lambda stats: verdict(rules, stats)))

@@ -167,14 +167,14 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document, and what fixed rules and the learned decision list say of it."""
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
-    judged = quality_rules.judged(docs, quality_rules.fit(docs, labels))
+    rules, stats = quality_rules.fit(docs, labels)
     counts = {c: F.col("stats")[c] for c in quality_rules.BASE}
     base_failed = (counts["n_words"] < 50) | (100 * counts["n_repeat_words"] > 50 * counts["n_words"])
-    return judged.select(
+    return stats.select(
         "doc_id",
         *[count.alias(c) for c, count in counts.items()],
         base_failed.alias("base_failed"),
-        (~base_failed & F.col("kept")).alias("kept"),
+        (~base_failed & quality_rules.verdict(rules, F.col("stats"))).alias("kept"),
     )
 
 
