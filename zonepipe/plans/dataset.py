@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import Row
 
-from zonepipe.contract import Contract
+from zonepipe.contract import Contract, ZoneStep
 from zonepipe.functions import cast_to
 from zonepipe.operators.quality import (
     QualityError,
@@ -21,14 +21,16 @@ from zonepipe.operators.quality import (
 )
 from zonepipe.operators.transform import transform
 from zonepipe.plans.lookup import RunCounts, update_lookup
+from zonepipe.sources.manifest import ARRIVAL, Manifest, SchemaDrift, plain_path
 from zonepipe.sources.zones import (
-    ARRIVAL,
     arrival_name,
     arrivals_in,
     ingest_raw,
     scan_staging,
     scan_zone,
     stage,
+    staging_schema,
+    stored_columns,
 )
 
 # Checks that are reported but do not stop a run.
@@ -56,10 +58,11 @@ def run_dataset(
     """Ingest, check, transform, stage, check again, and update the lookup.
 
     With ``arrival`` every step handles that arrival and nothing else: staging has the
-    arrival as its last partition column, and only partitions of the arrival are replaced.
-    Without, all landed arrivals are ingested and the run covers the whole raw zone.  A
-    failed gate stops the run before the lookup is touched.  Every step replaces its own
-    output, so a run that died may simply be repeated with the same ``version``.
+    arrival as its last partition column, and the arrival's partitions are replaced, those
+    that a corrected arrival no longer has included.  Without, all landed arrivals are
+    ingested and the run covers the whole raw zone.  A failed gate stops the run before the
+    lookup is touched.  Every step replaces its own output, so a run that died, or whose
+    arrival was corrected, may simply be repeated with the same ``version``.
     """
     step = contract.transform
     names = ingest_raw(spark, contract, arrival)
@@ -69,8 +72,9 @@ def run_dataset(
     raw = scan_zone(spark, folders, file_format=step.source_format, step=step)
     tagged = with_arrivals(spark, folders, contract)
     checks = check_raw(spark, raw, contract, names, tagged)
-    stage_arrivals(tagged, contract, strict, pepper, whole=arrival is None)
+    stage_arrivals(tagged, contract, strict, pepper, arrival)
     checks += check_staging(spark, raw.columns[0], contract, names, checks)
+    record_arrivals(spark, raw.columns[0], contract, arrival)
     counts = update_lookup(spark, raw, contract, as_of, version, pepper)
     return RunReport(contract.dataset, counts, checks)
 
@@ -81,33 +85,70 @@ def with_arrivals(spark: SparkSession, folders: list[str], contract: Contract) -
     rows = scan_zone(spark, folders, file_format=step.source_format, step=step)
     if len(folders) == 1:
         return rows.withColumn(ARRIVAL, F.lit(arrival_name(folders[0])))
-    return rows.withColumn(ARRIVAL, F.element_at(F.split(F.input_file_name(), "/"), -2))
+    return rows.withColumn(ARRIVAL, F.element_at(F.split(plain_path(F.input_file_name()), "/"), -2))
 
 
 def stage_arrivals(
-    tagged: DataFrame, contract: Contract, strict: bool = False, pepper: str | None = None, whole: bool = False
+    tagged: DataFrame, contract: Contract, strict: bool = False, pepper: str | None = None, arrival: str | None = None
 ) -> None:
-    """Transform rows and write them to staging, replacing the partitions of their arrivals.
+    """Transform rows and write them to staging, replacing all there is of their arrival.
 
-    ``whole`` says that the rows are all there are, and replaces the zone.
+    Without ``arrival`` the rows are all there are, and replace the zone.
     """
     step = contract.transform
     finest = step.partitions[-1] if step.partitions else ARRIVAL
+    rows = transform(tagged, contract, strict, pepper, spread_by=finest)
+    if arrival is not None:
+        manifest_of(tagged.sparkSession, contract).make_way(arrival, transform(tagged, contract, strict, pepper))
     stage(
-        transform(tagged, contract, strict, pepper, spread_by=finest),
+        rows,
         step.destination,
         [*step.partitions, ARRIVAL],
         rebalance=False,
-        overwrite="static" if whole else "dynamic",
+        overwrite="static" if arrival is None else "dynamic",
         file_format=step.destination_format,
     )
 
 
+def manifest_of(spark: SparkSession, contract: Contract) -> Manifest:
+    return Manifest(spark, contract.transform.destination, contract.transform.partitions)
+
+
+def by_arrival(contract: Contract) -> ZoneStep:
+    """The step to staging as runs write it, the arrival being the last partition column."""
+    return replace(contract.transform, partitions=(*contract.transform.partitions, ARRIVAL))
+
+
+def record_arrivals(spark: SparkSession, column: str, contract: Contract, arrival: str | None = None) -> None:
+    """Put what staging holds of an arrival, or of all, into the manifest."""
+    step, manifest = by_arrival(contract), manifest_of(spark, contract)
+    folders = None if arrival is None else [e.folder for e in manifest.entries(arrival)]
+    paths = [step.destination] if folders is None else [f"{step.destination}/{f}" for f in folders]
+    stored = stored_columns(spark, step, paths)
+    staged = scan_staging(spark, step, staging_schema(stored, step, text_partitions=True), folders=folders)
+    try:
+        manifest.record(staged, column, stored, arrival)
+    except SchemaDrift as drift:
+        raise QualityError(f"type: arrivals of {step.destination} disagree: {drift}") from drift
+
+
 def scan_arrivals(spark: SparkSession, contract: Contract, names: list[str] | None = None, text_partitions: bool = False) -> DataFrame:
-    """The staging zone that runs have written, without the arrival; with ``names``, only theirs."""
-    step = replace(contract.transform, partitions=(*contract.transform.partitions, ARRIVAL))
+    """The staging zone that runs have written, without the arrival; with ``names``, only theirs.
+
+    Columns of the whole zone and folders of an arrival come from the manifest; where it
+    does not know them, files are listed and their footers merged.
+    """
+    step, manifest = by_arrival(contract), manifest_of(spark, contract)
+    if names is None:
+        known = manifest.columns()
+        schema = staging_schema(known, step, text_partitions) if known else None
+        return scan_staging(spark, step, schema, text_partitions).drop(ARRIVAL)
+    entries = [manifest.entries(name) for name in names] if len(names) == 1 else []
+    if entries and all(entries):
+        folders = [e.folder for one in entries for e in one]
+        return scan_staging(spark, step, text_partitions=text_partitions, folders=folders).drop(ARRIVAL)
     rows = scan_staging(spark, step, text_partitions=text_partitions)
-    return (rows if names is None else rows.filter(F.col(ARRIVAL).isin(names))).drop(ARRIVAL)
+    return rows.filter(F.col(ARRIVAL).isin(names)).drop(ARRIVAL)
 
 
 def stage_dataset(

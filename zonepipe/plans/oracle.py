@@ -367,7 +367,7 @@ ORACLE: dict[str, str] = {
         {loss_rows('viewership', VIEWER_LOSS)} union all select {NULL_KEYS} from viewership""",
     "validate_arrivals": f"""{BASE} select 'availability' as "check", 'actives_{STAMP}_' || number as subject,
             '> 0' as expected, cast(count(day) as varchar) as actual, count(day) > 0 as passed
-        from (values ('0', '{RUN_DAYS[0]}'), ('1', '{RUN_DAYS[1]}'), ('2', 'none')) as a(number, arrived)
+        from (values ('0', '{RUN_DAYS[0]}'), ('1', '{RUN_DAYS[1]}'), ('2', '{RUN_DAYS[2]}'), ('3', 'none')) as a(number, arrived)
         left join (select {run_day()} as day from actives where advertising_id is not null) on day = arrived
         group by number""",
     "validate_staging": f"""{BASE}, transformed as ({TRANSFORMED_ACTIVES}),
@@ -383,5 +383,11 @@ ORACLE: dict[str, str] = {
     "stream_ingest": f"{BASE} {TRANSFORMED_ACTIVES}",
     "run_arrivals": f"{BASE}, {STORED} select * from stored",
     "run_arrivals_staging": f"{BASE} {TRANSFORMED_ACTIVES}",
+    "run_corrected": f"{BASE} {TRANSFORMED_ACTIVES}",
+    "run_corrected_lookup": f"{BASE}, {STORED} select * from stored",
+    "run_manifest": f"""{BASE}, numbered as (select *, 'actives_{STAMP}_' || (case {run_day()}
+            when '{RUN_DAYS[0]}' then '0' when '{RUN_DAYS[1]}' then '1' else '2' end) as arrival from actives)
+        select arrival, concat('month=', month, '/date=', "date", '/arrival=', arrival) as folder,
+            count(*) as n_rows, count(advertising_id) as n_values from numbered group by month, "date", arrival""",
     "stream_lookup": f"{BASE}, {STORED} select * from stored",
 }

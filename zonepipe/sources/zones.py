@@ -13,12 +13,11 @@ from zonepipe.contract import Contract, ZoneStep
 from zonepipe.functions import FLATTEN, flatten_to_string, parse_type
 from zonepipe.operators.quality import count_by_file
 from zonepipe.sources.files import glob
+from zonepipe.sources.manifest import ARRIVAL
 
 # Fixed value: index column that pandas may add to the files it writes.
 PANDAS_INDEX = "__index_level_0__"
 UNROUTED = "unrouted"
-#: Last partition column of a staging zone that is written arrival by arrival.
-ARRIVAL = "arrival"
 
 
 class SchemaClash(Exception):
@@ -106,29 +105,45 @@ def _fitted(parts: list[DataFrame], step: ZoneStep | None) -> DataFrame:
 
 
 def scan_staging(
-    spark: SparkSession, step: ZoneStep, schema: T.StructType | None = None, text_partitions: bool = False
+    spark: SparkSession,
+    step: ZoneStep,
+    schema: T.StructType | None = None,
+    text_partitions: bool = False,
+    folders: Sequence[str] | None = None,
 ) -> DataFrame:
     """A staging zone, with partition values in their written types.
 
     ``text_partitions`` reads every partition value as text, whatever the contract says.
-    Jobs know the schema and pass it.  Without one, the data columns come from a
-    file footer and partition columns are text unless the contract casts them,
-    so month ``01`` stays ``01``.
+    Jobs know the schema and pass it.  Without one, the data columns come from the
+    files' footers and partition columns are text unless the contract casts them,
+    so month ``01`` stays ``01``.  With ``folders``, relative to the zone, nothing else
+    is listed or opened.
     """
-    reader = spark.read.format(step.destination_format)
+    paths = [step.destination] if folders is None else [f"{step.destination}/{f}" for f in folders]
     if schema is None and step.partitions:
-        stored = (
-            reader.option("recursiveFileLookup", "true").option("mergeSchema", "true").load(step.destination).schema
-        )
-        parts = [
-            T.StructField(p, parse_type(step.casts[p]) if p in step.casts and not text_partitions else T.StringType())
-            for p in step.partitions
-        ]
-        schema = T.StructType([f for f in stored.fields if f.name not in step.partitions] + parts)
-        reader = spark.read.format(step.destination_format)
+        schema = staging_schema(stored_columns(spark, step, paths), step, text_partitions)
+    reader = spark.read.format(step.destination_format)
+    if folders is not None:
+        reader = reader.option("basePath", step.destination)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(step.destination)
+    return reader.load(paths)
+
+
+def stored_columns(spark: SparkSession, step: ZoneStep, paths: Sequence[str]) -> T.StructType:
+    """The columns that the files below ``paths`` hold, all footers merged."""
+    reader = spark.read.format(step.destination_format).option("recursiveFileLookup", "true").option("mergeSchema", "true")
+    found = reader.load(list(paths)).schema
+    return T.StructType([f for f in found.fields if f.name not in step.partitions])
+
+
+def staging_schema(stored: T.StructType, step: ZoneStep, text_partitions: bool = False) -> T.StructType:
+    """Stored columns and after them the partition columns, typed by the contract or text."""
+    parts = [
+        T.StructField(p, parse_type(step.casts[p]) if p in step.casts and not text_partitions else T.StringType())
+        for p in step.partitions
+    ]
+    return T.StructType([*stored.fields, *parts])
 
 
 def stage(
