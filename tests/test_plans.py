@@ -10,7 +10,7 @@ from zonepipe.operators import scd2
 from zonepipe.operators.synth import synth_actives
 from zonepipe.operators.transform import transform
 from zonepipe.plans.dataset import stage_dataset
-from zonepipe.plans.lookup import lookup_batch, update_lookup
+from zonepipe.plans.lookup import lookup_batch, matched_versions, update_lookup
 from zonepipe.plans.queries import QUERIES
 from zonepipe.sources.lookup import LookupStore
 from zonepipe.sources.zones import scan_zone, stage
@@ -138,3 +138,65 @@ def test_window_rebuild_limits_groups_before_the_first_exchange(zone):
     plan = plan_of(scd2.scd2_history(feed, contract.keys, contract.tracked, contract.recency, "date"))
     assert exchanges(plan) == ["hashpartitioning", "hashpartitioning"]
     assert "WindowGroupLimit" in plan.split("Exchange hashpartitioning")[-1]
+
+
+def above(plan, line):
+    """Operators from one line of a plan up to its root."""
+    lines = plan.splitlines()
+    depth, found = lines[line].index(lines[line].lstrip(" :+-")), []
+    for text in reversed(lines[:line]):
+        at = text.index(text.lstrip(" :+-")) if text.strip() else depth
+        if at < depth:
+            found.append(text.lstrip(" :+-*0123456789()"))
+            depth = at
+    return found
+
+
+def test_merge_leaves_a_snapshot_where_it_is(spark, tmp_path):
+    contract = Contract.known("actives", str(tmp_path))
+    stage(synth_actives(spark.range(400), "id"), contract.transform.source)
+    raw = scan_zone(spark, contract.transform.source)
+    store = LookupStore.of(spark, contract)
+    update_lookup(spark, raw.filter("state < 'S'"), contract, "2024-01-01", 1)
+    assert store.compact() == 1
+    changed = raw.withColumn("user_id", F.concat("user_id", F.lit("x")))
+    update_lookup(spark, changed.filter("state < 'G'"), contract, "2024-01-02", 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        matched = matched_versions(store, lookup_batch(raw, contract), contract, 3)
+        plan = plan_of(matched)
+        # Before the first join nothing happens to the snapshot but a sort inside each bucket.
+        scans = [i for i, line in enumerate(plan.splitlines()) if "Bucketed: true" in line]
+        assert len(scans) == 1
+        path = above(plan, scans[0])
+        join = next(i for i, p in enumerate(path) if "SortMergeJoin" in p)
+        assert not any("Exchange" in p for p in path[:join])
+        assert "SelectedBucketsCount: 8 out of 8" in plan
+        # Closed versions are taken from what was found, not from the snapshot.
+        assert "LeftAnti" not in path[join] and any("LeftAnti" in p for p in path[join + 1 :])
+        rows = {tuple(r) for r in matched.select("advertising_id", "status").collect()}
+        report = update_lookup(spark, raw, contract, "2024-01-03", 3)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert (report.changed, report.unchanged) == (sum(s == "changed" for _, s in rows), sum(s == "unchanged" for _, s in rows))
+    assert report.changed and report.unchanged and len(rows) == report.changed + report.unchanged
+    assert spark.catalog.listTables() == []
+
+
+def test_snapshot_with_odd_names_and_two_keys(spark, tmp_path):
+    contract = Contract.known("actives", str(tmp_path / "it's here"), pii=("advertising_id",), keys=("advertising_id", "city"), tracked=("state",))
+    rows = synth_actives(spark.range(50), "id")
+    store = LookupStore.of(spark, contract)
+    update_lookup(spark, rows, contract, "2024-01-01", 1)
+    before = sorted(map(repr, store.read().collect()))
+    store.compact()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = rows.select("advertising_id", "city")
+        plan = plan_of(store.active().join(ids, ["advertising_id", "city"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in plan and len(exchanges(plan)) == 1
+    assert sorted(map(repr, store.read().collect())) == before
+    assert update_lookup(spark, rows.withColumn("state", F.lit("?")), contract, "2024-01-02", 2).changed == len(before)
+    assert sorted(r.update_date is None for r in store.read().collect()) == [False] * len(before) + [True] * len(before)

@@ -123,10 +123,12 @@ def scd2_pairing(
 
 
 def scd2_matched(
-    active: DataFrame, batch: DataFrame, keys: Sequence[str], tracked: Sequence[str]
+    active: DataFrame, batch: DataFrame, keys: Sequence[str], tracked: Sequence[str], carried: Sequence[str] = ()
 ) -> DataFrame:
     """Keys on both sides with their ``status``; ``old`` and ``cur`` only where they differ.
 
+    ``carried`` names columns of ``active`` that come along in any case.
+
     An inner join, so the planner may broadcast whichever side is small and leave the
     other where it is.
     """
@@ -140,6 +142,7 @@ def scd2_matched(
         .select(
             *[F.col(f"_cur_{k}").alias(k) for k in keys],
             "status",
+            *[F.col(f"old.{c}").alias(c) for c in carried],
             *[F.when(changed, F.col(side)).alias(side) for side in ("old", "cur")],
         )
     )

@@ -144,6 +144,8 @@ COMPOSITE = f"""placed as (select *, event_id % 3 as points from actives),
     comp_ends as (select *, lead(run_date) over (partition by advertising_id, city order by run_date) as ends
         from comp_seen where before_run is null or points is distinct from before_points)"""
 
+WEEK_DAY = f"""case when "date" <= '2024-01-07' then '2024-01-07' when "date" <= '2024-01-14' then '2024-01-14'
+    when "date" <= '2024-01-21' then '2024-01-21' else '{AS_OF}' end"""
 STORED = ACTIVE_IDS.history("stored", "actives", run_day())
 
 
@@ -351,6 +353,8 @@ ORACLE: dict[str, str] = {
     "lookup_scan": f"{BASE}, {STORED} select * from stored",
     "lookup_replay": f"{BASE}, {STORED} select * from stored",
     "lookup_compact": f"{BASE}, {STORED} select * from stored",
+    "lookup_late": f"{BASE}, {STORED} select * from stored",
+    "lookup_late_daily": f"{BASE}, {CHANNELS.history('weekly', 'viewership', WEEK_DAY)} select * from weekly",
     "lookup_active": f"{BASE}, {STORED} select * from stored where flag_active",
     "validate_counts": f"{BASE} select count(*) as n_rows, count(advertising_id) as n_values from actives",
     "count_by_partition": f"""{BASE} select month, cast("date" as date) as "date", count(*) as n_rows,

@@ -20,7 +20,7 @@ from zonepipe.functions import flatten_to_string
 from zonepipe.operators import pii, quality, scd2, synth
 from zonepipe.operators.transform import cast_columns, mask_columns, staged_schema, transform
 from zonepipe.plans.dataset import manifest_of, run_dataset, scan_arrivals, stage_dataset, with_arrivals
-from zonepipe.plans.lookup import RunCounts, lookup_batch, update_lookup
+from zonepipe.plans.lookup import RunCounts, lookup_batch, update_in_any_order, update_lookup
 from zonepipe.sources import star_schema
 from zonepipe.sources.lookup import LookupStore
 from zonepipe.sources.session import work_folder
@@ -334,6 +334,27 @@ def _lookup_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
+@query("lookup_late")
+def _lookup_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs in another order than their dates: the last, the first, the second; the lookup."""
+    store = LookupStore.of(spark, _late_contract(spark, sf_dir, (2, 0, 1)))
+    return store.read()
+
+
+@query("lookup_late_daily")
+def _lookup_late_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four dates' rows out of order, a snapshot between, the last run repeated; the lookup."""
+    contract = viewership_contract(work_folder(spark), tracked=("channel_name",))
+    rows, week = star_schema.viewership(spark, sf_dir), week_day()
+    weeks = ("2024-01-07", "2024-01-14", "2024-01-21", AS_OF)
+    for version, number in enumerate((1, 3, 0, 2, 2), start=1):
+        if version == 3:
+            LookupStore.of(spark, contract).compact()
+        day = weeks[number]
+        update_in_any_order(spark, rows.filter(week == day), contract, day, min(version, 4))
+    return LookupStore.of(spark, contract).read()
+
+
 @query("lookup_active")
 def _lookup_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, _ = _stored_lookup(spark, sf_dir)
@@ -500,6 +521,27 @@ def run_day() -> Column:
     return F.when(F.col("date") <= first, first).when(F.col("date") <= second, second).otherwise(last)
 
 
+def week_day() -> Column:
+    """Per row, the last day of the date's week; the fourth ends with the month."""
+    date = F.col("date")
+    return (
+        F.when(date <= "2024-01-07", "2024-01-07")
+        .when(date <= "2024-01-14", "2024-01-14")
+        .when(date <= "2024-01-21", "2024-01-21")
+        .otherwise(AS_OF)
+    )
+
+
+def _late_contract(spark: SparkSession, sf_dir: str, order: tuple[int, ...]) -> Contract:
+    """A lookup after one run for each of RUN_DAYS, in the given order."""
+    contract = actives_contract(work_folder(spark))
+    rows = star_schema.actives(spark, sf_dir)
+    for version, number in enumerate(order, start=1):
+        day = RUN_DAYS[number]
+        update_in_any_order(spark, rows.filter(run_day() == day), contract, day, version)
+    return contract
+
+
 def _history(rows: DataFrame, contract: Contract) -> DataFrame:
     """The lookup after one run per date."""
     versions = scd2.scd2_history(
