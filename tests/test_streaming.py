@@ -9,7 +9,7 @@ from zonepipe.plans.lookup import update_lookup
 from zonepipe.operators.transform import transform
 from zonepipe.sources.lookup import LookupStore, lookup_schema
 from zonepipe.sources.zones import land, scan_zone, stage
-from zonepipe.streaming.ingest import _DAY, compact_streamed, process_batch, scan_streamed, stream_ingest
+from zonepipe.streaming.ingest import _DAY, Once, compact_streamed, process_batch, scan_streamed, stream_ingest
 
 RAW = (
     "advertising_id string, location_source string, timestamp bigint, user_id string, "
@@ -140,3 +140,37 @@ def test_compaction_leaves_the_rows_in_fewer_files(spark, contract, tmp_path):
     compact_streamed(spark, contract, schema, str(tmp_path / "compact"))
     assert len(list((tmp_path / "compact").rglob("*.parquet"))) == 1
     assert spark.read.parquet(str(tmp_path / "compact")).count() == 6
+
+
+def test_rows_delivered_again_are_staged_once(spark, contract, tmp_path):
+    schema = frame(spark, ARRIVALS[0]).schema
+    land(frame(spark, ARRIVALS[1]), contract, "1")
+    start(spark, contract, tmp_path, schema, arrival_day=F.to_date("date"), once=Once())
+    # The same rows under another name, with older ones, and those of another dataset.
+    land(frame(spark, ARRIVALS[1] + ARRIVALS[0]), contract, "copy")
+    stage(frame(spark, ARRIVALS[2]), f"{contract.ingest.source}/orders_1")
+    failed = []
+
+    def fail(report):
+        if not failed:
+            failed.append(report)
+            raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        start(spark, contract, tmp_path, schema, arrival_day=F.to_date("date"), once=Once(), report=fail)
+    start(spark, contract, tmp_path, schema, arrival_day=F.to_date("date"), once=Once())
+    land(frame(spark, ARRIVALS[2] + ARRIVALS[0]), contract, "2")
+    start(spark, contract, tmp_path, schema, arrival_day=F.to_date("date"), once=Once())
+    everything = frame(spark, sum(ARRIVALS, []))
+    columns = scan_streamed(spark, contract, schema).columns
+    assert staged(spark, contract, schema) == sorted(map(repr, transform(everything, contract).select(columns).collect()))
+    assert failed
+
+
+def test_rows_are_known_by_the_columns_named(spark, contract, tmp_path):
+    schema = frame(spark, ARRIVALS[0]).schema
+    land(frame(spark, [("A", "u1", 1, "2024-01-01"), ("B", "u1", 1, "2024-01-01")]), contract, "0")
+    start(spark, contract, tmp_path, schema, once=Once(("advertising_id", "timestamp")))
+    land(frame(spark, [("A", "other", 1, "2024-01-02"), ("A", "u1", 2, "2024-01-02")]), contract, "1")
+    start(spark, contract, tmp_path, schema, once=Once(("advertising_id", "timestamp")))
+    assert sorted(r["timestamp"] for r in scan_streamed(spark, contract, schema).collect()) == [1, 1, 2]

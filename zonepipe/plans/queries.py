@@ -25,7 +25,7 @@ from zonepipe.sources import star_schema
 from zonepipe.sources.lookup import LookupStore
 from zonepipe.sources.session import work_folder
 from zonepipe.sources.zones import ingest_raw, land, route_files, scan_staging, scan_zone, stage
-from zonepipe.streaming.ingest import scan_streamed, stream_ingest
+from zonepipe.streaming.ingest import Once, scan_streamed, stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -503,6 +503,21 @@ def _stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LookupStore.of(spark, contract).read()
 
 
+@query("stream_dedup")
+def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every arrival is delivered again later under another name, across restarts; returns the staging zone."""
+    contract = actives_contract(work_folder(spark))
+    rows = star_schema.actives(spark, sf_dir)
+    once = Once(("event_id",))
+    for number, day in enumerate(RUN_DAYS):
+        arrived = rows.filter(run_day() <= day) if number else rows.filter(run_day() == day)
+        land(arrived, contract, f"{STAMP}_{number}")
+        _start(spark, rows, contract, run_day(), once).awaitTermination()
+    land(rows, contract, "again")
+    _start(spark, rows, contract, run_day(), once).awaitTermination()
+    return scan_streamed(spark, contract, rows.schema)
+
+
 # --- shared inputs -----------------------------------------------------------
 
 
@@ -622,7 +637,7 @@ def _stream(spark: SparkSession, rows: DataFrame, contract: Contract) -> DataFra
     return rows
 
 
-def _start(spark: SparkSession, rows: DataFrame, contract: Contract, day: Column):
+def _start(spark: SparkSession, rows: DataFrame, contract: Contract, day: Column, once: Once | None = None):
     """A stream over what has landed, all of it in one micro-batch."""
     return stream_ingest(
         spark,
@@ -631,4 +646,5 @@ def _start(spark: SparkSession, rows: DataFrame, contract: Contract, day: Column
         rows.schema,
         arrival_day=F.to_date(day),
         options={"maxFilesPerTrigger": "1000"},
+        once=once,
     )

@@ -8,6 +8,10 @@ numbered by the batch id.  The state of the stream is the stored lookup.
 A micro-batch passes the gates of a batch run: rows are routed by the name of their
 arrival, others are counted and left out, and a failed gate fails the micro-batch
 before staging and lookup are touched.
+
+An arrival that is delivered again, under whatever name, is recognised by its rows where
+``once`` says which columns make a row: streaming state remembers rows for some time after
+they were first seen, and leaves later ones out.
 """
 
 from __future__ import annotations
@@ -31,11 +35,25 @@ from zonepipe.sources.lookup import LookupStore
 from zonepipe.sources.zones import PANDAS_INDEX, one_name, route, scan_zone, stage
 
 INGEST_BATCH = "ingest_batch"
-_DAY, _DATASET = "_arrival_day", "_dataset"
+_DAY, _DATASET, _SEEN = "_arrival_day", "_dataset", "_first_seen"
 
 log = logging.getLogger(__name__)
 
 
+@dataclass(frozen=True)
+class Once:
+    """Rows that agree in ``columns`` are taken once, as long as the first was seen within ``within``.
+
+    Time is that of the micro-batch, so no row is ever too late to be taken, whatever its own
+    dates say; a micro-batch that is repeated has the same time.  State grows with the rows of
+    ``within``, spread by their columns; a store outside the heap, as Spark's RocksDB one, suits it.
+    Without ``columns``, whole rows count, their arrival's name aside.
+    """
+
+    columns: tuple[str, ...] = ()
+    within: str = "30 days"
+
+
 @dataclass(frozen=True)
 class BatchReport:
     """What one micro-batch brought: rows left out by name, and every check."""
@@ -56,6 +74,7 @@ def stream_ingest(
     strict: bool = False,
     pepper: str | None = None,
     report: Callable[[BatchReport], None] | None = None,
+    once: Once | None = None,
 ) -> StreamingQuery:
     """Start a stream that processes what has landed and then stops.
 
@@ -65,7 +84,8 @@ def stream_ingest(
     the day the files arrived.  Where it lies before an earlier micro-batch's day, that
     day counts, as versions begin in the order of runs.  ``options`` go to the file
     source, for example ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``.  ``report`` is
-    called with each micro-batch's report.
+    called with each micro-batch's report.  With ``once``, rows delivered again are left out;
+    a checkpoint is used with it or without it, not in turn.
     """
     step = contract.ingest
     if schema is None:
@@ -83,6 +103,11 @@ def stream_ingest(
         arrival_day = F.to_date(F.col("_metadata.file_modification_time"))
     _, dataset = route(F.col("_metadata.file_path"), [contract.dataset])
     dated = landed.select("*", arrival_day.alias(_DAY), dataset.alias(_DATASET))
+    if once:
+        columns = list(once.columns) or landed.columns
+        timed = dated.withColumn(_SEEN, F.current_timestamp()).withWatermark(_SEEN, once.within)
+        # Rows of other datasets do not stand in for those of this one.
+        dated = timed.dropDuplicatesWithinWatermark([*columns, _DATASET]).drop(_SEEN)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         done = process_batch(batch, batch_id, contract, strict, pepper)
