@@ -22,6 +22,7 @@ from zonepipe.operators.quality import (
 from zonepipe.operators.transform import transform
 from zonepipe.plans.lookup import RunCounts, update_lookup
 from zonepipe.sources.manifest import ARRIVAL, Manifest, SchemaDrift, plain_path
+from zonepipe.sources.verbatim import ingest_bytes
 from zonepipe.sources.zones import (
     arrival_name,
     arrivals_in,
@@ -54,6 +55,7 @@ def run_dataset(
     arrival: str | None = None,
     strict: bool = False,
     pepper: str | None = None,
+    verbatim: bool = False,
 ) -> RunReport:
     """Ingest, check, transform, stage, check again, and update the lookup.
 
@@ -62,10 +64,11 @@ def run_dataset(
     that a corrected arrival no longer has included.  Without, all landed arrivals are
     ingested and the run covers the whole raw zone.  A failed gate stops the run before the
     lookup is touched.  Every step replaces its own output, so a run that died, or whose
-    arrival was corrected, may simply be repeated with the same ``version``.
+    arrival was corrected, may simply be repeated with the same ``version``.  ``verbatim``
+    copies landed files byte by byte and compares their digests.
     """
     step = contract.transform
-    names = ingest_raw(spark, contract, arrival)
+    names = (ingest_bytes if verbatim else ingest_raw)(spark, contract, arrival)
     if arrival is None:
         names = [arrival_name(p) for p in arrivals_in(spark, contract.ingest.destination)]
     folders = [f"{contract.ingest.destination}/{name}" for name in names]

@@ -292,6 +292,7 @@ NULL_KEYS = verdict(
 ORACLE: dict[str, str] = {
     "scan_zone": f"{BASE} select * replace ({FLAT}) from actives",
     "ingest_raw": f"{BASE} select * replace ({FLAT}) from viewership",
+    "ingest_bytes": f"{BASE} select * replace ({FLAT}) from viewership",
     "ingest_mixed": f"""{BASE} select * replace ({FLAT}),
         case when "date" <= '{RUN_DAYS[0]}' then event_id % 10 end as only_here from actives""",
     "route_files": f"""{BASE}

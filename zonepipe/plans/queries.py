@@ -24,6 +24,7 @@ from zonepipe.plans.lookup import RunCounts, lookup_batch, update_in_any_order,
 from zonepipe.sources import star_schema
 from zonepipe.sources.lookup import LookupStore
 from zonepipe.sources.session import work_folder
+from zonepipe.sources.verbatim import ingest_bytes
 from zonepipe.sources.zones import ingest_raw, land, route_files, scan_staging, scan_zone, stage
 from zonepipe.streaming.ingest import Once, scan_streamed, stream_ingest
 
@@ -88,6 +89,17 @@ def _ingest_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readable(scan_zone(spark, contract.ingest.destination))
 
 
+@query("ingest_bytes")
+def _ingest_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals copied byte by byte, their digests compared; returns the raw zone."""
+    contract = viewership_contract(work_folder(spark))
+    rows = star_schema.viewership(spark, sf_dir)
+    for number, part in enumerate((F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1)):
+        land(rows.filter(part), contract, f"{STAMP}_{number}")
+    ingest_bytes(spark, contract)
+    return readable(scan_zone(spark, contract.ingest.destination))
+
+
 @query("ingest_mixed")
 def _ingest_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two arrivals of different shape: an old column name and text against a list; returns the raw zone."""

@@ -16,6 +16,17 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath()) for s in files.globStatus(where) or [])
 
 
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """All files below a folder, relative to it; none if there is no folder."""
+    files, where = _at(spark, path)
+    if not files.exists(where):
+        return []
+    root, found, names = files.getFileStatus(where).getPath().toUri().getPath(), files.listFiles(where, True), []
+    while found.hasNext():
+        names.append(found.next().getPath().toUri().getPath()[len(root.rstrip("/")) + 1 :])
+    return sorted(names)
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """An empty file at ``path``."""
     files, where = _at(spark, path)
