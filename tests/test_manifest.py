@@ -51,7 +51,7 @@ def test_a_corrected_arrival_replaces_its_own_partitions(spark, tmp_path):
     assert LookupStore.of(spark, contract).read().count() == 30
 
 
-@pytest.mark.parametrize("step", ["announce", "remove", "write", "check"])
+@pytest.mark.parametrize("step", ["announce", "write", "check"])
 def test_a_run_that_died_anywhere_is_repeated_with_other_rows(spark, tmp_path, monkeypatch, step):
     contract = Contract.known("actives", str(tmp_path))
     arrival = land(rows_on(spark, 40, [1, 2, 3, 4]), contract, "1")
@@ -66,9 +66,6 @@ def test_a_run_that_died_anywhere_is_repeated_with_other_rows(spark, tmp_path, m
     with monkeypatch.context() as m:
         if step == "announce":
             m.setattr(manifest, "remove", die)
-        elif step == "remove":
-            announce, calls = manifest.Manifest._announce, []
-            m.setattr(manifest.Manifest, "_announce", lambda *a: announce(*a) if not calls and not calls.append(1) else die())
         elif step == "write":
             m.setattr(dataset, "stage", die)
         else:
