@@ -158,3 +158,33 @@ def test_clean_rows_stay_unchanged(spark, odd, empty):
     assert sorted(map(str, clean.collect())) == sorted(map(str, expected))
     assert decontamination.decontaminated(odd, benchmark.limit(0)).count() == odd.count()
     assert decontamination.decontaminated(empty, benchmark).collect() == []
+
+
+def test_more_languages_than_a_matrix_of_all_buckets_holds(spark):
+    """1,100 languages, each with a letter sequence of its own."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda i: "".join(letters[(i // 26**k) % 26] for k in range(3)) * 6
+    rows = [(f"l{i:04}", f"{word(i)} {word(i)}") for i in range(1100)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    model = language.train(docs)
+    assert len(model.languages) == 1100 and model.log_prob.shape[1] == language.BUCKETS // 2
+    some = docs.where("substring(lang, 4, 2) = '07'")
+    found = language.predict(some, model).collect()
+    assert len(found) == 11 and all(r.lang == r.lang_pred and 0 < r.score <= 1 for r in found)
+
+
+def test_training_counts_equal_plain_counts(spark, odd):
+    model, table = language.train(odd), language.letter_table()
+    rows = [(r.lang, r.text) for r in odd.collect() if r.lang is not None and r.text is not None]
+    for k, name in enumerate(model.languages):
+        counts = np.zeros(language.BUCKETS)
+        for _, text in [r for r in rows if r[0] == name]:
+            for bucket, _ in language.grams([text], table):
+                np.add.at(counts, bucket, 1)
+        smooth = counts + language.SMOOTHING
+        assert np.allclose(model.log_prob[k], np.log(smooth / smooth.sum()), rtol=1e-12)
+        assert np.isclose(model.log_prior[k], np.log(sum(r[0] == name for r in rows) / len(rows)))
+
+
+def test_buckets_halve_as_languages_double():
+    assert [language.buckets_for(n) for n in (1, 1024, 1025, 2049, 10**6)] == [1 << 15, 1 << 15, 1 << 14, 1 << 13, 1 << 10]

@@ -21,8 +21,12 @@ ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
 #: Characters handled at once inside a task.
 CHUNK = 1 << 19
-#: The matrix may take so many bytes; with more languages choose fewer buckets.
+#: The matrix takes at most so many bytes while it has LEAST_BUCKETS or more: 1,024 languages
+#: have all BUCKETS, twice as many half of them, and so on.
 MODEL_BYTES = 256 << 20
+LEAST_BUCKETS = 1 << 10
+#: Languages a task counts at once; their counts are handed out before it takes more.
+COUNTED = 64
 
 UNDETERMINED = "und"
 SPACE = 32
@@ -31,7 +35,7 @@ SPACE = 32
 @dataclass
 class Model:
     languages: list[str]
-    #: One row of log-probabilities per language; the prior is apart.
+    #: One row of log-probabilities per language, a power of two of buckets; the prior is apart.
     log_prob: np.ndarray
     log_prior: np.ndarray
 
@@ -92,15 +96,15 @@ def chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
         yield start, held
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    letters, counts, docs = letter_table(), {}, {}
-    for batch in batches:
-        for language, own in batch.groupby("lang", sort=True):
-            total = counts.setdefault(language, np.zeros(BUCKETS, np.int64))
-            docs[language] = docs.get(language, 0) + len(own)
-            for _, texts in chunks(own["text"].tolist()):
-                for bucket, _ in grams(texts, letters):
-                    total += np.bincount(bucket, minlength=BUCKETS)
+def buckets_for(languages: int) -> int:
+    """Buckets of a matrix of so many languages."""
+    buckets = BUCKETS
+    while buckets > LEAST_BUCKETS and languages * buckets * 8 > MODEL_BYTES:
+        buckets //= 2
+    return buckets
+
+
+def _counted(counts: dict[str, np.ndarray], docs: dict[str, int]) -> Iterator[pd.DataFrame]:
     for language, total in counts.items():
         cells = np.flatnonzero(total)
         yield pd.DataFrame(
@@ -112,23 +116,43 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
+def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    letters, counts, docs = letter_table(), {}, {}
+    for batch in batches:
+        for language, own in batch.groupby("lang", sort=True):
+            if language not in counts and len(counts) >= COUNTED:
+                yield from _counted(counts, docs)
+                counts, docs = {}, {}
+            total = counts.setdefault(language, np.zeros(BUCKETS, np.int64))
+            docs[language] = docs.get(language, 0) + len(own)
+            for _, texts in chunks(own["text"].tolist()):
+                for bucket, _ in grams(texts, letters):
+                    total += np.bincount(bucket, minlength=BUCKETS)
+    yield from _counted(counts, docs)
+
+
 def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """The model of all rows with a text and a language; None if there are none."""
+    """The model of all rows with a text and a language; None if there are none.
+
+    Any number of languages is learned.  Beyond 1,024 they share fewer buckets, and beyond
+    32,768 the matrix grows with them, by 8 kB each.
+    """
     rows = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     )
-    cells = rows.mapInPandas(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    languages = sorted(r["lang"] for r in df.where(F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang")).distinct().collect() if r["lang"] is not None)
+    # One row for each language.
+    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     if not languages:
         return None
-    if len(languages) * BUCKETS * 8 > MODEL_BYTES:
-        raise ValueError(f"{len(languages)} languages and {BUCKETS} buckets exceed the model's size bound")
+    buckets = buckets_for(len(languages))
+    folded = F.when(F.col("bucket") < 0, F.col("bucket")).otherwise(F.col("bucket") % buckets)
+    cells = rows.mapInPandas(_count, "lang string, bucket int, n long").groupBy("lang", folded.alias("bucket")).agg(F.sum("n").alias("n"))
     # As many cells as the matrix has, whatever the size of the corpus.
     found = cells.toArrow()
     at = {language: i for i, language in enumerate(languages)}
     row = np.fromiter((at[x] for x in found["lang"].to_pylist()), np.int64, found.num_rows)
     bucket, n = found["bucket"].to_numpy(), found["n"].to_numpy()
-    counts, docs = np.zeros((len(languages), BUCKETS)), np.zeros(len(languages))
+    counts, docs = np.zeros((len(languages), buckets)), np.zeros(len(languages))
     is_doc = bucket < 0
     docs[row[is_doc]] = n[is_doc]
     counts[row[~is_doc], bucket[~is_doc]] = n[~is_doc]
@@ -138,7 +162,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
 
 def score(texts: list[str | None], model: Model, letters: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Best language of each text and its posterior probability."""
-    sums = np.tile(model.log_prior, (len(texts), 1))
+    sums, buckets = np.tile(model.log_prior, (len(texts), 1)), model.log_prob.shape[1]
     lettered = np.zeros(len(texts), bool)
     for start, part in chunks([t or "" for t in texts]):
         for order, (bucket, owner) in enumerate(grams(part, letters)):
@@ -148,6 +172,7 @@ def score(texts: list[str | None], model: Model, letters: np.ndarray) -> tuple[l
             rows = start + owner[first]
             if order == 0:
                 lettered[rows] = True
+            bucket = bucket % np.uint32(buckets)
             for k in range(len(model.languages)):
                 sums[rows, k] += np.add.reduceat(model.log_prob[k][bucket], first)
     best = sums.argmax(axis=1)
