@@ -226,5 +226,27 @@ def test_random_lines(spark):
     check_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
 
 
+def test_a_window_that_most_documents_share_is_split(spark):
+    n = 30_000
+    docs = spark.range(n).select(F.col("id").alias("id"), F.xxhash64("id").alias("row"), F.concat_ws("\n", F.lit("a\nb\nc"), F.col("id")).alias("text"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        runs = line_dedup.repeated_runs(docs.select("id", "row", F.split("text", "\n").alias("lines")).repartition(8), 3)
+        rows = runs.collect()
+        plan = runs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert len(rows) == n - 1 and all([tuple(x) for x in r.runs] == [(0, 3)] for r in rows)
+    assert "skewed" in plan and "skew=true" in plan
+
+
 def test_lines_of_an_empty_table(empty):
     assert line_dedup.without_repeats(empty).where(F.lit(True)).collect() == []

@@ -52,10 +52,10 @@ def repeated_runs(rows: DataFrame, window: int) -> DataFrame:
         .where("n > 1")
         .select(F.col("one").alias("w1"), F.col("two").alias("w2"), "first")
     )
-    # The join is on one half, so both sides are shuffled anew and a hot window can be split.
-    later = windows.join(repeated, (F.col("one") == F.col("w1")) & (F.col("two") == F.col("w2"))).where(
-        place > F.col("first")
-    )
+    # The join is on one half, the other being a filter: no side has the count's exchange, which
+    # could not be split, so adaptive execution deals a hot window to many tasks.
+    same = (F.col("one") == F.col("w1")) & (F.col("two") <= F.col("w2")) & (F.col("two") >= F.col("w2"))
+    later = windows.join(repeated, same).where(place > F.col("first"))
     inside = Window.partitionBy("id", "row").orderBy("at")
     fresh = F.coalesce(F.col("at") > F.lag("at").over(inside) + window, F.lit(True))
     runs = (
