@@ -53,6 +53,14 @@ def test_mix_of_real_documents(spark):
     assert sorted((r.doc_id, r.copies) for r in rows) == sorted((r.doc_id, r.copies) for r in again)
 
 
+def test_targets_of_sources_that_reach_their_caps_together(spark):
+    sizes = {f"s{i}": 10 for i in range(7)} | {"t": 3, "u": 3}
+    for weights, share in (((1,), 0.5), ((5, 2, 1), 1.5), ((1,), 1.9)):
+        df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        got = {r.source: r.target for r in mixing.source_targets(df, weights, share, 2.0).collect()}
+        assert got == pytest.approx(plain_targets(sizes, weights, share, 2.0))
+
+
 def test_mix_of_odd_rows(odd, odd_wide):
     assert len(check_mix(odd)) == odd.count()
     assert set(mixing.mix(odd_wide, MIX_WEIGHTS, MIX_SHARE).columns) == set(odd_wide.columns)
@@ -72,6 +80,35 @@ def test_border_inside_one_bucket(spark, monkeypatch):
     assert sorted((r.doc_id, r.copies) for r in check_mix(docs)) == expected
 
 
+def test_border_cut_again_until_it_is_small(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").withColumn("source", F.lit("one"))
+    expected = sorted((r.doc_id, r.copies) for r in mixing.mix(docs, (1,), 0.4).collect())
+    monkeypatch.setattr(mixing, "RANK_BUCKETS", 4)
+    monkeypatch.setattr(mixing, "BORDER_ROWS", 2)
+    assert sorted((r.doc_id, r.copies) for r in mixing.mix(docs, (1,), 0.4).collect()) == expected
+
+
+@pytest.mark.parametrize("share, certain", [(0.25, 0), (1.5, 1)])
+def test_frequencies_match_inclusion_odds(spark, share, certain):
+    """Sources alike in all but their ids are as many draws of one sample.
+
+    Pareto's probabilities are asymptotic: one document must not hold much of a sample.
+    """
+    n, lengths = 300, [*range(1, 21)] * 4 + [60, 60]
+    rows = [(s * 100 + i, "w " * k, f"s{s}") for s in range(n) for i, k in enumerate(lengths)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs, (1,), share).groupBy("size").agg(F.avg("copies").alias("mean")).collect()
+    rest = (share - certain) * sum(lengths)
+    low, high = 0.0, 1.0
+    for _ in range(100):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(1, level * k) * k for k in lengths) < rest else (low, level)
+    odds = {k: min(1, level * k) for k in lengths}
+    assert max(odds.values()) > 5 * min(odds.values())
+    for r in got:
+        assert r["mean"] == pytest.approx(certain + odds[r["size"]], abs=0.1)
+
+
 @pytest.mark.parametrize("few", [200_000, -1])
 def test_rows_without_or_with_one_id_are_drawn_apart(spark, monkeypatch, few):
     monkeypatch.setattr("zonepipe.llm.common.BROADCAST_ROWS", few)

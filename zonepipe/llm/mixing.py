@@ -1,13 +1,17 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-Every source gets a word target.  A document is taken ``floor(target / size of source)``
-times for certain; the rest of the target is an unequal-probability sample of fixed size
-in words: documents are ranked by Pareto's order statistic, the odds of a uniform number
-divided by the odds of inclusion, and the first ones that fill the rest are taken.
+Every source gets a word target.  Its documents are taken ``floor(target / size of source)``
+times for certain; the rest of the target is an unequal-probability sample of fixed size in
+words.  A document's inclusion probability is proportional to its size and stops at one; the
+factor is solved so that the words expected equal the rest.  Documents that reach one have
+a further certain copy.  The others are ranked by Pareto's order statistic, the odds of a
+uniform number divided by the odds of inclusion, and the first ones that fill the rest are
+taken.
 
 The uniform number is a hash of id and seed, so a rerun takes the same documents; where rows
-share an id, or have none, the rest of the row decides too.  The rank is cut without sorting a source: word counts per rank bucket are summed first, and
-only the one bucket per source that holds the border is ordered row by row.
+share an id, or have none, the rest of the row decides too.  The rank is cut without sorting
+a source: word counts per rank bucket are summed first, and the one bucket per source that
+holds the border is cut again, until it is small enough to be ordered row by row.
 """
 
 from __future__ import annotations
@@ -20,7 +24,12 @@ from pyspark.sql.window import Window
 
 from zonepipe.llm.common import join_checked, unused, word_count, written
 
-RANK_BUCKETS = 4096
+# A power of two, so that the borders of buckets within buckets are exact.
+RANK_BUCKETS = 256
+# A border bucket of at most so many rows is ordered in one task.
+BORDER_ROWS = 4096
+# Buckets are not cut below this width: ranks so near differ in little but rounding.
+LEAST_WIDTH = 2.0**-48
 # 13 hex digits of a digest: the 52 bits that a double holds exactly.
 UNIFORM_DIGITS = 13
 
@@ -91,13 +100,52 @@ def source_targets(
         (F.col("total") - F.coalesce(F.sum("cap").over(earlier), F.lit(0.0)))
         / F.sum("weight").over(by_level.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
     )
-    # The first source, by level, whose cap lies above the level of those that remain.
-    final = F.min(F.when(F.col("reached") >= F.col("level"), F.struct("reached", "level"))).over(everything)["level"]
+    # The first source, by level, whose cap lies above the level of those that remain; among
+    # sources whose caps are reached together that is the one with the highest level.
+    first = F.struct("reached", (-F.col("level")).alias("negative"))
+    final = -F.min(F.when(F.col("reached") >= F.col("level"), first)).over(everything)["negative"]
     return levelled.select(
         "source", "source_size", F.coalesce(F.least("cap", final * F.col("weight")), F.col("cap")).alias("target")
     )
 
 
+def inclusion_levels(sizes: DataFrame, plan: DataFrame, n_sources: int) -> DataFrame:
+    """``source, level, full_above, full_words``: the factor from size to inclusion probability.
+
+    ``sizes`` has one row per source and size, with its number ``n``; a source's
+    probabilities ``min(1, level * size)`` add up, weighted by size, to the ``rest`` of
+    ``plan``.  Sizes beyond ``full_above`` reach one and hold ``full_words``.  A source has
+    fewer different sizes than the root of twice its words, which is what one task orders.
+    """
+    whole = F.col("n").cast("decimal(38,0)")
+    one = F.col("size").cast("decimal(18,0)")
+    found = join_checked(
+        sizes.where("size > 0"),
+        plan.select(F.col("source").alias("plan_source"), "rest"),
+        F.col("source").eqNullSafe(F.col("plan_source")),
+        "inner",
+        n_sources,
+    )
+    by_size = Window.partitionBy("source").orderBy(F.col("size").desc())
+    larger = by_size.rowsBetween(Window.unboundedPreceding, -1)
+    others = by_size.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    words = (whole * one).cast("decimal(38,0)")
+    levelled = (
+        found.withColumn("words", words)
+        .withColumn("squares", (words * one).cast("decimal(38,0)"))
+        .withColumn("before", F.coalesce(F.sum("words").over(larger).cast("double"), F.lit(0.0)))
+        .withColumn("level", (F.col("rest") - F.col("before")) / F.sum("squares").over(others).cast("double"))
+    )
+    # The largest size that stays below one, by the level at which all larger ones reach it.
+    below = F.when(F.col("level") * F.col("size") < 1, F.struct("size", "level", "before"))
+    return levelled.groupBy("source").agg(F.max(below).alias("first"), F.sum("words").alias("words")).select(
+        "source",
+        F.greatest(F.coalesce("first.level", F.lit(0.0)), F.lit(0.0)).alias("level"),
+        F.coalesce("first.size", F.lit(0)).alias("full_above"),
+        F.coalesce("first.before", F.col("words").cast("double")).alias("full_words"),
+    )
+
+
 def mix(
     df: DataFrame,
     weights: Sequence[float],
@@ -110,12 +158,13 @@ def mix(
 ) -> DataFrame:
     """All rows of ``df`` plus ``size``, ``source_size``, ``target`` and ``copies``.
 
-    ``copies`` is how often the mix takes a row: the certain copies, and one more where the
-    sample holds it.  Words taken of a source differ from its target by less than one
-    document.  Null sources form one source; rows without words are taken as often as the
-    source's certain copies, and in a source without words not at all.  Rows that share an
-    id, or have none, are drawn apart, full repeats too.  An empty table gives an empty
-    result.  Columns of ``df`` with the names of result columns are replaced.
+    ``size`` is a whole number, the words of ``text`` unless given.  ``copies`` is how often
+    the mix takes a row: the certain copies, and one more where the sample holds it, which
+    is the likelier the larger the row is.  Words taken of a source differ from its target
+    by less than one document.  Null sources form one source; rows without words are taken
+    as often as the source's certain copies, and in a source without words not at all.
+    Rows that share an id, or have none, are drawn apart, full repeats too.  An empty table
+    gives an empty result.  Columns of ``df`` with the names of result columns are replaced.
 
     ``most`` caps a target, so a row has at most ``most`` copies, rounded up.
     """
@@ -125,67 +174,95 @@ def mix(
     u, id_key, key, plan_c, rank = unused(df, "u_", "id_", "source_key_", "plan_", "rank_")
     drawn = _drawn(df.withColumn("size", size), id_col, seed, u, id_key)
     narrow = written(drawn.select(F.col(source_col).alias(key), "size", u, id_key), "mix-sizes")
+    counts = written(narrow.groupBy(F.col(key).alias("source"), "size").agg(F.count("*").alias("n")), "mix-counts")
 
-    targets = written(
-        source_targets(
-            narrow.groupBy(F.col(key).alias("source")).agg(F.sum("size").alias("source_size")), weights, share, most
-        ),
-        "mix-targets",
-    )
+    per_source = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+    targets = written(source_targets(per_source, weights, share, most), "mix-targets")
     n_sources = targets.count()
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    plan = (
-        targets.withColumn("certain", F.floor(ratio).cast("long"))
-        .withColumn("inclusion", ratio - F.col("certain"))
-        .withColumn("rest", F.col("target") - F.col("certain") * F.col("source_size"))
+    certain = targets.withColumn("certain", F.floor(ratio).cast("long")).withColumn(
+        "rest", F.col("target") - F.col("certain") * F.col("source_size")
+    )
+    levels = inclusion_levels(counts, certain, n_sources).withColumnRenamed("source", "level_source")
+    plan = written(
+        certain.join(levels, F.col("source").eqNullSafe(F.col("level_source")), "left")
+        .withColumn("rest", F.col("rest") - F.coalesce("full_words", F.lit(0.0)))
+        .drop("level_source", "full_words"),
+        "mix-levels",
     )
 
     def planned(rows: DataFrame, source: str, plan: DataFrame) -> DataFrame:
-        """Rows with their source's plan as one column, and their rank within the source."""
+        """Rows with their source's plan as one column, and the rank of those left to chance."""
         right = plan.select(F.col("source").alias("plan_source"), F.struct(*plan.columns).alias(plan_c))
         found = join_checked(rows, right, rows[source].eqNullSafe(right["plan_source"]), "inner", n_sources)
-        pi = F.col(plan_c)["inclusion"]
+        pi = F.col(plan_c)["level"] * F.col("size")
         q = F.col(u) / (1 - F.col(u)) * (1 - pi) / pi
-        return found.drop(right["plan_source"]).withColumn(rank, F.when(pi > 0, q / (1 + q)))
-
-    bucketed = (
-        planned(narrow, key, plan)
-        .where(F.col(rank).isNotNull())
-        .select(
-            key, "size", id_key, rank, F.col(plan_c)["rest"].alias("rest"),
-            F.least(F.floor(F.col(rank) * RANK_BUCKETS), F.lit(RANK_BUCKETS - 1)).cast("int").alias("bucket"),
-        )
-    )
-    by_rank = Window.partitionBy(key).orderBy("bucket")
-    border = written(
-        bucketed.groupBy(key, "bucket", "rest")
-        .agg(F.sum("size").alias("words"))
-        .withColumn("before", F.sum("words").over(by_rank) - F.col("words"))
-        .where("before <= rest")
-        .groupBy(key)
-        .agg(F.max(F.struct("bucket", "before")).alias("border"))
-        .select(F.col(key).alias("border_source"), F.col("border.bucket").alias("cut"), "border.before"),
-        "mix-borders",
-    )
-    same_source = bucketed[key].eqNullSafe(border["border_source"])
-    in_order = Window.partitionBy("border_source").orderBy(rank, id_key)
-    nobody = F.struct((F.col("cut") / RANK_BUCKETS).alias("rank"), F.lit(-(2**63)).alias("id"))
-    last = (
-        join_checked(bucketed, border, same_source, "inner", n_sources)
-        .where("bucket = cut")
-        .withColumn("middle", F.col("before") + F.sum("size").over(in_order) - F.col("size") / 2)
-        .groupBy("border_source", "cut")
-        .agg(F.max(F.when(F.col("middle") <= F.col("rest"), F.struct(F.col(rank).alias("rank"), F.col(id_key).alias("id")))).alias("last"))
-        .select("border_source", F.coalesce("last", nobody).alias("last"))
-    )
+        chance = (pi > 0) & (F.col("size") <= F.col(plan_c)["full_above"])
+        return found.drop(right["plan_source"]).withColumn(rank, F.when(chance, q / (1 + q)))
+
+    ranked = planned(narrow, key, plan).where(F.col(rank).isNotNull())
+    last = _last_taken(ranked.select(F.col(key).alias("source"), "size", F.col(rank).alias("rank"), F.col(id_key).alias("id"), F.col(plan_c)["rest"].alias("rest")), n_sources)
     whole = written(
         plan.join(last, F.col("source").eqNullSafe(F.col("border_source")), "left").drop("border_source"), "mix-plan"
     )
-    drawn_in = F.struct(F.col(rank), F.col(id_key)) <= F.col(plan_c)["last"]
+    sampled = (F.col("size") > F.col(plan_c)["full_above"]) | (
+        F.struct(F.col(rank), F.col(id_key)) <= F.col(plan_c)["last"]
+    )
+    more = F.when(F.col("size") > 0, F.coalesce(sampled.cast("long"), F.lit(0))).otherwise(F.lit(0))
     return planned(drawn, source_col, whole).select(
         *columns,
         "size",
         F.col(plan_c)["source_size"].alias("source_size"),
         F.col(plan_c)["target"].alias("target"),
-        (F.col(plan_c)["certain"] + F.coalesce(drawn_in.cast("long"), F.lit(0))).alias("copies"),
+        (F.col(plan_c)["certain"] + more).alias("copies"),
+    )
+
+
+def _last_taken(ranked: DataFrame, n_sources: int) -> DataFrame:
+    """``border_source, last``: per source the rank and id up to which rows fill the rest.
+
+    Each pass sums words per bucket and goes on with the rows of one bucket per source, a
+    part in ``RANK_BUCKETS`` of those before; the passes end when no such bucket holds more
+    than ``BORDER_ROWS`` rows.
+    """
+    low, width, before = F.lit(0.0), 1.0, F.lit(0.0)
+    rows = ranked.select("*", low.alias("low"), before.alias("before"))
+    while True:
+        step = width / RANK_BUCKETS
+        cut = F.least(F.floor((F.col("rank") - F.col("low")) / F.lit(step)), F.lit(RANK_BUCKETS - 1)).cast("int")
+        rows = rows.withColumn("bucket", cut)
+        by_rank = Window.partitionBy("source").orderBy("bucket")
+        border = written(
+            rows.groupBy("source", "bucket", "rest", "low", "before")
+            .agg(F.sum("size").alias("words"), F.count("*").alias("n"))
+            .withColumn("passed", F.col("before") + F.sum("words").over(by_rank) - F.col("words"))
+            .where("passed <= rest")
+            .groupBy("source")
+            .agg(F.max(F.struct("bucket", "passed", "n", "low")).alias("border"))
+            .select(
+                F.col("source").alias("border_source"),
+                F.col("border.bucket").alias("cut"),
+                F.col("border.passed").alias("passed"),
+                F.col("border.n").alias("n"),
+                (F.col("border.low") + F.col("border.bucket") * F.lit(step)).alias("lower"),
+            ),
+            "mix-borders",
+        )
+        inside = (
+            join_checked(rows, border, rows["source"].eqNullSafe(border["border_source"]), "inner", n_sources)
+            .where("bucket = cut")
+            .select("source", "size", "rank", "id", "rest", F.col("lower").alias("low"), F.col("passed").alias("before"))
+        )
+        width = step
+        most = border.agg(F.max("n")).first()[0] or 0
+        if most <= BORDER_ROWS or width < LEAST_WIDTH:
+            break
+        rows = written(inside, "mix-inside")
+    in_order = Window.partitionBy("source").orderBy("rank", "id")
+    nobody = F.struct(F.col("low").alias("rank"), F.lit(-(2**63)).alias("id"))
+    return (
+        inside.withColumn("middle", F.col("before") + F.sum("size").over(in_order) - F.col("size") / 2)
+        .groupBy(F.col("source").alias("border_source"), "low")
+        .agg(F.max(F.when(F.col("middle") <= F.col("rest"), F.struct("rank", "id"))).alias("last"))
+        .select("border_source", F.coalesce("last", nobody).alias("last"))
     )

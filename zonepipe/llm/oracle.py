@@ -55,21 +55,39 @@ with docs as (
   select min(reached) as first_reached from levelled where reached > level
 ), targets as (
   select source, source_size,
-         coalesce(least(cap, weight * (select min(level) from levelled, final where reached = first_reached)), cap) as target
+         coalesce(least(cap, weight * (select max(level) from levelled, final where reached = first_reached)), cap) as target
   from levelled
 ), planned as (
-  select *, floor(case when source_size > 0 then target / source_size else 0 end)::bigint as certain
-  from targets
-), ranked as (
-  select d.doc_id, d.size, p.source_size, p.target, p.certain,
-         p.target - p.certain * p.source_size as rest,
-         p.source_size > 0 and p.target / p.source_size > p.certain as sampled,
-         sum(d.size) over (partition by d.source order by d.u, d.doc_id) - d.size / 2.0::double as middle
+  select *, target - certain * source_size as rest
+  from (select *, floor(case when source_size > 0 then target / source_size else 0 end)::bigint as certain from targets)
+), counted as (
+  select source, size, count(*)::hugeint as n from docs where size > 0 group by source, size
+), level_of as (
+  select c.source, c.size, coalesce(sum(c.n * c.size) over larger, 0)::double as full_words,
+         (p.rest - coalesce(sum(c.n * c.size) over larger, 0)::double)
+           / (sum(c.n * c.size * c.size) over others)::double as level
+  from counted c join planned p on c.source is not distinct from p.source
+  window larger as (partition by c.source order by c.size desc rows between unbounded preceding and 1 preceding),
+         others as (partition by c.source order by c.size desc rows between current row and unbounded following)
+), levels as (
+  select source, max(size) as full_above, max_by(level, size) as level, max_by(full_words, size) as full_words
+  from level_of where level * size < 1 group by source
+), odds as (
+  select d.doc_id, d.source, d.size, d.u, p.source_size, p.target, p.certain, p.rest - l.full_words as rest,
+         d.size > coalesce(l.full_above, 0) as full_,
+         case when d.size > 0 and d.size <= l.full_above and l.level > 0 then l.level * d.size end as pi
   from docs d join planned p on d.source is not distinct from p.source
+  left join levels l on d.source is not distinct from l.source
+), ranked as (
+  -- Odds of the uniform number over odds of inclusion.
+  select *, d.u / (1 - d.u) * (1 - d.pi) / d.pi as quotient from odds d
+), filled as (
+  select *, sum(size) over (partition by source, pi is null order by quotient, doc_id) - size / 2.0::double as middle
+  from ranked
 )
 select doc_id, size, source_size, target,
-       (size * (certain + case when sampled and middle <= rest then 1 else 0 end))::bigint as taken
-from ranked
+       (size * (certain + case when full_ or (pi is not null and middle <= rest) then 1 else 0 end))::bigint as taken
+from filled
 """
 
 ORACLE["op9_exact_dedup"] = r"""
