@@ -151,6 +151,22 @@ def test_hits_equal_plain_search(spark, odd, odd_wide, max_bytes):
         assert (r.hits.n_words, r.hits.n_hit, list(r.hits["items"]), spans) == plain_hits(r.text, BENCHMARK, 2)
 
 
+def test_any_number_of_automata_needs_one_python_node(spark, odd, monkeypatch):
+    benchmark = spark.createDataFrame(BENCHMARK, "item_id string, text string")
+    items = [(i, t) for i, t in BENCHMARK if t]
+    parts = list(decontamination.pattern_parts(items, 2, 30))
+    assert len(parts) == 3 and all(len(p) == 1 or sum(map(len, p)) <= 30 for p in parts)
+    assert set().union(*parts) == set(decontamination.patterns(items, 2))
+    expected = None
+    for max_bytes, held in ((1 << 20, 0), (30, 1), (1, 10**9)):
+        monkeypatch.setattr(decontamination, "HELD_CHARACTERS", held)
+        found = decontamination.find_contamination(odd.repartition(2), benchmark, window=2, max_bytes=max_bytes)
+        rows = sorted(str((r.doc_id, r.text, r.hits)) for r in found.collect())
+        plan = found._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+        assert plan.count("ArrowEvalPython") == 1
+        assert rows == (expected := expected or rows)
+
+
 def test_clean_rows_stay_unchanged(spark, odd, empty):
     benchmark = spark.createDataFrame(BENCHMARK, "item_id string, text string")
     clean = decontamination.decontaminated(odd, benchmark, window=2)

@@ -6,15 +6,18 @@ pattern, bounded by spaces so that it matches whole words only.  Each document i
 once against all patterns; word positions and, on request, byte offsets in the original
 text come back.
 
-The automaton lives in every Python worker, so its patterns are sent only up to
-``max_bytes``, which is checked first.  A larger benchmark is cut into blocks of that
-size, one scan per block, and the blocks' hits of a document are united: the result does
-not depend on the number of blocks.
+An automaton takes memory in proportion to its patterns, so at most ``max_bytes`` of them
+go into one.  Where the benchmark has more, a worker holds back a bounded number of texts,
+scans them with one automaton after the other and unites the hits: there is one Python node
+and one automaton at a time, and the result does not depend on their number.  The text of
+the benchmark itself goes to the driver and to every worker.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -26,9 +29,10 @@ from pyspark.sql import types as T
 from zonepipe.llm.common import unused
 
 WINDOW = 10
-# Bytes of benchmark text whose windows go into one automaton: an automaton takes about
-# 200 times its window text's share, a few hundred MB of worker memory at this bound.
-MAX_BYTES = 400_000
+# Bytes of windows in one automaton, which has no more nodes than that: a few hundred MB.
+MAX_BYTES = 4_000_000
+# Characters of text that are scanned with one automaton before the next one is built.
+HELD_CHARACTERS = 32_000_000
 
 # Bytes of words are 0-9, a-z after lower-casing, and all of 0x80 and above.
 _WORD_BYTES = frozenset(b"0123456789abcdefghijklmnopqrstuvwxyz") | frozenset(range(0x80, 0x100))
@@ -55,14 +59,31 @@ def folded(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD)
 
 
-def patterns(items: list[tuple[str, str]], window: int = WINDOW) -> dict[bytes, list[str]]:
+def patterns(items: Iterable[tuple[str, str]], window: int = WINDOW) -> dict[bytes, list[str]]:
     """Windows of the items' words, each with the ids of the items that hold it."""
+    return next(pattern_parts(items, window, math.inf), {})
+
+
+def pattern_parts(items: Iterable[tuple[str, str]], window: int, max_bytes: float) -> Iterator[dict[bytes, list[str]]]:
+    """The windows in parts of at most ``max_bytes``, or one window where that is longer.
+
+    A window that several items hold may come in several parts.
+    """
     found: dict[bytes, set[str]] = {}
+    size = 0
     for item, text in items:
         words = folded(text).split()
         for i in range(max(1, len(words) - window + 1) if words else 0):
-            found.setdefault(b" " + b" ".join(words[i : i + window]) + b" ", set()).add(item)
-    return {k: sorted(v) for k, v in found.items()}
+            pattern = b" " + b" ".join(words[i : i + window]) + b" "
+            if pattern not in found:
+                if found and size + len(pattern) > max_bytes:
+                    yield {k: sorted(v) for k, v in found.items()}
+                    found, size = {}, 0
+                found[pattern] = set()
+                size += len(pattern)
+            found[pattern].add(item)
+    if found:
+        yield {k: sorted(v) for k, v in found.items()}
 
 
 def automaton(windows: dict[bytes, list[str]]) -> ahocorasick.Automaton:
@@ -75,57 +96,87 @@ def automaton(windows: dict[bytes, list[str]]) -> ahocorasick.Automaton:
     return built
 
 
-def scan(text: str | None, built: ahocorasick.Automaton, spans: bool) -> tuple:
-    """``(words, hit words, items, byte spans)`` of one text."""
-    flat = folded(text)
-    words = flat.split()
+def scan(text: str | None, built: ahocorasick.Automaton) -> tuple[list[tuple[int, int]], set[str]]:
+    """Ranges of words that patterns cover, end excluded, and the items the patterns belong to."""
+    words = folded(text).split()
     if not words or not len(built):
-        return len(words), 0, [], []
+        return [], set()
     joined = b" " + b" ".join(words) + b" "
     hits, items = [], set()
     for end, (length, owners) in built.iter(joined.decode("latin-1")):
         hits.append((end - length + 1, end))
         items.update(owners)
     if not hits:
-        return len(words), 0, [], []
+        return [], items
     # The n-th space of the joined text stands before word n.
     spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 0x20)
     first, last = np.searchsorted(spaces, np.array(hits).T)
-    change = np.zeros(len(words) + 1, np.int64)
-    np.add.at(change, first, 1)
-    np.add.at(change, last, -1)
-    hit = np.cumsum(change[:-1]) > 0
+    edge = np.zeros(len(words) + 1, np.int64)
+    np.add.at(edge, first, 1)
+    np.add.at(edge, last, -1)
+    return _runs(np.cumsum(edge[:-1]) > 0), items
+
+
+def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
+    """Where maximal runs of set flags start, and where they have ended."""
+    edge = np.diff(np.concatenate(([0], flags.view(np.int8), [0])))
+    return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()))
+
+
+def result(text: str | None, ranges: list[tuple[int, int]], items: set[str], spans: bool) -> tuple:
+    """``(words, hit words, items, byte spans)`` of one text from the word ranges that are hit."""
+    flat = folded(text)
+    n = len(flat.split())
+    if not ranges:
+        return n, 0, sorted(items), []
+    hit = np.zeros(n, bool)
+    for start, stop in ranges:
+        hit[start:stop] = True
     found = []
     if spans:
-        inside = np.frombuffer(flat, np.uint8) != 0x20
-        edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
-        starts, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        run = np.diff(np.concatenate(([0], hit.view(np.int8), [0])))
-        found = [
-            {"start": int(starts[a]), "stop": int(stops[b - 1])}
-            for a, b in zip(np.flatnonzero(run == 1), np.flatnonzero(run == -1))
-        ]
-    return len(words), int(hit.sum()), sorted(items), found
+        words = _runs(np.frombuffer(flat, np.uint8) != 0x20)
+        found = [{"start": words[a][0], "stop": words[b - 1][1]} for a, b in _runs(hit)]
+    return n, int(hit.sum()), sorted(items), found
+
 
+def _held(batches: Iterator[pd.Series], characters: float) -> Iterator[list[list[str | None]]]:
+    """Batches of texts in groups that reach ``characters`` or end with the input."""
+    group, size = [], 0
+    for batch in batches:
+        texts = [t if isinstance(t, str) else None for t in batch]
+        group.append(texts)
+        size += sum(len(t) for t in texts if t)
+        if size >= characters:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
-def _scanner(items: list[tuple[str, str]], window: int, spans: bool):
-    """A scalar Pandas UDF; each worker builds the automaton once, from the item texts."""
+
+def _scanner(items: list[tuple[str, str]], window: int, spans: bool, max_bytes: int):
+    """A scalar Pandas UDF; a single automaton is built once by each worker, several in turn."""
 
     @F.pandas_udf(HIT_SCHEMA)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        built = automaton(patterns(items, window))
-        for texts in batches:
-            rows = [scan(t if isinstance(t, str) else None, built, spans) for t in texts]
-            yield pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
+        parts = list(islice(pattern_parts(items, window, max_bytes), 2))
+        single = automaton(parts[0] if parts else {}) if len(parts) < 2 else None
+        del parts
+        for group in _held(batches, 0 if single is not None else HELD_CHARACTERS):
+            texts = [t for batch in group for t in batch]
+            ranges, owners = [[] for _ in texts], [set() for _ in texts]
+            several = map(automaton, pattern_parts(items, window, max_bytes))
+            for built in [single] if single is not None else several:
+                for i, text in enumerate(texts):
+                    covered, found = scan(text, built)
+                    ranges[i] += covered
+                    owners[i] |= found
+            rows = iter([result(t, r, o, spans) for t, r, o in zip(texts, ranges, owners)])
+            for batch in group:
+                yield pd.DataFrame(list(islice(rows, len(batch))), columns=["n_words", "n_hit", "items", "spans"])
 
     return find
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, max_bytes: int) -> int:
-    total = benchmark.agg(F.sum(F.octet_length(F.coalesce(text_col, F.lit(""))) + 16)).first()[0] or 0
-    return max(1, -(-total // max_bytes))
-
-
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -145,45 +196,12 @@ def find_contamination(
     windows are all named.  With an empty benchmark nothing is hit.  ``docs`` may hold any
     other columns; one named like ``into`` is replaced.
     """
-    docs = docs.drop(into)
-    n = _blocks(benchmark, item_col, item_text_col, max_bytes)
     rows = benchmark.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
         F.coalesce(item_text_col, F.lit("")).alias("text"),
-        F.pmod(F.xxhash64(F.col(item_col), F.col(item_text_col)), F.lit(n)).alias("block"),
     )
-    found = docs
-    blocks = unused(docs, *[f"{into}_{i}_" for i in range(n)]) if n > 1 else [into]
-    for i, name in enumerate(blocks):
-        # One block's texts, of bounded size; blocks follow each other inside a task.
-        items = [(r["item"], r["text"]) for r in rows.where(F.col("block") == i).select("item", "text").collect()]
-        found = found.withColumn(name, _scanner(items, window, spans or n > 1)(F.col(text_col)))
-    if n == 1:
-        return found
-    return found.withColumn(into, _united(F.array(*blocks), F.col(text_col))).drop(*blocks)
-
-
-@F.pandas_udf(HIT_SCHEMA)
-def _united(parts: pd.Series, texts: pd.Series) -> pd.DataFrame:
-    """One document's hits from several blocks: spans are merged, their words counted anew."""
-    rows = []
-    for part, text in zip(parts, texts):
-        flat = np.frombuffer(folded(text if isinstance(text, str) else None), np.uint8)
-        inside = flat != 0x20
-        word_start = np.flatnonzero(np.diff(np.concatenate(([0], inside.view(np.int8)))) == 1)
-        word_stop = np.flatnonzero(np.diff(np.concatenate((inside.view(np.int8), [0]))) == -1) + 1
-        hit = np.zeros(len(word_start), bool)
-        for one in part:
-            for span in one["spans"]:
-                hit[np.searchsorted(word_start, span["start"]) : np.searchsorted(word_stop, span["stop"]) + 1] = True
-        run = np.diff(np.concatenate(([0], hit.view(np.int8), [0])))
-        spans = [
-            {"start": int(word_start[a]), "stop": int(word_stop[b - 1])}
-            for a, b in zip(np.flatnonzero(run == 1), np.flatnonzero(run == -1))
-        ]
-        items = sorted({x for one in part for x in one["items"]})
-        rows.append((len(word_start), int(hit.sum()), items, spans))
-    return pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
+    items = [(r["item"], r["text"]) for r in rows.collect()]
+    return docs.drop(into).withColumn(into, _scanner(items, window, spans, max_bytes)(F.col(text_col)))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
