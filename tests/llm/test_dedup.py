@@ -248,5 +248,33 @@ def test_a_window_that_most_documents_share_is_split(spark):
     assert "skewed" in plan and "skew=true" in plan
 
 
+def test_links_of_a_hub_are_split(spark):
+    n = 60_000
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    hub = spark.range(1, n).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b")).repartition(8)
+    others = spark.range(n, 2 * n, 2).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        edges = hub.unionByName(others)
+        least = simhash.written(edges.groupBy(F.col("a").alias("node")).agg(F.min("a").alias("low")), "least")
+        linked = simhash._to_least(edges, least)
+        rows = linked.groupBy("b").count().collect()
+        linked.collect()
+        plan = linked._jdf.queryExecution().executedPlan().toString()
+        stars = {r.a: r.b for r in simhash.contract(edges).collect()}
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert max(r["count"] for r in rows) == n - 1
+    assert "skewed" in plan and "skew=true" in plan
+    assert stars == {i: 0 for i in range(1, n)} | {i + 1: i for i in range(n, 2 * n, 2)}
+
+
 def test_lines_of_an_empty_table(empty):
     assert line_dedup.without_repeats(empty).where(F.lit(True)).collect() == []

@@ -297,14 +297,21 @@ def contract(edges: DataFrame) -> DataFrame:
         before = now
         # Large star: larger neighbours of a node link to the smallest of its neighbours and itself.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("low"))
-        large = both.join(least, F.col("a") == F.col("node")).where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = written(large.where("a <> b").distinct(), "links")
+        least = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("low")), "least")
+        large = written(_to_least(both.where("b > a"), least).where("a <> b").distinct(), "links")
         # Small star: a node and its smaller neighbours link to the smallest of them.
-        least = large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
-        small = large.join(least, F.col("a") == F.col("node")).select(F.col("b").alias("a"), F.col("low").alias("b"))
+        least = written(large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")), "least")
         own = least.select(F.col("node").alias("a"), F.col("low").alias("b"))
-        edges = written(small.unionByName(own).where("a <> b").distinct(), "links")
+        edges = written(_to_least(large, least).unionByName(own).where("a <> b").distinct(), "links")
+
+
+def _to_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """A link from each ``b`` to the ``low`` of its ``a``.
+
+    ``least`` is a written table: a join with the aggregate itself would share its exchange,
+    which adaptive execution leaves whole, and the links of a hub would meet in one task.
+    """
+    return edges.join(least, edges["a"] == least["node"]).select(F.col("b").alias("a"), F.col("low").alias("b"))
 
 
 def _rooted(df: DataFrame, id_col: str, text_col: str, root: str) -> DataFrame:
@@ -318,7 +325,9 @@ def _rooted(df: DataFrame, id_col: str, text_col: str, root: str) -> DataFrame:
     rooted = distinct.join(stars, distinct["fp"] == stars["a"], "left").select(
         "fp", "first_id", F.coalesce("b", "fp").alias(root)
     )
-    smallest = rooted.groupBy(root).agg(F.min("first_id").alias(least))
+    rooted = written(rooted, "rooted")
+    # Written for the same reason as in ``_to_least``: a component may be a third of all nodes.
+    smallest = written(rooted.groupBy(root).agg(F.min("first_id").alias(least)), "smallest")
     named = written(rooted.join(smallest, root).select(F.col("fp").alias(node), root, least), "components")
     return rows.join(named, F.col("fingerprint") == F.col(node)).select(
         *columns, "fingerprint", F.col(least).alias("component_id"), root
