@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from zonepipe.plans.lookup import update_lookup
 from zonepipe.operators.transform import transform
 from zonepipe.sources.lookup import LookupStore, lookup_schema
 from zonepipe.sources.zones import land, scan_zone, stage
+from zonepipe.streaming import compaction
+from zonepipe.streaming.compaction import compact_staging, current, drop_compacted
 from zonepipe.streaming.ingest import _DAY, Once, compact_streamed, process_batch, scan_streamed, stream_ingest
 
 RAW = (
@@ -174,3 +177,60 @@ def test_rows_are_known_by_the_columns_named(spark, contract, tmp_path):
     land(frame(spark, [("A", "other", 1, "2024-01-02"), ("A", "u1", 2, "2024-01-02")]), contract, "1")
     start(spark, contract, tmp_path, schema, once=Once(("advertising_id", "timestamp")))
     assert sorted(r["timestamp"] for r in scan_streamed(spark, contract, schema).collect()) == [1, 1, 2]
+
+
+def live_folders(contract):
+    return [p for p in Path(contract.transform.destination).rglob("ingest_batch=*") if "_compacted" not in p.parts]
+
+
+def test_compaction_in_place(spark, contract, tmp_path, monkeypatch):
+    schema, zone = frame(spark, ARRIVALS[0]).schema, contract.transform.destination
+    assert compact_staging(spark, contract, schema) is None and drop_compacted(spark, contract) == []
+    for number, arrival in enumerate(ARRIVALS[:2]):
+        land(frame(spark, arrival), contract, str(number))
+    start(spark, contract, tmp_path, schema)
+    before = staged(spark, contract, schema)
+
+    def killed(*_):
+        raise InterruptedError
+
+    with monkeypatch.context() as patch, pytest.raises(InterruptedError):
+        patch.setattr(compaction, "touch", killed)
+        compact_staging(spark, contract, schema)
+    assert current(spark, zone) == [] and staged(spark, contract, schema) == before
+
+    assert (one := compact_staging(spark, contract, schema)) and (one.first, one.last) == (0, 1)
+    assert staged(spark, contract, schema) == before and len(live_folders(contract)) == 2
+    assert len(drop_compacted(spark, contract)) == 2 and live_folders(contract) == []
+    assert staged(spark, contract, schema) == before
+    assert compact_staging(spark, contract, schema) is None
+
+    # A batch that is delivered again adds nothing; a later one counts at once.
+    process_batch(frame(spark, ARRIVALS[1]).withColumn(_DAY, F.lit(dt.date(2024, 1, 2))), 1, contract)
+    assert staged(spark, contract, schema) == before
+    land(frame(spark, ARRIVALS[2]), contract, "2")
+    start(spark, contract, tmp_path, schema)
+    after = staged(spark, contract, schema)
+    assert len(after) == 8 and set(before) < set(after)
+
+    # The second range holds the new batch alone; a whole one replaces both.
+    assert (two := compact_staging(spark, contract, schema)) and (two.first, two.last) == (2, 2)
+    assert len(list(Path(two.path).rglob("*.parquet"))) == 1
+    assert [(r.first, r.last) for r in current(spark, zone)] == [(0, 1), (2, 2)]
+    assert staged(spark, contract, schema) == after
+    compact_staging(spark, contract, schema, whole=True)
+    assert compact_staging(spark, contract, schema, whole=True) is None
+    assert [(r.first, r.last) for r in current(spark, zone)] == [(0, 2)]
+    dropped = drop_compacted(spark, contract)
+    assert {p.rsplit("/", 2)[1] + "/" + p.rsplit("/", 1)[1] for p in dropped if "_compacted" in p} == {"from=0/upto=1", "from=2/upto=2"}
+    assert live_folders(contract) == [] and staged(spark, contract, schema) == after
+
+
+def test_a_compaction_that_lost_rows_is_not_published(spark, contract, tmp_path, monkeypatch):
+    schema = frame(spark, ARRIVALS[0]).schema
+    land(frame(spark, ARRIVALS[0]), contract, "0")
+    start(spark, contract, tmp_path, schema)
+    monkeypatch.setattr(compaction, "stage", lambda rows, *a, **k: stage(rows.limit(1), *a, **k))
+    with pytest.raises(QualityError, match="expected 2"):
+        compact_staging(spark, contract, schema)
+    assert len(staged(spark, contract, schema)) == 2

@@ -387,6 +387,7 @@ ORACLE: dict[str, str] = {
     "run_viewership": f"{BASE} {TRANSFORMED_VIEWERSHIP}",
     "stream_ingest": f"{BASE} {TRANSFORMED_ACTIVES}",
     "stream_dedup": f"{BASE} {TRANSFORMED_ACTIVES}",
+    "compact_staging": f"{BASE} {TRANSFORMED_ACTIVES}",
     "run_arrivals": f"{BASE}, {STORED} select * from stored",
     "run_arrivals_staging": f"{BASE} {TRANSFORMED_ACTIVES}",
     "run_corrected": f"{BASE} {TRANSFORMED_ACTIVES}",

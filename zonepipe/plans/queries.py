@@ -26,6 +26,7 @@ from zonepipe.sources.lookup import LookupStore
 from zonepipe.sources.session import work_folder
 from zonepipe.sources.verbatim import ingest_bytes
 from zonepipe.sources.zones import ingest_raw, land, route_files, scan_staging, scan_zone, stage
+from zonepipe.streaming.compaction import compact_staging, drop_compacted
 from zonepipe.streaming.ingest import Once, scan_streamed, stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -530,6 +531,20 @@ def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_streamed(spark, contract, rows.schema)
 
 
+@query("compact_staging")
+def _compact_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream compacted in place after every arrival but the last; returns the staging zone."""
+    contract = actives_contract(work_folder(spark))
+    rows = star_schema.actives(spark, sf_dir)
+    for number, day in enumerate(RUN_DAYS):
+        land(rows.filter(run_day() == day), contract, f"{STAMP}_{number}")
+        _start(spark, rows, contract, run_day()).awaitTermination()
+        if day != RUN_DAYS[-1]:
+            compact_staging(spark, contract, rows.schema)
+            drop_compacted(spark, contract)
+    return scan_streamed(spark, contract, rows.schema)
+
+
 # --- shared inputs -----------------------------------------------------------
 
 

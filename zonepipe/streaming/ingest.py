@@ -28,13 +28,13 @@ from pyspark.sql.types import Row
 
 from zonepipe.contract import Contract
 from zonepipe.operators.quality import QualityError, raise_on_failure, validate_columns, validate_raw
-from zonepipe.operators.transform import staged_schema, transform
+from zonepipe.operators.transform import transform
 from zonepipe.plans.dataset import REPORT_ONLY
 from zonepipe.plans.lookup import update_lookup
 from zonepipe.sources.lookup import LookupStore
 from zonepipe.sources.zones import PANDAS_INDEX, one_name, route, scan_zone, stage
+from zonepipe.streaming.compaction import INGEST_BATCH, scan_batches
 
-INGEST_BATCH = "ingest_batch"
 _DAY, _DATASET, _SEEN = "_arrival_day", "_dataset", "_first_seen"
 
 log = logging.getLogger(__name__)
@@ -168,15 +168,8 @@ def process_batch(
 
 
 def scan_streamed(spark: SparkSession, contract: Contract, raw_schema: T.StructType) -> DataFrame:
-    """The staging zone a stream has written, without the batch id."""
-    step = contract.transform
-    stored = staged_schema(raw_schema, contract).add(INGEST_BATCH, T.LongType())
-    return (
-        spark.read.format(step.destination_format)
-        .schema(stored)
-        .load(step.destination)
-        .drop(INGEST_BATCH)
-    )
+    """The staging zone a stream has written, compacted or not, without the batch id."""
+    return scan_batches(spark, contract, raw_schema)
 
 
 def compact_streamed(spark: SparkSession, contract: Contract, raw_schema: T.StructType, destination: str) -> None:
