@@ -1,3 +1,5 @@
+import time
+
 from pyspark.sql import functions as F
 
 from zonepipe.llm.html_text import extract, extract_text
@@ -97,6 +99,30 @@ def test_cost_is_linear_in_odd_pages():
     assert extract("<i>" * 100_000 + "<section>y</section></b>" * 100_000).startswith("y\ny\n")
 
 
+def test_cost_of_nested_tags_behind_a_border():
+    for page in ("<p><button>" + "<div>" * 40_000 + "x", "<table><tr><td><p><object>" + "<section>" * 40_000 + "</i>" * 40_000):
+        began = time.perf_counter()
+        extract(page)
+        assert time.perf_counter() - began < 3
+    assert extract("<p>a<button>b<div>c</button>d") == "ab\nc\nd"
+
+
+def test_cells_over_several_rows():
+    assert extract("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>") == "a  b\n   c"
+    assert extract("<table><tr><td>a<td rowspan=0>bb<td>c<tr><td>d<td>e<tr><td>f<td>g</table>") == "a  bb  c\nd      e\nf      g"
+    assert extract("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c<tr><td>d<td>e<td>f</table>") == "a     b\n      c\nd  e  f"
+    # A section ends what reaches beyond it.
+    assert extract("<table><thead><tr><th rowspan=9>a<th>b<tbody><tr><td>c<td>d</table>") == "a  b\nc  d"
+    assert extract("<table><tr><td rowspan=x>a<td>b<tr><td>c<td>d</table>") == "a  b\nc  d"
+
+
+def test_numbers_of_items_and_closed_parts():
+    assert extract("<ol><li>a<li value=7>b<li>c<li value=x>d</ol>") == "1. a\n7. b\n8. c\n9. d"
+    assert extract("<details><summary>s</summary>hidden<p>too</details>y") == "s\ny"
+    assert extract("<details open><summary>s</summary>shown</details>y") == "s\nshown\ny"
+    assert extract("<ruby>k<rp>(</rp><rt>r</rt><rp>)</rp></ruby>") == "kr"
+
+
 def test_depth_and_length_are_no_obstacle():
     assert extract("<div>" * 20_000 + "x") == "x"
     assert extract("<ul><li>" * 2_000 + "x").endswith("x")

@@ -4,7 +4,8 @@ A tokenizer feeds a tree builder that supplies implied end tags (``p``, ``li``,
 and their like) and ignores stray ones; visibility rules take out what a browser does not
 show; a renderer walks the tree and keeps the layout that carries meaning: block spacing,
 line breaks, preformatted text, nested lists with their markers, and tables whose cells
-are aligned in columns.
+are aligned in columns, those that reach over several rows too.  Lists, quotes and tables
+nested more than DEPTH deep show their text without markers, indents or columns.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections import Counter
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -25,7 +27,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW_TEXT = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
     "script style template head title noscript iframe object embed canvas audio video datalist noembed noframes"
-    " annotation annotation-xml mphantom".split()
+    " annotation annotation-xml mphantom rp".split()
 )
 BLOCK = frozenset(
     "html body address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form"
@@ -60,6 +62,11 @@ WITHIN = {
 #: Elements whose border an implied or stray end tag does not cross.
 SCOPE = frozenset("table td th caption button object template html".split())
 
+#: What an end tag crosses the borders of SCOPE for.
+TABLE_PARTS = frozenset("table tr tbody thead tfoot".split())
+#: Levels of lists, quotes and tables that keep their layout; each is a level of recursion.
+DEPTH = 30
+
 #: Parts of a drawing that are not shown where they stand.
 UNDRAWN = frozenset("defs symbol clippath mask pattern marker desc metadata".split())
 #: Start tags that leave an open head open.
@@ -89,39 +96,37 @@ def parse(page: str) -> Node:
     """The page's tree; text is kept as strings among the children."""
     root = Node("html", {})
     stack, at, end, styled = [root], 0, len(page), False
-    # How many elements of a name are open: most tags close nothing and need no look at the stack.
-    held: Counter[str] = Counter()
+    # Where the open elements of a name lie on the stack, so that no tag needs a walk along it.
+    held: defaultdict[str, list[int]] = defaultdict(list)
 
     def open_element(node: Node) -> None:
         stack[-1].children.append(node)
+        held[node.name].append(len(stack))
         stack.append(node)
-        held[node.name] += 1
 
     def close_from(i: int) -> None:
-        held.subtract(node.name for node in stack[i:])
+        for node in stack[i:]:
+            held[node.name].pop()
         del stack[i:]
 
     def pop_to(names: set[str] | frozenset[str], barrier) -> None:
         """End the outermost open element of ``names`` that no ``barrier`` hides."""
         if not any(map(held.get, names)):
             return
-        cut = None
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].name in names:
-                cut = i
-            elif stack[i].name in barrier:
-                break
-        if cut:
-            close_from(cut)
+        border = innermost(b for b in barrier if b not in names)
+        inside = [where[i] for n in names if (where := held[n]) and (i := bisect_right(where, border)) < len(where)]
+        if inside:
+            close_from(min(inside))
+
+    def innermost(names: Iterable[str]) -> int:
+        """Where the innermost open element of ``names`` lies; 0 if none is open."""
+        return max((where[-1] for n in names if (where := held.get(n))), default=0)
 
     def back_to(names: set[str]) -> None:
         """End what lies inside the innermost open element of ``names``, unless it is hidden there."""
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].name in names:
-                close_from(i + 1)
-            elif stack[i].name not in HIDDEN:
-                continue
-            return
+        i = innermost(names)
+        if i > innermost(HIDDEN):
+            close_from(i + 1)
 
     while at < end:
         stop, found = page.find("<", at), None
@@ -146,12 +151,9 @@ def parse(page: str) -> Node:
             if name == "br":
                 stack[-1].children.append(Node("br", {}))
             elif name not in ("html", "body") and held.get(name):
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].name == name:
-                        close_from(i)
-                        break
-                    if stack[i].name in SCOPE and name not in ("table", "tr", "tbody", "thead", "tfoot"):
-                        break
+                borders = () if name in TABLE_PARTS else (b for b in SCOPE if b != name)
+                if held[name][-1] > innermost(borders):
+                    close_from(held[name][-1])
             continue
         if name in ("html", "body"):
             if name == "body":
@@ -359,18 +361,18 @@ def _children(node: Node, lines: Lines, depth: int) -> None:
         elif name == "input":
             if child.attributes.get("type", "").lower() in ("submit", "button", "reset"):
                 lines.text(child.attributes.get("value", ""))
-        elif name in ("ul", "ol", "menu") and depth < 30:
+        elif name in ("ul", "ol", "menu") and depth < DEPTH:
             lines.block(depth == 0)
             _list(child, lines, depth + 1)
             lines.block(depth == 0)
-        elif name == "blockquote" and depth < 30:
+        elif name == "blockquote" and depth < DEPTH:
             lines.block(True)
             lines.insert(_rendered(child, depth + 1), "  ", "  ")
             lines.block(True)
-        elif name == "dd" and depth < 30:
+        elif name == "dd" and depth < DEPTH:
             lines.block(False)
             lines.insert(_rendered(child, depth + 1), "  ", "  ")
-        elif name == "table" and depth < 30:
+        elif name == "table" and depth < DEPTH:
             lines.block(True)
             _table(child, lines, depth + 1)
             lines.block(True)
@@ -379,15 +381,22 @@ def _children(node: Node, lines: Lines, depth: int) -> None:
                 lines.block(name in SPACED)
             if name == "pre":
                 lines.preformatted += 1
-            stack.append(iter(_drawn(child) if name == "svg" else child.children))
+            shown = child.children
+            if name == "svg":
+                shown = _drawn(child)
+            elif name == "details" and "open" not in child.attributes:
+                shown = [c for c in shown if isinstance(c, Node) and c.name == "summary"][:1]
+            stack.append(iter(shown))
             ends.append(child)
 
 
+def _number(node: Node, attribute: str, default: int) -> int:
+    value = node.attributes.get(attribute, "").strip()
+    return int(value) if re.fullmatch(r"-?\d{1,9}", value) else default
+
+
 def _list(node: Node, lines: Lines, depth: int) -> None:
-    number = 1
-    start = node.attributes.get("start", "").strip()
-    if re.fullmatch(r"-?\d{1,9}", start):
-        number = int(start)
+    number = _number(node, "start", 1)
     for child in node.children:
         if isinstance(child, str):
             if child.strip():
@@ -396,6 +405,7 @@ def _list(node: Node, lines: Lines, depth: int) -> None:
         if not visible(child):
             continue
         if child.name == "li":
+            number = _number(child, "value", number)
             mark = f"{number}. " if node.name == "ol" else "- "
             number += 1
             lines.insert(_rendered(child, depth) or [""], mark, " " * len(mark))
@@ -405,14 +415,18 @@ def _list(node: Node, lines: Lines, depth: int) -> None:
             lines.insert(_rendered(holder, depth), "  ", "  ")
 
 
-def _rows(node: Node) -> Iterator[Node]:
-    """Rows of the table itself, those of its sections included, nested tables left out."""
+def _row_groups(node: Node) -> Iterator[list[Node]]:
+    """Rows of the table itself, nested tables left out; each of its sections is a group."""
+    own: list[Node] = []
     for child in node.children:
         if isinstance(child, Node) and visible(child):
             if child.name in ("thead", "tbody", "tfoot"):
-                yield from _rows(child)
+                yield own
+                yield from _row_groups(child)
+                own = []
             elif child.name == "tr":
-                yield child
+                own.append(child)
+    yield own
 
 
 def _loose(node: Node) -> Iterator[Node | str]:
@@ -429,15 +443,20 @@ def _span(node: Node) -> int:
     return min(1000, max(1, int(value))) if re.fullmatch(r"\d{1,4}", value) else 1
 
 
-def _table(node: Node, lines: Lines, depth: int) -> None:
-    loose = Node("div", {})
-    loose.children = list(_loose(node))
-    before = _rendered(loose, depth)
-    if before:
-        lines.insert(before)
-    grid: list[list[tuple[int, list[str]]]] = []
-    for row in _rows(node):
-        cells, column = [], 0
+def _row_span(node: Node, rows_left: int) -> int:
+    """Rows that a cell reaches over, its own included; 0 is all the rows left of its group."""
+    value = node.attributes.get("rowspan", "1").strip()
+    return min(rows_left, int(value) or rows_left) if re.fullmatch(r"\d{1,5}", value) else 1
+
+
+def _cells(rows: list[Node], depth: int) -> Iterator[list[tuple[int, int, list[str]]]]:
+    """The cells of each row of a group: column, columns taken, and lines.
+
+    A cell that reaches over several rows takes its columns in all of them.
+    """
+    held: list[tuple[int, int, int]] = []  # First column, the one after the last, rows still taken; in order.
+    for i, row in enumerate(rows):
+        cells, column, begun, next_held = [], 0, [], 0
         for cell in row.children:
             if isinstance(cell, str):
                 if not cell.strip():
@@ -445,29 +464,47 @@ def _table(node: Node, lines: Lines, depth: int) -> None:
                 holder = Node("td", {})
                 holder.children = [cell]
                 cell = holder
-            if visible(cell):
-                body = _rendered(cell, depth)
-                # Only cells take a column when they are empty.
-                if not body and cell.name not in ("td", "th"):
-                    continue
-                cells.append((column, body))
-                column += _span(cell)
-        if any(body for _, body in cells):
-            grid.append(cells)
+            if not visible(cell):
+                continue
+            body = _rendered(cell, depth)
+            # Only cells take a column when they are empty.
+            if not body and cell.name not in ("td", "th"):
+                continue
+            while next_held < len(held) and held[next_held][0] <= column:
+                column = max(column, held[next_held][1])
+                next_held += 1
+            span, down = _span(cell), _row_span(cell, len(rows) - i)
+            cells.append((column, span, body))
+            if down > 1:
+                begun.append((column, column + span, down))
+            column += span
+        held = sorted((first, after, left - 1) for first, after, left in [*held, *begun] if left > 1)
+        yield cells
+
+
+def _table(node: Node, lines: Lines, depth: int) -> None:
+    loose = Node("div", {})
+    loose.children = list(_loose(node))
+    before = _rendered(loose, depth)
+    if before:
+        lines.insert(before)
+    grid = [
+        cells for rows in _row_groups(node) for cells in _cells(rows, depth) if any(body for _, _, body in cells)
+    ]
     widths: dict[int, int] = {}
     for cells in grid:
-        for (column, body), (after, _) in zip(cells, [*cells[1:], (None, None)]):
-            # The last cell of a row and cells over several columns don't widen a column.
-            if after == column + 1:
+        # The last cell of a row and cells over several columns don't widen a column.
+        for column, span, body in cells[:-1]:
+            if span == 1:
                 widths[column] = max([widths.get(column, 0), *map(width, body)])
     starts, at = {}, 0
-    for column in range(max((c for cells in grid for c, _ in cells), default=-1) + 1):
+    for column in range(max((c for cells in grid for c, _, _ in cells), default=-1) + 1):
         starts[column] = at
         at += widths.get(column, 0) + (2 if widths.get(column) else 0)
     for cells in grid:
-        for i in range(max(len(body) for _, body in cells)):
+        for i in range(max(len(body) for _, _, body in cells)):
             line = ""
-            for column, body in cells:
+            for column, _, body in cells:
                 if i < len(body) and body[i]:
                     gap = starts[column] - width(line)
                     line += " " * (gap if gap > 0 else 2 if line else 0) + body[i]
