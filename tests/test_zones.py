@@ -3,6 +3,7 @@ import shutil
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from zonepipe.contract import Contract
 from zonepipe.operators.quality import count_by_file
@@ -189,6 +190,19 @@ def test_numbers_of_different_width_come_together(spark, tmp_path):
     assert sorted(r.timestamp for r in rows.collect()) == [1, 2**40]
 
 
+def test_arrivals_of_a_shape_are_read_by_one_scan(spark, tmp_path):
+    contract = Contract.known("actives", str(tmp_path))
+    kinds = "timestamp int, location_source string", "timestamp bigint, location_source array<string>", "timestamp double"
+    values = (1, "a"), (2, ["b", "c"]), (3.0,)
+    for number, (kind, value) in enumerate(zip(kinds, values)):
+        rows = spark.createDataFrame([value] * 20, kind).withColumn("arrived", F.monotonically_increasing_id())
+        rows.write.partitionBy("arrived").parquet(f"{contract.ingest.source}-{number}")
+    got = scan_zone(spark, [f"{contract.ingest.source}-{n}" for n in range(3)], step=contract.transform)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 3
+    found = {(r["timestamp"], r["location_source"]): r["count"] for r in got.groupBy(*got.columns).count().collect()}
+    assert found == {(1.0, "a"): 20, (2.0, "b,c"): 20, (3.0, None): 20}
+
+
 def test_stray_files_are_passed_over(spark, tmp_path):
     contract = Contract.known("actives", str(tmp_path))
     arrival = land(spark.createDataFrame([("A",)], "advertising_id string"), contract, "1")

@@ -209,6 +209,18 @@ class Synthetic:
             strftime({self.day(day_slot)}, '%Y-%m-%d') as "date" from {self.rows}"""
 
 
+def profiled() -> str:
+    """Exact numbers of the profiled columns; estimates have to be within their error."""
+    text, numbers = ("advertising_id", "channel_name"), ("duration", "record_timestamp", "user_lat")
+    return " union all ".join(
+        f"""select '{c}' as "column", count(*) as n_rows, count({c}) as n_values,
+            {f'cast(min({c}) as double)' if c in numbers else 'cast(null as double)'} as least,
+            {f'cast(max({c}) as double)' if c in numbers else 'cast(null as double)'} as most,
+            true as distinct_ok, {'true' if c in numbers else 'cast(null as boolean)'} as ranks_ok from viewership"""
+        for c in (*text, *numbers)
+    )
+
+
 def synthetic_actives() -> str:
     row = Synthetic(10)
     m = "md5(name)"
@@ -299,6 +311,8 @@ ORACLE: dict[str, str] = {
         select 'actives' as dataset, 'actives_{STAMP}' as arrival, count(*) as n_rows from actives
         union all select 'viewership', 'viewership_{STAMP}', count(*) from viewership
         union all select 'unrouted', 'orders_{STAMP}', count(*) from orders""",
+    "scan_shapes": f"""{BASE} select * replace ({FLAT},
+        case when day(cast("date" as date)) % 3 = 2 then null else state end as state) from actives""",
     "stage_partitioned": f"{BASE} {TRANSFORMED_ACTIVES}",
     "stage_flat": f"{BASE} {TRANSFORMED_VIEWERSHIP}",
     "synth_actives": synthetic_actives(),
@@ -375,6 +389,7 @@ ORACLE: dict[str, str] = {
         from (values ('0', '{RUN_DAYS[0]}'), ('1', '{RUN_DAYS[1]}'), ('2', '{RUN_DAYS[2]}'), ('3', 'none')) as a(number, arrived)
         left join (select {run_day()} as day from actives where advertising_id is not null) on day = arrived
         group by number""",
+    "profile_arrivals": f"{BASE} {profiled()}",
     "validate_staging": f"""{BASE}, transformed as ({TRANSFORMED_ACTIVES}),
         raw as (select count(advertising_id) as n from actives)
         select {ACTIVES_AVAILABLE} from transformed union all
@@ -387,6 +402,11 @@ ORACLE: dict[str, str] = {
     "run_viewership": f"{BASE} {TRANSFORMED_VIEWERSHIP}",
     "stream_ingest": f"{BASE} {TRANSFORMED_ACTIVES}",
     "stream_dedup": f"{BASE} {TRANSFORMED_ACTIVES}",
+    "stream_route": f"""{BASE}, transformed_actives as ({TRANSFORMED_ACTIVES}),
+        transformed_viewership as ({TRANSFORMED_VIEWERSHIP})
+        select 'actives' as dataset, event_id, advertising_id, location_source, cast("date" as varchar) as "date"
+        from transformed_actives union all
+        select 'viewership', event_id, advertising_id, location_source, cast("date" as varchar) from transformed_viewership""",
     "compact_staging": f"{BASE} {TRANSFORMED_ACTIVES}",
     "run_arrivals": f"{BASE}, {STORED} select * from stored",
     "run_arrivals_staging": f"{BASE} {TRANSFORMED_ACTIVES}",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from zonepipe.contract import Contract
 from zonepipe.functions import flatten_to_string
-from zonepipe.operators import pii, quality, scd2, synth
+from zonepipe.operators import pii, profile, quality, scd2, synth
 from zonepipe.operators.transform import cast_columns, mask_columns, staged_schema, transform
 from zonepipe.plans.dataset import manifest_of, run_dataset, scan_arrivals, stage_dataset, with_arrivals
 from zonepipe.plans.lookup import RunCounts, lookup_batch, update_in_any_order, update_lookup
@@ -28,6 +28,7 @@ from zonepipe.sources.verbatim import ingest_bytes
 from zonepipe.sources.zones import ingest_raw, land, route_files, scan_staging, scan_zone, stage
 from zonepipe.streaming.compaction import compact_staging, drop_compacted
 from zonepipe.streaming.ingest import Once, scan_streamed, stream_ingest
+from zonepipe.streaming.routing import Route, stream_route
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,6 +102,24 @@ def _ingest_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readable(scan_zone(spark, contract.ingest.destination))
 
 
+@query("scan_shapes")
+def _scan_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An arrival for every date, in three shapes by turns, which do not merge; returns the zone."""
+    contract = actives_contract(work_folder(spark), rename={"user_lattitude": "user_latitude"})
+    rows = star_schema.actives(spark, sf_dir)
+    shapes = (
+        rows,
+        readable(rows).withColumnRenamed("user_latitude", "user_lattitude"),
+        rows.withColumn("timestamp", F.col("timestamp").cast("int")).drop("state"),
+    )
+    for number, shape in enumerate(shapes):
+        # One job writes a shape's arrivals, each a folder of its own.
+        own = shape.filter(F.day(F.to_date("date")) % len(shapes) == number)
+        named = own.withColumn("arrived", F.concat(F.lit("actives_"), "date"))
+        stage(named, f"{contract.ingest.source}/{number}", ["arrived"])
+    return readable(scan_zone(spark, [f"{contract.ingest.source}/{n}" for n in range(len(shapes))], step=contract.transform))
+
+
 @query("ingest_mixed")
 def _ingest_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two arrivals of different shape: an old column name and text against a list; returns the raw zone."""
@@ -432,6 +451,21 @@ def _validate_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.validate_arrivals(scan_zone(spark, folders), arrivals, tagged)
 
 
+@query("profile_arrivals")
+def _profile_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored profiles of three arrivals brought together, and whether they are within their stated error."""
+    contract = viewership_contract(work_folder(spark))
+    rows = star_schema.viewership(spark, sf_dir)
+    store = f"{work_folder(spark)}/profiles"
+    columns = ["advertising_id", "channel_name", "duration", "record_timestamp", "user_lat"]
+    for number, day in enumerate(RUN_DAYS):
+        arrival = land(rows.filter(run_day() == day), contract, f"{STAMP}_{number}")
+        landed = scan_zone(spark, f"{contract.ingest.source}/{arrival}", rows.schema)
+        profile.store_profile(landed.select(columns), store, arrival)
+    merged = profile.summary(profile.merge(profile.stored_profiles(spark, store)))
+    return profile.held_against(merged, scan_zone(spark, contract.ingest.source, rows.schema).select(columns))
+
+
 @query("validate_staging")
 def _validate_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract, raw = _staged_actives(spark, sf_dir)
@@ -531,6 +565,32 @@ def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_streamed(spark, contract, rows.schema)
 
 
+@query("stream_route")
+def _stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two datasets in one landing zone; one fails at first, and is mended; returns rows of both staging zones."""
+    root = work_folder(spark)
+    landing = f"{root}/landing/all"
+    shapes = {"actives": star_schema.actives(spark, sf_dir), "viewership": star_schema.viewership(spark, sf_dir)}
+    routes = [
+        Route(contract(root), shapes[name].schema, run_day())
+        for name, contract in (("actives", actives_contract), ("viewership", viewership_contract))
+    ]
+    for number, day in enumerate(RUN_DAYS):
+        for name, rows in shapes.items():
+            arrived = rows.filter(run_day() == day)
+            if name == "viewership" and number == 0:
+                arrived = arrived.withColumn(arrived.columns[0], F.lit(None).cast("string"))
+            stage(arrived, f"{landing}/{name}_{STAMP}_{number}")
+        stage(star_schema.table(spark, sf_dir, "nation"), f"{landing}/orders_{number}")
+        stream_route(spark, landing, routes, f"{root}/checkpoint").awaitTermination()
+        if number == 0:
+            # The arrival that failed is put right under its own name.
+            stage(shapes["viewership"].filter(run_day() == day), f"{landing}/viewership_{STAMP}_{number}")
+    staged = [scan_streamed(spark, r.contract, r.schema).withColumn("dataset", F.lit(r.contract.dataset)) for r in routes]
+    columns = ["dataset", "event_id", "advertising_id", "location_source", F.col("date").cast("string").alias("date")]
+    return staged[0].select(columns).unionByName(staged[1].select(columns))
+
+
 @query("compact_staging")
 def _compact_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream compacted in place after every arrival but the last; returns the staging zone."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 
@@ -37,3 +39,8 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or a folder; a missing one is no error."""
     files, where = _at(spark, path)
     files.delete(where, True)
+
+
+def literal(name: str) -> str:
+    """A name or path inside a glob pattern, or where Spark reads a path as one."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", name)

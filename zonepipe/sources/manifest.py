@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonepipe.sources.files import glob, remove
+from zonepipe.sources.files import glob, literal, remove
 
 ARRIVAL = "arrival"
 ENTRY = "folder string, n_rows long, n_values long, schema string"
@@ -133,12 +133,12 @@ class Manifest:
         """Folders of an arrival in a zone that has no manifest yet, by a listing."""
         if glob(self.spark, f"{self.zone}/_manifest"):
             return []
-        steps = "/".join([*[f"{p}=*" for p in self.partitions], _literal(self._arrival(arrival))])
+        steps = "/".join([*[f"{p}=*" for p in self.partitions], literal(self._arrival(arrival))])
         return ["/".join(p.rsplit("/", len(self.partitions) + 1)[1:]) for p in glob(self.spark, f"{self.zone}/{steps}")]
 
     def _files(self, part: str) -> dict[int, list[str]]:
         found: dict[int, list[str]] = {}
-        for path in glob(self.spark, f"{self.zone}/_manifest/{_literal(part)}/n=*/part-*"):
+        for path in glob(self.spark, f"{self.zone}/_manifest/{literal(part)}/n=*/part-*"):
             found.setdefault(int(re.search(r"/n=(\d+)/[^/]*$", path)[1]), []).append(path)
         return found
 
@@ -154,11 +154,6 @@ class Manifest:
             remove(self.spark, f"{root}/n={n}")
 
 
-def _literal(name: str) -> str:
-    """A folder's name inside a glob pattern."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", name)
-
-
 def merged(a: T.StructType, b: T.StructType) -> T.StructType:
     """Columns of both; one that both have has to be of one type."""
     fields = {f.name: f for f in a.fields}

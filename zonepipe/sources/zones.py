@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,12 +13,14 @@ from pyspark.sql import types as T
 from zonepipe.contract import Contract, ZoneStep
 from zonepipe.functions import FLATTEN, flatten_to_string, parse_type
 from zonepipe.operators.quality import count_by_file
-from zonepipe.sources.files import glob
+from zonepipe.sources.files import glob, literal
 from zonepipe.sources.manifest import ARRIVAL
 
 # Fixed value: index column that pandas may add to the files it writes.
 PANDAS_INDEX = "__index_level_0__"
 UNROUTED = "unrouted"
+#: Arrivals whose footers are read at a time, where a zone's do not merge.
+FOOTER_JOBS = 16
 
 
 class SchemaClash(Exception):
@@ -36,23 +39,30 @@ def scan_zone(
     No column of any arrival is lost: the footers of all files are merged.  With ``step``,
     columns it renames are brought to their new name, whichever name an arrival uses, and
     arrivals that hold a column as text and as an array, which the contract flattens, or as
-    numbers of different types are brought together.  Other clashes raise ``SchemaClash``.
+    numbers of different types are brought together: one scan for each shape, however many
+    arrivals have it.  Other clashes raise ``SchemaClash``.
     Files that are not of the zone's format are passed over.
     """
     paths = [path] if isinstance(path, str) else list(path)
 
-    def load(*folders: str) -> DataFrame:
+    def load(folders: Sequence[str], known: T.StructType | None) -> DataFrame:
         reader = spark.read.format(file_format).option("recursiveFileLookup", "true")
         reader = reader.option("pathGlobFilter", f"*.{file_format}")
-        reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
-        return reader.load(list(folders))
+        reader = reader.schema(known) if known is not None else reader.option("mergeSchema", "true")
+        return reader.load(list(folders)).drop(PANDAS_INDEX)
 
     try:
-        rows = load(*paths).drop(PANDAS_INDEX)
+        rows = load(paths, schema)
     except Exception as clash:
         if "MERGE_SCHEMA" not in str(clash) or schema is not None:
             raise
-        rows = _fitted([load(a).drop(PANDAS_INDEX) for p in paths for a in arrivals_in(spark, p)], step)
+        arrivals = [a for p in paths for a in [literal(a) for a in arrivals_in(spark, p)] or [p]]
+        with ThreadPoolExecutor(FOOTER_JOBS) as pool:
+            shapes = list(pool.map(lambda a: load([a], None).schema, arrivals))
+        groups: dict[str, list[int]] = {}
+        for number, shape in enumerate(shapes):
+            groups.setdefault(shape.json(), []).append(number)
+        rows = _fitted([load([arrivals[n] for n in g], shapes[g[0]]) for g in groups.values()], step)
     return one_name(rows, step.rename) if step else rows
 
 
@@ -72,7 +82,7 @@ def one_name(rows: DataFrame, rename: Mapping[str, str]) -> DataFrame:
 
 
 def _fitted(parts: list[DataFrame], step: ZoneStep | None) -> DataFrame:
-    """Arrivals of different types under one another."""
+    """Scans of different types under one another."""
     types: dict[str, list[T.DataType]] = {}
     for part in parts:
         for f in part.schema.fields:
