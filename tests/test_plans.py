@@ -93,6 +93,17 @@ def test_hot_date_is_written_by_many_tasks(spark, tmp_path):
     assert len(list(folder.glob("*.parquet"))) > 4
 
 
+def test_dates_that_share_a_partition_are_not_split(spark, tmp_path):
+    rows = spark.range(0, 100_000, 1, 4).withColumns({"text": F.sha2(F.col("id").cast("string"), 256), "date": F.col("id") % 100})
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        stage(rows, str(tmp_path / "zone"), ["date"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    # 8 shuffle partitions of some 900 KB, split over pieces of a map task each, wrote up to 4 files of a date.
+    assert len(list((tmp_path / "zone").glob("date=*/part-*"))) == 100
+
+
 def test_hot_key_is_reduced_before_the_exchange(spark):
     """A third of all rows on one key: each map task sends it once."""
     n = 30_000

@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 from zonepipe.contract import Contract
 from zonepipe.functions import cast_to, masked, parse_type
 
+#: Partitions that rebalanced rows are dealt to at least; beyond it Spark keeps only average sizes of them.
+SPREAD = 2000
+
 
 def require_columns(df: DataFrame, columns: Iterable[str]) -> None:
     """Fail early, naming every contract column the frame lacks."""
@@ -38,6 +41,21 @@ def mask_columns(df: DataFrame, columns: Iterable[str], pepper: str | None = Non
     return df.withColumns({c: masked(F.col(c), pepper) for c in columns})
 
 
+def spread(df: DataFrame, by: str) -> DataFrame:
+    """Rows rebalanced by a column, so that adaptive execution packs its small values and splits hot ones.
+
+    A partition that is split writes a file of each of its values for every piece.  So that only
+    a hot value is split and not many small ones that share a partition, the rows are dealt to
+    many partitions, which adaptive execution merges where they are small.
+    """
+    conf = df.sparkSession.conf
+    merges = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled")
+    if not all(conf.get(c).lower() == "true" for c in merges):
+        return df.hint("rebalance", by)
+    asked = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return df.hint("rebalance", max(SPREAD, int(asked or 0), int(conf.get("spark.sql.shuffle.partitions"))), by)
+
+
 def transform(
     df: DataFrame,
     contract: Contract,
@@ -53,7 +71,7 @@ def transform(
     step = contract.transform
     rows = df.withColumnsRenamed(dict(step.rename)) if step.rename else df
     if spread_by:
-        rows = rows.hint("rebalance", spread_by)
+        rows = spread(rows, spread_by)
     return mask_columns(cast_columns(rows, step.casts, strict), step.masks, pepper)
 
 
