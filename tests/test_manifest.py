@@ -154,3 +154,31 @@ def test_an_arrival_without_partition_columns(spark, tmp_path):
     ingest_raw(spark, contract, arrival)
     run_dataset(spark, contract, "2024-01-01", 1, arrival)
     assert folders(manifest_of(spark, contract).entries(arrival)) == [f"arrival={arrival}"]
+
+
+def test_staging_is_read_back_once(spark, tmp_path, monkeypatch):
+    contract = Contract.known("actives", str(tmp_path))
+    arrival = land(rows_on(spark, 20, [1, 2, 3]), contract, "1")
+    reader, loaded = type(spark.read), []
+    load = reader.load
+
+    def noted(self, path=None, *args, **kwargs):
+        loaded.append(path)
+        return load(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(reader, "load", noted)
+    run_dataset(spark, contract, "2024-01-01", 1, arrival)
+    # One listing and one pass over the files, where there were four listings and two passes.
+    assert len([paths for paths in loaded if "/staging/" in str(paths)]) == 1
+    assert sum(e.n_rows for e in manifest_of(spark, contract).entries(arrival)) == 20
+
+
+def test_a_first_column_that_is_a_partition_column(spark, tmp_path):
+    contract = Contract.known("actives", str(tmp_path), partitions=("city",))
+    rows = rows_on(spark, 9, [1]).withColumn("city", F.when(F.col("timestamp") % 3 > 0, F.lit("a%b")))
+    rows = rows.select("city", *[c for c in rows.columns if c != "city"])
+    n = rows.filter("city is not null").count()
+    report = run_dataset(spark, contract, "2024-01-01", 1, land(rows, contract, "1"))
+    assert [c["actual"] for c in report.checks if c["check"] == "reconcile"] == [str(n)] and 0 < n < 9
+    found = manifest_of(spark, contract).entries("actives_1")
+    assert sorted((e.n_rows, e.n_values) for e in found) == sorted([(n, n), (9 - n, 0)])

@@ -113,24 +113,29 @@ def validate_staging(
     expected: int,
     expected_rows: int | None = None,
     partition_text: Mapping[str, str] | None = None,
+    counted: bool = False,
 ) -> DataFrame:
     """All checks of a staging zone in one pass: availability, count, types.
 
     With ``expected_rows`` all rows are counted too, and with ``partition_text`` (partition
     column → column that holds its value as text) so are values its type cannot take.
+    With ``counted`` a row of ``staged`` stands for ``n_rows`` rows, ``n_values`` of them with a
+    value in ``column``.
     """
+    n_values = _sum("n_values") if counted else F.count(column)
     checks = [
-        _availability(column, contract.dataset),
-        _reconcile(contract.dataset, F.lit(expected), F.count(column)),
+        _available(contract.dataset, n_values),
+        _reconcile(contract.dataset, F.lit(expected), n_values),
         *_types(staged, contract),
     ]
     if expected_rows is not None:
-        n = F.count(F.lit(1))
+        n = _sum("n_rows") if counted else F.count(F.lit(1))
         checks.append(
             _verdict("row_count", contract.dataset, F.lit(str(expected_rows)), n.cast("string"), n == expected_rows)
         )
     for name, text in (partition_text or {}).items():
-        bad = F.count_if(F.col(text).isNotNull() & F.col(name).isNull())
+        lost = F.col(text).isNotNull() & F.col(name).isNull()
+        bad = _sum(F.when(lost, F.col("n_rows"))) if counted else F.count_if(lost)
         checks.append(_verdict("partition_value", name, F.lit("0"), bad.cast("string"), bad == 0))
     return _rows(staged, checks)
 
@@ -171,10 +176,17 @@ def _verdict(check: str, subject: str, expected: Column, actual: Column, passed:
 
 
 def _availability(column: str, subject: str) -> tuple:
-    found = F.count(column)
+    return _available(subject, F.count(column))
+
+
+def _available(subject: str, found: Column) -> tuple:
     return _verdict("availability", subject, F.lit("> 0"), found.cast("string"), found > 0)
 
 
+def _sum(counts: Column | str) -> Column:
+    return F.coalesce(F.sum(counts), F.lit(0))
+
+
 def _reconcile(subject: str, before: Column, after: Column) -> tuple:
     return _verdict(
         "reconcile", subject, before.cast("string"), after.cast("string"), before == after

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import Row
 
 from zonepipe.contract import Contract, ZoneStep
@@ -21,7 +24,7 @@ from zonepipe.operators.quality import (
 )
 from zonepipe.operators.transform import transform
 from zonepipe.plans.lookup import RunCounts, update_lookup
-from zonepipe.sources.manifest import ARRIVAL, Manifest, SchemaDrift, plain_path
+from zonepipe.sources.manifest import ARRIVAL, Manifest, SchemaDrift, count_folders, plain_path
 from zonepipe.sources.verbatim import ingest_bytes
 from zonepipe.sources.zones import (
     arrival_name,
@@ -31,7 +34,7 @@ from zonepipe.sources.zones import (
     scan_zone,
     stage,
     staging_schema,
-    stored_columns,
+    stored_rows,
 )
 
 # Checks that are reported but do not stop a run.
@@ -76,8 +79,9 @@ def run_dataset(
     tagged = with_arrivals(spark, folders, contract)
     checks = check_raw(spark, raw, contract, names, tagged)
     stage_arrivals(tagged, contract, strict, pepper, arrival)
-    checks += check_staging(spark, raw.columns[0], contract, names, checks)
-    record_arrivals(spark, raw.columns[0], contract, arrival)
+    with read_back(spark, raw.columns[0], contract, names) as staged:
+        checks += check_staging(spark, raw.columns[0], contract, names, checks, staged)
+        record_arrivals(spark, contract, staged, arrival)
     counts = update_lookup(spark, raw, contract, as_of, version, pepper)
     return RunReport(contract.dataset, counts, checks)
 
@@ -122,17 +126,44 @@ def by_arrival(contract: Contract) -> ZoneStep:
     return replace(contract.transform, partitions=(*contract.transform.partitions, ARRIVAL))
 
 
-def record_arrivals(spark: SparkSession, column: str, contract: Contract, arrival: str | None = None) -> None:
+@dataclass(frozen=True)
+class Staged:
+    """What was read back of staging: a row for each folder, and the columns its files agree on."""
+
+    counted: DataFrame
+    stored: T.StructType
+
+
+@contextmanager
+def read_back(spark: SparkSession, column: str, contract: Contract, names: list[str]) -> Iterator[Staged]:
+    """Read the arrivals ``names`` back from staging, for all that is to be known of them.
+
+    Their files are listed once, their footers merged and their rows counted by folder, which
+    is kept for as long as it is needed.  The folders of one arrival come from the manifest.
+    ``column`` is the first of the raw zone.
+    """
+    step = contract.transform
+    entries = manifest_of(spark, contract).entries(names[0]) if len(names) == 1 else []
+    paths = [f"{step.destination}/{e.folder}" for e in entries] or [step.destination]
+    try:
+        files = stored_rows(spark, by_arrival(contract), paths)
+    except Exception as clash:
+        if "MERGE_SCHEMA" not in str(clash):
+            raise
+        raise QualityError(f"type: files of {step.destination} disagree: {clash}") from clash
+    counted = count_folders(files, column, step.partitions).filter(F.col(ARRIVAL).isin(names)).persist()
+    try:
+        yield Staged(counted, files.schema)
+    finally:
+        counted.unpersist()
+
+
+def record_arrivals(spark: SparkSession, contract: Contract, staged: Staged, arrival: str | None = None) -> None:
     """Put what staging holds of an arrival, or of all, into the manifest."""
-    step, manifest = by_arrival(contract), manifest_of(spark, contract)
-    folders = None if arrival is None else [e.folder for e in manifest.entries(arrival)]
-    paths = [step.destination] if folders is None else [f"{step.destination}/{f}" for f in folders]
-    stored = stored_columns(spark, step, paths)
-    staged = scan_staging(spark, step, staging_schema(stored, step, text_partitions=True), folders=folders)
     try:
-        manifest.record(staged, column, stored, arrival)
+        manifest_of(spark, contract).record(staged.counted, staged.stored, arrival)
     except SchemaDrift as drift:
-        raise QualityError(f"type: arrivals of {step.destination} disagree: {drift}") from drift
+        raise QualityError(f"type: arrivals of {contract.transform.destination} disagree: {drift}") from drift
 
 
 def scan_arrivals(spark: SparkSession, contract: Contract, names: list[str] | None = None, text_partitions: bool = False) -> DataFrame:
@@ -184,27 +215,26 @@ def check_raw(
 
 
 def check_staging(
-    spark: SparkSession, column: str, contract: Contract, names: list[str], before: list[Row]
+    spark: SparkSession, column: str, contract: Contract, names: list[str], before: list[Row], staged: Staged | None = None
 ) -> list[Row]:
     """Gate after the transform: reads back what was written, with the types in its files.
 
     Types are those that all files' footers agree on; partition values are read as text
-    and tried against the contract's type.  ``column`` is the first of the raw zone, and
-    ``before`` what the gate there has counted.
+    and tried against the contract's type.  ``column`` is the first of the raw zone,
+    ``before`` what the gate there has counted, and ``staged`` what has been read back already.
     """
-    counted = {r["check"]: r["actual"] for r in before if r["subject"] == contract.dataset}
-    try:
-        staged = scan_arrivals(spark, contract, names, text_partitions=True)
-    except Exception as clash:
-        if "MERGE_SCHEMA" not in str(clash):
-            raise
-        raise QualityError(f"type: files of {contract.transform.destination} disagree: {clash}") from clash
-    casts = {p: contract.transform.casts[p] for p in contract.transform.partitions if p in contract.transform.casts}
-    texts = {p: f"_text_{p}" for p in casts}
-    typed = staged.withColumns({t: F.col(p) for p, t in texts.items()}).withColumns(
-        {p: cast_to(F.col(p), spec, staged.schema[p].dataType) for p, spec in casts.items()}
-    )
+    if staged is None:
+        with read_back(spark, column, contract, names) as staged:
+            return check_staging(spark, column, contract, names, before, staged)
+    counts = {r["check"]: r["actual"] for r in before if r["subject"] == contract.dataset}
+    step = contract.transform
+    texts = {p: f"_text_{p}" for p in step.partitions if p in step.casts}
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in staged.stored.fields if f.name in step.casts]
+    parts = [
+        cast_to(F.col(p), step.casts[p], T.StringType()).alias(p) if p in texts else F.col(p) for p in step.partitions
+    ]
+    typed = staged.counted.select("n_rows", "n_values", *columns, *parts, *[F.col(p).alias(t) for p, t in texts.items()])
     verdicts = validate_staging(
-        typed, contract, column, int(counted["availability"]), int(counted["rows"]), texts
+        typed, contract, column, int(counts["availability"]), int(counts["rows"]), texts, counted=True
     )
     return raise_on_failure(verdicts, REPORT_ONLY)

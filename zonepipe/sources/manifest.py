@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,8 @@ from pyspark.sql import types as T
 from zonepipe.sources.files import glob, literal, remove
 
 ARRIVAL = "arrival"
+#: Stale folders that are removed at a time.
+REMOVALS = 16
 ENTRY = "folder string, n_rows long, n_values long, schema string"
 
 
@@ -65,6 +68,34 @@ def folders_of(spark: SparkSession, rows: DataFrame, partitions: Sequence[str],
     return sorted("/".join([*[f"{p}={escaped(spark, r[p])}" for p in partitions], last]) for r in found)
 
 
+def count_folders(files: DataFrame, column: str, partitions: Sequence[str]) -> DataFrame:
+    """Rows, and those with a value in ``column``, of each folder of staged arrivals.
+
+    Beside them are the arrival and the partition values as text, read off the folder's name.
+    ``files`` is a scan without partition columns.  Rows are counted per file before anything
+    looks at a path.
+    """
+    n_values = F.count(column) if column in files.columns else F.count(F.lit(1))
+    by_file = files.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("n_rows"), n_values.alias("n_values")
+    )
+    names = [*partitions, ARRIVAL]
+    steps = F.slice(F.split(plain_path(F.col("file")), "/"), -len(names) - 1, len(names))
+    found = by_file.select(F.array_join(steps, "/").alias("folder"), "n_rows", "n_values")
+    found = found.groupBy("folder").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_values").alias("n_values"))
+    texts = {n: _partition_text(F.get(F.split("folder", "/"), F.lit(i))) for i, n in enumerate(names)}
+    rows = found.select("*", *[text.alias(n) for n, text in texts.items()])
+    if column in texts:
+        rows = rows.withColumn("n_values", F.when(F.col(column).isNull(), F.lit(0)).otherwise(F.col("n_rows")))
+    return rows
+
+
+def _partition_text(step: Column) -> Column:
+    """The value in a folder's name as Spark reads it."""
+    value = F.regexp_replace(step, "^[^=]*=", "")
+    return F.when(value != "__HIVE_DEFAULT_PARTITION__", F.coalesce(plain_path(value), value))
+
+
 class Manifest:
     """The manifest of a staging zone with the arrival as its last partition column."""
 
@@ -91,27 +122,21 @@ class Manifest:
         stale = sorted(set(old) - set(new))
         if stale:
             self._announce(arrival, {*old, *new})
-            for folder in stale:
-                remove(self.spark, f"{self.zone}/{folder}")
+            with ThreadPoolExecutor(REMOVALS) as pool:
+                list(pool.map(lambda folder: remove(self.spark, f"{self.zone}/{folder}"), stale))
         if stale or set(old) != set(new):
             self._announce(arrival, new)
         return stale
 
-    def record(self, staged: DataFrame, column: str, stored: T.StructType, arrival: str | None = None) -> None:
-        """Count what is staged by folder; with ``arrival`` only that one was read, else all.
+    def record(self, counted: DataFrame, stored: T.StructType, arrival: str | None = None) -> None:
+        """Keep what is staged by folder; with ``arrival`` only that one was read, else all.
 
-        ``staged`` is a scan of the zone and ``stored`` the columns of its files.  Raises
+        ``counted`` is from ``count_folders`` and ``stored`` the columns of the files.  Raises
         ``SchemaDrift`` where they do not fit those of earlier arrivals.
         """
         known = self.columns() if arrival is not None else None
         together = merged(known, stored) if known else stored
-        depth = len(self.partitions) + 1
-        folder = F.array_join(F.slice(F.split(plain_path(F.col("_metadata.file_path")), "/"), -depth - 1, depth), "/")
-        counted = (
-            staged.groupBy(F.col(ARRIVAL), folder.alias("folder"))
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.count(column).alias("n_values"))
-            .withColumn("schema", F.lit(stored.json()))
-        )
+        counted = counted.select(ARRIVAL, "folder", "n_rows", "n_values", F.lit(stored.json()).alias("schema"))
         if arrival is not None:
             self._add(self._arrival(arrival), counted.drop(ARRIVAL))
         else:
