@@ -182,3 +182,11 @@ def test_a_first_column_that_is_a_partition_column(spark, tmp_path):
     assert [c["actual"] for c in report.checks if c["check"] == "reconcile"] == [str(n)] and 0 < n < 9
     found = manifest_of(spark, contract).entries("actives_1")
     assert sorted((e.n_rows, e.n_values) for e in found) == sorted([(n, n), (9 - n, 0)])
+
+
+def test_a_partition_value_is_escaped_once(spark, monkeypatch):
+    asked = []
+    escaped = manifest.escaped
+    monkeypatch.setattr(manifest, "escaped", lambda spark, value: asked.append(value) or escaped(spark, value))
+    found = manifest.folders_of(spark, rows_on(spark, 30, [1, 2, 3]), ["month", "date"], "actives_1")
+    assert len(found) == 3 and asked.count("01") == 1

@@ -21,6 +21,7 @@ import re
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,9 +49,15 @@ class Entry:
     schema: str | None = None
 
 
+@cache
+def _catalog_names(spark: SparkSession):
+    # Every step of a Java name is a call to the JVM.
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+
+
 def escaped(spark: SparkSession, value: str | None) -> str:
     """A partition value as Spark writes it into a folder's name."""
-    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    names = _catalog_names(spark)
     return names.escapePathName(value) if value else names.DEFAULT_PARTITION_NAME()
 
 
@@ -60,12 +67,16 @@ def plain_path(uri: Column) -> Column:
 
 
 def folders_of(spark: SparkSession, rows: DataFrame, partitions: Sequence[str], arrival: str) -> list[str]:
-    """Folders that ``rows`` of an arrival go to: one aggregate over the partition columns."""
+    """Folders that ``rows`` of an arrival go to: one aggregate over the partition columns.
+
+    A value's name is asked of Spark once, in however many folders it is.
+    """
+    named = cache(lambda value: escaped(spark, value))
     last = f"{ARRIVAL}={escaped(spark, arrival)}"
     if not partitions:
         return [last]
     found = rows.select(*[F.col(p).cast("string") for p in partitions]).distinct().collect()
-    return sorted("/".join([*[f"{p}={escaped(spark, r[p])}" for p in partitions], last]) for r in found)
+    return sorted("/".join([*[f"{p}={named(r[p])}" for p in partitions], last]) for r in found)
 
 
 def count_folders(files: DataFrame, column: str, partitions: Sequence[str]) -> DataFrame:
