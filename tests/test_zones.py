@@ -10,6 +10,8 @@ from zonepipe.operators.quality import count_by_file
 from zonepipe.operators.transform import staged_schema, transform
 from zonepipe.plans.dataset import stage_dataset
 from zonepipe.sources.zones import (
+    LISTING_TASKS,
+    LISTINGS_A_CORE,
     SchemaClash,
     ingest_raw,
     land,
@@ -17,6 +19,7 @@ from zonepipe.sources.zones import (
     scan_staging,
     scan_zone,
     stage,
+    stored_rows,
     with_route,
 )
 
@@ -219,3 +222,28 @@ def test_whole_zone_ingest_keeps_earlier_arrivals(spark, tmp_path):
     land(spark.createDataFrame([("B",)], "advertising_id string"), contract, "2")
     assert ingest_raw(spark, contract) == ["actives_2"]
     assert sorted(r[0] for r in scan_zone(spark, contract.ingest.destination).collect()) == ["A", "B"]
+
+
+def test_many_folders_are_listed_in_a_few_tasks(spark, tmp_path):
+    step = Contract.known("actives", str(tmp_path), partitions=("k",), casts={"k": "IntegerType()"}).transform
+    stage(spark.range(100).withColumn("k", F.col("id")), step.destination, ["k"])
+    folders = [f"k={k}" for k in range(100)]
+    paths = [f"{step.destination}/{folder}" for folder in folders]
+    before, tracker = spark.conf.get(LISTING_TASKS), spark.sparkContext.statusTracker()
+    scans = {
+        "stored": lambda: stored_rows(spark, step, paths),
+        "zone": lambda: scan_staging(spark, step, "id long, k int"),
+        "folders": lambda: scan_staging(spark, step, "id long, k int", folders=folders),
+    }
+    for name, scan in scans.items():
+        group = f"listing-{name}-{tmp_path}"
+        spark.sparkContext.setJobGroup(group, name)
+        try:
+            rows = scan()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        stages = [s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds]
+        most = max(tracker.getStageInfo(s).numTasks for s in stages)
+        assert most <= LISTINGS_A_CORE * spark.sparkContext.defaultParallelism < 100, name
+        assert rows.count() == 100
+        assert spark.conf.get(LISTING_TASKS) == before
