@@ -7,7 +7,7 @@ from zonepipe.contract import Contract
 from zonepipe.operators.quality import QualityError
 from zonepipe.operators.synth import synth_actives
 from zonepipe.plans import dataset
-from zonepipe.plans.dataset import manifest_of, run_dataset, scan_arrivals
+from zonepipe.plans.dataset import manifest_of, read_back, run_dataset, scan_arrivals
 from zonepipe.sources import manifest
 from zonepipe.sources.files import remove
 from zonepipe.sources.lookup import LookupStore
@@ -190,3 +190,39 @@ def test_a_partition_value_is_escaped_once(spark, monkeypatch):
     monkeypatch.setattr(manifest, "escaped", lambda spark, value: asked.append(value) or escaped(spark, value))
     found = manifest.folders_of(spark, rows_on(spark, 30, [1, 2, 3]), ["month", "date"], "actives_1")
     assert len(found) == 3 and asked.count("01") == 1
+
+
+def test_what_new_folders_lie_in_is_there_before_the_write(spark, tmp_path):
+    contract = Contract.known("actives", str(tmp_path))
+    entries = manifest_of(spark, contract)
+    for arrival, days in (("a", [1, 2]), ("b", [2, 3])):
+        assert entries.make_way(arrival, rows_on(spark, 9, days)) == []
+        for day in days:
+            assert (tmp_path / f"staging/actives/month=01/date=2024-01-0{day}").is_dir()
+        assert folders(entries.entries(arrival)) == [f"month=01/date=2024-01-0{d}/arrival={arrival}" for d in days]
+    assert not list(tmp_path.glob("staging/actives/month=01/*/*"))
+
+
+def test_an_announcement_waits_for_no_python_worker(spark, tmp_path, monkeypatch):
+    entries = manifest_of(spark, Contract.known("actives", str(tmp_path)))
+    plans, add = [], manifest.Manifest._add
+    monkeypatch.setattr(
+        manifest.Manifest, "_add", lambda self, part, rows: plans.append(rows._jdf.queryExecution().toString()) or add(self, part, rows)
+    )
+    odd = ["arrival=a%25b", "arrival=\u00e4 '\u20ac", "arrival=x"]
+    entries._announce("a", odd)
+    assert folders(entries.entries("a")) == sorted(odd) and entries.entries("a")[0].n_rows is None
+    assert len(plans) == 1 and "ExistingRDD" not in plans[0] and "LogicalRDD" not in plans[0]
+
+
+def test_counts_of_folders_are_kept_in_few_partitions(spark, tmp_path):
+    contract = Contract.known("actives", str(tmp_path))
+    arrival = land(rows_on(spark, 20, [1, 2]), contract, "1")
+    run_dataset(spark, contract, "2024-01-01", 1, arrival)
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        with read_back(spark, "advertising_id", contract, [arrival]) as staged:
+            assert staged.counted.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+            assert sum(r["n_rows"] for r in staged.counted.collect()) == 20
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")

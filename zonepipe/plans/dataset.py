@@ -151,7 +151,9 @@ def read_back(spark: SparkSession, column: str, contract: Contract, names: list[
         if "MERGE_SCHEMA" not in str(clash):
             raise
         raise QualityError(f"type: files of {step.destination} disagree: {clash}") from clash
-    counted = count_folders(files, column, step.partitions).filter(F.col(ARRIVAL).isin(names)).persist()
+    counted = count_folders(files, column, step.partitions).filter(F.col(ARRIVAL).isin(names))
+    # What is kept has its shuffle's partitions, few rows each, which adaptive execution does not merge.
+    counted = counted.coalesce(spark.sparkContext.defaultParallelism).persist()
     try:
         yield Staged(counted, files.schema)
     finally:

@@ -1,8 +1,10 @@
-"""File-system calls on the driver: listings, markers and removals, never data."""
+"""File-system calls on the driver: listings, markers, folders and removals, never data."""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +37,15 @@ def touch(spark: SparkSession, path: str) -> None:
     files.create(where, True).close()
 
 
+def make_folders(spark: SparkSession, zone: str, folders: Sequence[str], at_a_time: int) -> None:
+    """``folders`` of a zone, with those above them; one that is there is left as it is."""
+    # Names of Java classes are resolved once: every step of one is a call to the JVM.
+    files, _ = _at(spark, zone)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    with ThreadPoolExecutor(at_a_time) as pool:
+        list(pool.map(lambda folder: files.mkdirs(path(f"{zone}/{folder}")), folders))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or a folder; a missing one is no error."""
     files, where = _at(spark, path)

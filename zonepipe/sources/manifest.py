@@ -23,14 +23,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonepipe.sources.files import glob, literal, remove
+from zonepipe.sources.files import glob, literal, make_folders, remove
 
 ARRIVAL = "arrival"
-#: Stale folders that are removed at a time.
+#: Stale folders that are removed, or new ones' parents that are made, at a time.
 REMOVALS = 16
 ENTRY = "folder string, n_rows long, n_values long, schema string"
 
@@ -126,7 +127,8 @@ class Manifest:
     def make_way(self, arrival: str, rows: DataFrame) -> list[str]:
         """Prepare for ``rows`` replacing the arrival; the folders removed, which they do not go to.
 
-        May be repeated after any failure.
+        What new folders lie in is made here, many at a time: Spark's committer would make
+        each after the other.  May be repeated after any failure.
         """
         new = folders_of(self.spark, rows, self.partitions, arrival)
         old = [e.folder for e in self.entries(arrival)] or self._unannounced(arrival)
@@ -137,6 +139,8 @@ class Manifest:
                 list(pool.map(lambda folder: remove(self.spark, f"{self.zone}/{folder}"), stale))
         if stale or set(old) != set(new):
             self._announce(arrival, new)
+        around = sorted({folder.rpartition("/")[0] for folder in set(new) - set(old)} - {""})
+        make_folders(self.spark, self.zone, around, REMOVALS)
         return stale
 
     def record(self, counted: DataFrame, stored: T.StructType, arrival: str | None = None) -> None:
@@ -156,14 +160,16 @@ class Manifest:
                 "partitionOverwriteMode", "static"
             ).parquet(f"{self.zone}/_manifest")
         if together != known:
-            self._add("columns", self.spark.createDataFrame([(together.json(),)], "schema string"))
+            self._add("columns", self.spark.range(1).select(F.lit(together.json()).alias("schema")))
 
     def _arrival(self, arrival: str) -> str:
         return f"{ARRIVAL}={escaped(self.spark, arrival)}"
 
     def _announce(self, arrival: str, folders: Iterable[str]) -> None:
-        rows = self.spark.createDataFrame([(f, None, None, None) for f in sorted(folders)], ENTRY)
-        self._add(self._arrival(arrival), rows)
+        # An Arrow table goes to the JVM as it is; a list would wait for Python workers to start.
+        known = self.spark.createDataFrame(pa.table({"folder": pa.array(sorted(folders), pa.string())}))
+        unknown = [F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(ENTRY).fields[1:]]
+        self._add(self._arrival(arrival), known.select("folder", *unknown))
 
     def _unannounced(self, arrival: str) -> list[str]:
         """Folders of an arrival in a zone that has no manifest yet, by a listing."""
